@@ -46,6 +46,11 @@ def lookback_bounds(run_date: date, months: int, warm_up: int = 13) -> tuple[dat
     return date(year, month0 + 1, 1), hi
 
 
+def next_month(day: date) -> date:
+    """First day of the month after ``day``."""
+    return lookback_bounds(day, -1, 0)[0]
+
+
 def version_of(run_date: Column) -> Column:
     """Dataset version label ``yyyy_MM``."""
     return F.date_format(run_date, "yyyy_MM")

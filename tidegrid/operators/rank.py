@@ -26,22 +26,23 @@ def topk_record(
     rank: str = "rank", pattern: str = "top{i}_{what}",
 ) -> DataFrame:
     """One row per target with the columns ``top1_feature, top1_importance, ...``."""
-    cells = []
-    for i in range(1, k + 1):
-        at = F.col(rank) == i
-        cells.append(F.max(F.when(at, F.col(feature))).alias(pattern.format(i=i, what="feature")))
-        cells.append(F.max(F.when(at, F.col(importance))).alias(pattern.format(i=i, what="importance")))
+    cells = [F.max(F.when(F.col(rank) == i, F.col(what))).alias(pattern.format(i=i, what=what))
+             for i in range(1, k + 1) for what in (feature, importance)]
     return ranked.groupBy(*by).agg(*cells)
 
 
 def unpivot_topk(
-    record: DataFrame, k: int = 5, *, by: Sequence[str], pattern: str = "top{i}_{what}"
+    record: DataFrame, k: int = 5, *, by: Sequence[str], feature: str = "feature", importance: str = "importance",
+    pattern: str = "top{i}_{what}",
 ) -> DataFrame:
-    """Back from the wide record to ``(rank, feature, importance)`` rows; empty slots are left out."""
+    """Back from the wide record to ``(rank, feature, importance)`` rows; empty slots are left out.
+
+    ``feature`` and ``importance`` are the words in the record's column names.
+    """
     slots = F.array(*[
         F.struct(F.lit(i).alias("rank"),
-                 F.col(pattern.format(i=i, what="feature")).alias("feature"),
-                 F.col(pattern.format(i=i, what="importance")).alias("importance"))
+                 F.col(pattern.format(i=i, what=feature)).alias("feature"),
+                 F.col(pattern.format(i=i, what=importance)).alias("importance"))
         for i in range(1, k + 1)
     ])
     return record.select(*by, F.inline(slots)).where(F.col("feature").isNotNull())

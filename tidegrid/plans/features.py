@@ -66,16 +66,20 @@ def training_frame(
     by: Sequence[str] = (),
     time: str = "period",
     fill_labels: bool = True,
+    keep_unlabelled: bool = False,
     bfill: bool = True,
 ) -> DataFrame:
     """Features, targets, 0-based row index and processing date.
 
-    Missing targets become the median of their series unless ``fill_labels`` is off, in which
-    case rows without a target are left out.
+    Missing targets become the median of their series. With ``fill_labels`` off, rows without all
+    targets are left out, or kept as rows to score with ``keep_unlabelled``.
     """
     targets = [target_column(t) for t in tickers]
     require_columns(frame, targets)
     matrix = feature_matrix(frame, tickers=tickers, indicators=indicators, by=by, time=time, keep=targets, bfill=bfill)
-    labelled = fill_median(matrix, targets, by=by) if fill_labels else matrix.dropna(subset=targets)
+    if fill_labels:
+        labelled = fill_median(matrix, targets, by=by)
+    else:
+        labelled = matrix if keep_unlabelled else matrix.dropna(subset=targets)
     stamped = labelled.withColumn("Processing_Date", F.date_format(F.lit(run_date), "yyyy-MM-dd"))
     return add_row_index(stamped, by=by, time=time)
