@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.ensemble import ensemble_band
+from tidegrid.operators.grid import stack_long
 from tidegrid.operators.profile import r2_score
 
 RAW, SCALED = "_raw_features", "_features"
@@ -79,18 +82,31 @@ class ForestBundle:
         return cls(tuple(scaler.stages[0].getInputCols()), scaler, models)
 
 
+def _fit_all(tasks: Sequence[tuple[str, DataFrame]], params: ForestParams, parallelism: int) -> list:
+    """Fit ``(target, frame)`` pairs; several fits share the cluster, as in MLlib's own validators."""
+
+    @inheritable_thread_target(tasks[0][1].sparkSession)
+    def fit(task: tuple[str, DataFrame]) -> RandomForestRegressionModel:
+        target, frame = task
+        return params.regressor(target).fit(frame)
+
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(fit, tasks)
+
+
 def fit_forests(
-    df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams = ForestParams()
+    df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams = ForestParams(),
+    parallelism: int = 4,
 ) -> ForestBundle:
     """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint): it is
-    read once per tree level and target."""
+    read once for the scaler and once for all fits."""
     scaler = fit_scaler(df, features)
     frame = scaled(df, scaler).select(SCALED, *targets).persist()
     try:
-        models = {t: params.regressor(t).fit(frame) for t in targets}
+        models = _fit_all([(t, frame) for t in targets], params, parallelism)
     finally:
         frame.unpersist()
-    return ForestBundle(tuple(features), scaler, models, params)
+    return ForestBundle(tuple(features), scaler, dict(zip(targets, models)), params)
 
 
 def predict(df: DataFrame, bundle: ForestBundle, target: str, out: str = "prediction") -> DataFrame:
@@ -113,33 +129,35 @@ def forest_band(df: DataFrame, bundle: ForestBundle, target: str) -> DataFrame:
 
 
 def out_of_fold(
-    df: DataFrame, features: Sequence[str], target: str, fold: str, k: int = 5,
-    params: ForestParams = ForestParams(),
+    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4
 ) -> DataFrame:
-    """Predict each fold with a forest fitted on the other folds."""
-    scaler = fit_scaler(df, features)
-    frame = scaled(df, scaler).persist()
-    parts = []
+    """Predict each fold with forests fitted on the other folds.
+
+    Gives ``(target, fold, label, prediction)`` rows for every target of the bundle, whose scaler
+    and settings are used.
+    """
+    whole = scaled(df, bundle.scaler).select(SCALED, fold, *bundle.models)
+    frame = whole.persist()
+    pairs = [(t, i) for t in bundle.models for i in range(k)]
     try:
-        for i in range(k):
-            model = params.regressor(target).fit(frame.where(F.col(fold) != i))
-            parts.append(model.transform(scaled(df, scaler).where(F.col(fold) == i)).drop(SCALED))
+        models = _fit_all([(t, frame.where(F.col(fold) != i)) for t, i in pairs], bundle.params, parallelism)
     finally:
         frame.unpersist()
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return stack_long([
+        model.transform(whole.where(F.col(fold) == i)).select(
+            F.lit(t).alias("target"), fold, F.col(t).alias("label"), "prediction")
+        for (t, i), model in zip(pairs, models)
+    ])
 
 
-def fold_scores(predicted: DataFrame, target: str, fold: str) -> DataFrame:
-    """R2 of each fold."""
-    return r2_score(predicted, target, "prediction", by=[fold])
+def fold_scores(predicted: DataFrame, fold: str) -> DataFrame:
+    """R2 of each target and fold."""
+    return r2_score(predicted, "label", "prediction", by=["target", fold])
 
 
 def cv_scores(scores: DataFrame) -> DataFrame:
-    """Mean and population deviation of the fold scores."""
-    return scores.agg(F.avg("r2").alias("fold_mean"), F.stddev_pop("r2").alias("fold_std"))
+    """Mean and population deviation of the fold scores of each target."""
+    return scores.groupBy("target").agg(F.avg("r2").alias("fold_mean"), F.stddev_pop("r2").alias("fold_std"))
 
 
 def feature_importance(bundle: ForestBundle, df: DataFrame, target: str) -> DataFrame:
@@ -150,21 +168,19 @@ def feature_importance(bundle: ForestBundle, df: DataFrame, target: str) -> Data
     return table.orderBy(F.desc("importance"), "feature")
 
 
-def _metric_rows(row: DataFrame, target: str, metrics: Mapping[str, str]) -> DataFrame:
+def _metric_rows(scores: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
     cells = [F.struct(F.lit(name).alias("metric"), F.col(c).alias("value")) for name, c in metrics.items()]
-    return row.select(F.lit(target).alias("target"), F.inline(F.array(*cells)))
+    return scores.select("target", F.inline(F.array(*cells)))
 
 
-def model_metrics(
-    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5
-) -> DataFrame:
+def model_metrics(df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4) -> DataFrame:
     """``(target, metric, value)`` rows: in-sample R2 and the mean and deviation of the fold scores."""
-    out = None
-    for target in bundle.models:
-        fit_r2 = r2_score(predict(df, bundle, target), target, "prediction")
-        folds = out_of_fold(df, bundle.features, target, fold, k, bundle.params)
-        cv = cv_scores(fold_scores(folds, target, fold))
-        rows = _metric_rows(fit_r2, target, {"r2": "r2"}).unionByName(
-            _metric_rows(cv, target, {"cv_mean": "fold_mean", "cv_std": "fold_std"}))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    fitted = stack_long([
+        predict(df, bundle, t).select(F.lit(t).alias("target"), F.col(t).alias("label"), "prediction")
+        for t in bundle.models
+    ])
+    folds = fold_scores(out_of_fold(df, bundle, fold, k, parallelism), fold)
+    return stack_long([
+        _metric_rows(r2_score(fitted, "label", "prediction", by=["target"]), {"r2": "r2"}),
+        _metric_rows(cv_scores(folds), {"cv_mean": "fold_mean", "cv_std": "fold_std"}),
+    ])

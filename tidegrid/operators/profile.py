@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.numeric import is_inf
-from tidegrid.operators.quantiles import column_quantiles
+from tidegrid.operators.quantiles import edge_aggregates, quantiles_from_edges, read_edges
 
 # The statistics table's rows and their order.
 STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
@@ -91,9 +91,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    row = df.agg(*[fn(F.col(c).cast("double")).alias(f"{stat}:{c}")
-                   for stat, fn in moments.items() for c in cols]).first()
-    quarts = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+    row = df.agg(*edge_aggregates(cols), *[fn(F.col(c).cast("double")).alias(f"{stat}:{c}")
+                                           for stat, fn in moments.items() for c in cols]).first()
+    quarts = quantiles_from_edges(df, read_edges(row, cols), [0.25, 0.5, 0.75])
     cells = []
     for c in cols:
         q = dict(zip(("25%", "50%", "75%"), quarts[c]))

@@ -11,38 +11,57 @@ dropped, and a single value that fills a large part of a column ends its bracket
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.numeric import is_inf
 
 BINS = 1024
-SORT_ROWS = 1_000_000
+SORT_ROWS = 100_000
+
+
+@dataclass(frozen=True)
+class Edges:
+    """Row count, extremes and finite extremes of one column."""
+
+    rows: int
+    lo: float | None
+    hi: float | None
+    finite_lo: float | None
+    finite_hi: float | None
+
+
+def edge_aggregates(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that :func:`read_edges` understands; add them to any pass over the data."""
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        finite = F.when(~is_inf(v), v)
+        aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
+                 F.min(finite).alias(f"_flo{i}"), F.max(finite).alias(f"_fhi{i}")]
+    return aggs
+
+
+def read_edges(row: Row, columns: Sequence[str]) -> dict[str, Edges]:
+    return {c: Edges(*[row[f"_{k}{i}"] for k in ("n", "lo", "hi", "flo", "fhi")]) for i, c in enumerate(columns)}
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Closed value range known to hold the order statistic ``rank`` (0-based) of ``column``."""
+    """Closed value range that holds the order statistics ``ranks`` (0-based) of a column.
 
-    column: str
-    rank: int
+    ``below`` rows of the column are smaller than ``lo``, ``rows`` rows lie inside.
+    """
+
+    column: int
     lo: float
     hi: float
     below: int
     rows: int
-
-    @property
-    def solved(self) -> bool:
-        return self.lo == self.hi
-
-
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column and non-missing value."""
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return narrow.unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
+    ranks: tuple[int, ...]
 
 
 def _bin(value: Column, lo: Column, hi: Column) -> Column:
@@ -54,51 +73,89 @@ def _bin(value: Column, lo: Column, hi: Column) -> Column:
     return F.when(is_inf(value), outer).otherwise(F.coalesce(inner, F.lit(0).cast("bigint")))
 
 
-def _finite_edges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float, float, float]]:
-    """Row count, extremes, and finite extremes of each column in one pass."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        finite = F.when(~is_inf(v), v)
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-                 F.min(finite).alias(f"flo{i}"), F.max(finite).alias(f"fhi{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"flo{i}"], row[f"fhi{i}"])
-            for i, c in enumerate(columns)}
-
-
-def _inside(df: DataFrame, brackets: Sequence[_Bracket], edges: Mapping[str, tuple]) -> DataFrame:
-    """Values that lie in an open bracket, with the bracket's data.
+def _inside(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket], edges: Sequence[Edges]) -> DataFrame:
+    """Values inside the brackets, with the number of their bracket.
 
     There are at most two brackets per column and probability, so the join is always a broadcast.
     """
-    rows = [(b.column, b.rank, b.lo, b.hi, b.below,
-             edges[b.column][3] if math.isinf(b.lo) else b.lo,
-             edges[b.column][4] if math.isinf(b.hi) else b.hi) for b in brackets]
+    rows = [(n, b.column, b.lo, b.hi,
+             edges[b.column].finite_lo if math.isinf(b.lo) else b.lo,
+             edges[b.column].finite_hi if math.isinf(b.hi) else b.hi) for n, b in enumerate(brackets)]
     table = df.sparkSession.createDataFrame(
-        rows, "column_name string, rank bigint, lo double, hi double, below bigint, bin_lo double, bin_hi double")
-    values = _long(df, sorted({b.column for b in brackets}))
-    return values.join(F.broadcast(table), "column_name").where(F.col("value").between(F.col("lo"), F.col("hi")))
+        rows, "bracket int, col int, lo double, hi double, bin_lo double, bin_hi double")
+    used = sorted({b.column for b in brackets})
+    narrow = df.select(*[F.col(columns[i]).cast("double").alias(f"_v{i}") for i in used])
+    cells = F.array(*[F.struct(F.lit(i).alias("col"), F.col(f"_v{i}").alias("value")) for i in used])
+    values = narrow.select(F.inline(cells)).where(F.col("value").isNotNull())
+    return values.join(F.broadcast(table), "col").where(F.col("value").between(F.col("lo"), F.col("hi")))
 
 
-def _narrow(inside: DataFrame) -> list[_Bracket]:
-    """One round: replace each bracket by the bin of it that holds the wanted rank."""
+def _narrow(inside: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """One round: replace each bracket by those of its bins that hold wanted ranks."""
     number = _bin(F.col("value"), F.col("bin_lo"), F.col("bin_hi"))
-    bins = inside.groupBy("column_name", "rank", "below", number.alias("bin")).agg(
+    bins = inside.groupBy("bracket", number.alias("bin")).agg(
         F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    before = Window.partitionBy("column_name", "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    placed = bins.withColumn("below", F.col("below") + F.coalesce(F.sum("rows").over(before), F.lit(0)))
-    hit = placed.where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("rows")))
-    return [_Bracket(r["column_name"], r["rank"], r["lo"], r["hi"], r["below"], r["rows"]) for r in hit.collect()]
+    before = Window.partitionBy("bracket").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = bins.withColumn("below", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    return _hits(placed, brackets)
+
+
+def _sort(inside: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """Last round: the distinct values of each (small) bracket in order."""
+    counts = inside.groupBy("bracket", F.col("value").alias("lo")).agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("bracket").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("below", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    return _hits(placed.withColumn("hi", F.col("lo")), brackets)
+
+
+def _hits(placed: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """Ranges that hold a wanted rank, at most one per rank."""
+    wanted = F.lit(False)
+    for n, b in enumerate(brackets):
+        for rank in b.ranks:
+            inner = F.lit(rank - b.below)
+            wanted |= (F.col("bracket") == n) & (F.col("below") <= inner) & (inner < F.col("below") + F.col("rows"))
+    out = []
+    for r in placed.where(wanted).collect():
+        parent = brackets[r["bracket"]]
+        below = parent.below + r["below"]
+        ranks = tuple(k for k in parent.ranks if below <= k < below + r["rows"])
+        out.append(replace(parent, lo=r["lo"], hi=r["hi"], below=below, rows=r["rows"], ranks=ranks))
+    return out
+
+
+def quantiles_from_edges(
+    df: DataFrame, edges: dict[str, Edges], probs: Sequence[float], sort_rows: int = SORT_ROWS
+) -> dict[str, list[float | None]]:
+    """:func:`column_quantiles` for columns whose edges are already known."""
+    columns, limits = list(edges), list(edges.values())
+    brackets = []
+    for i, e in enumerate(limits):
+        spots = [p * (e.rows - 1) for p in probs] if e.rows else []
+        ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
+        if ranks:
+            brackets.append(_Bracket(i, e.lo, e.hi, 0, e.rows, tuple(ranks)))
+    exact: dict[tuple[int, int], float] = {}
+    small: list[_Bracket] = []
+    while brackets:
+        exact |= {(b.column, r): b.lo for b in brackets if b.lo == b.hi for r in b.ranks}
+        open_ = [b for b in brackets if b.lo != b.hi]
+        small += [b for b in open_ if b.rows <= sort_rows]
+        large = [b for b in open_ if b.rows > sort_rows]
+        brackets = _narrow(_inside(df, columns, large, limits), large) if large else []
+    if small:
+        solved = _sort(_inside(df, columns, small, limits), small)
+        exact |= {(b.column, r): b.lo for b in solved for r in b.ranks}
 
+    def interpolated(i: int, p: float) -> float | None:
+        n = limits[i].rows
+        if not n:
+            return None
+        spot = p * (n - 1)
+        lo, hi = exact[i, math.floor(spot)], exact[i, math.ceil(spot)]
+        return lo if lo == hi else lo + (hi - lo) * (spot - math.floor(spot))
 
-def _pick(inside: DataFrame) -> dict[tuple[str, int], float]:
-    """Sort what is left inside the (small) brackets and read off the wanted ranks."""
-    counts = inside.groupBy("column_name", "rank", "below", "value").agg(F.count("*").alias("rows"))
-    w = Window.partitionBy("column_name", "rank").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ends = counts.withColumn("upto", F.col("below") + F.sum("rows").over(w))
-    hit = ends.where((F.col("upto") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-    return {(r["column_name"], r["rank"]): r["value"] for r in hit.collect()}
+    return {c: [interpolated(i, p) for p in probs] for i, c in enumerate(columns)}
 
 
 def column_quantiles(
@@ -107,36 +164,10 @@ def column_quantiles(
     """Exact quantiles with linear interpolation for each column, ignoring missing values.
 
     Runs a few jobs over ``df`` and returns a handful of numbers; persist or write an expensive
-    ``df`` first. ``sort_rows`` is the bracket size below which rows are sorted.
+    ``df`` first. ``sort_rows`` is the bracket size up to which rows are sorted.
     """
-    edges = _finite_edges(df, columns)
-    wanted: set[tuple[str, int]] = set()
-    for c in columns:
-        n = edges[c][0]
-        for p in probs if n else ():
-            pos = p * (n - 1)
-            wanted |= {(c, math.floor(pos)), (c, math.ceil(pos))}
-    brackets = [_Bracket(c, r, edges[c][1], edges[c][2], 0, edges[c][0]) for c, r in sorted(wanted)]
-    exact: dict[tuple[str, int], float] = {}
-    small: list[_Bracket] = []
-    while brackets:
-        exact |= {(b.column, b.rank): b.lo for b in brackets if b.solved}
-        open_ = [b for b in brackets if not b.solved]
-        small += [b for b in open_ if b.rows <= sort_rows]
-        large = [b for b in open_ if b.rows > sort_rows]
-        brackets = _narrow(_inside(df, large, edges)) if large else []
-    if small:
-        exact |= _pick(_inside(df, small, edges))
-
-    def interpolated(c: str, p: float) -> float | None:
-        n = edges[c][0]
-        if not n:
-            return None
-        pos = p * (n - 1)
-        lo, hi = exact[c, math.floor(pos)], exact[c, math.ceil(pos)]
-        return lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
-
-    return {c: [interpolated(c, p) for p in probs] for c in columns}
+    edges = read_edges(df.agg(*edge_aggregates(columns)).first(), columns)
+    return quantiles_from_edges(df, edges, probs, sort_rows)
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

@@ -499,10 +499,8 @@ def feature_importance(spark, sf):
 
 @_query
 def cv_scores(spark, sf):
-    frame, cols = _panel_training(spark, sf)
-    target = target_column("Own")
-    predicted = forest.out_of_fold(frame, cols, target, "fold", 5, SMOKE_FOREST)
-    return forest.cv_scores(forest.fold_scores(predicted, target, "fold"))
+    frame, bundle = _fitted(spark, sf)
+    return forest.cv_scores(forest.fold_scores(forest.out_of_fold(frame, bundle, "fold", 5), "fold"))
 
 
 @_query
