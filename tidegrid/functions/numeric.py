@@ -24,7 +24,8 @@ def ieee_div(a: Column, b: Column) -> Column:
     ANSI mode raises on a zero divisor and ``try_divide`` hides it as NULL, so neither alone keeps
     "changed from zero" apart from "unknown".
     """
-    return F.when(b != 0, a / b).when(a > 0, F.lit(INF)).when(a < 0, F.lit(-INF))
+    signed = F.when(a > 0, F.lit(INF)).when(a < 0, F.lit(-INF))
+    return F.when(b != 0, a / b).when(b == 0, signed)
 
 
 def pct_change(current: Column, previous: Column) -> Column:

@@ -18,8 +18,9 @@ def percent_change(
 
     A zero base gives a signed infinity, zero over zero is missing.
     """
-    w = ordered(by, time)
-    return df.withColumn(out, pct_change(F.col(value), F.lag(value, periods).over(w)))
+    base = "_base"
+    based = df.withColumn(base, F.lag(value, periods).over(ordered(by, time)))
+    return based.withColumn(out, pct_change(F.col(value), F.col(base))).drop(base)
 
 
 def yoy_change(df: DataFrame, value: str, out: str = "yoy", *, by: Sequence[str], time: str = "month") -> DataFrame:
@@ -37,12 +38,11 @@ def period_return(
 
     ``pad`` carries the last known value through gaps first, so a gap shows a zero return.
     """
-    level = "_level"
-    w = ordered(by, time)
-    base = F.last(value, ignorenulls=True).over(up_to_here(by, time)) if pad else F.col(value)
-    levels = df.withColumn(level, base)
-    change = ieee_div(F.col(level), F.lag(level).over(w)) - F.lit(1.0)
-    return levels.withColumn(out, change).drop(level)
+    level, base = "_level", "_base"
+    padded = F.last(value, ignorenulls=True).over(up_to_here(by, time)) if pad else F.col(value)
+    levels = df.withColumn(level, padded)
+    based = levels.withColumn(base, F.lag(level).over(ordered(by, time)))
+    return based.withColumn(out, ieee_div(F.col(level), F.col(base)) - F.lit(1.0)).drop(level, base)
 
 
 def add_lags(

@@ -137,11 +137,14 @@ def quantiles_from_edges(
             brackets.append(_Bracket(i, e.lo, e.hi, 0, e.rows, tuple(ranks)))
     exact: dict[tuple[int, int], float] = {}
     small: list[_Bracket] = []
+    large: list[_Bracket] = []
     while brackets:
         exact |= {(b.column, r): b.lo for b in brackets if b.lo == b.hi for r in b.ranks}
         open_ = [b for b in brackets if b.lo != b.hi]
-        small += [b for b in open_ if b.rows <= sort_rows]
-        large = [b for b in open_ if b.rows > sort_rows]
+        # Every round shrinks a bracket, unless its edges are too close to be told apart by bins.
+        done = [b for b in open_ if b.rows <= sort_rows or b in large]
+        small += done
+        large = [b for b in open_ if b not in done]
         brackets = _narrow(_inside(df, columns, large, limits), large) if large else []
     if small:
         solved = _sort(_inside(df, columns, small, limits), small)

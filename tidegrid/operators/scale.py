@@ -25,6 +25,9 @@ def standardize(df: DataFrame, columns: dict[str, str], *, by: Sequence[str] = (
         return df.withColumns({out: _z(F.col(c), F.avg(c).over(w), F.stddev_pop(c).over(w))
                                for c, out in columns.items()})
     parts = [s for i, c in enumerate(columns) for s in (F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]
-    fitted = df.agg(*parts).select(F.struct(*[f"{k}{i}" for i in range(len(columns)) for k in "ms"])).scalar()
-    return df.withColumns({out: _z(F.col(c), fitted[f"m{i}"], fitted[f"s{i}"])
-                           for i, (c, out) in enumerate(columns.items())})
+    names = [f"{k}{i}" for i in range(len(columns)) for k in "ms"]
+    fitted = df.agg(*parts).select(F.struct(*names)).scalar()
+    # Taking the fields from one column keeps it a single subquery.
+    scored = df.withColumn("_fit", fitted)
+    return scored.withColumns({out: _z(F.col(c), F.col(f"_fit.m{i}"), F.col(f"_fit.s{i}"))
+                               for i, (c, out) in enumerate(columns.items())}).drop("_fit")

@@ -28,7 +28,7 @@ from tidegrid.plans.inputs import (
     table,
     wide_panel,
 )
-from tidegrid.session import checkpointed
+from tidegrid.session import stored
 from tidegrid.sources import readers, versions, writers
 from tidegrid.sources.schemas import lag_columns, target_column
 
@@ -195,6 +195,13 @@ def fill_median(spark, sf):
     return filled.withColumn("filled", rint_to(F.col("filled"), 4))
 
 
+@_query
+def fill_global_median(spark, sf):
+    dense = stored(_wide_grid(spark, sf)).withColumn("filled", F.col("price"))
+    filled = fill.fill_global_median(dense, ["filled"])
+    return filled.withColumn("filled", rint_to(F.col("filled"), 4))
+
+
 @_query
 def impute_chain(spark, sf):
     dense = _wide_grid(spark, sf)
@@ -306,6 +313,21 @@ def training_frame(spark, sf):
     return frame.withColumns({c: rint_to(F.col(c), 9) for c in rounded})
 
 
+def _own_features(spark, sf):
+    """Complete features of the customer panel: a customer without any return takes the median of
+    all customers. Cut from its lineage, as the medians and the fits read it again."""
+    matrix = features.feature_matrix(supervised_panel(spark, sf), tickers=["Own"], indicators=INDICATOR_NAMES,
+                                     by=CUSTOMER, keep=[target_column("Own")])
+    return fill.fill_global_median(stored(matrix), lag_columns("Own"))
+
+
+@_query
+def feature_panel(spark, sf):
+    rounded = ("Month_Sin", "Month_Cos", *lag_columns("Own"))
+    matrix = _own_features(spark, sf).drop(target_column("Own"))
+    return matrix.withColumns({c: rint_to(F.col(c), 9) for c in rounded})
+
+
 # Selection
 
 
@@ -422,10 +444,10 @@ def latest_version(spark, sf):
 def append_if_absent(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice",
                                                F.to_date("o_orderdate").alias("day"))
-    stored = orders.where(F.col("day") < F.lit(date(2000, 1, 1)))
+    known = orders.where(F.col("day") < F.lit(date(2000, 1, 1)))
     delivered = orders.where(F.col("day") >= F.lit(date(1999, 1, 1))).withColumn(
         "o_totalprice", rint_to(F.col("o_totalprice") * 2, 2))
-    return writers.append_if_absent(stored, delivered, ["o_orderkey"])
+    return writers.append_if_absent(known, delivered, ["o_orderkey"])
 
 
 # Ranking and report data
@@ -470,7 +492,7 @@ def _panel_training(spark, sf):
                                         series="o_orderpriority")
     frame = features.training_frame(panel, tickers=["Own"], indicators=INDICATOR_NAMES, run_date=RUN_DATE,
                                     by=PRIORITY)
-    return checkpointed(folds.calendar_folds(frame, 5, time="period")), features.feature_columns(["Own"], INDICATOR_NAMES)
+    return stored(folds.calendar_folds(frame, 5, time="period")), features.feature_columns(["Own"], INDICATOR_NAMES)
 
 
 def _fitted(spark, sf):
@@ -507,3 +529,13 @@ def cv_scores(spark, sf):
 def model_metrics(spark, sf):
     frame, bundle = _fitted(spark, sf)
     return forest.model_metrics(frame, bundle, "fold", 5)
+
+
+@_query
+def forest_panel(spark, sf):
+    """One forest over all customers: the fit grows with the panel."""
+    target = target_column("Own")
+    frame = _own_features(spark, sf)
+    bundle = forest.fit_forests(frame.dropna(subset=[target]), features.feature_columns(["Own"], INDICATOR_NAMES),
+                                [target], SMOKE_FOREST)
+    return forest.predict(frame, bundle, target).select("o_custkey", "period", "prediction")

@@ -45,8 +45,8 @@ W_CUST = "(PARTITION BY o_custkey ORDER BY month)"
 
 
 def _div(a: str, b: str) -> str:
-    return (f"(CASE WHEN {b} <> 0 THEN ({a}) / ({b}) WHEN ({a}) > 0 THEN 'inf'::DOUBLE "
-            f"WHEN ({a}) < 0 THEN '-inf'::DOUBLE END)")
+    # IEEE division gives signed infinities by itself; only 0 / 0 has to become NULL.
+    return f"(CASE WHEN NOT (({a}) = 0 AND ({b}) = 0) THEN ({a})::DOUBLE / ({b})::DOUBLE END)"
 
 
 def _rint(x: str, digits: int = 2) -> str:
@@ -176,6 +176,26 @@ SELECT o_custkey, month AS period, year(month)::INT AS "Year", month(month)::INT
 FROM carried WHERE month < newest"""
 
 
+def _panel_matrix() -> str:
+    """Features of the customer panel; lags without any value in their series take the overall median."""
+    w, whole = "(PARTITION BY o_custkey ORDER BY period)", "(PARTITION BY o_custkey)"
+    lags = ["Own_Return_Prev1M", "Own_Return_Prev2M", "Own_Return_Prev3M"]
+    flags = [f'("Month" = {i})::INT AS {_q(n)}' for i, n in enumerate(_MONTH_FLAGS, 1)]
+    flags += [f'("Quarter" = {i})::INT AS {_q(n)}' for i, n in enumerate(_QUARTER_FLAGS, 1)]
+    imputed = [*_IND_NAMES, *_CHANGES, *lags]
+    filled = [f"coalesce({_ffill(_q(c), w)}, {_bfill(_q(c), w)}) AS {_q(c)}" for c in _IND_NAMES]
+    filled += [f"coalesce({_q(c)}, 0.0::DOUBLE) AS {_q(c)}" for c in _CHANGES]
+    filled += [f"coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}" for c in lags]
+    angle = '2 * pi() * "Month" / 12'
+    lag_out = [f"coalesce({_q(c)}, (SELECT median({_q(c)}) FROM complete))" for c in lags]
+    return f"""WITH panel AS ({_panel()}),
+filled AS (SELECT o_custkey, period, "Year", "Month", {', '.join([*flags, *filled])} FROM panel),
+finite AS (SELECT * REPLACE ({', '.join(f'{_clean(_q(c))} AS {_q(c)}' for c in imputed)}) FROM filled),
+complete AS (SELECT * REPLACE ({', '.join(f'coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}' for c in imputed)}) FROM finite)
+SELECT * EXCLUDE ("Month") REPLACE ({', '.join(f'{_rint(x, 9)} AS {_q(c)}' for c, x in zip(lags, lag_out))}),
+  {_rint(f'sin({angle})', 9)} AS "Month_Sin", {_rint(f'cos({angle})', 9)} AS "Month_Cos" FROM complete"""
+
+
 def _unpivot_counts(source: str, columns: list[str], test: str, out: str) -> str:
     parts = [f"SELECT '{c}' AS column_name, count(*) FILTER ({test.format(c=_q(c))}) AS {out} FROM {source}"
              for c in columns]
@@ -243,6 +263,8 @@ ORACLES: dict[str, str] = {
     "fill_zero": f"WITH {WY} SELECT *, coalesce(yoy, 0.0::DOUBLE) AS filled FROM wy",
     "fill_median": f"""WITH {WM}, f AS (SELECT *, coalesce(price, median(price) OVER (PARTITION BY o_custkey)) AS v FROM wm)
       SELECT o_custkey, month, price, {_rint('v', 4)} AS filled FROM f""",
+    "fill_global_median": f"""WITH {WM}, m AS (SELECT median(price) AS m FROM wm)
+      SELECT o_custkey, month, price, {_rint('coalesce(price, m)', 4)} AS filled FROM wm, m""",
     "impute_chain": f"""WITH {WY}, {_returns('wr', 'wm', W_CUST, 'price', 'o_custkey')},
       joined AS (SELECT wy.*, wr.ret FROM wy JOIN wr ON wy.o_custkey = wr.o_custkey AND wy.month = wr.month),
       step1 AS (SELECT o_custkey, month, coalesce({_ffill('price', W_CUST)}, {_bfill('price', W_CUST)}) AS level,
@@ -273,6 +295,7 @@ ORACLES: dict[str, str] = {
         {_rint('cos(2 * pi() * month(month) / 12)', 12)} AS m_cos FROM months""",
     "supervised_frame": f"WITH {_supervised()} SELECT * FROM sup",
     "supervised_panel": _panel(),
+    "feature_panel": _panel_matrix(),
     "select_by_pattern": f"WITH {_supervised()} SELECT period, {', '.join(map(_q, _CHANGES))} FROM sup",
     "feature_matrix": f"WITH {_matrix(False)} SELECT period, {', '.join(map(_q, _FEATURES))} FROM matrix",
     "training_frame": f"""WITH {_matrix(True)} SELECT period, {', '.join(map(_q, _FEATURES))},

@@ -125,11 +125,12 @@ def supervised_panel(
     """The supervised frame in panel form: one row per price series and month.
 
     Every series gets its own lags and target next to the shared indicators. The indicator side
-    has one row per calendar month, so the join never grows with the panel.
+    is grouped by period: it has one row per calendar month whatever the size of the data, which
+    bounds the broadcast and keeps the panel on its partitioning by series.
     """
     shared = indicator_frame(observations, indicators, series=series_of_indicators, time=time)
     panel = price_features(prices, by=[series], time=time).drop("value", "ret")
-    joined = panel.join(shared, time, "left")
+    joined = panel.join(F.broadcast(shared), time, "left")
     names = list(indicators.values())
     levels_and_changes = names + change_columns(names)
     frame = ffill(joined, [*levels_and_changes, *LAG_NAMES, "next1"], by=[series], time=time)

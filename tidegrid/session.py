@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,21 +28,26 @@ def build_session(app_name: str = "tidegrid", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it to the cluster's checkpoint folder.
+def _scratch_folder(spark: SparkSession) -> str:
+    """Folder shared by all executors; only a local-mode session without one gets its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegrid-"))
+        folder = context.getCheckpointDir()
+    return folder
+
 
-    Used before loops of fits, so that losing an executor re-reads files instead of
-    recomputing the whole feature pipeline, and so that every fit sees the same rows in the same
-    partitions. The folder is the session's ``spark.checkpoint.dir``; only a local-mode session
-    without one gets a scratch folder.
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint folder and read it back.
+
+    Cuts the lineage before loops of passes and fits: losing an executor then re-reads files instead
+    of recomputing the feature pipeline, and every pass sees the same rows. Unlike an RDD
+    checkpoint, the columnar files let each pass read only its columns.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tidegrid-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{_scratch_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
