@@ -90,16 +90,16 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     as a local table.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    row = df.agg(*edge_aggregates(cols), *[fn(F.col(c).cast("double")).alias(f"{stat}:{c}")
-                                           for stat, fn in moments.items() for c in cols]).first()
-    quarts = quantiles_from_edges(df, read_edges(row, cols), [0.25, 0.5, 0.75])
+    moments = [agg(F.col(c).cast("double")).alias(f"_{k}{i}")
+               for i, c in enumerate(cols) for k, agg in (("mean", F.avg), ("std", F.stddev_samp))]
+    row = df.agg(*edge_aggregates(cols), *moments).first()
+    edges = read_edges(row, cols)
+    quarts = quantiles_from_edges(df, edges, [0.25, 0.5, 0.75])
     cells = []
-    for c in cols:
-        q = dict(zip(("25%", "50%", "75%"), quarts[c]))
-        for stat in STATISTICS:
-            val = q[stat] if stat in q else row[f"{stat}:{c}"]
-            cells.append((stat, c, None if val is None else float(val)))
+    for i, c in enumerate(cols):
+        e = edges[c]
+        values = (float(e.rows), row[f"_mean{i}"], row[f"_std{i}"], e.lo, *quarts[c], e.hi)
+        cells += [(stat, c, value) for stat, value in zip(STATISTICS, values)]
     return df.sparkSession.createDataFrame(cells, "stat string, column_name string, value double")
 
 

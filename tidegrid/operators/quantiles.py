@@ -30,23 +30,31 @@ class Edges:
     rows: int
     lo: float | None
     hi: float | None
-    finite_lo: float | None
-    finite_hi: float | None
+    finite_lo: float | None = None
+    finite_hi: float | None = None
 
 
 def edge_aggregates(columns: Sequence[str]) -> list[Column]:
     """Aggregates that :func:`read_edges` understands; add them to any pass over the data."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        finite = F.when(~is_inf(v), v)
-        aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
-                 F.min(finite).alias(f"_flo{i}"), F.max(finite).alias(f"_fhi{i}")]
-    return aggs
+    return [agg(F.col(c).cast("double")).alias(f"_{k}{i}")
+            for i, c in enumerate(columns) for k, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))]
 
 
 def read_edges(row: Row, columns: Sequence[str]) -> dict[str, Edges]:
-    return {c: Edges(*[row[f"_{k}{i}"] for k in ("n", "lo", "hi", "flo", "fhi")]) for i, c in enumerate(columns)}
+    return {c: Edges(row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(columns)}
+
+
+def _with_finite_edges(df: DataFrame, edges: dict[str, Edges]) -> dict[str, Edges]:
+    """Finite extremes; only columns with an infinity need another pass."""
+    out = {c: replace(e, finite_lo=e.lo, finite_hi=e.hi) for c, e in edges.items()}
+    infinite = [c for c, e in edges.items() if e.rows and (math.isinf(e.lo) or math.isinf(e.hi))]
+    if infinite:
+        finite = {c: F.when(~is_inf(F.col(c).cast("double")), F.col(c).cast("double")) for c in infinite}
+        row = df.agg(*[agg(v).alias(f"_{k}{i}") for i, v in enumerate(finite.values())
+                       for k, agg in (("lo", F.min), ("hi", F.max))]).first()
+        for i, c in enumerate(finite):
+            out[c] = replace(out[c], finite_lo=row[f"_lo{i}"], finite_hi=row[f"_hi{i}"])
+    return out
 
 
 @dataclass(frozen=True)
@@ -110,17 +118,17 @@ def _sort(inside: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
 
 def _hits(placed: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
     """Ranges that hold a wanted rank, at most one per rank."""
-    wanted = F.lit(False)
-    for n, b in enumerate(brackets):
-        for rank in b.ranks:
-            inner = F.lit(rank - b.below)
-            wanted |= (F.col("bracket") == n) & (F.col("below") <= inner) & (inner < F.col("below") + F.col("rows"))
+    ranks = placed.sparkSession.createDataFrame(
+        [(n, rank - b.below) for n, b in enumerate(brackets) for rank in b.ranks], "bracket int, spot bigint")
+    held = (F.col("below") <= F.col("spot")) & (F.col("spot") < F.col("below") + F.col("rows"))
+    hit = placed.join(F.broadcast(ranks), "bracket").where(held).groupBy("bracket", "lo", "hi", "below", "rows").agg(
+        F.collect_list("spot").alias("spots"))
     out = []
-    for r in placed.where(wanted).collect():
+    for r in hit.collect():
         parent = brackets[r["bracket"]]
-        below = parent.below + r["below"]
-        ranks = tuple(k for k in parent.ranks if below <= k < below + r["rows"])
-        out.append(replace(parent, lo=r["lo"], hi=r["hi"], below=below, rows=r["rows"], ranks=ranks))
+        held_ranks = tuple(sorted(parent.below + spot for spot in r["spots"]))
+        out.append(replace(parent, lo=r["lo"], hi=r["hi"], below=parent.below + r["below"], rows=r["rows"],
+                           ranks=held_ranks))
     return out
 
 
@@ -128,6 +136,7 @@ def quantiles_from_edges(
     df: DataFrame, edges: dict[str, Edges], probs: Sequence[float], sort_rows: int = SORT_ROWS
 ) -> dict[str, list[float | None]]:
     """:func:`column_quantiles` for columns whose edges are already known."""
+    edges = _with_finite_edges(df, edges)
     columns, limits = list(edges), list(edges.values())
     brackets = []
     for i, e in enumerate(limits):
