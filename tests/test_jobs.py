@@ -98,9 +98,8 @@ def test_empty_window_fails(spark, tables, tmp_path):
         jobs.collect(spark, *tables, root=str(tmp_path), run_date=date(1999, 1, 1))
 
 
-@pytest.mark.parametrize("fmt", ["csv", "parquet"])
-def test_collect_forecast_report(spark, raw, tables, tmp_path, fmt):
-    root = str(tmp_path)
+def test_collect_forecast_report(spark, raw, tables, tmp_path):
+    root, fmt = str(tmp_path), "csv"
     prices, obs = tables
     params = ForestParams(trees=5, depth=3)
     early = date(2024, 2, 20)
@@ -122,8 +121,6 @@ def test_collect_forecast_report(spark, raw, tables, tmp_path, fmt):
         assert row[f"{t}_Confidence_Lower"] <= row[f"{t}_Confidence_Upper"]
         tops = [row[f"{t}_Top{i}_Importance"] for i in range(1, 6)]
         assert tops == sorted(tops, reverse=True) and row[f"{t}_R2_Score"] <= 1
-    again = jobs.forecast(spark, params=params, **late).toPandas()
-    pd.testing.assert_frame_equal(record, again)
 
     lines = [r["line"] for r in jobs.report(spark, **late).orderBy("line_no").collect()]
     assert lines[0] == f"- **QQQ expected return**: {row['QQQ_Predicted_Return']:.2f}%"
