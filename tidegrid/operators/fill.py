@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.numeric import inf_to_null
-from tidegrid.operators.quantiles import column_medians
+from tidegrid.operators.quantiles import edge_aggregates, quantiles_from_edges, read_edges
 from tidegrid.operators.windows import from_here, up_to_here, whole
 
 
@@ -55,8 +55,14 @@ def fill_values(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
 
 
 def fill_global_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill with whole-column medians of a frame of any size (fits first, exact)."""
-    return fill_values(df, column_medians(df, columns))
+    """Fill with whole-column medians of a frame of any size.
+
+    Fits first, exactly; columns without gaps cost no more than their count.
+    """
+    row = df.agg(*edge_aggregates(columns), F.count("*").alias("_rows")).first()
+    gappy = {c: e for c, e in read_edges(row, columns).items() if e.rows < row["_rows"]}
+    medians = quantiles_from_edges(df, gappy, [0.5])
+    return fill_values(df, {c: q[0] for c, q in medians.items()})
 
 
 def impute_chain(
