@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, secrets
+from tidegrid.llm import bpe, language, packing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode("ids", path), 256).alias("decoded_sha256"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def held_out() -> Column:
+    """The quarter of the id hashes that languages are not learnt from; a row without id is none of it."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs, ~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -35,6 +51,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_packing": op3_packing,
+    "op6_language": op6_language,
     "op8_secrets": op8_secrets,
 }
 ORACLES: dict[str, str] = {}

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.batches import id_and_text, with_id
+
 #: Kinds in the order in which spans with the same start are listed.
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "github", "npm")
@@ -102,7 +104,6 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the three unconditional kinds, ``spans`` also the checksummed ones. A missing text counts as empty. Other columns
     are not read, so their names cannot clash; repeated rows give repeated results.
     """
-    id_type = df.schema[id_col].dataType.simpleString()
     base = len(BASE_KINDS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,10 +114,10 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 **counts, base_spans=[_listed([s for s in spans if s[1] < base]) for spans in found],
                 spans=[_listed(spans) for spans in found])
 
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = rows.mapInPandas(run, f"id {id_type}, n_assign bigint, n_access bigint, n_hex bigint, base_spans string, "
+    rows = id_and_text(df, id_col, text_col)
+    out = rows.mapInPandas(run, "id string, n_assign bigint, n_access bigint, n_hex bigint, base_spans string, "
                                 "spans string")
-    return out.withColumnRenamed("id", id_col)
+    return with_id(out, df, id_col)
 
 
 def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
