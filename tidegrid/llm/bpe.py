@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.llm.batches import id_and_text, steps, with_id
 from tidegrid.llm.tokens import LOOK_AHEAD, rank_encoder, token_bytes
 
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
@@ -28,8 +29,8 @@ def _cut(chunk: int, overlap: int):
                 for first in range(0, len(starts), 64):  # a very long text leaves in several batches
                     part = starts[first:first + 64]
                     yield pd.DataFrame({
-                        "id": pd.Series([row_id] * len(part), dtype=rows["id"].dtype), "digest": digest,
-                        "copies": copies, "no": np.arange(first, first + len(part)), "length": len(text),
+                        "id": [row_id] * len(part), "digest": digest, "copies": copies,
+                        "no": np.arange(first, first + len(part)), "length": len(text),
                         "text": [text[s:s + chunk + overlap] for s in part]})
 
     return run
@@ -56,15 +57,15 @@ def _scan(path: str, chunk: int, overlap: int):
 def _encode(path: str, keys: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = rank_encoder(path).ids
-        for rows in batches:
-            yield rows[keys].assign(ids=[np.frombuffer(ids(t), dtype=np.uint32).astype(np.int32) for t in rows["text"]])
+        for rows in steps(batches):
+            yield rows[keys].assign(ids=[ids(t).tobytes() for t in rows["text"]])
 
     return run
 
 
 def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
            chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
-    """``(id_col, ids array<int>)``, one row per input row, in no fixed order.
+    """``(id_col, ids)``, one row per input row, in no fixed order; ``ids`` is binary, four bytes per id, lowest first.
 
     ``vocabulary`` is the path of a rank file that every executor can open. Other columns are not read, so their
     names cannot clash. A missing text counts as empty and has no ids. Ids may be missing or repeated: long texts
@@ -73,14 +74,13 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     """
     if not LOOK_AHEAD < overlap_chars <= chunk_chars:
         raise ValueError("the overlap must exceed the look-ahead and fit into a chunk")
-    id_type = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = id_and_text(df, id_col, text_col)
     short = rows.filter(F.length("text") <= chunk_chars).mapInPandas(
-        _encode(vocabulary, ["id"]), f"id {id_type}, ids array<int>")
+        _encode(vocabulary, ["id"]), "id string, ids binary")
 
     long = (rows.filter(F.length("text") > chunk_chars).withColumn("digest", F.sha2("text", 256))
             .groupBy("id", "digest").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")))
-    chunk_schema = f"id {id_type}, digest string, copies bigint, no bigint, length bigint, text string"
+    chunk_schema = "id string, digest string, copies bigint, no bigint, length bigint, text string"
     chunks = long.mapInPandas(_cut(chunk_chars, overlap_chars), chunk_schema).repartition("id", "digest", "no")
     scanned = chunks.mapInPandas(_scan(vocabulary, chunk_chars, overlap_chars),
                                  chunk_schema + ", head array<bigint>, tail array<bigint>")
@@ -103,31 +103,21 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         .select("id", "digest", "copies", "piece", F.array_join(F.col("parts.text"), "").alias("text")))
     encoded = pieces.repartition("id", "digest", "piece").mapInPandas(
         _encode(vocabulary, ["id", "digest", "copies", "piece"]),
-        f"id {id_type}, digest string, copies bigint, piece bigint, ids array<int>")
+        "id string, digest string, copies bigint, piece bigint, ids binary")
     whole = (encoded.groupBy("id", "digest", "copies")
              .agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("parts"))
              .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-             .select("id", F.flatten(F.col("parts.ids")).alias("ids")))
-    return short.unionByName(whole).select(F.col("id").alias(id_col), "ids")
+             .select("id", F.expr("unhex(array_join(transform(parts.ids, x -> hex(x)), ''))").alias("ids")))
+    return with_id(short.unionByName(whole), df, id_col)
 
 
 def decode(ids: Column | str, vocabulary: str) -> Column:
-    """The raw bytes of an id array; missing ids give missing bytes."""
+    """The raw bytes of packed ids; missing ids give missing bytes."""
 
     @F.pandas_udf("binary")
     def run(column: pd.Series) -> pd.Series:
         table = token_bytes(vocabulary)
-        return pd.Series([None if ids is None else b"".join([table[i] for i in ids.tolist()]) for ids in column],
-                         dtype=object)
-
-    return run(ids)
-
-
-def little_endian(ids: Column | str) -> Column:
-    """An id array as bytes, four per id, lowest first."""
-
-    @F.pandas_udf("binary")
-    def run(column: pd.Series) -> pd.Series:
-        return pd.Series([None if ids is None else ids.astype("<u4").tobytes() for ids in column], dtype=object)
+        return pd.Series([None if ids is None else b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+                          for ids in column], dtype=object)
 
     return run(ids)

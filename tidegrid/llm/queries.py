@@ -23,8 +23,7 @@ def _vocabulary(name: str) -> str:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _vocabulary("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(table(spark, sf_dir, "documents"), path).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(bpe.little_endian("ids"), 256).alias("ids_sha256"),
+        "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(bpe.decode("ids", path), 256).alias("decoded_sha256"))
 
 

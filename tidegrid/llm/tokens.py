@@ -14,7 +14,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: white space looks one past the run it leaves its last character of.
 LOOK_AHEAD = 2
 #: Pre-tokens a worker remembers, and the longest it remembers.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 60_000, 48
 
 
 class PieceEncoder:
