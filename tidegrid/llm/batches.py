@@ -6,9 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.session import stored
+
 #: Characters that one step of a task works on (a longer text is a step of its own).
 STEP_CHARS = 1_000_000
 
@@ -22,12 +24,41 @@ def steps(batches: Iterable[pd.DataFrame], chars: int = STEP_CHARS) -> Iterator[
                 yield rows.iloc[cut[0]:cut[-1] + 1]
 
 
-def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id string, text)``: the id as text, because pandas turns whole numbers with gaps into inexact ones."""
-    return df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def id_and_text(df: DataFrame, id_col: str, text_col: str, **others: Column) -> DataFrame:
+    """``(id string, text, ...)``: the id as text, because pandas turns whole numbers with gaps into inexact ones."""
+    return df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                     *[c.alias(name) for name, c in others.items()])
 
 
 def with_id(out: DataFrame, like: DataFrame, id_col: str) -> DataFrame:
     """``out`` with its text ``id`` under the name and type that ``id_col`` has in ``like``."""
     rest = [c for c in out.columns if c != "id"]
     return out.select(F.col("id").cast(like.schema[id_col].dataType).alias(id_col), *rest)
+
+
+#: Rows up to which a table with one row per language or the like is sent to every task.
+SMALL_ROWS = 10_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` written out, and marked for a broadcast join if it has at most ``SMALL_ROWS`` rows."""
+    kept = stored(df)
+    return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
+
+
+def runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each key, from batches in which equal keys stand together."""
+    waiting: list[pd.DataFrame] = []
+    for rows in batches:
+        if not len(rows):
+            continue
+        number = (rows[keys] != rows[keys].shift()).any(axis=1).cumsum().to_numpy()
+        starts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(rows)]
+        for a, b in zip(starts, starts[1:]):
+            part = rows.iloc[a:b]
+            if waiting and not (waiting[-1][keys].iloc[-1] == part[keys].iloc[0]).all():
+                yield pd.concat(waiting, ignore_index=True)
+                waiting = []
+            waiting.append(part)
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)
