@@ -252,19 +252,19 @@ def bands(scored: DataFrame, below: float, above: float) -> DataFrame:
     q = (bins.withColumn("part", part).groupBy("lang")
          .agg(F.min(F.when(F.col("part") >= 0.25, F.col("bin"))).alias("q1"),
               F.min(F.when(F.col("part") >= 0.75, F.col("bin"))).alias("q3")))
-    gap = F.greatest(F.col("q3") - F.col("q1"), F.lit(GRAIN // 20))
+    gap = F.greatest(F.col("q3") - F.col("q1"), F.lit(GRAIN // 50))
     return q.select("lang", ((F.col("q1") - below * gap) / GRAIN).alias("low"),
                     ((F.col("q3") + above * gap + 1) / GRAIN).alias("high"))
 
 
 def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", below: float = 6.0,
-           above: float = 6.0) -> DataFrame:
+           above: float = 4.0) -> DataFrame:
     """``(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_ppl, base_failed, kept)``.
 
     One row per input row. A document fails the base rules with under 50 words, or with over half of its words in
     repeated three-word windows; it is kept if it passes them and its log-perplexity per character lies within the band
     of its language. Bands are the quartiles of the documents that pass, widened by ``below`` and ``above`` times their
-    distance (at least 0.05). A missing text counts as empty, a missing language is one of its own; repeated rows and
+    distance (at least 0.02). A missing text counts as empty, a missing language is one of its own; repeated rows and
     missing ids are rows like others; other columns are not read.
     """
     blocks = in_blocks(df, id_col, text_col, lang_col)
