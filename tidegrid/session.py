@@ -28,16 +28,29 @@ def build_session(app_name: str = "tidegrid", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def _scratch_folder(spark: SparkSession) -> str:
-    """Folder shared by all executors; only a local-mode session without one gets its own."""
+#: Folders under the checkpoint folder that this process has asked for and not released.
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the folder that all executors share; only a local-mode session without one gets its own."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegrid-"))
         folder = context.getCheckpointDir()
-    return folder
+    _scratch.append(f"{folder}/{kind}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this process has put under :func:`scratch_path`; call it when no frame built on it is needed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -48,6 +61,6 @@ def stored(df: DataFrame) -> DataFrame:
     checkpoint, the columnar files let each pass read only its columns.
     """
     spark = df.sparkSession
-    path = f"{_scratch_folder(spark)}/stored-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stored")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
