@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, fingerprints, jaccard, language, packing, quality, secrets
+from tidegrid.llm import bpe, fingerprints, jaccard, language, packing, quality, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -63,10 +68,39 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_packing": op3_packing,
+    "op4_warc": op4_warc,
     "op5_jaccard": op5_jaccard,
     "op6_language": op6_language,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+        last AS (SELECT html, max(page_id) AS page_id FROM p WHERE n >= 1000 GROUP BY html)
+        SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+               CASE WHEN last.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN last.page_id <> p.page_id THEN last.page_id END AS refers_to
+        FROM p LEFT JOIN last USING (html)""",
+    "op5_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+            FROM words),
+        classes AS (SELECT min(doc_id) AS c, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+        items AS (SELECT c, n, unnest(s) AS item FROM classes),
+        pairs AS (
+            SELECT a.c AS x, b.c AS y FROM items a JOIN items b ON a.item = b.item AND a.c < b.c
+            GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+        reach(c, root) AS (
+            SELECT c, c FROM classes UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.c),
+        roots AS (SELECT c, min(root) AS component_id FROM reach GROUP BY c)
+        SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(roots.component_id, sets.doc_id) AS component_id
+        FROM sets LEFT JOIN classes ON classes.s = list_sort(sets.s) LEFT JOIN roots USING (c)""".replace("\\\\", "\\"),
+}
