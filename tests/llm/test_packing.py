@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,8 +12,11 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidegrid.llm import packing
+from tidegrid.llm.tokens import encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+SMALL = "/root/testdata/sf0.01/documents.parquet"
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def test_difference_keeps_items_and_balances():
@@ -50,12 +54,13 @@ def test_batch_is_whole_and_tight(total):
     assert padding <= 0.02 * total + 0.3 * 2048
 
 
-def test_frame(spark):
+@pytest.mark.parametrize("path", [PATH, RANKS])
+def test_frame(spark, path):
     rng = random.Random(1)
     texts = [None, "", "short", "x " * 30_000] + ["word " * rng.randrange(900) + "<|endoftext|>" for _ in range(300)]
     rows = [(i if i % 7 else None, t, 0) for i, t in enumerate(texts)] + [(9, texts[9], 1)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, length int").repartition(3)
-    out = packing.pack(df, PATH).toPandas()
+    out = packing.pack(df, path).toPandas()
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
     want = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts + [texts[9]])
@@ -75,4 +80,16 @@ def test_frame(spark):
     for _, sequence in out.sort_values("offset").groupby("sequence_id"):
         assert list(sequence["offset"]) == list(np.cumsum([0, *sequence["length"]])[:-1])
         assert sequence["length"].sum() <= 2048
-    assert packing.pack(df.limit(0), PATH).collect() == []
+    assert packing.pack(df.limit(0), path).collect() == []
+
+
+def test_rank_file_gives_the_ids_of_the_tokenizer_file(spark):
+    rng = random.Random(9)
+    parts = ["'s", "'re", "'", " ", "  ", "\n", "\t\x0b", "abc", "É", "é\u0301", "日本", "🙂", "12", "½", "!?", "<|endoftext|>",
+             "\xa0", "\u2003", "\x85", "\x1c", "the quick", "\u200d"]
+    by_file, by_ranks = encoder(PATH), encoder(RANKS)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(3000)]
+    if Path(SMALL).exists():
+        texts += [r.text for r in spark.read.parquet(SMALL).select("text").collect()]
+    for text in texts:
+        assert by_file(text).tolist() == by_ranks(text).tolist()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.batches import id_and_text, steps, with_id
-from tidegrid.llm.tokens import LOOK_AHEAD, rank_encoder, token_bytes
+from tidegrid.llm.tokens import LOOK_AHEAD, cut_places, encoder, token_bytes
 
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
 
@@ -36,17 +36,16 @@ def _cut(chunk: int, overlap: int):
     return run
 
 
-def _scan(path: str, chunk: int, overlap: int):
-    """Adds where pre-tokens begin in the chunk's first ``overlap`` characters and in those after its end."""
+def _scan(chunk: int, overlap: int):
+    """Adds the places to cut in the chunk's first ``overlap`` characters and in those after its end."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        starts_of = rank_encoder(path).starts
         for rows in batches:
             heads, tails = [], []
             for no, length, text in zip(rows["no"], rows["length"], rows["text"]):
                 begin = no * chunk
                 settled = len(text) if begin + len(text) == length else len(text) - LOOK_AHEAD
-                starts = np.array(starts_of(text), dtype=np.int64)
+                starts = np.array(list(cut_places(text))[1:], dtype=np.int64)  # the chunk's own start proves nothing
                 heads.append(starts[starts < overlap] + begin)
                 tails.append(starts[(starts >= chunk) & (starts <= settled)] + begin)
             yield rows.assign(head=heads, tail=tails)
@@ -56,7 +55,7 @@ def _scan(path: str, chunk: int, overlap: int):
 
 def _encode(path: str, keys: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = rank_encoder(path).ids
+        ids = encoder(path)
         for rows in steps(batches):
             yield rows[keys].assign(ids=[ids(t).tobytes() for t in rows["text"]])
 
@@ -82,7 +81,7 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             .groupBy("id", "digest").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")))
     chunk_schema = "id string, digest string, copies bigint, no bigint, length bigint, text string"
     chunks = long.mapInPandas(_cut(chunk_chars, overlap_chars), chunk_schema).repartition("id", "digest", "no")
-    scanned = chunks.mapInPandas(_scan(vocabulary, chunk_chars, overlap_chars),
+    scanned = chunks.mapInPandas(_scan(chunk_chars, overlap_chars),
                                  chunk_schema + ", head array<bigint>, tail array<bigint>")
     by_text = Window.partitionBy("id", "digest").orderBy("no")
     so_far = by_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)

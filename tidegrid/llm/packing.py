@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.batches import id_and_text, with_id
-from tidegrid.llm.tokens import json_encoder
+from tidegrid.llm.tokens import encoder
 
 #: Longest piece that is differenced, as a share of the window: short pieces make even windows.
 PIECE_SHARE = 8
@@ -107,14 +107,14 @@ def pack(df: DataFrame, vocabulary: str, end_id: int = 1, window: int = 2048, id
          text_col: str = "text") -> DataFrame:
     """One row per piece: ``id_col, start, length, ids, doc_tokens, sequence_id, offset``.
 
-    A document's ids are those of its whole text by the tokenizer file ``vocabulary``, then ``end_id``; a missing text
+    A document's ids are those of its whole text by the file ``vocabulary``, then ``end_id``; a missing text
     counts as empty and has that id alone. ``ids`` holds the piece's ids, four bytes each, lowest first. Every id lies in
     exactly one piece and no sequence exceeds ``window``. Sequence numbers are unique, not consecutive: task number, then
     number in the task. Missing and repeated document ids pack like any other row; other columns are not read.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = json_encoder(vocabulary).ids
+        encode = encoder(vocabulary)
         sequence = TaskContext.get().partitionId() << 33
         waiting: list[tuple] = []
         held: dict[int, tuple] = {}
@@ -134,9 +134,8 @@ def pack(df: DataFrame, vocabulary: str, end_id: int = 1, window: int = 2048, id
 
         for rows in batches:
             for doc, text in zip(rows["id"], rows["text"]):
-                ids = encode(text)
-                ids.append(end_id)
-                held[serial] = (doc, np.frombuffer(ids, dtype="<u4"))
+                ids = np.append(encode(text), np.uint32(end_id))
+                held[serial] = (doc, ids)
                 whole = len(ids) // window * window
                 if whole:
                     yield emit([[(serial, s, window)] for s in range(0, whole, window)])

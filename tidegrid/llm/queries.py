@@ -27,8 +27,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode("ids", path), 256).alias("decoded_sha256"))
 
 
+# The rank file has the vocabulary of byte_bpe_50k.json and gives its ids at three times the speed (tests compare them).
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")).select(
+    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

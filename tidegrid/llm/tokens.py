@@ -1,52 +1,34 @@
-"""Byte-level BPE of single pre-tokens, with a bounded memory of the ones already seen."""
+"""Byte-level BPE vocabularies as encoders of text."""
 
 from __future__ import annotations
 
 import base64
-from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import regex
+import tiktoken
+from tokenizers import Tokenizer
 
 #: Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A match is settled once this many characters after its end are known: ``'re`` looks two ahead of ``'``, and
 #: white space looks one past the run it leaves its last character of.
 LOOK_AHEAD = 2
-#: Pre-tokens a worker remembers, and the longest it remembers.
-REMEMBERED, LONGEST = 60_000, 48
+_SPLIT = regex.compile(PATTERN)
 
 
-class PieceEncoder:
-    """Encodes whole texts pre-token by pre-token; ``encode_new`` gives the ids of one unseen pre-token."""
+def cut_places(text: str, begin: int = 0) -> Iterator[int]:
+    """Where pre-tokens begin after something other than white space, from ``begin``, where one begins (itself included).
 
-    def __init__(self, encode_new):
-        self.pattern = regex.compile(PATTERN)
-        self._encode_new = encode_new
-        self._seen: dict[str, array] = {}
-
-    def _learn(self, piece: str) -> array:
-        ids = array("I", self._encode_new(piece))
-        if len(piece) <= LONGEST:
-            if len(self._seen) >= REMEMBERED:
-                self._seen.clear()
-            self._seen[piece] = ids
-        return ids
-
-    def ids(self, text: str) -> array:
-        out, seen, learn = array("I"), self._seen.get, self._learn
-        extend = out.extend
-        for piece in self.pattern.findall(text):
-            extend(seen(piece) or learn(piece))
-        return out
-
-    def counts(self, pieces: list[str]) -> list[int]:
-        """Number of ids of each pre-token."""
-        return [len(self._seen.get(p) or self._learn(p)) for p in pieces]
-
-    def starts(self, text: str) -> list[int]:
-        """Where the pre-tokens of ``text`` begin."""
-        return [m.start() for m in self.pattern.finditer(text)]
+    A text cut at these places encodes to the ids of its parts. A place after white space is none: the part before it
+    would end in a run of white space, which is one match there but may be two in the whole text.
+    """
+    for match in _SPLIT.finditer(text, begin):
+        at = match.start()
+        if at == begin or not text[at - 1].isspace():
+            yield at
 
 
 @lru_cache(maxsize=4)
@@ -56,27 +38,22 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=4)
-def rank_encoder(path: str) -> PieceEncoder:
-    """Encoder by a file of base64 tokens and ranks; no special tokens."""
-    import tiktoken
-
+def encoder(path: str):
+    """Function from a text to its ids, without special tokens; their strings in a text are ordinary text.
+
+    ``path`` is a file of base64 tokens and ranks, or the ``.json`` file of a byte-level tokenizer.
+    """
+    if path.endswith(".json"):
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
     encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
-    return PieceEncoder(encoding.encode_ordinary)
-
-
-@lru_cache(maxsize=4)
-def json_encoder(path: str) -> PieceEncoder:
-    """Encoder by a byte-level tokenizer file; special tokens in a text are ordinary text, none are added."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return PieceEncoder(lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids)
+    return lambda text: np.array(encoding.encode_ordinary(text), dtype="<u4")
 
 
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> list[bytes]:
-    """Bytes of each id; an id the file lacks has none."""
+    """Bytes of each id of a rank file; an id it lacks has none."""
     ranks = load_ranks(path)
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
