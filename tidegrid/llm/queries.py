@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, fingerprints, jaccard, language, packing, quality, secrets, warc
+from tidegrid.llm import bpe, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,22 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def edit_log(docs: DataFrame) -> DataFrame:
+    """Three edits of every document: a cut at a quarter, its own beginning put into the middle, another end."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+    edits = [(1, F.floor(n / 4), F.floor(n / 4) + 20, F.lit("")),
+             (2, F.floor(n / 2), F.floor(n / 2), F.substring("text", 1, 40)),
+             (3, n, n + 40, F.lit("'re done.\n"))]
+    return docs.select("doc_id", F.inline(F.array(*[F.struct(
+        F.lit(seq).alias("seq"), start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"),
+        new.alias("replacement")) for seq, start, stop, new in edits])))
+
+
+def op7_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return recount.recount(docs, edit_log(docs), _vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -72,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_jaccard": op5_jaccard,
     "op6_language": op6_language,
+    "op7_recount": op7_recount,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
