@@ -1,0 +1,92 @@
+"""Extraction against pages whose article is known, and the template against plain counting."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+
+import pytest
+
+from tidegrid.llm import extract, markup
+
+
+def blocks(page):
+    return [b.text for b in markup.parse(page)[0]]
+
+
+def test_parser_blocks():
+    assert blocks("<p>a <b>b</b>\n c<p>d<br>e</p>f") == ["a b c", "d e", "f"]
+    assert blocks("<ul><li>x<li>y &amp z&nbsp;&#233;</ul>t") == ["x", "y & z é", "t"]
+    assert blocks("a < b <!-- no <p> -->c<!-- open <p>x") == ["a < b c"]
+    assert blocks('<script>var t="</p>";</script>x<style>p{}</style>') == ["x"]
+    assert blocks("<table><tr><td>1<td>2<tr><td>3</table>") == ["1", "2", "3"]
+    assert blocks('<div title="a>b">x</div><div') == ["x"]
+    assert blocks("") == [] and blocks("<") == ["<"] and blocks("</p></div>") == []
+
+
+def test_chrome_is_marked():
+    page = ('<body class="has-sidebar"><div class="site-header"><h1>H</h1></div><div class="ad">A</div><div id="main-content">'
+            '<p>T</p><div class="commentList">C</div><p class="no-ads">U</p><p hidden>X</p></div><nav>N</nav><aside>S</aside>')
+    found = {b.text: (b.chrome, b.header, b.main) for b in markup.parse(page)[0]}
+    assert found == {"H": (False, True, False), "A": (True, False, False), "T": (False, False, True),
+                     "C": (True, False, True), "U": (False, False, True), "X": (True, False, True),
+                     "N": (True, False, False), "S": (True, False, False)}
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choices("abcdeé&<", k=rng.randrange(1, 8))) for _ in range(n))
+
+
+def article_page(rng, kind):
+    title, paragraphs = words(rng, 5), [words(rng, rng.randrange(5, 60)) for _ in range(rng.randrange(1, 6))]
+    e = html.escape
+    body = "".join(f"<p>{e(p)}" + ("</p>" if rng.random() < 0.8 else "") for p in paragraphs)
+    links = "".join(f'<li><a href="/{k}">{e(words(rng, 2))}</a></li>' for k in range(4))
+    if kind == "article":
+        page = (f"<html><head><title>{e(title)}</title><script>if (a<b) x('</p>')</script></head><body><nav><ul>{links}</ul></nav>"
+                f"<!-- c --><div class='ad'>{e(words(rng, 6))}</div><article><header><h1>{e(title)}</h1><span>by me</span></header>"
+                f"{body}<form><label>mail</label><input></form><section class='comments'><p>first!</p></section></article>"
+                f"<aside><p>{e(words(rng, 9))}</p></aside><footer>&copy; all</footer></body></html>")
+    elif kind == "main":
+        page = (f"<body><div class=topbar>{links}</div><div class='cookie-notice'>we use</div><main><h1>{e(title)}</h1>{body}"
+                f"<div class='related-posts'>{links}</div></main><div id=sidebar>{e(words(rng, 9))}</div>")
+    else:  # nothing is named: what is the same on the host's pages, and lists of links, are no article
+        page = (f"<body><div><div>Welcome to our site</div></div><div><ul>{links}</ul></div><div><h1>{e(title)}</h1>{body}</div>"
+                f"<div><div>Imprint and terms, all rights</div></div></body>")
+    return page, "\n".join(re.sub(r"\s+", " ", x) for x in [title, *paragraphs])
+
+
+@pytest.mark.parametrize("kind", ["article", "main", "plain"])
+def test_known_articles(spark, kind):
+    rng = random.Random(kind)
+    rows, want = [], {}
+    for i in range(30):
+        page, want[i] = article_page(rng, kind)
+        rows.append((i, f"http://www.site{i % 3}.org/p{i}", page, 0))
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int").repartition(4)
+    got = {r.page_id: r for r in extract.extract(df).collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(r.n_chars == len(r.text) and r.url == rows[i][1] for i, r in got.items())
+
+
+def test_template_of_a_host(spark):
+    pages = [f"<body><div>Same top</div><div><p>text {i}</p>{'<p>more</p>' * (i % 3)}</div><ul><li>x</ul></body>" for i in range(12)]
+    rows = [("h", p) for p in pages] + [("h", pages[0])] * 40 + [("one", pages[1])]
+    found = extract.templates(spark.createDataFrame(rows, "host string, text string").repartition(3)).collect()
+    assert {r.host for r in found} == {"h"}
+    texts = {r.token for r in found if r.is_text}
+    for page in pages:
+        assert {b.text for b in markup.parse(page)[0] if extract._block_token(b) in texts} >= {"Same top", "x"}
+        assert not any(b.text.startswith("text") for b in markup.parse(page)[0] if extract._block_token(b) in texts)
+
+
+def test_edges(spark):
+    rows = [(1, None, None), (2, "", ""), (None, "http://a/", "<p>x"), (3, "::bad::", "<article><p>y</article>"),
+            (3, "::bad::", "<article><p>y</article>"), (4, "http://a/", "<p>" + "long " * 100_000), (5, "http://b/", "<nav>m</nav>"),
+            (6, "http://c/", "<article><nav>m</nav></article><main>z</main>"), (7, "http://c/", "<div " * 3000)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = sorted((r.page_id or 0, r.url or "", r.text[:5], r.n_chars) for r in extract.extract(df).collect())
+    assert got == [(0, "http://a/", "x", 1), (1, "", "", 0), (2, "", "", 0), (3, "::bad::", "y", 1), (3, "::bad::", "y", 1),
+                   (4, "http://a/", "long ", 499_999), (5, "http://b/", "", 0), (6, "http://c/", "z", 1), (7, "http://c/", "", 0)]
+    assert extract.extract(df.limit(0)).collect() == []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
+from tidegrid.llm import bpe, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode("ids", path), 256).alias("decoded_sha256"))
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 # The rank file has the vocabulary of byte_bpe_50k.json and gives its ids at three times the speed (tests compare them).
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken")).select(
@@ -84,6 +88,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_extract": op2_extract,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
     "op5_jaccard": op5_jaccard,
