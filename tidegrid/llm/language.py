@@ -9,16 +9,16 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.batches import id_and_text, steps, with_id
+from tidegrid.llm.batches import steps
 
 #: Hash slots of the trigrams, pseudo-count of a slot, rounds of estimation, largest language set.
 SLOTS, SMOOTH, ROUNDS, LARGEST_SET = 1 << 15, 0.5, 8, 4
@@ -144,6 +144,31 @@ def mixtures(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     return shares, sizes
 
 
+def predictor(spark: SparkSession, model: Model) -> Callable[[Column | str], Column]:
+    """Function from a text column to ``struct<lang_pred, score, languages>``, see :func:`identify`."""
+    shared = spark.sparkContext.broadcast(model)  # at most SLOTS numbers per language
+
+    @F.pandas_udf("lang_pred string, score double, languages map<string,double>")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for batch in batches:
+            yield pd.concat([_predict(part["text"], known) for part in steps([pd.DataFrame({"text": batch})])]
+                            or [_predict(batch, known)])
+
+    return lambda text: predict(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
+def _predict(texts: pd.Series, model: Model) -> pd.DataFrame:
+    shares, sizes = mixtures(list(texts), model)
+    some = bool(model.languages)
+    best = shares.argmax(axis=1) if some else np.zeros(len(texts), dtype=np.int64)
+    return pd.DataFrame({
+        "lang_pred": [model.languages[b] if found else UNKNOWN for b, found in zip(best, sizes > 0)],
+        "score": np.minimum(1.0, shares.max(axis=1)) if some else np.zeros(len(texts)),
+        "languages": [{model.languages[i]: float(s[i]) for i in np.flatnonzero(s > 0)} for s in shares],
+    }, index=texts.index)
+
+
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, lang_pred, score, languages)``, one row per input row, without a shuffle.
 
@@ -151,21 +176,5 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     name) and ``score`` its proportion. A missing text, one without letters, or an empty model give ``und``, 0 and an
     empty map. Only the two named columns are read.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most SLOTS numbers per language
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for rows in steps(batches):
-            shares, sizes = mixtures(list(rows["text"]), known)
-            best = shares.argmax(axis=1) if known.languages else np.zeros(len(rows), dtype=np.int64)
-            found = sizes > 0
-            yield pd.DataFrame({
-                "id": rows["id"],
-                "lang_pred": [known.languages[b] if f else UNKNOWN for b, f in zip(best, found)],
-                "score": np.minimum(1.0, shares.max(axis=1)) if known.languages else 0.0,
-                "languages": [{known.languages[i]: float(s[i]) for i in np.flatnonzero(s > 0)} for s in shares],
-            })
-
-    rows = id_and_text(df, id_col, text_col)
-    out = rows.mapInPandas(run, "id string, lang_pred string, score double, languages map<string,double>")
-    return with_id(out, df, id_col)
+    found = predictor(df.sparkSession, model)(text_col)
+    return df.select(F.col(id_col), found.alias("found")).select(id_col, "found.*")
