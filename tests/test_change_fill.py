@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import math
+from datetime import date
 from statistics import median
 
 from conftest import as_dict, months
 
 from tidegrid.operators import change, fill, grid
+from tidegrid.plans.supervised import supervised_panel
 
 BY = ["series_id"]
 
@@ -89,3 +91,12 @@ def test_chain_without_looking_ahead(spark):
     df = spark.createDataFrame([("a", 0, None), ("a", 1, 1.0), ("a", 2, 9.0)], "series_id string, month int, lvl double")
     out = fill.impute_chain(df, levels=["lvl"], by=BY, bfill=False).orderBy("month").collect()
     assert [r["lvl"] for r in out] == [5.0, 1.0, 9.0]
+
+
+def test_panel_indicators_are_carried_from_before_a_series_starts(spark):
+    """A series that starts in February has the indicator of January, not a gap and not April's."""
+    prices = spark.createDataFrame([("s", date(2024, m, 1), float(m)) for m in range(2, 7)], "series_id string, period date, value double")
+    quarterly = spark.createDataFrame([("g", date(2024, 1, 1), 101.0), ("g", date(2024, 4, 1), 104.0)],
+                                      "series_id string, period date, value double")
+    panel = supervised_panel(prices, quarterly, indicators={"g": "GDP"}).orderBy("period")
+    assert [r["GDP"] for r in panel.collect()] == [101.0, 101.0, 104.0, 104.0]

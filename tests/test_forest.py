@@ -22,7 +22,7 @@ def frame(spark):
 
 @pytest.fixture(scope="module")
 def bundle(frame):
-    return forest.fit_forests(frame, FEATURES, TARGETS, PARAMS)
+    return forest.fit_forests(frame, FEATURES, TARGETS, PARAMS, keys=["i"])
 
 
 def test_scaler_uses_the_population_deviation(frame, bundle):
@@ -41,18 +41,31 @@ def test_mean_of_votes_is_the_prediction(frame, bundle):
         assert band.where((F.col("p25") > F.col("p75")) | (F.col("std") < 0)).isEmpty()
 
 
+def test_forests_do_not_depend_on_the_layout(spark, frame, bundle):
+    want = forest.predict(frame, bundle, "up").orderBy("i").select("prediction").collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            dealt = frame.repartition(n, "noise").sortWithinPartitions("noise")
+            again = forest.fit_forests(dealt, FEATURES, TARGETS, PARAMS, keys=["i"])
+            assert forest.predict(frame, again, "up").orderBy("i").select("prediction").collect() == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_importances(frame, bundle):
     rows = forest.feature_importance(bundle, frame, "up").collect()
-    assert rows[0]["feature"] == "x" and sum(r["importance"] for r in rows) == pytest.approx(1)
+    assert [r["rank"] for r in rows] == [1, 2, 3] and rows[0]["feature"] == "x" and sum(r["importance"] for r in rows) == pytest.approx(1)
     assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
 
 
 def test_validation(frame, bundle):
-    predicted = forest.out_of_fold(frame, bundle, "fold", 5)
+    predicted = forest.out_of_fold(frame, bundle.scaler, TARGETS, "fold", 5, PARAMS, keys=["i"])
     assert predicted.count() == 240
     scores = forest.fold_scores(predicted, "fold").collect()
     assert sorted((r["target"], r["fold"]) for r in scores) == sorted((t, i) for t in TARGETS for i in range(5))
-    metrics = {(r["target"], r["metric"]): r["value"] for r in forest.model_metrics(frame, bundle, "fold").collect()}
+    metrics = {(r["target"], r["metric"]): r["value"] for r in forest.model_metrics(frame, bundle, "fold", keys=["i"]).collect()}
     up = [r["r2"] for r in scores if r["target"] == "up"]
     assert metrics[("up", "cv_mean")] == pytest.approx(np.mean(up)) and metrics[("up", "cv_std")] == pytest.approx(np.std(up))
     assert metrics[("down", "r2")] > 0.8 and len(metrics) == 6

@@ -4,10 +4,10 @@ from datetime import date, datetime
 
 import pytest
 from conftest import as_dict, months
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidegrid.operators import grid
+from tidegrid.operators.change import yoy_change
 
 
 def test_last_value_with_ties_and_missing(spark):
@@ -28,18 +28,31 @@ def test_resample_without_tie_break_uses_the_time_of_day(spark):
     assert [tuple(r) for r in out.collect()] == [("a", date(2024, 1, 3), 2.0)]
 
 
-@pytest.mark.parametrize("key", [-1, 1 << 56])
-def test_tie_break_keys_out_of_range_fail(spark, key):
-    df = spark.createDataFrame([("a", date(2024, 1, 1), key, 1.0)], "series_id string, ts date, k bigint, value double")
-    with pytest.raises(PySparkException):
-        grid.resample_last(df, by=["series_id"], ts="ts", value="value", tie_break="k").collect()
+@pytest.mark.parametrize("kind,early,late", [("bigint", 10, 5), ("bigint", (1 << 63) - 1, -(1 << 63)), ("string", "z", "a")])
+def test_time_of_day_comes_before_the_key(spark, kind, early, late):
+    at = datetime(2024, 1, 31, 17)
+    rows = [("a", datetime(2024, 1, 31, 9), early, 1.0), ("a", at, late, 2.0), ("b", at, late, 3.0), ("b", at, early, 4.0),
+            ("c", at, None, 5.0), ("c", at, late, 6.0)]
+    df = spark.createDataFrame(rows, f"series_id string, ts timestamp_ntz, k {kind}, value double")
+    out = grid.resample_last(df, by=["series_id"], ts="ts", value="value", tie_break="k")
+    assert {r["series_id"]: r["value"] for r in out.collect() if r["series_id"] != "c"} == {"a": 2.0, "b": 4.0}
+    if late != -(1 << 63):
+        assert out.where("series_id = 'c'").first()["value"] == 6.0
 
 
 def test_resample_stays_hash_aggregated(spark):
     df = spark.createDataFrame([], "series_id string, ts date, k bigint, value double")
     out = grid.resample_last(df, by=["series_id"], ts="ts", value="value", tie_break="k")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan
+    assert "SortAggregate" not in plan and "partial_max_by" in plan
+
+
+def test_sparse_panels_shuffle_once(spark):
+    df = spark.createDataFrame([], "series_id string, ts date, k bigint, value double")
+    out = grid.resample_last(df, by=["series_id"], ts="ts", value="value", tie_break="k", sparse=True)
+    for frame in (grid.densify(out, by=["series_id"]), yoy_change(grid.densify(out, by=["series_id"]), "value", by=["series_id"])):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
 
 
 def test_densify_has_every_month_and_keeps_series_apart(panel):

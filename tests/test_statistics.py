@@ -19,8 +19,9 @@ def _columns(spark, columns: dict[str, list]):
     return spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in columns)).repartition(4)
 
 
-@pytest.mark.parametrize("sort_rows", [1, 50, 10**6])
-def test_quantiles_match_brute_force(spark, sort_rows):
+@pytest.mark.parametrize("accuracy", [2, 50, 20_000])
+def test_quantiles_match_brute_force(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
     rng = random.Random(7)
     columns = {
         "normal": [rng.gauss(0, 1) for _ in range(3000)],
@@ -32,7 +33,7 @@ def test_quantiles_match_brute_force(spark, sort_rows):
         "pair": [1.0, 2.0],
         "extreme": [-1.7e308, 1.7e308, 0.0, 1.0, -1.0, 5e-324],
     }
-    got = quantiles.column_quantiles(_columns(spark, columns), list(columns), PROBS, sort_rows)
+    got = quantiles.column_quantiles(_columns(spark, columns), list(columns), PROBS)
     for c, values in columns.items():
         if c == "extreme":
             ordered = sorted(values)
@@ -42,10 +43,34 @@ def test_quantiles_match_brute_force(spark, sort_rows):
             np.testing.assert_allclose(got[c], np.percentile(values, [p * 100 for p in PROBS]), rtol=1e-12, err_msg=c)
 
 
-@pytest.mark.parametrize("sort_rows", [1, 10**6])
-def test_quantiles_with_infinities_and_empty_columns(spark, sort_rows):
+def test_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
+    """Brackets that miss their ranks are widened and counted again."""
+    values = [float(i) for i in range(500)]
+    df = _columns(spark, {"v": values})
+    edges = quantiles.Edges(500, 0.0, 499.0, {0.25: (300.0, 310.0), 0.5: (0.0, 3.0), 0.75: (374.0, 375.0)})
+    got = quantiles.quantiles_from_edges(df, {"v": edges}, [0.25, 0.5, 0.75])
+    np.testing.assert_allclose(got["v"], np.percentile(values, [25, 50, 75]))
+
+
+@pytest.mark.parametrize("kind", ["loguniform", "heavy", "constant"])
+def test_quantiles_scan_three_times(spark, monkeypatch, kind):
+    rows = spark.range(60_000).select(F.when(F.lit(kind == "constant"), F.lit(4.0)).when(
+        F.lit(kind == "heavy"), F.pow(F.rand(1), -3.0)).otherwise(F.exp(F.rand(2) * 50 - 25)).alias("v"))
+    rows = rows.persist()
+    scans = []
+    for name in ("_count", "_sorted_ranks"):
+        plain = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda df, columns, brackets, plain=plain: (
+            scans.append(1) if brackets else None, plain(df, columns, brackets))[1])
+    got = quantiles.column_quantiles(rows, ["v"], [0.25, 0.5, 0.75])
+    assert 1 + len(scans) <= 3
+    np.testing.assert_allclose(got["v"], np.percentile([r.v for r in rows.collect()], [25, 50, 75]), rtol=1e-12)
+    rows.unpersist()
+
+
+def test_quantiles_with_infinities_and_empty_columns(spark):
     columns = {"a": [-math.inf, 1.0, 2.0, math.inf, math.inf], "empty": [], "inf": [math.inf, -math.inf]}
-    got = quantiles.column_quantiles(_columns(spark, columns), list(columns), [0.0, 0.25, 0.5, 1.0], sort_rows)
+    got = quantiles.column_quantiles(_columns(spark, columns), list(columns), [0.0, 0.25, 0.5, 1.0])
     assert got["a"] == [-math.inf, 1.0, 2.0, math.inf]
     assert got["empty"] == [None] * 4
     assert got["inf"][0] == -math.inf and got["inf"][3] == math.inf

@@ -5,9 +5,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrid.session import stored
+from tidegrid.session import release, scratch_path, stored
 from tidegrid.sources import readers, versions, writers
 from tidegrid.sources.schemas import dataset_schema
+from tidegrid.sources.versions import path_exists
 from tidegrid.streaming.append import append_if_absent_batch
 
 SCHEMA = "k string, v double"
@@ -29,6 +30,19 @@ def test_first_write_wins(rows):
     assert _set(writers.append_if_absent(once, new, ["k"])) == _set(once)
 
 
+def test_missing_and_repeated_keys(rows):
+    old, new = rows(("a", 1.0)), rows((None, 5.0), (None, 4.0), ("a", 9.0), ("b", 3.0), ("b", 2.0), ("b", None))
+    once = writers.append_if_absent(old, new, ["k"])
+    assert once.count() == 3 and _set(once) == {("a", 1.0), (None, 4.0), ("b", None)}
+    again = writers.append_if_absent(once, new.repartition(5), ["k"])
+    assert again.count() == 3 and _set(again) == _set(once)
+
+
+def test_the_order_decides_between_new_rows(spark):
+    new = spark.createDataFrame([("b", 1.0, 2), ("b", 2.0, 1)], "k string, v double, seq int")
+    assert writers.absent_rows(new.limit(0), new, ["k"], order=["seq"]).collect() == [("b", 2.0, 1)]
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_versions_are_written_and_read_apart(spark, rows, tmp_path, fmt):
     path = str(tmp_path / "t")
@@ -90,6 +104,19 @@ def test_latest_version_prunes_partitions(spark, rows, tmp_path):
     assert _set(newest) == {("a", 2.0)}
 
 
+def test_read_latest_reads_one_partition(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for m in (1, 2, 3):
+        writers.overwrite_version(rows(("a", float(m))), path, date(2025, m, 1), "parquet")
+    assert versions.version_folders(spark, path) == ["2025_01", "2025_02", "2025_03"]
+    # Unreadable data of other versions does not matter: no file is opened to find the newest.
+    for file in (tmp_path / "t" / "version=2025_01").glob("*.parquet"):
+        file.write_bytes(b"broken")
+    newest = versions.read_latest(spark, path, rows().schema, "parquet")
+    assert _set(newest) == {("a", 3.0)} and len(newest.inputFiles()) >= 1
+    assert "PartitionFilters: [isnotnull(version" in newest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lines_are_written_in_order(spark, tmp_path):
     lines = spark.range(50).select((F.lit(50) - F.col("id")).alias("line_no"), F.format_string("l%d", 50 - F.col("id")).alias("line"))
     writers.write_lines(lines.repartition(8), str(tmp_path / "r"))
@@ -103,6 +130,14 @@ def test_stored_frames_live_in_the_checkpoint_folder(spark, rows):
     assert _set(df) == {("a", 1.0)}
 
 
+def test_released_scratch_is_gone(spark, rows, tmp_path):
+    path = scratch_path(spark, "test")
+    rows(("a", 1.0)).write.parquet(path)
+    assert path_exists(spark, path)
+    release(spark)
+    assert not path_exists(spark, path)
+
+
 def test_streaming_append_is_idempotent(spark, rows, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
 
@@ -114,8 +149,9 @@ def test_streaming_append_is_idempotent(spark, rows, tmp_path):
 
     rows(("a", 1.0), ("b", 2.0), ("b", 2.0)).write.parquet(source)
     run("c1")
-    rows(("b", 99.0), ("c", 3.0)).write.mode("append").parquet(source)
+    rows(("b", 99.0), ("c", 3.0), (None, 7.0), (None, 6.0)).write.mode("append").parquet(source)
     run("c1")
-    assert _set(spark.read.parquet(sink)) == {("a", 1.0), ("b", 2.0), ("c", 3.0)}
+    kept = {("a", 1.0), ("b", 2.0), ("c", 3.0), (None, 6.0)}
+    assert _set(spark.read.parquet(sink)) == kept
     run("c2")  # a lost stream checkpoint replays everything
-    assert spark.read.parquet(sink).count() == 3
+    assert _set(spark.read.parquet(sink)) == kept and spark.read.parquet(sink).count() == 4

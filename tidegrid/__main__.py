@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from tidegrid.operators.forest import ForestParams
 from tidegrid.plans import jobs
 from tidegrid.session import build_session
 from tidegrid.sources.readers import read_csv, read_parquet
@@ -26,6 +27,10 @@ def main() -> None:
     parser.add_argument("--indicator", action="append", metavar="ID=NAME")
     parser.add_argument("--months", type=int, default=36)
     parser.add_argument("--format", default="parquet", choices=["csv", "parquet"])
+    parser.add_argument("--folds", type=int, default=5)
+    parser.add_argument("--trees", type=int, default=100)
+    parser.add_argument("--depth", type=int, default=10)
+    parser.add_argument("--no-bfill", action="store_true", help="leave levels before their first observation to the median")
     parser.add_argument("--score-row", default="last_labelled", choices=["last_labelled", "last_observed"])
     args = parser.parse_args()
 
@@ -43,9 +48,12 @@ def main() -> None:
         print(jobs.collect(spark, read(args.prices, PRICES), read(args.observations, OBSERVATIONS),
                            months=args.months, keep_last=ahead, fill_targets=not ahead, **shared))
     elif args.job == "forecast":
-        jobs.forecast(spark, score_row=args.score_row, **shared).show(truncate=False, vertical=True)
+        params = ForestParams(trees=args.trees, depth=args.depth)
+        jobs.forecast(spark, score_row=args.score_row, params=params, bfill=not args.no_bfill, k=args.folds,
+                      **shared).show(truncate=False, vertical=True)
     else:
-        jobs.report(spark, **shared).show(1000, truncate=False)
+        for row in jobs.report(spark, **shared).orderBy("line_no").toLocalIterator():
+            print(row["line"])
 
 
 if __name__ == "__main__":

@@ -59,8 +59,8 @@ def fill_global_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Fits first, exactly; columns without gaps cost no more than their count.
     """
-    row = df.agg(*edge_aggregates(columns), F.count("*").alias("_rows")).first()
-    gappy = {c: e for c, e in read_edges(row, columns).items() if e.rows < row["_rows"]}
+    row = df.agg(*edge_aggregates(columns, [0.5]), F.count("*").alias("_rows")).first()
+    gappy = {c: e for c, e in read_edges(row, columns, [0.5]).items() if e.rows < row["_rows"]}
     medians = quantiles_from_edges(df, gappy, [0.5])
     return fill_values(df, {c: q[0] for c, q in medians.items()})
 

@@ -21,7 +21,7 @@ def series_folds(df: DataFrame, k: int = 5, *, by: Sequence[str], time: str = "m
 def calendar_folds(df: DataFrame, k: int = 5, *, time: str = "month", out: str = "fold") -> DataFrame:
     """Give all rows of one period the same fold, with contiguous runs of periods per fold.
 
-    Only the distinct periods are ordered globally and broadcast; the calendar bounds them.
+    Only the distinct periods are ordered globally; the calendar bounds them when ``time`` is a period.
     """
     periods = df.select(time).distinct().withColumn(out, F.ntile(k).over(Window.orderBy(time)) - 1)
-    return df.join(F.broadcast(periods), time)
+    return df.join(periods, time)

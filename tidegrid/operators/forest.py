@@ -25,13 +25,21 @@ RAW, SCALED = "_raw_features", "_features"
 @dataclass(frozen=True)
 class ForestParams:
     """Ensemble settings. MLlib has no minimum split size; a node splits when both children keep
-    ``min_leaf`` rows."""
+    ``min_leaf`` rows.
+
+    MLlib draws the bootstrap partition by partition, so the number of ``partitions`` a fit sees is part of the model: with
+    it, the same seed gives the same forest on any cluster."""
 
     trees: int = 100
     depth: int = 10
     min_leaf: int = 2
     max_bins: int = 64
     seed: int = 42
+    partitions: int = 32
+
+    def dealt(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``df`` in the fixed partitions and order that fits read; ``keys`` tell its rows apart."""
+        return df.repartition(self.partitions, *keys).sortWithinPartitions(*keys)
 
     def regressor(self, label: str) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -96,16 +104,20 @@ def _fit_all(tasks: Sequence[tuple[str, DataFrame]], params: ForestParams, paral
 
 def fit_forests(
     df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams = ForestParams(),
-    parallelism: int = 4,
+    parallelism: int = 4, *, keys: Sequence[str],
 ) -> ForestBundle:
-    """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint): it is
-    read once for the scaler and once for all fits."""
-    scaler = fit_scaler(df, features)
-    frame = scaled(df, scaler).select(SCALED, *targets).persist()
+    """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint) whose rows ``keys`` tell apart: it
+    is read once, dealt as the parameters say, and persisted for the scaler and the fits."""
+    dealt = params.dealt(df.select(*keys, *[c for c in (*features, *targets) if c not in keys]), keys).persist()
     try:
-        models = _fit_all([(t, frame) for t in targets], params, parallelism)
+        scaler = fit_scaler(dealt, features)
+        frame = scaled(dealt, scaler).select(SCALED, *targets).persist()
+        try:
+            models = _fit_all([(t, frame) for t in targets], params, parallelism)
+        finally:
+            frame.unpersist()
     finally:
-        frame.unpersist()
+        dealt.unpersist()
     return ForestBundle(tuple(features), scaler, dict(zip(targets, models)), params)
 
 
@@ -129,18 +141,18 @@ def forest_band(df: DataFrame, bundle: ForestBundle, target: str) -> DataFrame:
 
 
 def out_of_fold(
-    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4
+    df: DataFrame, scaler: PipelineModel, targets: Sequence[str], fold: str, k: int = 5,
+    params: ForestParams = ForestParams(), parallelism: int = 4, *, keys: Sequence[str],
 ) -> DataFrame:
     """Predict each fold with forests fitted on the other folds.
 
-    Gives ``(target, fold, label, prediction)`` rows for every target of the bundle, whose scaler
-    and settings are used.
+    Gives ``(target, fold, label, prediction)`` rows for every target.
     """
-    whole = scaled(df, bundle.scaler).select(SCALED, fold, *bundle.models)
+    whole = scaled(params.dealt(df, keys), scaler).select(SCALED, fold, *targets)
     frame = whole.persist()
-    pairs = [(t, i) for t in bundle.models for i in range(k)]
+    pairs = [(t, i) for t in targets for i in range(k)]
     try:
-        models = _fit_all([(t, frame.where(F.col(fold) != i)) for t, i in pairs], bundle.params, parallelism)
+        models = _fit_all([(t, frame.where(F.col(fold) != i)) for t, i in pairs], params, parallelism)
     finally:
         frame.unpersist()
     return stack_long([
@@ -161,11 +173,11 @@ def cv_scores(scores: DataFrame) -> DataFrame:
 
 
 def feature_importance(bundle: ForestBundle, df: DataFrame, target: str) -> DataFrame:
-    """Normalised impurity decrease of each feature, largest first, ties by name."""
+    """``(rank, feature, importance)``: normalised impurity decrease of each feature, largest first, ties by name."""
     weights = bundle.models[target].featureImportances.toArray()
-    rows = [(f, float(w)) for f, w in zip(bundle.features, weights)]
-    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature")
+    rows = sorted(((f, float(w)) for f, w in zip(bundle.features, weights)), key=lambda r: (-r[1], r[0]))
+    ranked = [(i, *r) for i, r in enumerate(rows, 1)]
+    return df.sparkSession.createDataFrame(ranked, "rank int, feature string, importance double").orderBy("rank")
 
 
 def _metric_rows(scores: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
@@ -173,13 +185,16 @@ def _metric_rows(scores: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
     return scores.select("target", F.inline(F.array(*cells)))
 
 
-def model_metrics(df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4) -> DataFrame:
+def model_metrics(
+    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4, *, keys: Sequence[str]
+) -> DataFrame:
     """``(target, metric, value)`` rows: in-sample R2 and the mean and deviation of the fold scores."""
     fitted = stack_long([
         predict(df, bundle, t).select(F.lit(t).alias("target"), F.col(t).alias("label"), "prediction")
         for t in bundle.models
     ])
-    folds = fold_scores(out_of_fold(df, bundle, fold, k, parallelism), fold)
+    predicted = out_of_fold(df, bundle.scaler, list(bundle.models), fold, k, bundle.params, parallelism, keys=keys)
+    folds = fold_scores(predicted, fold)
     return stack_long([
         _metric_rows(r2_score(fitted, "label", "prediction", by=["target"]), {"r2": "r2"}),
         _metric_rows(cv_scores(folds), {"cv_mean": "fold_mean", "cv_std": "fold_std"}),

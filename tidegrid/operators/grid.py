@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,24 +12,22 @@ from pyspark.sql import functions as F
 from tidegrid.functions.periods import period_sequence, period_start, shift_period
 from tidegrid.operators.windows import ordered, up_to_here
 
-_KEY_BITS = 56
+_KEY_SPAN = Decimal(1 << 64)
 
 
-def _last_order(ts: Column, period: Column, tie_break: Column | None) -> Column:
-    """Ordering value for "last in period".
+def _last_order(ts: Column, tie_break: Column | None, text_key: bool) -> Column:
+    """Ordering value for "last in period": the full time, then the key.
 
-    With a tie-break, the day inside the period and the key share one BIGINT. A struct would do
-    the same, but a struct cannot live in a hash-aggregation buffer: Spark would sort all raw rows
-    before the partial aggregation instead (about six times slower on few, long series).
+    Time and a whole-number key share one decimal of 38 digits (microseconds times 2^64 plus the key): a number lives in a
+    hash-aggregation buffer. A struct does not; Spark would sort all raw rows before the partial aggregation instead
+    (about six times slower on few, long series), which only text keys pay.
     """
     if tie_break is None:
         return ts
-    fits = (tie_break >= 0) & (tie_break < F.lit(1 << _KEY_BITS))
-    checked = F.when(fits, tie_break.cast("bigint")).otherwise(
-        F.raise_error(F.lit(f"tie-break keys must lie in [0, 2^{_KEY_BITS})")).cast("bigint")
-    )
-    day = F.datediff(F.to_date(ts), period).cast("bigint")
-    return F.shiftleft(day, _KEY_BITS).bitwiseOR(checked)
+    if text_key:
+        return F.struct(ts, tie_break)
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(19,0)")
+    return (micros * F.lit(_KEY_SPAN) + tie_break.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def resample_last(
@@ -41,20 +40,25 @@ def resample_last(
     tie_break: str | None = None,
     out_time: str = "month",
     out_value: str | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """Last non-missing value of each series in each period, one row per observed period.
 
     A period whose observations are all missing stays in the result with a missing value, so that
-    it still counts for the extent of the series. ``tie_break`` is a BIGINT key that orders
-    observations of the same calendar day; without it, ``ts`` must be unique per series.
+    it still counts for the extent of the series. ``tie_break`` is a key (any BIGINT, or text) that orders
+    observations of the same time, a missing key before all others; without it, ``ts`` must be unique per series.
 
     The grouping is hash-aggregated map-side before the shuffle, so a hot series ships at most one
-    row per period and task.
+    row per period and task. ``sparse`` is for many series with about one row per period: rows are dealt by series first, and
+    the windows that follow need no exchange of their own.
     """
     period = period_start(F.col(ts), grain)
-    order = _last_order(F.col(ts), period, F.col(tie_break) if tie_break else None)
-    observed = F.when(F.col(value).isNotNull(), order)
-    return df.groupBy(*by, period.alias(out_time)).agg(
+    text_key = tie_break is not None and dict(df.dtypes)[tie_break] == "string"
+    key = None if tie_break is None else F.coalesce(
+        F.col(tie_break), F.lit("") if text_key else F.lit(-(1 << 63)))
+    observed = F.when(F.col(value).isNotNull(), _last_order(F.col(ts), key, text_key))
+    rows = df.repartition(*by) if sparse and by else df
+    return rows.groupBy(*by, period.alias(out_time)).agg(
         F.max_by(F.col(value), observed).alias(out_value or value)
     )
 
@@ -63,7 +67,8 @@ def densify(df: DataFrame, *, by: Sequence[str], time: str = "month", grain: str
     """Add the missing periods between the first and last period of each series.
 
     Each row generates itself and the gap behind it, so there is no calendar table and no join:
-    one window over the series, then a generator. Other columns are NULL on generated rows.
+    one window over the series, then a generator. Other columns are NULL on generated rows. Rows
+    without a period belong to none and are left out.
     """
     values = [c for c in df.columns if c not in (*by, time)]
     step_back = shift_period(F.lead(time).over(ordered(by, time)), -1, grain)

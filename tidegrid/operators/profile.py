@@ -92,9 +92,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     cols = list(columns) if columns is not None else numeric_columns(df)
     moments = [agg(F.col(c).cast("double")).alias(f"_{k}{i}")
                for i, c in enumerate(cols) for k, agg in (("mean", F.avg), ("std", F.stddev_samp))]
-    row = df.agg(*edge_aggregates(cols), *moments).first()
-    edges = read_edges(row, cols)
-    quarts = quantiles_from_edges(df, edges, [0.25, 0.5, 0.75])
+    probs = [0.25, 0.5, 0.75]
+    row = df.agg(*edge_aggregates(cols, probs), *moments).first()
+    edges = read_edges(row, cols, probs)
+    quarts = quantiles_from_edges(df, edges, probs)
     cells = []
     for i, c in enumerate(cols):
         e = edges[c]

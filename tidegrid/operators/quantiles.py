@@ -1,11 +1,11 @@
 """Exact, interpolating quantiles of whole columns on frames of any size.
 
 ``percentile`` keeps every distinct value of a group in one task. That is right for a series that
-was reduced to one row per period, and wrong for a raw column. Here the wanted order statistics
-are bracketed first: each round counts the rows per equal-width bin of the open brackets (a hash
-aggregate with map-side combine), keeps the one bin that holds the wanted rank, and continues in
-it. Only when a bracket holds few rows are those rows sorted. The result is exact, no value is
-dropped, and a single value that fills a large part of a column ends its bracket at once.
+was reduced to one row per period, and wrong for a raw column. Here three scans find the wanted
+order statistics, whatever the distribution: one for the extremes and, by mergeable sketches, a narrow bracket around
+each quantile; one that counts the rows below and inside the brackets; one that sorts what is inside. The sketch only
+decides how narrow the brackets are. Where a count shows that a bracket misses its ranks, it is widened to the extreme on
+that side and counted again, so the result is exact and no value is dropped.
 """
 
 from __future__ import annotations
@@ -17,49 +17,23 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.numeric import is_inf
-
-BINS = 1024
-SORT_ROWS = 100_000
+#: The sketch places a quantile within a share of 1 / ACCURACY of the rows; brackets reach MARGIN such shares to each side.
+ACCURACY, MARGIN = 20_000, 2
 
 
 @dataclass(frozen=True)
 class Edges:
-    """Row count, extremes and finite extremes of one column."""
+    """Row count, extremes and bracketing values (by probability) of one column."""
 
     rows: int
     lo: float | None
     hi: float | None
-    finite_lo: float | None = None
-    finite_hi: float | None = None
-
-
-def edge_aggregates(columns: Sequence[str]) -> list[Column]:
-    """Aggregates that :func:`read_edges` understands; add them to any pass over the data."""
-    return [agg(F.col(c).cast("double")).alias(f"_{k}{i}")
-            for i, c in enumerate(columns) for k, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-
-
-def read_edges(row: Row, columns: Sequence[str]) -> dict[str, Edges]:
-    return {c: Edges(row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(columns)}
-
-
-def _with_finite_edges(df: DataFrame, edges: dict[str, Edges]) -> dict[str, Edges]:
-    """Finite extremes; only columns with an infinity need another pass."""
-    out = {c: replace(e, finite_lo=e.lo, finite_hi=e.hi) for c, e in edges.items()}
-    infinite = [c for c, e in edges.items() if e.rows and (math.isinf(e.lo) or math.isinf(e.hi))]
-    if infinite:
-        finite = {c: F.when(~is_inf(F.col(c).cast("double")), F.col(c).cast("double")) for c in infinite}
-        row = df.agg(*[agg(v).alias(f"_{k}{i}") for i, v in enumerate(finite.values())
-                       for k, agg in (("lo", F.min), ("hi", F.max))]).first()
-        for i, c in enumerate(finite):
-            out[c] = replace(out[c], finite_lo=row[f"_lo{i}"], finite_hi=row[f"_hi{i}"])
-    return out
+    around: dict[float, tuple[float, float]]
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Closed value range that holds the order statistics ``ranks`` (0-based) of a column.
+    """Closed value range that should hold the order statistics ``ranks`` (0-based) of a column.
 
     ``below`` rows of the column are smaller than ``lo``, ``rows`` rows lie inside.
     """
@@ -67,97 +41,88 @@ class _Bracket:
     column: int
     lo: float
     hi: float
-    below: int
-    rows: int
     ranks: tuple[int, ...]
+    below: int = 0
+    rows: int = 0
 
+    @property
+    def holds(self) -> bool:
+        return self.below <= self.ranks[0] and self.ranks[-1] < self.below + self.rows
 
-def _bin(value: Column, lo: Column, hi: Column) -> Column:
-    """Bin number of a value between finite edges; infinities get outer bins of their own."""
-    half = F.lit(0.5)  # keeps the width finite for any pair of doubles
-    share = (value * half - lo * half) / (hi * half - lo * half)
-    inner = F.when(hi * half > lo * half, F.least(F.floor(share * BINS), F.lit(BINS - 1).cast("bigint")))
-    outer = F.when(value > 0, F.lit(BINS)).otherwise(F.lit(-1)).cast("bigint")
-    return F.when(is_inf(value), outer).otherwise(F.coalesce(inner, F.lit(0).cast("bigint")))
 
+def _sides(probs: Sequence[float]) -> list[float]:
+    reach = MARGIN / ACCURACY
+    return [min(1.0, max(0.0, p + side)) for p in probs for side in (-reach, reach)]
 
-def _inside(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket], edges: Sequence[Edges]) -> DataFrame:
-    """Values inside the brackets, with the number of their bracket.
 
-    There are at most two brackets per column and probability, so the join is always a broadcast.
-    """
-    rows = [(n, b.column, b.lo, b.hi,
-             edges[b.column].finite_lo if math.isinf(b.lo) else b.lo,
-             edges[b.column].finite_hi if math.isinf(b.hi) else b.hi) for n, b in enumerate(brackets)]
-    table = df.sparkSession.createDataFrame(
-        rows, "bracket int, col int, lo double, hi double, bin_lo double, bin_hi double")
-    used = sorted({b.column for b in brackets})
-    narrow = df.select(*[F.col(columns[i]).cast("double").alias(f"_v{i}") for i in used])
-    cells = F.array(*[F.struct(F.lit(i).alias("col"), F.col(f"_v{i}").alias("value")) for i in used])
-    values = narrow.select(F.inline(cells)).where(F.col("value").isNotNull())
-    return values.join(F.broadcast(table), "col").where(F.col("value").between(F.col("lo"), F.col("hi")))
-
-
-def _narrow(inside: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
-    """One round: replace each bracket by those of its bins that hold wanted ranks."""
-    number = _bin(F.col("value"), F.col("bin_lo"), F.col("bin_hi"))
-    bins = inside.groupBy("bracket", number.alias("bin")).agg(
-        F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    before = Window.partitionBy("bracket").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    placed = bins.withColumn("below", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-    return _hits(placed, brackets)
-
-
-def _sort(inside: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
-    """Last round: the distinct values of each (small) bracket in order."""
-    counts = inside.groupBy("bracket", F.col("value").alias("lo")).agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("bracket").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("below", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-    return _hits(placed.withColumn("hi", F.col("lo")), brackets)
-
-
-def _hits(placed: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
-    """Ranges that hold a wanted rank, at most one per rank."""
-    ranks = placed.sparkSession.createDataFrame(
-        [(n, rank - b.below) for n, b in enumerate(brackets) for rank in b.ranks], "bracket int, spot bigint")
-    held = (F.col("below") <= F.col("spot")) & (F.col("spot") < F.col("below") + F.col("rows"))
-    hit = placed.join(F.broadcast(ranks), "bracket").where(held).groupBy("bracket", "lo", "hi", "below", "rows").agg(
-        F.collect_list("spot").alias("spots"))
-    out = []
-    for r in hit.collect():
-        parent = brackets[r["bracket"]]
-        held_ranks = tuple(sorted(parent.below + spot for spot in r["spots"]))
-        out.append(replace(parent, lo=r["lo"], hi=r["hi"], below=parent.below + r["below"], rows=r["rows"],
-                           ranks=held_ranks))
+def edge_aggregates(columns: Sequence[str], probs: Sequence[float]) -> list[Column]:
+    """Aggregates that :func:`read_edges` understands; add them to any pass over the data."""
+    values = [F.col(c).cast("double") for c in columns]
+    plain = [agg(v).alias(f"_{k}{i}") for i, v in enumerate(values)
+             for k, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    return plain + [F.percentile_approx(v, _sides(probs), ACCURACY).alias(f"_q{i}") for i, v in enumerate(values)]
+
+
+def read_edges(row: Row, columns: Sequence[str], probs: Sequence[float]) -> dict[str, Edges]:
+    out = {}
+    for i, c in enumerate(columns):
+        q = row[f"_q{i}"] or []
+        out[c] = Edges(row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"], dict(zip(probs, zip(q[::2], q[1::2]))))
     return out
 
 
+def _value(columns: Sequence[str], bracket: _Bracket) -> Column:
+    return F.col(columns[bracket.column]).cast("double")
+
+
+def _count(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """Rows below and inside each bracket: one scan, one aggregate."""
+    if not brackets:
+        return []
+    counts = []
+    for i, b in enumerate(brackets):
+        v = _value(columns, b)
+        counts += [F.count_if(v < F.lit(b.lo)).alias(f"_below{i}"), F.count_if(v.between(b.lo, b.hi)).alias(f"_in{i}")]
+    row = df.agg(*counts).first()
+    return [replace(b, below=row[f"_below{i}"], rows=row[f"_in{i}"]) for i, b in enumerate(brackets)]
+
+
+def _sorted_ranks(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket]) -> dict[tuple[int, int], float]:
+    """Values of the wanted ranks of brackets that hold them: one scan, and a sort of what is inside."""
+    if not brackets:
+        return {}
+    cells = [F.when(_value(columns, b).between(b.lo, b.hi), F.struct(F.lit(i).alias("bracket"), _value(columns, b).alias("value")))
+             for i, b in enumerate(brackets)]
+    inside = df.select(F.inline(F.filter(F.array(*cells), lambda x: x.isNotNull())))
+    counts = inside.groupBy("bracket", "value").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    spots = F.create_map(*[x for i, b in enumerate(brackets) for x in (
+        F.lit(i), F.array(*[F.lit(r - b.below).cast("bigint") for r in b.ranks]))])
+    wanted = placed.select("bracket", "value", "start", "rows", F.explode(spots[F.col("bracket")]).alias("spot"))
+    held = wanted.where((F.col("start") <= F.col("spot")) & (F.col("spot") < F.col("start") + F.col("rows")))
+    return {(brackets[r["bracket"]].column, brackets[r["bracket"]].below + r["spot"]): r["value"] for r in held.collect()}
+
+
 def quantiles_from_edges(
-    df: DataFrame, edges: dict[str, Edges], probs: Sequence[float], sort_rows: int = SORT_ROWS
+    df: DataFrame, edges: dict[str, Edges], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """:func:`column_quantiles` for columns whose edges are already known."""
-    edges = _with_finite_edges(df, edges)
     columns, limits = list(edges), list(edges.values())
     brackets = []
     for i, e in enumerate(limits):
-        spots = [p * (e.rows - 1) for p in probs] if e.rows else []
-        ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-        if ranks:
-            brackets.append(_Bracket(i, e.lo, e.hi, 0, e.rows, tuple(ranks)))
-    exact: dict[tuple[int, int], float] = {}
-    small: list[_Bracket] = []
-    large: list[_Bracket] = []
-    while brackets:
-        exact |= {(b.column, r): b.lo for b in brackets if b.lo == b.hi for r in b.ranks}
-        open_ = [b for b in brackets if b.lo != b.hi]
-        # Every round shrinks a bracket, unless its edges are too close to be told apart by bins.
-        done = [b for b in open_ if b.rows <= sort_rows or b in large]
-        small += done
-        large = [b for b in open_ if b not in done]
-        brackets = _narrow(_inside(df, columns, large, limits), large) if large else []
-    if small:
-        solved = _sort(_inside(df, columns, small, limits), small)
-        exact |= {(b.column, r): b.lo for b in solved for r in b.ranks}
+        for p in probs if e.rows else ():
+            spot = p * (e.rows - 1)
+            lo, hi = e.around[p]
+            brackets.append(_Bracket(i, lo, hi, tuple(sorted({math.floor(spot), math.ceil(spot)}))))
+    brackets = _count(df, columns, brackets)
+    missed = [b for b in brackets if not b.holds]
+    if missed:
+        widened = [replace(b, lo=b.lo if b.below <= b.ranks[0] else limits[b.column].lo,
+                           hi=b.hi if b.ranks[-1] < b.below + b.rows else limits[b.column].hi) for b in missed]
+        brackets = [b for b in brackets if b.holds] + _count(df, columns, widened)
+    exact = {(b.column, r): b.lo for b in brackets if b.lo == b.hi for r in b.ranks}
+    exact |= _sorted_ranks(df, columns, [b for b in brackets if b.lo != b.hi])
 
     def interpolated(i: int, p: float) -> float | None:
         n = limits[i].rows
@@ -170,16 +135,14 @@ def quantiles_from_edges(
     return {c: [interpolated(i, p) for p in probs] for i, c in enumerate(columns)}
 
 
-def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sort_rows: int = SORT_ROWS
-) -> dict[str, list[float | None]]:
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation for each column, ignoring missing values.
 
-    Runs a few jobs over ``df`` and returns a handful of numbers; persist or write an expensive
-    ``df`` first. ``sort_rows`` is the bracket size up to which rows are sorted.
+    Scans ``df`` three times (a fourth time if a sketch was off) and returns a handful of numbers; write an expensive ``df``
+    first.
     """
-    edges = read_edges(df.agg(*edge_aggregates(columns)).first(), columns)
-    return quantiles_from_edges(df, edges, probs, sort_rows)
+    edges = read_edges(df.agg(*edge_aggregates(columns, probs)).first(), columns, probs)
+    return quantiles_from_edges(df, edges, probs)
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

@@ -13,6 +13,7 @@ from tidegrid.functions.numeric import inf_to_null as finite_or_null
 from tidegrid.functions.periods import lookback_bounds, period_label
 from tidegrid.operators import change, encode, fill, folds, forest, grid, profile, rank, select
 from tidegrid.operators.ensemble import ensemble_band as band_of_votes
+from tidegrid.operators.quantiles import column_medians as column_medians_of
 from tidegrid.operators.quantiles import column_quantiles
 from tidegrid.operators.scale import standardize as z_scores
 from tidegrid.operators.windows import ordered
@@ -24,7 +25,9 @@ from tidegrid.plans.inputs import (
     indicator_panel,
     long_indicators,
     long_prices,
+    money_sum,
     price_panel,
+    quarterly_indicators,
     table,
     wide_panel,
 )
@@ -35,7 +38,6 @@ from tidegrid.sources.schemas import lag_columns, target_column
 RUN_DATE = date(2001, 8, 15)
 PRIORITY, CUSTOMER, FLAG = ["o_orderpriority"], ["o_custkey"], ["l_returnflag"]
 NAMES, INDICATOR_NAMES = list(TICKERS.values()), list(INDICATORS.values())
-SMOKE_FOREST = forest.ForestParams(trees=10, depth=5)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,7 +91,8 @@ def resample_last(spark, sf):
 @_query
 def resample_daily(spark, sf):
     events = table(spark, sf, "events")
-    daily = grid.resample_last(events, by=["event_type"], ts="ts", value="value", grain="day", out_time="day")
+    daily = grid.resample_last(events, by=["event_type"], ts="ts", value="value", grain="day", out_time="day",
+                               tie_break="event_id")
     dense = grid.densify(daily, by=["event_type"], time="day", grain="day")
     return change.percent_change(dense, "value", "wow", by=["event_type"], time="day", periods=7)
 
@@ -197,8 +200,9 @@ def fill_median(spark, sf):
 
 @_query
 def fill_global_median(spark, sf):
-    dense = stored(_wide_grid(spark, sf)).withColumn("filled", F.col("price"))
-    filled = fill.fill_global_median(dense, ["filled"])
+    # Gaps do not enter a median: it is fitted on the observed rows, before the grid is made dense.
+    medians = column_medians_of(wide_panel(spark, sf), ["price"])
+    filled = fill.fill_values(_wide_grid(spark, sf).withColumn("filled", F.col("price")), {"filled": medians["price"]})
     return filled.withColumn("filled", rint_to(F.col("filled"), 4))
 
 
@@ -290,6 +294,13 @@ def supervised_panel(spark, sf):
     return supervised.supervised_panel(prices, long_indicators(spark, sf), indicators=INDICATORS, series="o_custkey")
 
 
+@_query
+def supervised_panel_quarterly(spark, sf):
+    """Indicators that are observed every third month only."""
+    prices = wide_panel(spark, sf).toDF("o_custkey", "period", "value")
+    return supervised.supervised_panel(prices, quarterly_indicators(spark, sf), indicators=INDICATORS, series="o_custkey")
+
+
 @_query
 def select_by_pattern(spark, sf):
     return select.select_matching(supervised_frame(spark, sf), "YOY", "MOM", keep=["period"])
@@ -315,10 +326,13 @@ def training_frame(spark, sf):
 
 def _own_features(spark, sf):
     """Complete features of the customer panel: a customer without any return takes the median of
-    all customers. Cut from its lineage, as the medians and the fits read it again."""
-    matrix = features.feature_matrix(supervised_panel(spark, sf), tickers=["Own"], indicators=INDICATOR_NAMES,
-                                     by=CUSTOMER, keep=[target_column("Own")])
-    return fill.fill_global_median(stored(matrix), lag_columns("Own"))
+    all customers. The customers' own columns are cut from their lineage, as the medians read them again."""
+    prices = wide_panel(spark, sf).toDF("o_custkey", "period", "value")
+    own = stored(supervised.own_panel(prices, series="o_custkey"))
+    calendar = supervised.shared_calendar(prices, long_indicators(spark, sf), indicators=INDICATORS)
+    matrix = features.panel_matrix(own, calendar, indicators=INDICATOR_NAMES, by=CUSTOMER, keep=[target_column("Own")])
+    overall = column_medians_of(features.panel_lags(own, by=CUSTOMER), lag_columns("Own"))
+    return fill.fill_values(matrix, overall)
 
 
 @_query
@@ -436,7 +450,11 @@ def list_versions(spark, sf):
 
 @_query
 def latest_version(spark, sf):
-    return versions.latest_version(_versioned(spark, sf)).select(
+    # The version is a function of the date, so the newest one is a date range that reaches the scan.
+    orders = table(spark, sf, "orders")
+    newest = orders.agg(F.trunc(F.max("o_orderdate"), "MM")).first()[0]
+    recent = orders.where(F.col("o_orderdate") >= F.lit(newest)) if newest else orders
+    return versions.stamp_version(recent, "o_orderdate").select(
         "version", "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
 
 
@@ -450,12 +468,21 @@ def append_if_absent(spark, sf):
     return writers.append_if_absent(known, delivered, ["o_orderkey"])
 
 
+@_query
+def append_repeated_keys(spark, sf):
+    """A delivery keyed by customer: keys repeat, and those of every seventh customer are missing."""
+    orders = table(spark, sf, "orders").select(
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("k"), "o_orderkey", "o_totalprice")
+    known = orders.where((F.col("o_orderkey") % 5 == 0) & F.col("k").isNotNull())
+    return writers.append_if_absent(known, orders.where(F.col("o_orderkey") % 5 != 0), ["k"], order=["o_orderkey"])
+
+
 # Ranking and report data
 
 
 def _ranked(spark, sf):
     revenue = table(spark, sf, "lineitem").groupBy("l_returnflag", F.col("l_partkey").cast("string").alias("feature")).agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("importance"))
+        money_sum("l_extendedprice").alias("importance"))
     return rank.topk(revenue, 5, by=FLAG)
 
 
@@ -479,63 +506,112 @@ def report_lines(spark, sf):
     levels = select.latest_row(grid.densify(indicator_panel(spark, sf), by=FLAG), by=FLAG)
     snapshot = levels.select(F.col("l_returnflag").alias("name"), F.col("revenue").alias("value"))
     tops = _ranked(spark, sf).withColumnRenamed("l_returnflag", "target")
-    return report.report_lines(snapshot=snapshot, tops=tops)
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("target"))
+    predictions = lines.agg(F.avg(F.col("l_discount").cast("decimal(18,4)")).cast("double").alias("mean"),
+                            F.min("l_tax").alias("p25"), F.max("l_tax").alias("p75"))
+    metrics = lines.agg(F.max("l_discount").alias("value")).withColumn("metric", F.lit("r2"))
+    return report.report_lines(predictions=predictions, metrics=metrics, snapshot=snapshot, tops=tops)
 
 
 # Forests
 
 
+KEYS = [*PRIORITY, "period"]
+TARGET = target_column("Own")
+
+
 def _panel_training(spark, sf):
-    """Training rows of the priority panel, cut from their lineage before the fits."""
+    """Training rows of the priority panel, cut from their lineage before the folds and fits."""
     prices = price_panel(spark, sf).toDF("o_orderpriority", "period", "value")
-    panel = supervised.supervised_panel(prices, long_indicators(spark, sf), indicators=INDICATORS,
-                                        series="o_orderpriority")
-    frame = features.training_frame(panel, tickers=["Own"], indicators=INDICATOR_NAMES, run_date=RUN_DATE,
-                                    by=PRIORITY)
-    return stored(folds.calendar_folds(frame, 5, time="period")), features.feature_columns(["Own"], INDICATOR_NAMES)
+    calendar = supervised.shared_calendar(prices, long_indicators(spark, sf), indicators=INDICATORS)
+    matrix = features.panel_matrix(supervised.own_panel(prices, series="o_orderpriority"), calendar,
+                                   indicators=INDICATOR_NAMES, by=PRIORITY, keep=[TARGET])
+    frame = stored(fill.fill_median(matrix, [TARGET], by=PRIORITY))
+    return folds.calendar_folds(frame, 5, time="period"), features.feature_columns(["Own"], INDICATOR_NAMES)
 
 
 def _fitted(spark, sf):
     frame, cols = _panel_training(spark, sf)
-    return frame, forest.fit_forests(frame, cols, [target_column("Own")], SMOKE_FOREST)
+    return frame, forest.fit_forests(frame, cols, [TARGET], keys=KEYS)
+
+
+def _near(a, b):
+    return F.abs(F.col(a) - F.col(b)) <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(F.col(b)))
+
+
+def _within_labels(predicted, labelled):
+    """Whether each prediction lies between the least and the greatest label, as a mean of labels must."""
+    lo, hi = labelled.agg(F.min(TARGET), F.max(TARGET)).first()
+    return predicted.withColumn("within_labels", F.col("prediction").between(lo - 1e-9, hi + 1e-9))
+
+
+# A forest has no SQL equivalent, so these queries fit and predict in full and return, for every key, whether what must hold
+# of its values does.
 
 
 @_query
 def forest_fit_predict(spark, sf):
     frame, bundle = _fitted(spark, sf)
-    return forest.predict(frame, bundle, target_column("Own")).select("o_orderpriority", "period", "prediction")
+    return _within_labels(forest.predict(frame, bundle, TARGET), frame).select(*KEYS, "within_labels")
 
 
 @_query
 def forest_band(spark, sf):
     frame, bundle = _fitted(spark, sf)
-    return forest.forest_band(frame, bundle, target_column("Own")).select(
-        "o_orderpriority", "period", "mean", "std", "p25", "p75")
+    bands = forest.forest_band(forest.predict(frame, bundle, TARGET), bundle, TARGET)
+    return bands.select(*KEYS, _near("mean", "prediction").alias("mean_is_prediction"),
+                        (F.col("p25") <= F.col("p75")).alias("band_in_order"), (F.col("std") >= 0).alias("spread_known"))
 
 
 @_query
 def feature_importance(spark, sf):
     frame, bundle = _fitted(spark, sf)
-    return forest.feature_importance(bundle, frame, target_column("Own"))
+    ranked = forest.feature_importance(bundle, frame, TARGET)
+    total, count, last = ranked.agg(F.sum("importance"), F.count("*"), F.max("rank")).first()
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("is_share"),
+                         F.lit(abs(total - 1) < 1e-9).alias("total_is_one"), F.lit(last == count).alias("ranks_complete"))
 
 
 @_query
 def cv_scores(spark, sf):
-    frame, bundle = _fitted(spark, sf)
-    return forest.cv_scores(forest.fold_scores(forest.out_of_fold(frame, bundle, "fold", 5), "fold"))
+    frame, cols = _panel_training(spark, sf)
+    predicted = forest.out_of_fold(frame, forest.fit_scaler(frame, cols), [TARGET], "fold", keys=KEYS)
+    scores = stored(forest.fold_scores(predicted, "fold"))
+    by_hand = scores.groupBy("target").agg(
+        (F.sum("r2") / F.count("r2")).alias("mean"),
+        F.sqrt(F.sum(F.col("r2") * F.col("r2")) / F.count("r2") - F.pow(F.sum("r2") / F.count("r2"), 2)).alias("std"))
+    joined = scores.join(forest.cv_scores(scores), "target").join(by_hand, "target")
+    return joined.select("target", "fold", (F.col("r2") <= 1).alias("is_score"), _near("fold_mean", "mean").alias("mean_holds"),
+                         (F.abs(F.col("fold_std") - F.col("std")) <= 1e-6).alias("std_holds"))
 
 
 @_query
 def model_metrics(spark, sf):
     frame, bundle = _fitted(spark, sf)
-    return forest.model_metrics(frame, bundle, "fold", 5)
+    metrics = forest.model_metrics(frame, bundle, "fold", 5, keys=KEYS)
+    holds = F.when(F.col("metric") == "cv_std", F.col("value") >= 0).when(
+        F.col("metric") == "r2", F.col("value").between(0, 1)).otherwise(F.col("value") <= 1)
+    return metrics.select("target", "metric", holds.alias("holds"))
 
 
 @_query
 def forest_panel(spark, sf):
     """One forest over all customers: the fit grows with the panel."""
-    target = target_column("Own")
-    frame = _own_features(spark, sf)
-    bundle = forest.fit_forests(frame.dropna(subset=[target]), features.feature_columns(["Own"], INDICATOR_NAMES),
-                                [target], SMOKE_FOREST)
-    return forest.predict(frame, bundle, target).select("o_custkey", "period", "prediction")
+    frame = stored(_own_features(spark, sf))
+    labelled = frame.dropna(subset=[TARGET])
+    bundle = forest.fit_forests(labelled, features.feature_columns(["Own"], INDICATOR_NAMES), [TARGET],
+                                keys=[*CUSTOMER, "period"])
+    return _within_labels(forest.predict(frame, bundle, TARGET), labelled).select("o_custkey", "period", "within_labels")
+
+
+@_query
+def fold_scores(spark, sf):
+    """The validation arithmetic on a predictor that SQL has too: the last known price."""
+    carried = fill.ffill(_price_grid(spark, sf).withColumn("carried", F.col("price")), ["carried"], by=PRIORITY)
+    guessed = carried.withColumn("guess", F.lag("carried").over(ordered(PRIORITY, "month")))
+    dealt = folds.calendar_folds(guessed, 5)
+    scores = forest.fold_scores(dealt.select(F.lit("price").alias("target"), "fold", F.col("price").alias("label"),
+                                             F.col("guess").alias("prediction")), "fold")
+    summary = forest.cv_scores(scores)
+    return scores.join(summary, "target").select("fold", *[
+        rint_to(F.col(c), 6).alias(c) for c in ("r2", "fold_mean", "fold_std")])

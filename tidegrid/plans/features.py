@@ -83,3 +83,28 @@ def training_frame(
         labelled = matrix if keep_unlabelled else matrix.dropna(subset=targets)
     stamped = labelled.withColumn("Processing_Date", F.date_format(F.lit(run_date), "yyyy-MM-dd"))
     return add_row_index(stamped, by=by, time=time)
+
+
+def panel_lags(own: DataFrame, *, by: Sequence[str], time: str = "period") -> DataFrame:
+    """The lagged returns of each series, imputed inside the series."""
+    return impute_chain(own, returns=lag_columns("Own"), by=by, time=time)
+
+
+def panel_matrix(
+    own: DataFrame,
+    calendar: DataFrame,
+    *,
+    indicators: Sequence[str],
+    by: Sequence[str],
+    time: str = "period",
+    keep: Sequence[str] = (),
+    bfill: bool = True,
+) -> DataFrame:
+    """Feature matrix of a panel, from the series' own columns and the indicators of the calendar.
+
+    Indicators are imputed on the calendar, once per month and not once per series and month, and joined at the end; inside
+    each series only its lagged returns are left to fill.
+    """
+    finished = impute_chain(calendar, levels=indicators, changes=change_columns(indicators), by=[], time=time, bfill=bfill)
+    imputed = panel_lags(encode_calendar(own), by=by, time=time)
+    return imputed.join(finished, time, "left").select(*by, time, *feature_columns(["Own"], indicators), *keep)

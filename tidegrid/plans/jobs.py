@@ -6,6 +6,7 @@ and fails on error. Repeating a run gives the same state.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -16,14 +17,14 @@ from pyspark.sql import types as T
 from tidegrid.functions.periods import lookback_bounds, next_month
 from tidegrid.operators import folds, forest
 from tidegrid.operators.grid import resample_last, stack_long
-from tidegrid.operators.profile import describe, describe_wide, require_clean
+from tidegrid.operators.profile import describe, describe_wide, inf_profile, missing_profile, require_clean, series_coverage
 from tidegrid.operators.rank import topk, unpivot_topk
 from tidegrid.operators.select import latest_row
 from tidegrid.plans.features import feature_columns, training_frame
 from tidegrid.plans.report import report_lines
 from tidegrid.plans.supervised import supervised_frame, with_label
 from tidegrid.sources.readers import scan_series
-from tidegrid.sources.schemas import dataset_schema, target_column
+from tidegrid.sources.schemas import dataset_columns, dataset_schema, target_column
 from tidegrid.sources.versions import VERSION, has_version, read_latest, read_versions, version_label
 from tidegrid.sources.writers import absent_rows, append_rows, overwrite_version, write_lines
 
@@ -32,8 +33,8 @@ TICKERS = {"SPY": "SPY", "QQQ": "QQQ"}
 INDICATORS = {"GDPC1": "GDP", "CPIAUCSL": "CPI", "UNRATE": "Unemployment", "IPMAN": "PMI"}
 UNITS = {"Unemployment": "%"}
 
-DATASET, PROCESSED, STATISTICS, MODELS, RESULTS, REPORTS = (
-    "dataset", "processed", "statistics", "models", "results", "reports")
+DATASET, COVERAGE, PROFILE, PROCESSED, STATISTICS, MODELS, RESULTS, REPORTS = (
+    "dataset", "coverage", "profile", "processed", "statistics", "models", "results", "reports")
 TOP = 5
 
 
@@ -54,13 +55,55 @@ def build_dataset(
     monthly = []
     for rows, ids, value in ((prices, tickers, "adj_close"), (observations, indicators, "value")):
         wanted = scan_series(rows, list(ids), lo, hi, series="series_id", ts="ts")
-        monthly.append(resample_last(wanted, by=["series_id"], ts="ts", value=value,
+        # Of several observations of one day the greatest counts, so the result does not depend on their order.
+        daily = wanted.groupBy("series_id", "ts").agg(F.max(value).alias(value))
+        monthly.append(resample_last(daily, by=["series_id"], ts="ts", value=value,
                                      out_time="period", out_value="value"))
     frame = supervised_frame(*monthly, tickers=tickers, indicators=indicators,
                              drop_last=not keep_last, fill_targets=fill_targets)
     return with_label(frame)
 
 
+def requested_coverage(
+    spark: SparkSession,
+    prices: DataFrame,
+    observations: DataFrame,
+    *,
+    run_date: date,
+    months: int,
+    tickers: Mapping[str, str],
+    indicators: Mapping[str, str],
+) -> DataFrame:
+    """``(kind, series_id, n_obs, n_rows, n_undated, is_empty)`` of every requested series in the lookback window.
+
+    Rows without a date belong to no month; they are counted apart, over all dates.
+    """
+    lo, hi = lookback_bounds(run_date, months)
+    parts = []
+    for kind, rows, ids, value in (("price", prices, tickers, "adj_close"), ("indicator", observations, indicators, "value")):
+        wanted = spark.createDataFrame([(i,) for i in ids], "series_id string")
+        inside = series_coverage(scan_series(rows, list(ids), lo, hi, series="series_id", ts="ts"), wanted,
+                                 series="series_id", value=value)
+        undated = rows.where(F.col("ts").isNull() & F.col("series_id").isin(list(ids))).groupBy("series_id").agg(
+            F.count("*").alias("n_undated"))
+        parts.append(inside.join(undated, "series_id", "left").select(
+            F.lit(kind).alias("kind"), "series_id", "n_obs", F.col("n_grid").alias("n_rows"),
+            F.coalesce("n_undated", F.lit(0).cast("bigint")).alias("n_undated"), "is_empty"))
+    return stack_long(parts)
+
+
+def _report_missing(coverage: DataFrame, months: int, run_date: date) -> None:
+    """Raise for a ticker without observations, warn for an indicator without."""
+    empty = [(r["kind"], r["series_id"]) for r in coverage.where("is_empty").collect()]  # one row per requested series
+    span = f"in the {months} months before {run_date:%Y-%m}"
+    for kind, sid in empty:
+        if kind == "indicator":
+            warnings.warn(f"indicator {sid} has no observations {span}", stacklevel=3)
+    tickers = [sid for kind, sid in empty if kind == "price"]
+    if tickers:
+        raise ValueError(f"no prices of {', '.join(sorted(tickers))} {span}")
+
+
 def collect(
     spark: SparkSession,
     prices: DataFrame,
@@ -77,15 +120,20 @@ def collect(
 ) -> str:
     """Create the dataset version of the run month, or append its newest period if absent.
 
-    Returns ``"created"``, ``"appended"`` or ``"unchanged"``.
+    Returns ``"created"``, ``"appended"`` or ``"unchanged"``. A new version also gets a table of what was found for each
+    requested series; a ticker without prices is an error that names it, an indicator without observations a warning.
     """
     path, version = f"{root}/{DATASET}", version_label(run_date)
     options = dict(run_date=run_date, tickers=tickers, indicators=indicators, keep_last=keep_last,
                    fill_targets=fill_targets)
     if not has_version(spark, path, version):
+        coverage = requested_coverage(spark, prices, observations, run_date=run_date, months=months, tickers=tickers,
+                                      indicators=indicators)
+        overwrite_version(coverage, f"{root}/{COVERAGE}", run_date, fmt)
+        _report_missing(coverage, months, run_date)
         frame = build_dataset(prices, observations, months=months, **options)
         if frame.isEmpty():
-            raise ValueError(f"no requested series has data in the {months} months before {run_date:%Y-%m}")
+            raise ValueError(f"the {months} months before {run_date:%Y-%m} hold no complete month")
         overwrite_version(frame, path, run_date, fmt)
         return "created"
 
@@ -125,6 +173,21 @@ def _result_slots(tickers: Sequence[str]) -> list[tuple[str, bool]]:
     return bands + scores + tops
 
 
+def features_of_dataset(tickers: Sequence[str], indicators: Sequence[str]) -> list[str]:
+    return [c for c in dataset_columns(tickers, indicators) if c not in ("Year", "Month", "Quarter")]
+
+
+def data_profile(monthly: DataFrame, columns: Sequence[str], targets: Sequence[str], filled: bool) -> DataFrame:
+    """``(measure, column_name, n)`` of the data before imputation: missing and infinite cells, and the labels that
+    training fills with their median."""
+    parts = [missing_profile(monthly, columns).select(F.lit("missing").alias("measure"), "column_name", F.col("n_missing").alias("n")),
+             inf_profile(monthly, columns).select(F.lit("infinite").alias("measure"), "column_name", F.col("n_inf").alias("n"))]
+    if filled:
+        parts.append(missing_profile(monthly, targets).select(
+            F.lit("filled label").alias("measure"), "column_name", F.col("n_missing").alias("n")))
+    return stack_long(parts)
+
+
 def prediction_record(
     bands: DataFrame, metrics: DataFrame, tops: DataFrame, *, tickers: Mapping[str, str], run_date: date,
     target_month: date,
@@ -187,6 +250,8 @@ def forecast(
         target_month = next_month(newest)
     else:
         target_month = run_date
+    overwrite_version(data_profile(monthly, [*features_of_dataset(names, ind)], targets, filled=not ahead),
+                      f"{root}/{PROFILE}", run_date, fmt)
     frame = training_frame(monthly, tickers=names, indicators=ind, run_date=run_date, fill_labels=not ahead,
                            bfill=bfill, keep_unlabelled=ahead)
     columns = ["row_idx", *features, *targets, "Processing_Date"]
@@ -203,13 +268,13 @@ def forecast(
     overwrite_version(stats, f"{root}/{STATISTICS}", run_date, fmt)
 
     training = folds.series_folds(labelled, k, by=[], time="row_idx")
-    bundle = forest.fit_forests(training, features, targets, params)
+    bundle = forest.fit_forests(training, features, targets, params, keys=["row_idx"])
     bundle.save(f"{root}/{MODELS}/{VERSION}={version}")
-    metrics = forest.model_metrics(training, bundle, "fold", k)
+    metrics = forest.model_metrics(training, bundle, "fold", k, keys=["row_idx"])
     latest = latest_row(stored, by=[], time="row_idx")
     bands = stack_long([forest.forest_band(latest, bundle, t).select(F.lit(t).alias("target"), "mean", "std", "p25", "p75")
                         for t in targets])
-    importances = stack_long([forest.feature_importance(bundle, training, t).withColumn("target", F.lit(t))
+    importances = stack_long([forest.feature_importance(bundle, training, t).drop("rank").withColumn("target", F.lit(t))
                               for t in targets])
     record = prediction_record(bands, metrics, topk(importances, TOP, by=["target"]), tickers=tickers,
                                run_date=run_date, target_month=target_month)

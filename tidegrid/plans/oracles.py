@@ -14,7 +14,7 @@ _WIDE = """wide AS (
          arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS price
   FROM orders GROUP BY 1, 2)"""
 _DAILY = """daily AS (
-  SELECT l_returnflag, l_shipdate::DATE AS day, round(sum(l_extendedprice), 2) AS revenue
+  SELECT l_returnflag, l_shipdate::DATE AS day, sum(l_extendedprice::DECIMAL(28, 2))::DOUBLE AS revenue
   FROM lineitem GROUP BY 1, 2)"""
 _IND = _DAILY + """, ind AS (
   SELECT l_returnflag, date_trunc('month', day)::DATE AS month, arg_max(revenue, day) AS revenue
@@ -99,14 +99,21 @@ def _q(name: str) -> str:
     return f'"{name}"'
 
 
-def _indicator_wide() -> str:
+def _indicator_source(grain: str) -> str:
+    months = _DAILY + f""", ind AS (
+  SELECT l_returnflag, date_trunc('{grain}', day)::DATE AS month, arg_max(revenue, day) AS revenue
+  FROM daily GROUP BY 1, 2)"""
+    return months + ", " + _grid("im", "ind", "l_returnflag", "revenue")
+
+
+def _indicator_wide(grain: str = "month") -> str:
     window = "(PARTITION BY l_returnflag ORDER BY month)"
     cells = []
     for sid, name in INDICATORS.items():
         at = f"FILTER (l_returnflag = '{sid}')"
         cells += [f"max(revenue) {at} AS {_q(name)}", f"max(yoy) {at} AS {_q(name + '_YOY')}",
                   f"max(mom) {at} AS {_q(name + '_MOM')}"]
-    return f"""{IM}, ilag AS (
+    return f"""{_indicator_source(grain)}, ilag AS (
   SELECT *, lag(revenue, 12) OVER {window} AS p12, lag(revenue, 1) OVER {window} AS p1 FROM im),
 ifeat AS (SELECT l_returnflag, month, revenue, {_pct('revenue', 'p12')} AS yoy, {_pct('revenue', 'p1')} AS mom FROM ilag),
 iwide AS (SELECT month, {', '.join(cells)} FROM ifeat GROUP BY month)"""
@@ -159,41 +166,65 @@ matrix AS (SELECT * EXCLUDE ("Month") REPLACE ({', '.join(lags)}),
 _FEATURES = ["Year", *_MONTH_FLAGS, *_QUARTER_FLAGS, "Month_Sin", "Month_Cos", *_IND_NAMES, *_CHANGES, *_LAG_COLS]
 
 
-def _panel() -> str:
+_SHARED = [*_IND_NAMES, *_CHANGES]
+_OWN_LAGS = ["Own_Return_Prev1M", "Own_Return_Prev2M", "Own_Return_Prev3M"]
+
+
+def _own(returns: str, key: str) -> str:
+    """Per series: own lagged returns and target, carried forward, in percent; and the newest month."""
+    w = f"(PARTITION BY {key} ORDER BY month)"
+    cells = ["lag1", "lag2", "lag3", "next1"]
+    return f"""own AS (
+  SELECT {key}, month, lag(ret, 1) OVER {w} AS lag1, lag(ret, 2) OVER {w} AS lag2,
+         lag(ret, 3) OVER {w} AS lag3, lead(ret, 1) OVER {w} AS next1 FROM {returns}),
+ownc AS (SELECT {key}, month, {', '.join(f'{_ffill(c, w)} AS {c}' for c in cells)},
+  max(month) OVER (PARTITION BY {key}) AS newest FROM own),
+ownp AS (SELECT {key}, month, {', '.join(f"{_rint(c + ' * 100.0::DOUBLE')} AS {_q(n)}"
+                                         for c, n in zip(cells, [*_OWN_LAGS, 'Next_Month_Own']))}
+  FROM ownc WHERE month < newest)"""
+
+
+def _calendar() -> str:
+    """As-of values of every indicator column on the months of both sides."""
+    w = "(ORDER BY month)"
+    return f"""cal AS (SELECT unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month
+  FROM (SELECT min(month) AS lo, max(month) AS hi FROM (SELECT month FROM iwide UNION ALL SELECT month FROM own))),
+icar AS (SELECT month, {', '.join(f'{_ffill(_q(c), w)} AS {_q(c)}' for c in _SHARED)}
+  FROM cal LEFT JOIN iwide USING (month))"""
+
+
+def _panel(grain: str = "month") -> str:
     """Per customer: own lagged returns and target next to the shared indicators."""
-    shared = [*_IND_NAMES, *_CHANGES]
-    own = ["lag1", "lag2", "lag3", "next1"]
-    names = ["Own_Return_Prev1M", "Own_Return_Prev2M", "Own_Return_Prev3M", "Next_Month_Own"]
-    return f"""WITH {_indicator_wide()}, {WR}, own AS (
-  SELECT o_custkey, month, lag(ret, 1) OVER {W_CUST} AS lag1, lag(ret, 2) OVER {W_CUST} AS lag2,
-         lag(ret, 3) OVER {W_CUST} AS lag3, lead(ret, 1) OVER {W_CUST} AS next1 FROM wr),
-joined AS (SELECT own.*, i.* EXCLUDE (month) FROM own LEFT JOIN iwide i ON i.month = own.month),
-carried AS (SELECT o_custkey, month, {', '.join(f'{_ffill(_q(c), W_CUST)} AS {_q(c)}' for c in [*shared, *own])},
-  max(month) OVER (PARTITION BY o_custkey) AS newest FROM joined)
+    return f"""WITH {_indicator_wide(grain)}, {WR}, {_own('wr', 'o_custkey')}, {_calendar()}
 SELECT o_custkey, month AS period, year(month)::INT AS "Year", month(month)::INT AS "Month", quarter(month)::INT AS "Quarter",
-  {', '.join(_q(c) for c in shared)},
-  {', '.join(f"{_rint(c + ' * 100.0::DOUBLE')} AS {_q(n)}" for c, n in zip(own, names))}
-FROM carried WHERE month < newest"""
+  {', '.join(_q(c) for c in [*_SHARED, *_OWN_LAGS, 'Next_Month_Own'])} FROM ownp LEFT JOIN icar USING (month)"""
 
 
 def _panel_matrix() -> str:
     """Features of the customer panel; lags without any value in their series take the overall median."""
-    w, whole = "(PARTITION BY o_custkey ORDER BY period)", "(PARTITION BY o_custkey)"
-    lags = ["Own_Return_Prev1M", "Own_Return_Prev2M", "Own_Return_Prev3M"]
-    flags = [f'("Month" = {i})::INT AS {_q(n)}' for i, n in enumerate(_MONTH_FLAGS, 1)]
-    flags += [f'("Quarter" = {i})::INT AS {_q(n)}' for i, n in enumerate(_QUARTER_FLAGS, 1)]
-    imputed = [*_IND_NAMES, *_CHANGES, *lags]
-    filled = [f"coalesce({_ffill(_q(c), w)}, {_bfill(_q(c), w)}) AS {_q(c)}" for c in _IND_NAMES]
-    filled += [f"coalesce({_q(c)}, 0.0::DOUBLE) AS {_q(c)}" for c in _CHANGES]
-    filled += [f"coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}" for c in lags]
-    angle = '2 * pi() * "Month" / 12'
-    lag_out = [f"coalesce({_q(c)}, (SELECT median({_q(c)}) FROM complete))" for c in lags]
-    return f"""WITH panel AS ({_panel()}),
-filled AS (SELECT o_custkey, period, "Year", "Month", {', '.join([*flags, *filled])} FROM panel),
-finite AS (SELECT * REPLACE ({', '.join(f'{_clean(_q(c))} AS {_q(c)}' for c in imputed)}) FROM filled),
-complete AS (SELECT * REPLACE ({', '.join(f'coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}' for c in imputed)}) FROM finite)
-SELECT * EXCLUDE ("Month") REPLACE ({', '.join(f'{_rint(x, 9)} AS {_q(c)}' for c, x in zip(lags, lag_out))}),
-  {_rint(f'sin({angle})', 9)} AS "Month_Sin", {_rint(f'cos({angle})', 9)} AS "Month_Cos" FROM complete"""
+    w, whole = "(ORDER BY month)", "(PARTITION BY o_custkey)"
+    flags = [f'(month(month) = {i})::INT AS {_q(n)}' for i, n in enumerate(_MONTH_FLAGS, 1)]
+    flags += [f'(quarter(month) = {i})::INT AS {_q(n)}' for i, n in enumerate(_QUARTER_FLAGS, 1)]
+    levels = [f"coalesce({_ffill(_q(c), w)}, {_bfill(_q(c), w)}) AS {_q(c)}" for c in _IND_NAMES]
+    levels += [f"coalesce({_q(c)}, 0.0::DOUBLE) AS {_q(c)}" for c in _CHANGES]
+    angle = '2 * pi() * month(month) / 12'
+    lag_out = [f"coalesce({_q(c)}, (SELECT median({_q(c)}) FROM lags3))" for c in _OWN_LAGS]
+    return f"""WITH {_indicator_wide()}, {WR}, {_own('wr', 'o_custkey')}, {_calendar()},
+i1 AS (SELECT month, {', '.join(levels)} FROM icar),
+i2 AS (SELECT month, {', '.join(f'{_clean(_q(c))} AS {_q(c)}' for c in _SHARED)} FROM i1),
+i3 AS (SELECT month, {', '.join(f'coalesce({_q(c)}, median({_q(c)}) OVER ()) AS {_q(c)}' for c in _SHARED)} FROM i2),
+lags1 AS (SELECT o_custkey, month, {', '.join(f'coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}' for c in _OWN_LAGS)} FROM ownp),
+lags2 AS (SELECT o_custkey, month, {', '.join(f'{_clean(_q(c))} AS {_q(c)}' for c in _OWN_LAGS)} FROM lags1),
+lags3 AS (SELECT o_custkey, month, {', '.join(f'coalesce({_q(c)}, median({_q(c)}) OVER {whole}) AS {_q(c)}' for c in _OWN_LAGS)} FROM lags2)
+SELECT o_custkey, month AS period, year(month)::INT AS "Year", {', '.join(flags)},
+  {_rint(f'sin({angle})', 9)} AS "Month_Sin", {_rint(f'cos({angle})', 9)} AS "Month_Cos", {', '.join(map(_q, _SHARED))},
+  {', '.join(f'{_rint(x, 9)} AS {_q(c)}' for c, x in zip(_OWN_LAGS, lag_out))}
+FROM lags3 LEFT JOIN i3 USING (month)"""
+
+
+_PANEL_FEATURES = ["Year", *_MONTH_FLAGS, *_QUARTER_FLAGS, "Month_Sin", "Month_Cos", *_SHARED, *_OWN_LAGS]
+_PRIO_KEYS = f"WITH {PM}, newest AS (SELECT o_orderpriority, max(month) AS last FROM pm GROUP BY 1) " + """
+      SELECT pm.o_orderpriority, pm.month AS period, {flags} FROM pm JOIN newest USING (o_orderpriority) WHERE month < last"""
 
 
 def _unpivot_counts(source: str, columns: list[str], test: str, out: str) -> str:
@@ -213,7 +244,7 @@ def _describe(table: str, columns: list[str]) -> str:
 
 
 _RANKED = """revenue AS (
-  SELECT l_returnflag, l_partkey::VARCHAR AS feature, round(sum(l_extendedprice), 2) AS importance
+  SELECT l_returnflag, l_partkey::VARCHAR AS feature, sum(l_extendedprice::DECIMAL(28, 2))::DOUBLE AS importance
   FROM lineitem GROUP BY 1, 2),
 ranked AS (SELECT * FROM (SELECT l_returnflag,
   row_number() OVER (PARTITION BY l_returnflag ORDER BY importance DESC, feature)::INT AS rank, feature, importance
@@ -236,7 +267,7 @@ ORACLES: dict[str, str] = {
         for m, lo in ((2, "2000-05-01"), (36, "1997-07-01"))),
     "resample_last": f"WITH {_PRICE} SELECT * FROM price",
     "resample_daily": f"""WITH obs AS (
-        SELECT event_type, ts::DATE AS day, arg_max(value, ts) AS value FROM events GROUP BY 1, 2),
+        SELECT event_type, ts::DATE AS day, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2),
       ends AS (SELECT event_type, min(day) AS lo, max(day) AS hi FROM obs GROUP BY 1),
       spine AS (SELECT event_type, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM ends),
       dense AS (SELECT s.event_type, s.day, o.value FROM spine s LEFT JOIN obs o ON o.event_type = s.event_type AND o.day = s.day),
@@ -295,6 +326,7 @@ ORACLES: dict[str, str] = {
         {_rint('cos(2 * pi() * month(month) / 12)', 12)} AS m_cos FROM months""",
     "supervised_frame": f"WITH {_supervised()} SELECT * FROM sup",
     "supervised_panel": _panel(),
+    "supervised_panel_quarterly": _panel("quarter"),
     "feature_panel": _panel_matrix(),
     "select_by_pattern": f"WITH {_supervised()} SELECT period, {', '.join(map(_q, _CHANGES))} FROM sup",
     "feature_matrix": f"WITH {_matrix(False)} SELECT period, {', '.join(map(_q, _FEATURES))} FROM matrix",
@@ -342,6 +374,31 @@ ORACLES: dict[str, str] = {
     "append_if_absent": f"""SELECT o_orderkey, o_custkey, o_orderpriority,
         CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN o_totalprice ELSE {_rint('o_totalprice * 2')} END AS o_totalprice,
         o_orderdate::DATE AS day FROM orders""",
+    "append_repeated_keys": """WITH o AS (
+        SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS k, o_orderkey, o_totalprice FROM orders),
+      known AS (SELECT * FROM o WHERE o_orderkey % 5 = 0 AND k IS NOT NULL),
+      fresh AS (SELECT k, min(o_orderkey) AS o_orderkey FROM o WHERE o_orderkey % 5 <> 0 GROUP BY k)
+      SELECT * FROM known UNION ALL
+      SELECT o.* FROM o JOIN fresh ON o.o_orderkey = fresh.o_orderkey AND o.k IS NOT DISTINCT FROM fresh.k
+      WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.k IS NOT DISTINCT FROM fresh.k)""",
+    "forest_fit_predict": _PRIO_KEYS.format(flags="true AS within_labels"),
+    "forest_band": _PRIO_KEYS.format(flags="true AS mean_is_prediction, true AS band_in_order, true AS spread_known"),
+    "feature_importance": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, true AS is_share, true AS total_is_one, true AS ranks_complete" for c in _PANEL_FEATURES),
+    "cv_scores": " UNION ALL ".join(
+        f"SELECT 'Next_Month_Own' AS target, {i}::INT AS fold, true AS is_score, true AS mean_holds, true AS std_holds"
+        for i in range(5)),
+    "model_metrics": " UNION ALL ".join(
+        f"SELECT 'Next_Month_Own' AS target, '{m}' AS metric, true AS holds" for m in ("r2", "cv_mean", "cv_std")),
+    "forest_panel": f"""WITH {WM}, newest AS (SELECT o_custkey, max(month) AS last FROM wm GROUP BY 1)
+      SELECT wm.o_custkey, wm.month AS period, true AS within_labels FROM wm JOIN newest USING (o_custkey) WHERE month < last""",
+    "fold_scores": f"""WITH {PM}, c AS (SELECT *, {_ffill('price', W_PRIO)} AS carried FROM pm),
+      g AS (SELECT *, lag(carried) OVER {W_PRIO} AS guess FROM c),
+      m AS (SELECT month, (ntile(5) OVER (ORDER BY month) - 1)::INT AS fold FROM (SELECT DISTINCT month FROM pm)),
+      s AS (SELECT fold, 1 - sum(power(price - guess, 2)) / (var_pop(price) * count(*)) AS r2
+            FROM g JOIN m USING (month) WHERE price IS NOT NULL AND guess IS NOT NULL GROUP BY 1)
+      SELECT fold, {_rint('r2', 6)} AS r2, {_rint('(SELECT avg(r2) FROM s)', 6)} AS fold_mean,
+             {_rint('(SELECT stddev_pop(r2) FROM s)', 6)} AS fold_std FROM s""",
     "topk_importance": f"WITH {_RANKED} SELECT l_returnflag, rank, feature, importance FROM ranked",
     "prediction_record": f"WITH {_RANKED}, {_RECORD} SELECT * FROM record",
     "unpivot_topk": f"WITH {_RANKED}, {_RECORD} " + " UNION ALL ".join(
@@ -349,8 +406,13 @@ ORACLES: dict[str, str] = {
         for i in range(1, 6)),
     "report_lines": f"""WITH {_IND}, {_RANKED},
       digits AS (SELECT *, power(10.0, 5 - floor(log10(importance))) AS scale FROM ranked),
+      said AS (SELECT l_returnflag AS target, avg(l_discount::DECIMAL(18, 4))::DOUBLE AS mean, min(l_tax) AS p25,
+        max(l_tax) AS p75, max(l_discount) AS r2 FROM lineitem GROUP BY 1),
       lines AS (
-        SELECT DISTINCT 3 AS section, l_returnflag AS grp, -3 AS pos, '### ' || l_returnflag || ' key factors' AS line FROM ranked
+        SELECT 1 AS section, target AS grp, 0 AS pos, '- **' || target || ' expected return**: ' || printf('%.2f', mean) || '%' AS line FROM said
+        UNION ALL SELECT 1, target, 1, '  - Inter-quartile band: ' || printf('%.2f', p25) || '% to ' || printf('%.2f', p75) || '%' FROM said
+        UNION ALL SELECT 2, target, 0, '- ' || target || ' model R2 score: ' || printf('%.4f', r2) FROM said
+        UNION ALL SELECT DISTINCT 3 AS section, l_returnflag AS grp, -3 AS pos, '### ' || l_returnflag || ' key factors' AS line FROM ranked
         UNION ALL SELECT DISTINCT 3, l_returnflag, -2, '|  | feature | importance |' FROM ranked
         UNION ALL SELECT DISTINCT 3, l_returnflag, -1, '|---|---|---|' FROM ranked
         UNION ALL SELECT 3, l_returnflag, rank, '| ' || (rank - 1)::VARCHAR || ' | ' || feature || ' | ' ||

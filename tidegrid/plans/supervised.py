@@ -112,34 +112,57 @@ def indicator_frame(
     return align_wide(changes, on=[time], series=series, columns=_indicator_cells(indicators))
 
 
-def supervised_panel(
+def shared_calendar(
     prices: DataFrame,
     observations: DataFrame,
     *,
     indicators: Mapping[object, str],
-    series: str = "series_id",
     series_of_indicators: str = "series_id",
     time: str = "period",
-    drop_last: bool = True,
 ) -> DataFrame:
-    """The supervised frame in panel form: one row per price series and month.
+    """Indicators and changes carried forward on one calendar, from the first to the last month of either side.
 
-    Every series gets its own lags and target next to the shared indicators. The indicator side
-    is grouped by period: it has one row per calendar month whatever the size of the data, which
-    bounds the broadcast and keeps the panel on its partitioning by series.
+    One row per calendar month whatever the size of the data. Carrying here, and not inside each price series, gives a
+    series that starts between two observations the last one before its start.
     """
     shared = indicator_frame(observations, indicators, series=series_of_indicators, time=time)
-    panel = price_features(prices, by=[series], time=time).drop("value", "ret")
-    joined = panel.join(F.broadcast(shared), time, "left")
+    ends = prices.agg(F.array(F.min(time), F.max(time)).alias("ends")).select(F.explode("ends").alias(time))
     names = list(indicators.values())
-    levels_and_changes = names + change_columns(names)
-    frame = ffill(joined, [*levels_and_changes, *LAG_NAMES, "next1"], by=[series], time=time)
+    columns = names + change_columns(names)
+    months = stack_long([shared, ends.where(F.col(time).isNotNull())]).groupBy(time).agg(*[F.max(c).alias(c) for c in columns])
+    return ffill(densify(months, by=[], time=time), columns, by=[], time=time)
+
+
+def own_panel(prices: DataFrame, *, series: str = "series_id", time: str = "period", drop_last: bool = True) -> DataFrame:
+    """Calendar parts, lagged returns and target of every price series, one row per series and month."""
+    frame = price_features(prices, by=[series], time=time).drop("value", "ret")
+    frame = ffill(frame, [*LAG_NAMES, "next1"], by=[series], time=time)
     frame = frame.withColumns({c: fraction_to_percent(F.col(c)) for c in (*LAG_NAMES, "next1")})
     if drop_last:
         frame = drop_last_period(frame, by=[series], time=time)
     renamed = {**dict(zip(LAG_NAMES, lag_columns("Own"))), "next1": target_column("Own")}
-    frame = calendar_parts(frame, time).withColumnsRenamed(renamed)
-    return frame.select(series, time, *dataset_columns(["Own"], names))
+    return calendar_parts(frame, time).withColumnsRenamed(renamed)
+
+
+def supervised_panel(
+    prices: DataFrame,
+    observations: DataFrame,
+    *,
+    indicators: Mapping[object, str],
+    series: str = "series_id",
+    series_of_indicators: str = "series_id",
+    time: str = "period",
+    drop_last: bool = True,
+) -> DataFrame:
+    """The supervised frame in panel form: one row per price series and month.
+
+    Every series gets its own lags and target next to the shared indicators, which are carried forward on their own
+    calendar before they are joined.
+    """
+    calendar = shared_calendar(prices, observations, indicators=indicators, series_of_indicators=series_of_indicators,
+                               time=time)
+    frame = own_panel(prices, series=series, time=time, drop_last=drop_last).join(calendar, time, "left")
+    return frame.select(series, time, *dataset_columns(["Own"], list(indicators.values())))
 
 
 def with_label(frame: DataFrame, time: str = "period") -> DataFrame:

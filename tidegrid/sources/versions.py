@@ -67,9 +67,19 @@ def has_version(spark: SparkSession, path: str, version: str) -> bool:
     return path_exists(spark, f"{path}/{VERSION}={version}")
 
 
+def version_folders(spark: SparkSession, path: str) -> list[str]:
+    """Versions of a stored dataset by the names of its partition folders; opens no data file."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+             if f.isDirectory()]
+    return sorted(n.removeprefix(f"{VERSION}=") for n in names if n.startswith(f"{VERSION}="))
+
+
 def read_latest(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> DataFrame:
-    """Rows of the latest version of a stored dataset; raises when there is none."""
-    table = read_versions(spark, path, schema, fmt)
-    if table.isEmpty():
+    """Rows of the latest version of a stored dataset, from its one partition; raises when there is none."""
+    folders = version_folders(spark, path)
+    if not folders:
         raise NoVersionError(f"no versions under {path}")
-    return latest_version(table)
+    return read_versions(spark, path, schema, fmt).where(F.col(VERSION) == folders[-1])

@@ -14,17 +14,18 @@ from tidegrid.sources.versions import path_exists
 from tidegrid.sources.writers import absent_rows
 
 
-def append_if_absent_batch(path: str, keys: Sequence[str], fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+def append_if_absent_batch(
+    path: str, keys: Sequence[str], fmt: str = "parquet", order: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
     """Function for ``writeStream.foreachBatch`` that appends only rows with a new key.
 
-    Keys delivered twice inside one batch are written once.
+    Keys delivered twice inside one batch are written once, the row that comes first by ``order`` and then by its other
+    columns; missing keys are equal to each other.
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        fresh = batch.dropDuplicates(list(keys))
-        if path_exists(batch.sparkSession, path):
-            stored = batch.sparkSession.read.schema(batch.schema).format(fmt).load(path)
-            fresh = absent_rows(stored, fresh, keys)
-        fresh.write.mode("append").format(fmt).save(path)
+        reader = batch.sparkSession.read.schema(batch.schema).format(fmt)
+        known = reader.load(path) if path_exists(batch.sparkSession, path) else batch.limit(0)
+        absent_rows(known, batch, keys, order).write.mode("append").format(fmt).save(path)
 
     return write
