@@ -35,7 +35,7 @@ class ForestParams:
     min_leaf: int = 2
     max_bins: int = 64
     seed: int = 42
-    partitions: int = 32
+    partitions: int = 8
 
     def dealt(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """``df`` in the fixed partitions and order that fits read; ``keys`` tell its rows apart."""
