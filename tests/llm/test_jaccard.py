@@ -115,3 +115,18 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (201, 200), (200, 201)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
+
+
+@pytest.mark.parametrize("percent", [60, 85, 95])
+def test_similar_sets_share_a_token(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(1500):
+        n = int(rng.choice([1, 2, 3, 5, 8, 13, 20, 40, 90, 200]))
+        s = np.unique(rng.integers(0, 1 << 63, size=n).astype(np.uint64))
+        cut = rng.random(len(s)) > rng.random() * (1 - percent / 100)
+        more = rng.integers(0, 1 << 63, size=int(rng.random() * n * (100 / percent - 1)) + 1).astype(np.uint64)
+        other = np.unique(np.concatenate([s[cut], more[:rng.integers(0, len(more) + 1)]]))
+        if len(other) and jaccard.similar(s, other, percent):
+            edges = jaccard.size_bands(percent, max(len(s), len(other)))
+            shared = set(jaccard.tie_tokens(s, percent, edges).tolist()) & set(jaccard.tie_tokens(other, percent, edges).tolist())
+            assert shared, (len(s), len(other))

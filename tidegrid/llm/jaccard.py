@@ -1,8 +1,10 @@
 """Similarity join of documents by word shingles: signature trees inside exact candidate clusters.
 
-1. Documents with equal shingle sets are one class. A sketch counts how frequent shingles are.
-2. Two sets that are similar enough share one of their rarest shingles (the prefix filter), so classes that share one are
-   tied to each other and the connected components of those ties are clusters that no link crosses.
+1. Documents with equal shingle sets are one class.
+2. Similar sets differ in few shingles. Hash values cut the universe into parts, more of them than two similar sets can
+   differ in, so such sets agree on some whole part. A class emits a signature for its largest parts, as many as a similar
+   set cannot all spoil; classes that share one are tied, and the connected components of the ties are clusters that no
+   link crosses. A part holds several shingles, so a passage that many documents share seldom ties them.
 3. Each cluster gets the sets of its classes once and is joined with itself by a signature tree: nodes hold the union of
    their sets' bitmaps and their size range, pairs of nodes are descended together, and pairs whose largest possible
    overlap is too small are dropped. Pairs of sets that remain are compared exactly. Sets already linked to each other
@@ -18,16 +20,16 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.llm.batches import id_and_text, runs, steps, with_id
+from tidegrid.llm.batches import id_and_text, runs, small_side, steps, with_id
 from tidegrid.llm.components import components
 from tidegrid.llm.shingles import mix, shingle_sets
 from tidegrid.session import stored
 
-#: Counters of the frequency sketch. It only orders shingles: any counts give right results, good ones fewer candidates.
-SLOTS = 1 << 16
+#: Width of a size band, in steps of the largest size ratio of similar sets, and parts per possible difference.
+BAND_STEPS, PART_FACTOR = 4, 1.25
 #: Classes that one task joins with each other at most, and children of a tree node.
 BLOCK, FANOUT = 4096, 8
 _HALF = np.uint64((1 << 63) - 1)
@@ -118,46 +120,81 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64) & _HALF), int(b.sum(dtype=np.uint64) & _HALF)
 
 
-def _slot(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(48)).astype(np.int64)
+def size_bands(percent: int, largest: int) -> np.ndarray:
+    """First sizes of the bands; sets in bands that do not touch are not similar."""
+    ratio, edges = (100 / percent) ** BAND_STEPS, [1]
+    while edges[-1] <= largest:
+        edges.append(max(edges[-1] + 1, int(edges[-1] * ratio)))
+    return np.array(edges, dtype=np.int64)
+
+
+def _part_signatures(s: np.ndarray, band: int, parts: int) -> np.ndarray:
+    """A signature for each part that the set has shingles in, largest parts first."""
+    part = (s >> np.uint64(33)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    part, mixed = part[order], mix(s[order] + np.uint64(band * 0xD6E8FEB86659FD93 % (1 << 64)))
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    signature = mix(np.add.reduceat(mixed, first))
+    size = np.diff(np.concatenate([first, [len(s)]]))
+    return signature[np.lexsort((signature, -size))]
+
+
+def tie_tokens(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
+    """Tokens of which two similar sets always share one.
+
+    Sets of sizes p <= q with similarity t or more differ in at most (p + q)(1 - t)/(1 + t) shingles, each of which spoils
+    one part. So of the signatures of a set, in an order common to all sets, as many and one more hold one that the
+    other set has too. A pair meets in the band of its smaller set: a set takes part in its own band, and in the one below
+    if that has sets small enough. A set with too few parts emits all of them; two such sets meet by the plain prefix
+    filter over their shingles.
+    """
+    n = len(s)
+    own = int(np.searchsorted(edges, n, side="right")) - 1
+    roles = [(own, (n + 100 * n // percent) * (100 - percent) // (100 + percent))]
+    if own and n * percent <= 100 * int(edges[own] - 1):
+        roles.append((own - 1, 2 * n * (100 - percent) // (100 + percent)))
+    out, few = [], False
+    for band, differ in roles:
+        top = int(edges[band + 1])
+        most = (top + 100 * top // percent) * (100 - percent) // (100 + percent)
+        signatures = _part_signatures(s, band, int(PART_FACTOR * (most + 1)) + 1)
+        few |= len(signatures) <= differ
+        out.append(signatures[:differ + 1])
+    if few:
+        out.append(mix(s[:n - (percent * n + 99) // 100 + 1]))
+    return np.concatenate(out)
 
 
 def _describe(words: int):
-    """Per text its set size and key; at the end of the task, its counts of the sketch (rows without ``n``)."""
+    """Size and key of the shingle set of every text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(SLOTS, dtype=np.int64)
         for rows in steps(batches):
             sets = shingle_sets(list(rows["text"]), words)
-            counts += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
             keys = [_set_key(s) for s in sets]
-            yield pd.DataFrame({"id": rows["id"], "digest": rows["digest"], "n": [len(s) for s in sets],
-                                "a": [k[0] for k in keys], "b": [k[1] for k in keys]})
-        at = np.flatnonzero(counts)
-        yield pd.DataFrame({"id": None, "digest": None, "n": -1, "a": at, "b": counts[at]}, index=range(len(at)))
+            yield rows[["id", "digest"]].assign(n=[len(s) for s in sets], a=[k[0] for k in keys], b=[k[1] for k in keys])
 
     return run
 
 
-def _prefixes(words: int, percent: int, frequency: np.ndarray):
-    """The rarest shingles of every set, as many as a similar set cannot all miss; once per set and task."""
+def _tokens(words: int, percent: int):
+    """``(token, a)`` for every set, once per set and task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int]] = set()
+        edges = size_bands(percent, 1 << 20)
         for rows in steps(batches):
             out = []
             for s in shingle_sets(list(rows["text"]), words):
                 key = _set_key(s)
                 if len(s) and key not in seen:
                     seen.add(key)
-                    size = len(s) - (percent * len(s) + 99) // 100 + 1
-                    rarest = s[np.lexsort((s, frequency[_slot(s)]))[:size]]
-                    out.append((key, rarest.view(np.int64)))
+                    if len(s) >= edges[-1]:
+                        edges = size_bands(percent, len(s))
+                    out.append((key[0], tie_tokens(s, percent, edges).view(np.int64)))
             if out:
-                repeat = [len(t) for _, t in out]
                 yield pd.DataFrame({"token": np.concatenate([t for _, t in out]),
-                                    "a": np.repeat([k[0] for k, _ in out], repeat),
-                                    "b": np.repeat([k[1] for k, _ in out], repeat)})
+                                    "a": np.repeat([a for a, _ in out], [len(t) for _, t in out])})
 
     return run
 
@@ -201,30 +238,28 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
     like others. Other columns are not read.
     """
     rows = (id_and_text(df, id_col, text_col).withColumn("digest", F.md5("text")))
-    pass1 = stored(rows.mapInPandas(_describe(words), "id string, digest string, n bigint, a bigint, b bigint"))
-    frequency = np.zeros(SLOTS, dtype=np.int64)
-    sketch = pass1.filter("n < 0").groupBy("a").agg(F.sum("b").alias("n")).toPandas()  # SLOTS rows at most
-    frequency[sketch["a"].to_numpy(dtype=np.int64)] = sketch["n"].to_numpy(dtype=np.int64)
-    described = with_id(pass1.filter("n >= 0").withColumn("node", F.when(F.col("n") > 0, _node("a", "b"))), df, id_col)
+    described = stored(rows.mapInPandas(_describe(words), "id string, digest string, n bigint, a bigint, b bigint"))
+    described = with_id(described.withColumn("node", F.when(F.col("n") > 0, _node("a", "b"))), df, id_col)
     classes = stored(described.filter("n > 0").groupBy("node", "a", "b")
                      .agg(F.min(id_col).alias("low"), F.min("digest").alias("digest")))
 
-    # Classes that share a token of their prefixes are tied to the least of them.
-    tokens = rows.select("text").mapInPandas(_prefixes(words, percent, frequency), "token bigint, a bigint, b bigint")
-    shared = tokens.select("token", _node("a", "b").alias("node")).repartition("token")
-    hubs = (shared.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
-            .select("token", "hub"))
-    ties = shared.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    clusters = stored(components(ties))
-
-    blocks = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    members = (clusters.join(blocks, "root").join(classes, "node").select("root", "blocks", "a", "b", "digest"))
+    # Half a key is enough to name a class here: classes that share it are tied to each other, no more.
+    by_token = Window.partitionBy("token")
+    ties = (rows.select("text").mapInPandas(_tokens(words, percent), "token bigint, a bigint")
+            .select("a", F.min("a").over(by_token).alias("b"), F.max("a").over(by_token).alias("last"))
+            .filter("b <> last").select("a", "b"))
+    clusters = components(ties).withColumnRenamed("node", "a")
+    same_half = classes.groupBy("a").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("a", F.col("a").alias("root"))
+    clusters = stored(clusters.unionByName(same_half.join(clusters, "a", "anti")))
+    large = (clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter("blocks > 1"))
+    members = (clusters.join(small_side(large), "root", "left").join(classes, "a")
+               .select("root", F.coalesce("blocks", F.lit(1).cast("bigint")).alias("blocks"), "a", "b", "digest"))
     texts = rows.groupBy("digest").agg(F.first("text").alias("text"))
     sets = members.join(texts, "digest").mapInPandas(
-        _sets(words), "root decimal(38,0), blocks bigint, a bigint, b bigint, shingles binary")
+        _sets(words), "root bigint, blocks bigint, a bigint, b bigint, shingles binary")
     pairs = (sets.withColumn("own", F.pmod(F.xxhash64("a", "b"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-             .select(F.col("root").cast("string").alias("root"), F.least("own", "other").alias("i"),
+             .select("root", F.least("own", "other").alias("i"),
                      F.greatest("own", "other").alias("j"), "own", "a", "b", "shingles"))
     keys = ["root", "i", "j"]
     links = (pairs.repartition(*keys).sortWithinPartitions(*keys)

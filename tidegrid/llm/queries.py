@@ -115,7 +115,8 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
                 ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
             FROM words),
-        classes AS (SELECT min(doc_id) AS c, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+        sorted AS (SELECT doc_id, list_sort(s) AS s FROM sets),
+        classes AS (SELECT min(doc_id) AS c, s, len(s) AS n FROM sorted WHERE len(s) > 0 GROUP BY s),
         items AS (SELECT c, n, unnest(s) AS item FROM classes),
         pairs AS (
             SELECT a.c AS x, b.c AS y FROM items a JOIN items b ON a.item = b.item AND a.c < b.c
@@ -124,6 +125,6 @@ ORACLES: dict[str, str] = {
         reach(c, root) AS (
             SELECT c, c FROM classes UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.c),
         roots AS (SELECT c, min(root) AS component_id FROM reach GROUP BY c)
-        SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(roots.component_id, sets.doc_id) AS component_id
-        FROM sets LEFT JOIN classes ON classes.s = list_sort(sets.s) LEFT JOIN roots USING (c)""".replace("\\\\", "\\"),
+        SELECT sorted.doc_id, len(sorted.s) AS n_shingles, coalesce(roots.component_id, sorted.doc_id) AS component_id
+        FROM sorted LEFT JOIN classes USING (s) LEFT JOIN roots USING (c)""",
 }
