@@ -184,7 +184,8 @@ def test_collect_forecast_report(spark, raw, tables, tmp_path, fmt):
     assert counts["missing", "GDP_MOM"] == len(data) and any(m == "infinite" for m, _ in counts)
 
     lines = [r["line"] for r in jobs.report(spark, **late).orderBy("line_no").collect()]
-    assert lines[0] == f"- **QQQ expected return**: {row['QQQ_Predicted_Return']:.2f}%"
+    assert lines[0] == "Forecast month: 2024-03"
+    assert lines[1] == f"- **QQQ expected return**: {row['QQQ_Predicted_Return']:.2f}%"
     assert sum(line.startswith("| ") and line[2].isdigit() for line in lines) == 10
     assert lines[-1] == f"- Unemployment: {data['Unemployment'].iloc[-1]:.2f}%"
     (part,) = (tmp_path / "reports" / "version=2024_03").glob("part-*")

@@ -309,6 +309,7 @@ def report(
         record.withColumn("target", F.lit(t)), TOP, by=["target"], pattern=f"{t}_Top{{i}}_{{what}}", feature="Feature", importance="Importance"))
     newest = latest_row(dataset.select("Date", *ind), by=[], time="Date")
     snapshot = newest.unpivot([], ind, "name", "value")
-    lines = report_lines(predictions=predictions, metrics=metrics, tops=tops, snapshot=snapshot, units=units)
+    months = record.select(F.col("Target_Month").alias("target_month"))
+    lines = report_lines(months=months, predictions=predictions, metrics=metrics, tops=tops, snapshot=snapshot, units=units)
     write_lines(lines, f"{root}/{REPORTS}/{VERSION}={version_label(run_date)}")
     return lines

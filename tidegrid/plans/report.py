@@ -15,6 +15,11 @@ def _part(rows: DataFrame, section: int, group: Column, pos: Column, line: Colum
     return rows.select(F.lit(section).alias("section"), group.alias("grp"), pos.alias("pos"), line.alias("line"))
 
 
+def month_line(months: DataFrame) -> DataFrame:
+    """The predicted month from ``(target_month)``."""
+    return _part(months, 0, F.lit(""), F.lit(0), F.concat(F.lit("Forecast month: "), F.col("target_month")))
+
+
 def prediction_lines(predictions: DataFrame) -> DataFrame:
     """Expected return and band of each target from ``(target, mean, p25, p75)``."""
     band = F.concat(F.lit("  - Inter-quartile band: "), fixed(F.col("p25"), 2, "%"), F.lit(" to "),
@@ -57,6 +62,7 @@ def snapshot_lines(snapshot: DataFrame, units: Mapping[str, str] | None = None)
 
 def report_lines(
     *,
+    months: DataFrame | None = None,
     predictions: DataFrame | None = None,
     metrics: DataFrame | None = None,
     tops: DataFrame | None = None,
@@ -67,7 +73,7 @@ def report_lines(
     indicators, never the data, so one global order is fine."""
     parts = [
         make(frame) for make, frame in (
-            (prediction_lines, predictions), (metric_lines, metrics), (factor_lines, tops),
+            (month_line, months), (prediction_lines, predictions), (metric_lines, metrics), (factor_lines, tops),
             (lambda s: snapshot_lines(s, units), snapshot),
         ) if frame is not None
     ]
