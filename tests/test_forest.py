@@ -71,6 +71,16 @@ def test_validation(frame, bundle):
     assert metrics[("down", "r2")] > 0.8 and len(metrics) == 6
 
 
+def test_expanding_validation_looks_back_only(frame, bundle):
+    predicted = forest.out_of_fold(frame, bundle.scaler, ["up"], "fold", 5, PARAMS, keys=["i"], expanding=True)
+    assert {r["fold"] for r in predicted.select("fold").distinct().collect()} == {1, 2, 3, 4}
+    # The later folds do not matter to the earlier ones.
+    early = frame.where("fold < 3")
+    a, b = (forest.out_of_fold(df, bundle.scaler, ["up"], "fold", n, PARAMS, keys=["i"], expanding=True)
+            .where("fold = 2").orderBy("label", "prediction").collect() for df, n in ((frame, 5), (early, 3)))
+    assert a == b and len(a) == 24
+
+
 def test_save_and_load(frame, bundle, tmp_path):
     bundle.save(str(tmp_path / "m"))
     again = forest.ForestBundle.load(str(tmp_path / "m"), TARGETS)

@@ -28,6 +28,7 @@ def main() -> None:
     parser.add_argument("--months", type=int, default=36)
     parser.add_argument("--format", default="parquet", choices=["csv", "parquet"])
     parser.add_argument("--folds", type=int, default=5)
+    parser.add_argument("--expanding", action="store_true", help="validate each fold with models of the earlier folds only")
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, default=10)
     parser.add_argument("--no-bfill", action="store_true", help="leave levels before their first observation to the median")
@@ -50,7 +51,7 @@ def main() -> None:
     elif args.job == "forecast":
         params = ForestParams(trees=args.trees, depth=args.depth)
         jobs.forecast(spark, score_row=args.score_row, params=params, bfill=not args.no_bfill, k=args.folds,
-                      **shared).show(truncate=False, vertical=True)
+                      expanding=args.expanding, **shared).show(truncate=False, vertical=True)
     else:
         for row in jobs.report(spark, **shared).orderBy("line_no").toLocalIterator():
             print(row["line"])

@@ -48,6 +48,15 @@ def fill_median(df: DataFrame, columns: Sequence[str], *, by: Sequence[str]) ->
     return counted.withColumns({c: F.coalesce(F.col(c), m) for c, m in medians.items()}).drop(*gaps.values())
 
 
+def fill_expanding_median(df: DataFrame, columns: Sequence[str], *, by: Sequence[str], time: str = "month") -> DataFrame:
+    """Fill with the median of the values known up to each row of the series: nothing later is looked at.
+
+    What precedes the first known value stays missing. The running median costs the square of a series' length, which is the
+    calendar's.
+    """
+    return df.withColumns({c: F.coalesce(F.col(c), F.median(c).over(up_to_here(by, time))) for c in columns})
+
+
 def fill_values(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
     """Fill each column with its fitted statistic; a plain projection."""
     known = {c: v for c, v in values.items() if v is not None}

@@ -142,17 +142,19 @@ def forest_band(df: DataFrame, bundle: ForestBundle, target: str) -> DataFrame:
 
 def out_of_fold(
     df: DataFrame, scaler: PipelineModel, targets: Sequence[str], fold: str, k: int = 5,
-    params: ForestParams = ForestParams(), parallelism: int = 4, *, keys: Sequence[str],
+    params: ForestParams = ForestParams(), parallelism: int = 4, *, keys: Sequence[str], expanding: bool = False,
 ) -> DataFrame:
-    """Predict each fold with forests fitted on the other folds.
+    """Predict each fold with forests fitted on the other folds, or with ``expanding`` on the earlier ones only.
 
-    Gives ``(target, fold, label, prediction)`` rows for every target.
+    Gives ``(target, fold, label, prediction)`` rows for every target; ``expanding`` has none for fold 0, which nothing
+    precedes.
     """
     whole = scaled(params.dealt(df, keys), scaler).select(SCALED, fold, *targets)
     frame = whole.persist()
-    pairs = [(t, i) for t in targets for i in range(k)]
+    pairs = [(t, i) for t in targets for i in range(int(expanding), k)]
     try:
-        models = _fit_all([(t, frame.where(F.col(fold) != i)) for t, i in pairs], params, parallelism)
+        others = [F.col(fold) < i if expanding else F.col(fold) != i for _, i in pairs]
+        models = _fit_all([(t, frame.where(rows)) for (t, _), rows in zip(pairs, others)], params, parallelism)
     finally:
         frame.unpersist()
     return stack_long([
@@ -186,14 +188,16 @@ def _metric_rows(scores: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
 
 
 def model_metrics(
-    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4, *, keys: Sequence[str]
+    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4, *, keys: Sequence[str],
+    expanding: bool = False,
 ) -> DataFrame:
     """``(target, metric, value)`` rows: in-sample R2 and the mean and deviation of the fold scores."""
     fitted = stack_long([
         predict(df, bundle, t).select(F.lit(t).alias("target"), F.col(t).alias("label"), "prediction")
         for t in bundle.models
     ])
-    predicted = out_of_fold(df, bundle.scaler, list(bundle.models), fold, k, bundle.params, parallelism, keys=keys)
+    predicted = out_of_fold(df, bundle.scaler, list(bundle.models), fold, k, bundle.params, parallelism, keys=keys,
+                            expanding=expanding)
     folds = fold_scores(predicted, fold)
     return stack_long([
         _metric_rows(r2_score(fitted, "label", "prediction", by=["target"]), {"r2": "r2"}),

@@ -198,6 +198,13 @@ def fill_median(spark, sf):
     return filled.withColumn("filled", rint_to(F.col("filled"), 4))
 
 
+@_query
+def fill_expanding_median(spark, sf):
+    dense = _price_grid(spark, sf).withColumn("filled", F.when(F.month("month") % 3 != 0, F.col("price")))
+    filled = fill.fill_expanding_median(dense, ["filled"], by=PRIORITY)
+    return filled.withColumn("filled", rint_to(F.col("filled"), 4))
+
+
 @_query
 def fill_global_median(spark, sf):
     # Gaps do not enter a median: it is fitted on the observed rows, before the grid is made dense.

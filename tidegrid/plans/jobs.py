@@ -230,12 +230,14 @@ def forecast(
     score_row: str = "last_labelled",
     bfill: bool = True,
     k: int = 5,
+    expanding: bool = False,
 ) -> DataFrame:
     """Train one forest per target on the latest dataset, validate, predict, and store everything.
 
     ``score_row="last_labelled"`` predicts the last training row, whose target is known, and
     fills missing labels with their median. ``"last_observed"`` trains on labelled rows only and
-    predicts the newest row of a dataset collected with ``keep_last=True, fill_targets=False``.
+    predicts the newest row of a dataset collected with ``keep_last=True, fill_targets=False``. ``expanding`` validates each
+    fold with forests of the earlier folds only.
     """
     if score_row not in ("last_labelled", "last_observed"):
         raise ValueError(f"unknown score_row {score_row!r}")
@@ -270,7 +272,7 @@ def forecast(
     training = folds.series_folds(labelled, k, by=[], time="row_idx")
     bundle = forest.fit_forests(training, features, targets, params, keys=["row_idx"])
     bundle.save(f"{root}/{MODELS}/{VERSION}={version}")
-    metrics = forest.model_metrics(training, bundle, "fold", k, keys=["row_idx"])
+    metrics = forest.model_metrics(training, bundle, "fold", k, keys=["row_idx"], expanding=expanding)
     latest = latest_row(stored, by=[], time="row_idx")
     bands = stack_long([forest.forest_band(latest, bundle, t).select(F.lit(t).alias("target"), "mean", "std", "p25", "p75")
                         for t in targets])

@@ -294,6 +294,10 @@ ORACLES: dict[str, str] = {
     "fill_zero": f"WITH {WY} SELECT *, coalesce(yoy, 0.0::DOUBLE) AS filled FROM wy",
     "fill_median": f"""WITH {WM}, f AS (SELECT *, coalesce(price, median(price) OVER (PARTITION BY o_custkey)) AS v FROM wm)
       SELECT o_custkey, month, price, {_rint('v', 4)} AS filled FROM f""",
+    "fill_expanding_median": f"""WITH {PM}, g AS (
+        SELECT *, CASE WHEN month(month) % 3 <> 0 THEN price END AS v FROM pm), f AS (
+        SELECT *, coalesce(v, median(v) OVER {W_PRIO[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS m FROM g)
+      SELECT o_orderpriority, month, price, {_rint('m', 4)} AS filled FROM f""",
     "fill_global_median": f"""WITH {WM}, m AS (SELECT median(price) AS m FROM wm)
       SELECT o_custkey, month, price, {_rint('coalesce(price, m)', 4)} AS filled FROM wm, m""",
     "impute_chain": f"""WITH {WY}, {_returns('wr', 'wm', W_CUST, 'price', 'o_custkey')},
