@@ -75,8 +75,10 @@ def texts():
     return [("".join(rng.choices("abcde \né", weights=[9, 7, 5, 3, 2, 6, 1, 1], k=rng.randrange(5, 400)))) for _ in range(60)]
 
 
-def test_probabilities_equal_brute_force(spark, texts, monkeypatch):
+@pytest.mark.parametrize("held", [4_000_000, 0])
+def test_probabilities_equal_brute_force(spark, texts, monkeypatch, held):
     monkeypatch.setattr(quality, "BLOCK_CHARS", 1500)
+    monkeypatch.setattr(quality, "HELD_GRAMS", held)
     rows = [(i, t, "x" if i % 3 else None) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r.doc_id: r.log_ppl for r in quality.assess(df).collect()}
@@ -89,9 +91,9 @@ def test_probabilities_equal_brute_force(spark, texts, monkeypatch):
 
 def test_unseen_ngrams_back_off(spark, texts):
     fit = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
-    counts = quality.count_ngrams(quality.in_blocks(fit, "doc_id", "text", "lang"))
+    counts = quality.count_ngrams(quality.with_language(fit, "doc_id", "text", "lang"))
     other = spark.createDataFrame([(1, "abzzé aaa", "x"), (2, "abc", "y")], "doc_id bigint, text string, lang string")
-    wanted = quality.count_ngrams(quality.in_blocks(other, "doc_id", "text", "lang"))
+    wanted = quality.count_ngrams(quality.with_language(other, "doc_id", "text", "lang"))
     model = BruteModel(texts)
     rows = quality.probabilities(quality.count_levels(counts), wanted).collect()
     assert len(rows) == 9 + 3

@@ -1,14 +1,15 @@
 """Quality rules: plain counts per document, and perplexity bands of a character n-gram model per language.
 
-The model is modified Kneser-Ney of order four. Spark counts its n-grams: each block of documents counts its own with
-sorted arrays, the counts meet by n-gram, and every order is a handful of grouped tables. No n-gram table is collected or
-broadcast. To score, each block asks for the probabilities of the n-grams it has, gets them as one sorted array of n-gram
-codes, and finds the n-grams of its documents in it by binary search.
+The model is modified Kneser-Ney of order four. Spark counts its n-grams over all documents: each task adds up its own in
+sorted arrays, the counts meet by n-gram, and every order is a handful of grouped tables. Scoring looks the n-grams of a
+text up in sorted arrays of n-gram codes by binary search. A model of at most ``HELD_GRAMS`` n-grams is sent to the tasks as
+such arrays; with a larger one, documents are dealt to blocks, and each block gets the n-grams that it has.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -22,8 +23,10 @@ from tidegrid.session import stored
 ORDER, BITS = 4, 16
 #: What stands before the first character of a document.
 START = "\x02" * (ORDER - 1)
-#: Characters of a block: what one task holds while it counts or scores.
-BLOCK_CHARS = 16_000_000
+#: N-grams that a task may hold at once: 16 bytes each. A larger model is dealt to blocks of so many characters.
+HELD_GRAMS, BLOCK_CHARS = 4_000_000, 16_000_000
+#: Arrays that a language of such a model is collected in.
+SLOTS = 8
 #: Symbols a character can be: code points are folded to ``BITS`` bits.
 SYMBOLS = 1 << BITS
 #: Grain of the log-perplexities whose quartiles make the bands.
@@ -102,32 +105,38 @@ def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return docs[:-ORDER + 1][same], codes[same].view(np.int64)
 
 
-def _count_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Counts of the n-grams of a block per language."""
-    out = []
-    for lang, own in rows.groupby("lang"):
-        parts = [np.unique(ngram_codes(list(part["text"]))[1], return_counts=True) for part in steps([own])]
-        grams, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        counts = np.bincount(where, np.concatenate([p[1] for p in parts]), len(grams))
-        out.append(pd.DataFrame({"gram": grams, "n": counts.astype(np.int64)}).assign(lang=lang))
-    found = pd.concat(out) if out else pd.DataFrame({"gram": [], "n": [], "lang": []})
-    return pd.DataFrame({"block": int(rows["block"].iloc[0]), "lang": found["lang"].to_numpy(dtype=object),
-                         "gram": found["gram"].to_numpy(dtype=np.int64), "n": found["n"].to_numpy(dtype=np.int64)})
+def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted n-grams of several counts, and their sums."""
+    grams, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return grams, np.bincount(where, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
 
 
-def in_blocks(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(id, text, lang, block)``: rows dealt by their hash into as many blocks as their characters need.
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The n-grams of a task's rows per language; handed on whenever they are many."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-    A missing text counts as empty, a missing language is one of its own.
-    """
-    rows = id_and_text(df, id_col, text_col, lang=F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    return rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(chars // BLOCK_CHARS + 1)))
+    def flush() -> Iterator[pd.DataFrame]:
+        for lang, (grams, n) in held.items():
+            yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
+        held.clear()
+
+    for rows in steps(batches):
+        for lang, own in rows.groupby("lang"):
+            parts = [np.unique(ngram_codes(list(own["text"]))[1], return_counts=True), *([held[lang]] if lang in held else [])]
+            held[lang] = _add_up(parts)
+        if sum(len(g) for g, _ in held.values()) > HELD_GRAMS:
+            yield from flush()
+    yield from flush()
+
+
+def with_language(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``(id, text, lang)``: a missing text counts as empty, a missing language is one of its own."""
+    return id_and_text(df, id_col, text_col, lang=F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)))
 
 
-def count_ngrams(blocks: DataFrame) -> DataFrame:
-    """``(block, lang, gram, n)`` over the rows of :func:`in_blocks`."""
-    return blocks.groupBy("block").applyInPandas(_count_block, "block bigint, lang string, gram bigint, n bigint")
+def count_ngrams(rows: DataFrame) -> DataFrame:
+    """``(lang, gram, n)`` over the rows of :func:`with_language`, a row for each task that has the n-gram."""
+    return rows.select("lang", "text").mapInPandas(_count, "lang string, gram bigint, n bigint")
 
 
 def _last(code: str, order: int) -> Column:
@@ -202,37 +211,83 @@ def probabilities(levels: dict[int, DataFrame], wanted: DataFrame) -> DataFrame:
     return lower
 
 
-def _score_block(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """Plain counts and mean negative log-probability per character of a block's documents."""
-    tables = {}
-    for lang, own in answers.groupby("lang"):
+#: Sorted n-grams and the logarithms of their probabilities, by language.
+Arrays = dict[str, tuple[np.ndarray, np.ndarray]]
+_SCORED = ("id string, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+           "n_repeat_words bigint, log_ppl double")
+
+
+def _arrays(model: pd.DataFrame) -> Arrays:
+    out = {}
+    for lang, own in model.groupby("lang"):
         order = np.argsort(own["gram"].to_numpy())
-        tables[lang] = own["gram"].to_numpy()[order], np.log(own["p"].to_numpy()[order])
+        out[lang] = own["gram"].to_numpy()[order], np.log(own["p"].to_numpy()[order])
+    return out
+
+
+def _score(rows: pd.DataFrame, arrays: Arrays) -> pd.DataFrame:
+    """Plain counts and mean negative log-probability per character."""
     out = []
     for lang, own in rows.groupby("lang"):
-        for part in steps([own]):
-            texts = list(part["text"])
-            docs, codes = ngram_codes(texts)
-            total, size = np.zeros(len(texts)), np.bincount(docs, minlength=len(texts))
-            if len(codes):
-                grams, logs = tables[lang]
-                total = np.bincount(docs, logs[np.searchsorted(grams, codes)], len(texts))
-            mean = np.where(size > 0, -total / np.maximum(size, 1), np.nan)
-            out.append(plain_counts(texts).assign(id=list(part["id"]), lang=lang, log_ppl=mean))
-    return pd.concat(out)[["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl"]]
-
+        texts = list(own["text"])
+        docs, codes = ngram_codes(texts)
+        total, size = np.zeros(len(texts)), np.bincount(docs, minlength=len(texts))
+        if len(codes):
+            grams, logs = arrays[lang]
+            total = np.bincount(docs, logs[np.searchsorted(grams, codes)], len(texts))
+        mean = np.where(size > 0, -total / np.maximum(size, 1), np.nan)
+        out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, log_ppl=mean))
+    return pd.concat(out)[[c.split()[0] for c in _SCORED.split(", ")]]
+
+
+def sorted_arrays(model: DataFrame) -> DataFrame:
+    """``(lang, grams, logs)``: the model as sorted arrays of n-gram codes and logarithms, some to a language."""
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        (lang, (grams, logs)), = _arrays(rows).items()
+        return pd.DataFrame({"lang": [lang], "grams": [grams.tobytes()], "logs": [logs.tobytes()]})
+
+    slot = F.pmod(F.xxhash64("gram"), F.lit(SLOTS)).alias("slot")
+    return model.groupBy("lang", slot).applyInPandas(pack, "lang string, grams binary, logs binary")
+
+
+def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """Plain counts and ``log_ppl`` (missing for empty texts), with the whole model in every task."""
+    parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for r in sorted_arrays(model).toLocalIterator():
+        parts.setdefault(r["lang"], []).append((np.frombuffer(r["grams"], dtype=np.int64), np.frombuffer(r["logs"])))
+    held = {}
+    for lang, some in parts.items():
+        grams = np.concatenate([g for g, _ in some])
+        order = np.argsort(grams)
+        held[lang] = grams[order], np.concatenate([p for _, p in some])[order]
+    shared = rows.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in steps(batches):
+            yield _score(part, shared.value)
+
+    return rows.mapInPandas(run, _SCORED)
+
+
+def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """The same, with rows dealt by their hash into as many blocks as their characters need, and to each block what it has
+    of the model."""
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(chars // BLOCK_CHARS + 1)))
 
-def score(blocks: DataFrame, counts: DataFrame, model: DataFrame) -> DataFrame:
-    """Plain counts and ``log_ppl`` (missing for empty texts) of the rows of :func:`in_blocks`."""
-    answers = counts.select("block", "lang", "gram").join(model, ["lang", "gram"])
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        lambda rows, found: _score_block(rows, found) if len(rows) else _NOTHING,
-        "id string, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-        "n_repeat_words bigint, log_ppl double")
+    def grams_of(block: pd.DataFrame) -> pd.DataFrame:
+        counted = pd.concat(list(_count(iter([block]))))
+        return pd.DataFrame({"block": int(block["block"].iloc[0]), "lang": list(counted["lang"]),
+                             "gram": counted["gram"].to_numpy()}).drop_duplicates()
 
+    def score_block(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        arrays = _arrays(found)
+        return pd.concat([_score(part, arrays) for part in steps([block])])
 
-_NOTHING = pd.DataFrame({c: [] for c in ("id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                                         "n_repeat_words", "log_ppl")})
+    wanted = blocks.groupBy("block").applyInPandas(grams_of, "block bigint, lang string, gram bigint")
+    answers = wanted.join(model, ["lang", "gram"])
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score_block, _SCORED)
 
 
 # ---- bands and verdicts -------------------------------------------------------------------------------------------
@@ -267,13 +322,13 @@ def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     distance (at least 0.02). A missing text counts as empty, a missing language is one of its own; repeated rows and
     missing ids are rows like others; other columns are not read.
     """
-    blocks = in_blocks(df, id_col, text_col, lang_col)
-    counts = stored(count_ngrams(blocks))
+    rows = with_language(df, id_col, text_col, lang_col)
+    counts = stored(count_ngrams(rows))
     levels = {order: stored(level) for order, level in count_levels(counts).items()}
-    model = stored(probabilities(levels, counts).repartition("lang", "gram")
-                   .sortWithinPartitions("lang", "gram"))
+    model = stored(probabilities(levels, levels[ORDER]).repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
+    score = score_with_held_model if model.count() <= HELD_GRAMS else score_in_blocks
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = stored(score(blocks, counts, model).withColumn("base_failed", failed))
+    scored = stored(score(rows, model).withColumn("base_failed", failed))
     judged = scored.join(small_side(bands(scored.filter(~F.col("base_failed")), below, above)), "lang", "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
     return with_id(judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl",

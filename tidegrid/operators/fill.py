@@ -54,7 +54,7 @@ def fill_expanding_median(df: DataFrame, columns: Sequence[str], *, by: Sequence
     What precedes the first known value stays missing. The running median costs the square of a series' length, which is the
     calendar's.
     """
-    return df.withColumns({c: F.coalesce(F.col(c), F.median(c).over(up_to_here(by, time))) for c in columns})
+    return df.withColumns({c: F.coalesce(F.col(c), F.percentile(c, F.lit(0.5)).over(up_to_here(by, time))) for c in columns})
 
 
 def fill_values(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
