@@ -25,8 +25,6 @@ ORDER, BITS = 4, 16
 START = "\x02" * (ORDER - 1)
 #: N-grams that a task may hold at once: 16 bytes each. A larger model is dealt to blocks of so many characters.
 HELD_GRAMS, BLOCK_CHARS = 4_000_000, 16_000_000
-#: Arrays that a language of such a model is collected in.
-SLOTS = 8
 #: Symbols a character can be: code points are folded to ``BITS`` bits.
 SYMBOLS = 1 << BITS
 #: Grain of the log-perplexities whose quartiles make the bands.
@@ -240,28 +238,9 @@ def _score(rows: pd.DataFrame, arrays: Arrays) -> pd.DataFrame:
     return pd.concat(out)[[c.split()[0] for c in _SCORED.split(", ")]]
 
 
-def sorted_arrays(model: DataFrame) -> DataFrame:
-    """``(lang, grams, logs)``: the model as sorted arrays of n-gram codes and logarithms, some to a language."""
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        (lang, (grams, logs)), = _arrays(rows).items()
-        return pd.DataFrame({"lang": [lang], "grams": [grams.tobytes()], "logs": [logs.tobytes()]})
-
-    slot = F.pmod(F.xxhash64("gram"), F.lit(SLOTS)).alias("slot")
-    return model.groupBy("lang", slot).applyInPandas(pack, "lang string, grams binary, logs binary")
-
-
 def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
     """Plain counts and ``log_ppl`` (missing for empty texts), with the whole model in every task."""
-    parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-    for r in sorted_arrays(model).toLocalIterator():
-        parts.setdefault(r["lang"], []).append((np.frombuffer(r["grams"], dtype=np.int64), np.frombuffer(r["logs"])))
-    held = {}
-    for lang, some in parts.items():
-        grams = np.concatenate([g for g, _ in some])
-        order = np.argsort(grams)
-        held[lang] = grams[order], np.concatenate([p for _, p in some])[order]
-    shared = rows.sparkSession.sparkContext.broadcast(held)
+    shared = rows.sparkSession.sparkContext.broadcast(_arrays(model.toPandas()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in steps(batches):
