@@ -336,7 +336,9 @@ def _own_features(spark, sf):
     all customers. The customers' own columns are cut from their lineage, as the medians read them again."""
     prices = wide_panel(spark, sf).toDF("o_custkey", "period", "value")
     own = stored(supervised.own_panel(prices, series="o_custkey"))
-    calendar = supervised.shared_calendar(prices, long_indicators(spark, sf), indicators=INDICATORS)
+    # The calendar needs the extent of the prices only, which the raw dates have without the panel.
+    months = table(spark, sf, "orders").select(F.trunc("o_orderdate", "MM").alias("period"))
+    calendar = supervised.shared_calendar(months, long_indicators(spark, sf), indicators=INDICATORS)
     matrix = features.panel_matrix(own, calendar, indicators=INDICATOR_NAMES, by=CUSTOMER, keep=[target_column("Own")])
     overall = column_medians_of(features.panel_lags(own, by=CUSTOMER), lag_columns("Own"))
     return fill.fill_values(matrix, overall)

@@ -122,7 +122,7 @@ def shared_calendar(
 ) -> DataFrame:
     """Indicators and changes carried forward on one calendar, from the first to the last month of either side.
 
-    One row per calendar month whatever the size of the data. Carrying here, and not inside each price series, gives a
+    One row per calendar month whatever the size of the data; of ``prices`` only the column ``time`` is read. Carrying here, and not inside each price series, gives a
     series that starts between two observations the last one before its start.
     """
     shared = indicator_frame(observations, indicators, series=series_of_indicators, time=time)
