@@ -333,14 +333,14 @@ def training_frame(spark, sf):
 
 def _own_features(spark, sf):
     """Complete features of the customer panel: a customer without any return takes the median of
-    all customers. The customers' own columns are cut from their lineage, as the medians read them again."""
+    all customers. The customers' own columns are cut from their lineage, as the medians read them again: three of them."""
     prices = wide_panel(spark, sf).toDF("o_custkey", "period", "value")
-    own = stored(supervised.own_panel(prices, series="o_custkey"))
+    own = stored(features.panel_lags(supervised.own_panel(prices, series="o_custkey"), by=CUSTOMER))
     # The calendar needs the extent of the prices only, which the raw dates have without the panel.
     months = table(spark, sf, "orders").select(F.trunc("o_orderdate", "MM").alias("period"))
     calendar = supervised.shared_calendar(months, long_indicators(spark, sf), indicators=INDICATORS)
-    matrix = features.panel_matrix(own, calendar, indicators=INDICATOR_NAMES, by=CUSTOMER, keep=[target_column("Own")])
-    overall = column_medians_of(features.panel_lags(own, by=CUSTOMER), lag_columns("Own"))
+    matrix = features.panel_join(own, calendar, indicators=INDICATOR_NAMES, by=CUSTOMER, keep=[target_column("Own")])
+    overall = column_medians_of(own, lag_columns("Own"))
     return fill.fill_values(matrix, overall)
 
 

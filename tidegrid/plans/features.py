@@ -90,8 +90,8 @@ def panel_lags(own: DataFrame, *, by: Sequence[str], time: str = "period") -> Da
     return impute_chain(own, returns=lag_columns("Own"), by=by, time=time)
 
 
-def panel_matrix(
-    own: DataFrame,
+def panel_join(
+    imputed: DataFrame,
     calendar: DataFrame,
     *,
     indicators: Sequence[str],
@@ -100,11 +100,15 @@ def panel_matrix(
     keep: Sequence[str] = (),
     bfill: bool = True,
 ) -> DataFrame:
-    """Feature matrix of a panel, from the series' own columns and the indicators of the calendar.
+    """Feature matrix of a panel, from the rows of :func:`panel_lags` and the indicators of the calendar.
 
-    Indicators are imputed on the calendar, once per month and not once per series and month, and joined at the end; inside
-    each series only its lagged returns are left to fill.
+    Indicators are imputed on the calendar, once per month and not once per series and month, and joined at the end.
     """
     finished = impute_chain(calendar, levels=indicators, changes=change_columns(indicators), by=[], time=time, bfill=bfill)
-    imputed = panel_lags(encode_calendar(own), by=by, time=time)
-    return imputed.join(finished, time, "left").select(*by, time, *feature_columns(["Own"], indicators), *keep)
+    joined = encode_calendar(imputed).join(finished, time, "left")
+    return joined.select(*by, time, *feature_columns(["Own"], indicators), *keep)
+
+
+def panel_matrix(own: DataFrame, calendar: DataFrame, *, by: Sequence[str], time: str = "period", **options) -> DataFrame:
+    """:func:`panel_join` of the series' own columns, their lagged returns imputed inside each series."""
+    return panel_join(panel_lags(own, by=by, time=time), calendar, by=by, time=time, **options)
