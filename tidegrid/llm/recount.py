@@ -1,63 +1,82 @@
 """Token counts of documents under edits, without encoding whole texts again.
 
-A document's pre-tokens are grouped in leaves, cut where the parts encode like the whole; a segment tree over them holds the characters and tokens below each node. An
-edit starts at the last leaf boundary that cannot see it, scans pre-tokens from there until a later leaf boundary is a
-place to cut again, and encodes only what lies between; the sums above the changed leaves are updated.
+A document's pre-tokens are grouped in leaves, cut where the parts encode like the whole; a segment tree over them holds
+the characters and tokens below each node. An edit starts at the last leaf boundary that cannot see it, goes on to the next
+one behind it that is still a place to cut, and encodes only what lies between; the sums above the changed leaves are
+updated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.batches import id_and_text, with_id
-from tidegrid.llm.tokens import LOOK_AHEAD, cut_places, encoder
+from tidegrid.llm.tokens import LOOK_AHEAD, cut_places, encoder, is_cut
 
-#: Pre-tokens of a leaf; a leaf that edits have made this many times as long makes the tree be laid out anew.
-LEAF, OVERFULL = 64, 8
+#: Characters of a leaf; a leaf that edits have made this many times as long makes the tree be laid out anew.
+LEAF_CHARS, OVERFULL = 192, 8
+
+
+def leaf_cuts(text: str, begin: int, end: int) -> list[int]:
+    """Places to cut ``text[begin:end]`` into leaves, ``begin`` included; both ends must be such places themselves.
+
+    Mostly spaces after something else; where none comes for long, pre-tokens are scanned.
+    """
+    cuts = [begin]
+    while end - cuts[-1] > 2 * LEAF_CHARS:
+        far = min(end, cuts[-1] + OVERFULL * LEAF_CHARS)
+        at = text.find(" ", cuts[-1] + LEAF_CHARS, far)
+        while at >= 0 and not is_cut(text, at):
+            at = text.find(" ", at + 1, far)
+        if at < 0:
+            least = cuts[-1] + LEAF_CHARS
+            at = next((p for p in cut_places(text, cuts[-1]) if p >= least), end)
+        if at >= end:
+            break
+        cuts.append(at)
+    return cuts
 
 
 class CountTree:
     """Characters and tokens of consecutive leaves, summed up to the root (node 1; the children of n are 2n and 2n + 1)."""
 
-    def __init__(self, chars: np.ndarray, tokens: np.ndarray, pretokens: np.ndarray):
-        self.pretokens = np.asarray(pretokens, dtype=np.int64)
-        self.leaves = len(self.pretokens)
+    def __init__(self, chars: list[int], tokens: list[int]):
+        self.leaves = len(chars)
         self.width = 1 << max(0, (self.leaves - 1).bit_length())
-        self.sums = np.zeros((2 * self.width, 2), dtype=np.int64)
-        self.sums[self.width:self.width + self.leaves, 0] = chars
-        self.sums[self.width:self.width + self.leaves, 1] = tokens
+        self.chars, self.tokens = ([0] * self.width + x + [0] * (self.width - self.leaves) for x in (chars, tokens))
         for node in range(self.width - 1, 0, -1):
-            self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
+            self._add_up(node)
+
+    def _add_up(self, node: int) -> None:
+        self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
+        self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     @classmethod
     def of(cls, text: str, encode) -> CountTree:
-        starts = np.array(list(cut_places(text)), dtype=np.int64)
-        cuts = np.append(starts[::LEAF], len(text))
-        tokens = [len(encode(text[a:b])) for a, b in zip(cuts, cuts[1:])]
-        sizes = np.diff(np.append(np.arange(0, len(starts), LEAF), len(starts)))
-        return cls(np.diff(cuts), tokens, sizes) if tokens else cls([0], [0], [0])
+        cuts = [*leaf_cuts(text, 0, len(text)), len(text)]
+        parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+        return cls([len(p) for p in parts], [len(encode(p)) for p in parts])
 
     @property
     def n_tokens(self) -> int:
-        return int(self.sums[1, 1])
+        return self.tokens[1]
 
     @property
     def n_chars(self) -> int:
-        return int(self.sums[1, 0])
+        return self.chars[1]
 
     def leaf_at(self, position: int) -> tuple[int, int]:
         """The last leaf that begins at or before ``position``, and where it begins."""
         node, begin = 1, 0
         while node < self.width:
-            left = int(self.sums[2 * node, 0])
-            right_leaves = (2 * node + 1) << (self.width.bit_length() - (2 * node + 1).bit_length())
-            if begin + left <= position and right_leaves - self.width < self.leaves:
-                node, begin = 2 * node + 1, begin + left
+            left, right = self.chars[2 * node], 2 * node + 1
+            first_leaf = right << (self.width.bit_length() - right.bit_length())
+            if begin + left <= position and first_leaf - self.width < self.leaves:
+                node, begin = right, begin + left
             else:
                 node *= 2
         return node - self.width, begin
@@ -67,42 +86,43 @@ class CountTree:
         changed, shift = text[:start] + new + text[stop:], len(new) - (stop - start)
         first, begin = self.leaf_at(max(0, start - LOOK_AHEAD))
         last, end = first, begin  # leaves first..last-1 are replaced, old characters begin..end
-        starts: list[int] = []
-        for at in cut_places(changed, begin):
-            while last < self.leaves and (end < stop or end + shift < at or last == first):
-                end += int(self.sums[self.width + last, 0])
-                last += 1
-            if end >= stop and last > first and end + shift == at:
-                break
-            starts.append(at)
-        else:
-            last, end = self.leaves, self.n_chars
-        self._replace(first, last, np.array(starts, dtype=np.int64), end + shift, changed, encode)
+        while last < self.leaves and (end < stop or last == first):
+            end, last = end + self.chars[self.width + last], last + 1
+        if last < self.leaves and not is_cut(changed, end + shift):
+            last, end = self._resume(changed, begin, shift, last, end)
+        self._replace(first, last, begin, end + shift, changed, encode)
         return changed, end + shift - begin
 
-    def _replace(self, first: int, last: int, starts: np.ndarray, end: int, text: str, encode) -> None:
-        """Give the pre-tokens that begin at ``starts`` and reach to ``end`` to the leaves ``first`` to ``last`` - 1."""
+    def _resume(self, changed: str, begin: int, shift: int, last: int, end: int) -> tuple[int, int]:
+        """The first leaf boundary from ``end`` on that is a place to cut in the changed text, found by scanning it."""
+        for at in cut_places(changed, begin):
+            while last < self.leaves and end + shift < at:
+                end, last = end + self.chars[self.width + last], last + 1
+            if end + shift == at:
+                return last, end
+        return self.leaves, self.n_chars
+
+    def _replace(self, first: int, last: int, begin: int, end: int, text: str, encode) -> None:
+        """Lay out ``text[begin:end]`` over the leaves ``first`` to ``last`` - 1 and add up what is above them."""
+        cuts = leaf_cuts(text, begin, end)
         slots = last - first
-        at = np.linspace(0, len(starts), slots + 1).astype(np.int64)
-        grown = len(starts) > OVERFULL * LEAF * slots
-        if grown:
-            at = np.append(np.arange(0, len(starts), LEAF), len(starts))
-        cuts = np.append(starts, end)[at]
-        chars = np.diff(cuts)
-        tokens = np.array([len(encode(text[a:b])) for a, b in zip(cuts, cuts[1:])], dtype=np.int64)
-        if grown:  # other leaves keep their counts
-            chars, tokens, sizes = (np.concatenate([old[:first], new, old[last:]]) for old, new in (
-                (self.sums[self.width:self.width + self.leaves, 0], chars),
-                (self.sums[self.width:self.width + self.leaves, 1], tokens), (self.pretokens, np.diff(at))))
-            self.__init__(chars, tokens, sizes)
+        if len(cuts) > OVERFULL * slots:  # other leaves keep their counts
+            cuts.append(end)
+            parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+            width = self.width
+            chars = self.chars[width:width + first] + [len(p) for p in parts] + self.chars[width + last:width + self.leaves]
+            tokens = (self.tokens[width:width + first] + [len(encode(p)) for p in parts]
+                      + self.tokens[width + last:width + self.leaves])
+            self.__init__(chars, tokens)
             return
-        self.pretokens[first:last] = np.diff(at)
+        ends = [cuts[k * len(cuts) // slots] if k * len(cuts) // slots else begin for k in range(slots)] + [end]
         low, high = self.width + first, self.width + last - 1
-        self.sums[low:high + 1, 0], self.sums[low:high + 1, 1] = chars, tokens
+        for node, a, b in zip(range(low, high + 1), ends, ends[1:]):
+            self.chars[node], self.tokens[node] = b - a, len(encode(text[a:b])) if b > a else 0
         while low > 1:
             low, high = low // 2, high // 2
             for node in range(low, high + 1):
-                self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
+                self._add_up(node)
 
 
 def recount(df: DataFrame, edits: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

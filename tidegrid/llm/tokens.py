@@ -31,6 +31,12 @@ def cut_places(text: str, begin: int = 0) -> Iterator[int]:
             yield at
 
 
+def is_cut(text: str, at: int) -> bool:
+    """Whether ``at`` is a place to cut by its two neighbours alone: a space after something else starts a pre-token, as no
+    pre-token has a space behind its beginning unless it is white space throughout."""
+    return at > 0 and text[at] == " " and not text[at - 1].isspace()
+
+
 @lru_cache(maxsize=4)
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
