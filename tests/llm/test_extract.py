@@ -27,10 +27,10 @@ def test_parser_blocks():
 
 def test_chrome_is_marked():
     page = ('<body class="has-sidebar"><div class="site-header"><h1>H</h1></div><div class="ad">A</div><div id="main-content">'
-            '<p>T</p><div class="commentList">C</div><p class="no-ads">U</p><p hidden>X</p></div><nav>N</nav><aside>S</aside>')
+            '<p>T</p><div class="commentList">C</div><p class="no-ads">U</p><p hidden>X</p><i class="user-comments-box">V</i></div><nav>N</nav><aside>S</aside>')
     found = {b.text: (b.chrome, b.header, b.main) for b in markup.parse(page)[0]}
     assert found == {"H": (False, True, False), "A": (True, False, False), "T": (False, False, True),
-                     "C": (True, False, True), "U": (False, False, True), "X": (True, False, True),
+                     "C": (True, False, True), "U": (False, False, True), "X": (True, False, True), "V": (True, False, True),
                      "N": (True, False, False), "S": (True, False, False)}
 
 

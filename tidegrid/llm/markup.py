@@ -27,6 +27,10 @@ CHROME_WORDS = frozenset(
     "subscribe subscription signup login signin search share sharing sharebar social related recommended recommendations "
     "widget widgets comment comments commentlist discussion disqus respond replies reply skip skiplink pagination pager paging "
     "copyright legal disclaimer hidden paywall outbrain taboola".split())
+#: Those that say so at any place in a name, not only at its ends.
+STRONG_WORDS = frozenset(
+    "ad ads advert advertisement breadcrumb breadcrumbs comment comments cookie cookies disqus navbar newsletter notice sidebar "
+    "sponsored subscribe".split())
 HEADER_WORDS = frozenset(("header", "topheader", "pageheader", "siteheader"))
 MAIN_WORDS = frozenset(
     ("main", "content", "article", "articlebody", "main-content", "maincontent", "post-content", "entry-content", "article-body",
@@ -81,7 +85,7 @@ def _named(value: str) -> set[str]:
         if not _NEGATED.search(name):
             words = [w.lower() for w in _WORDS.findall(name)]
             if words:
-                out |= {words[0], words[-1], "".join(words)}
+                out |= {words[0], words[-1], "".join(words), *STRONG_WORDS.intersection(words)}
     return out
 
 
