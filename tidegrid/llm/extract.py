@@ -45,13 +45,16 @@ def _block_token(block: Block) -> int:
     return _hash(f"{block.path}\n{block.text}")
 
 
-def page_tokens(page: str) -> pd.DataFrame:
-    """``(token, n, first, is_text)`` of a page: how often it has each token, and where first."""
+def page_tokens(page: str) -> dict[int, list]:
+    """``[n, first, is_text]`` by token of a page: how often it has each, and where first."""
     blocks, tags = parse(page)
-    rows = [(_hash(path), order, False) for path, order in tags]
-    rows += [(_block_token(b), b.order, True) for b in blocks if not b.article]
-    found = pd.DataFrame(rows, columns=["token", "first", "is_text"])
-    return found.groupby("token", as_index=False).agg(n=("first", "size"), first=("first", "min"), is_text=("is_text", "first"))
+    found: dict[int, list] = {}
+    for token, order, is_text in [*((_hash(path), order, False) for path, order in tags),
+                                  *((_block_token(b), b.order, True) for b in blocks if not b.article)]:
+        seen = found.setdefault(token, [0, order, is_text])
+        seen[0] += 1
+        seen[1] = min(seen[1], order)
+    return found
 
 
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,9 +66,9 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             key = _hash(f"{host}\n{page}")
             if key not in seen:
                 seen.add(key)
-                out.append(page_tokens(page).assign(host=host, page=key))
+                out += [(host, key, token, *about) for token, about in page_tokens(page).items()]
         if out:
-            yield pd.concat(out)[["host", "page", "token", "n", "first", "is_text"]]
+            yield pd.DataFrame(out, columns=["host", "page", "token", "n", "first", "is_text"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
