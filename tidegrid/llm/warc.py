@@ -250,13 +250,17 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
 def merge_index(captures: DataFrame) -> DataFrame:
     """The captures with ``part`` and ``position``: ordered by both, they are in order of URL key, then time, then id.
 
-    Splitters come from a random sample of ``SAMPLE_KEYS`` keys; it only decides how even the ranges are. Keys are unique
+    Splitters come from a random sample of about ``SAMPLE_KEYS`` keys; it only decides how even the ranges are. Keys are unique
     by their place in the archive, so captures of one URL, however many, spread over as many ranges as they fill.
     """
     captures = captures.select(*_COLUMNS)
-    parts = captures.count() // RANGE_ROWS + 1
-    sample = sorted(_key(tuple(r)) for r in captures.orderBy(F.rand(7)).limit(SAMPLE_KEYS).collect()) if parts > 1 else []
-    splitters = [sample[len(sample) * k // parts] for k in range(1, parts)] if sample else []
+    rows = captures.count()
+    parts = rows // RANGE_ROWS + 1
+    splitters: list[tuple] = []
+    if parts > 1:
+        drawn = captures.sample(min(1.0, SAMPLE_KEYS / rows), seed=7).select(*_COLUMNS[:3], *_COLUMNS[-2:])
+        sample = sorted(_key(tuple(r)) for r in drawn.collect())
+        splitters = [sample[len(sample) * k // parts] for k in range(1, parts)] if sample else []
     runs = captures.mapInPandas(_sorted_runs(splitters), "part bigint, run binary")
     return runs.groupBy("part").applyInPandas(_merge, f"part bigint, position bigint, {_ENTRY}")
 
