@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.batches import id_and_text, with_id
+from tidegrid.llm.batches import STEP_CHARS, id_and_text, with_id
 from tidegrid.llm.tokens import LOOK_AHEAD, cut_places, encoder, is_cut
 
 #: Characters of a leaf; a leaf that edits have made this many times as long makes the tree be laid out anew.
@@ -154,10 +154,20 @@ def recount(df: DataFrame, edits: DataFrame, vocabulary: str, id_col: str = "doc
         encode = encoder(vocabulary)
         held, copies, tree, text, before, done = None, 0, None, "", 0, 0
 
-        def result() -> pd.DataFrame:
-            row = {"id": held[0], "n_tokens_before": before, "n_tokens": tree.n_tokens, "n_chars": tree.n_chars,
-                   "encoded_chars": done, "text": text}
-            return pd.DataFrame([row] * copies)
+        results: list[tuple] = []
+        waiting = 0  # characters in them
+
+        def finish() -> None:
+            nonlocal waiting
+            results.extend([(held[0], before, tree.n_tokens, tree.n_chars, done, text)] * copies)
+            waiting += len(text) * copies
+
+        def drain() -> pd.DataFrame:
+            nonlocal waiting
+            out = pd.DataFrame(results, columns=["id", "n_tokens_before", "n_tokens", "n_chars", "encoded_chars", "text"])
+            results.clear()
+            waiting = 0
+            return out
 
         for rows in batches:
             for doc, digest, kind, start, stop, new in zip(*(rows[c] for c in (
@@ -167,7 +177,9 @@ def recount(df: DataFrame, edits: DataFrame, vocabulary: str, id_col: str = "doc
                         copies += 1
                         continue
                     if held is not None:
-                        yield result()
+                        finish()
+                        if waiting > STEP_CHARS:
+                            yield drain()
                     held, copies, text, done = (doc, digest), 1, new, 0
                     tree = CountTree.of(text, encode)
                     before = tree.n_tokens
@@ -177,7 +189,8 @@ def recount(df: DataFrame, edits: DataFrame, vocabulary: str, id_col: str = "doc
                     text, work = tree.edit(text, start, stop, new, encode)
                     done += work
         if held is not None:
-            yield result()
+            finish()
+        yield drain()
 
     out = stream.mapInPandas(run, "id string, n_tokens_before bigint, n_tokens bigint, n_chars bigint, "
                                   "encoded_chars bigint, text string")
