@@ -125,16 +125,18 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     digests = edited.select(*key, F.sha2("text", 256).alias("edited_sha256")).dropDuplicates(key)
 
     own = {"id": "id", "hash": "hash"}
+    # The next document's signature moves first, while the row is narrow; the other joins share one partitioning.
+    beside = (places.alias("p").join(plain.alias("n"), same_key("p", "n", {"next_id": "id", "next_hash": "hash"}))
+              .select("p.id", "p.hash", "p.n_chars", F.col("n.signature").alias("following")))
     result = (
-        places.alias("p")
+        beside.alias("p")
         .join(plain.alias("a"), same_key("p", "a", own))
         .join(changed.alias("e"), same_key("p", "e", own))
         .join(digests.alias("d"), same_key("p", "d", own))
-        .join(plain.alias("n"), same_key("p", "n", {"next_id": "id", "next_hash": "hash"}))
         .select("p.id", "p.hash", "p.n_chars", "d.edited_sha256", fingerprint("a.signature").alias("fingerprint"),
                 fingerprint("e.edited").alias("edited_fingerprint"),
                 likeness("a.signature", "e.edited").alias("near_edited"),
-                likeness("a.signature", "n.signature").alias("near_next")))
+                likeness("a.signature", "p.following").alias("near_next")))
     return (rows.select(*key).alias("r").join(result.alias("x"), same_key("r", "x", own))
             .select(F.col("r.id").alias(id_col), F.col("x.n_chars").cast("bigint").alias("n_chars"), "edited_sha256",
                     "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
