@@ -117,3 +117,24 @@ def test_verdicts_and_edges(spark):
     assert by.loc[range(60), "kept"].all() and not by.loc[[100, 101, 102, 103], "kept"].any()
     assert not by.loc[100, "base_failed"] and by.loc[[101, 102, 103], "base_failed"].all()
     assert quality.assess(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("held", [4_000_000, 0])
+def test_copies_of_a_text_do_not_move_the_band(spark, monkeypatch, held):
+    monkeypatch.setattr(quality, "HELD_GRAMS", held)
+    rng = random.Random(18)
+    words = ["the", "cat", "sat", "on", "many", "mats", "while", "dogs", "ran", "home", "again", "today"]
+    rows = [(i, " ".join(rng.choices(words, k=80)), "en") for i in range(80)]
+    rows += [(100 + i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(80)), "en")
+             for i in range(4)]
+    copies = [(1000 + i, rows[3][1], "en") for i in range(42)]  # a third of all rows
+
+    def judged(some):
+        df = spark.createDataFrame(some, "doc_id bigint, text string, lang string").repartition(4)
+        return {r.doc_id: (r.log_ppl, r.kept) for r in quality.assess(df).collect()}
+
+    alone, crowded = judged(rows), judged(rows + copies)
+    assert {i: kept for i, (_, kept) in alone.items()} == {i: i < 100 for i, *_ in rows}
+    for i, (ppl, kept) in alone.items():
+        assert crowded[i] == (pytest.approx(ppl, rel=1e-9), kept)
+    assert {crowded[i] for i, *_ in copies} == {crowded[3]}

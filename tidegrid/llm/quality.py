@@ -4,6 +4,9 @@ The model is modified Kneser-Ney of order four. Spark counts its n-grams over al
 sorted arrays, the counts meet by n-gram, and every order is a handful of grouped tables. Scoring looks the n-grams of a
 text up in sorted arrays of n-gram codes by binary search. A model of at most ``HELD_GRAMS`` n-grams is sent to the tasks as
 such arrays; with a larger one, documents are dealt to blocks, and each block gets the n-grams that it has.
+
+Copies of a text count once, in the model and in the quartiles. Texts are dealt into two folds by their hash; what a band
+judges is the score of a text by the model of the other fold, which has seen neither the text nor its copies.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ SYMBOLS = 1 << BITS
 #: Grain of the log-perplexities whose quartiles make the bands.
 GRAIN = 1000
 UNKNOWN = "und"
+#: Name of the model of all texts; those of the texts outside a fold are named by the fold. A name precedes the language.
+WHOLE, FOLDS = "*", ("0", "1")
+#: Hash values of texts fall into so many slots (a power of two); a slot with copies is one bit of 1 MB in every task.
+COPY_SLOTS, BITMAP = 1 << 23, 1 << 15
 
 # Fixed values of the plain rules.
 SYMBOL_CHARS = "#*$%&|<>"
@@ -134,6 +141,57 @@ def with_language(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
     return id_and_text(df, id_col, text_col, lang=F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)))
 
 
+def with_fold(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``key``, the same for the copies of a text in a language, and its ``fold``."""
+    key = F.xxhash64("lang", "text")
+    return rows.withColumn("key", key).withColumn("fold", F.pmod(F.shiftright(key, 40), F.lit(len(FOLDS))).cast("string"))
+
+
+def slots_with_copies(rows: DataFrame) -> np.ndarray:
+    """One bit for each of ``COPY_SLOTS``: whether a key of the slot has more than one row."""
+    slot = F.pmod("key", F.lit(COPY_SLOTS))
+    copied = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(slot.alias("slot"))
+    found = (copied.groupBy(F.floor(F.col("slot") / BITMAP).alias("part"))
+             .agg(F.bitmap_construct_agg(F.col("slot") % BITMAP).alias("bits")))
+    out = np.zeros(COPY_SLOTS // 8, dtype=np.uint8)
+    for r in found.toLocalIterator():
+        out[r["part"] * BITMAP // 8:][:BITMAP // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def _once(batches: Iterator[pd.DataFrame], bits: np.ndarray, copied: bool) -> Iterator[pd.DataFrame]:
+    """The rows in slots without copies, or of those in slots with copies one per key and task."""
+    seen: set[int] = set()
+    for rows in batches:
+        slot = rows["key"].to_numpy() & (COPY_SLOTS - 1)
+        rows = rows[(((bits[slot >> 3] >> (slot & 7)) & 1) == 1) == copied]
+        if copied:
+            rows = rows[~rows["key"].duplicated() & ~rows["key"].isin(seen)]
+            seen.update(rows["key"].tolist())
+        yield rows
+
+
+def count_texts(rows: DataFrame) -> DataFrame:
+    """The counts of :func:`count_ngrams` over one row of each text of :func:`with_fold`, with the fold before ``lang``.
+
+    Only the texts in slots with copies move, one of each task.
+    """
+    bits = rows.sparkSession.sparkContext.broadcast(slots_with_copies(rows))
+    named = rows.select("key", F.concat("fold", "lang").alias("lang"), "text")
+    schema = "lang string, gram bigint, n bigint"
+    single = named.mapInPandas(lambda batches: _count(_once(batches, bits.value, False)), schema)
+    copies = named.mapInPandas(lambda batches: _once(batches, bits.value, True), named.schema).dropDuplicates(["key"])
+    return single.unionByName(count_ngrams(copies))
+
+
+def _for_models(counts: DataFrame, trained: bool) -> DataFrame:
+    """Counts by fold and language, as those that the models are made of, or the n-grams that they are asked for."""
+    fold, lang = F.substring("lang", 1, 1), F.expr("substring(lang, 2)")
+    name = F.translate(fold, "".join(FOLDS), "".join(reversed(FOLDS))) if trained else fold
+    return counts.select(F.explode(F.array(F.lit(WHOLE), name)).alias("name"), lang.alias("rest"), "gram", "n").select(
+        F.concat("name", "rest").alias("lang"), "gram", "n")
+
+
 def count_ngrams(rows: DataFrame) -> DataFrame:
     """``(lang, gram, n)`` over the rows of :func:`with_language`, a row for each task that has the n-gram."""
     return rows.select("lang", "text").mapInPandas(_count, "lang string, gram bigint, n bigint")
@@ -211,10 +269,10 @@ def probabilities(levels: dict[int, DataFrame], wanted: DataFrame) -> DataFrame:
     return lower
 
 
-#: Sorted n-grams and the logarithms of their probabilities, by language.
+#: Sorted n-grams and the logarithms of their probabilities, by model name and language.
 Arrays = dict[str, tuple[np.ndarray, np.ndarray]]
-_SCORED = ("id string, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-           "n_repeat_words bigint, log_ppl double")
+_SCORED = ("id string, lang string, key bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+           "n_repeat_words bigint, log_ppl double, unseen_ppl double")
 
 
 def _arrays(model: pd.DataFrame) -> Arrays:
@@ -226,22 +284,26 @@ def _arrays(model: pd.DataFrame) -> Arrays:
 
 
 def _score(rows: pd.DataFrame, arrays: Arrays) -> pd.DataFrame:
-    """Plain counts and mean negative log-probability per character."""
+    """Plain counts and mean negative log-probability per character, by the model of all texts and by that of the other fold."""
     out = []
-    for lang, own in rows.groupby("lang"):
+    for (lang, fold), own in rows.groupby(["lang", "fold"]):
         texts = list(own["text"])
         docs, codes = ngram_codes(texts)
-        total, size = np.zeros(len(texts)), np.bincount(docs, minlength=len(texts))
-        if len(codes):
-            grams, logs = arrays[lang]
-            total = np.bincount(docs, logs[np.searchsorted(grams, codes)], len(texts))
-        mean = np.where(size > 0, -total / np.maximum(size, 1), np.nan)
-        out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, log_ppl=mean))
+        size = np.bincount(docs, minlength=len(texts))
+        means = []
+        for name in (WHOLE, fold):
+            total = np.zeros(len(texts))
+            if len(codes):
+                grams, logs = arrays[name + lang]
+                total = np.bincount(docs, logs[np.searchsorted(grams, codes)], len(texts))
+            means.append(np.where(size > 0, -total / np.maximum(size, 1), np.nan))
+        out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, key=own["key"].to_numpy(), log_ppl=means[0],
+                                              unseen_ppl=means[1]))
     return pd.concat(out)[[c.split()[0] for c in _SCORED.split(", ")]]
 
 
 def sorted_arrays(model: DataFrame) -> DataFrame:
-    """``(lang, grams, logs)``: the model as sorted arrays of n-gram codes and logarithms, some to a language."""
+    """``(lang, grams, logs)``: the models as sorted arrays of n-gram codes and logarithms, some to a name and language."""
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         (lang, (grams, logs)), = _arrays(rows).items()
@@ -252,7 +314,7 @@ def sorted_arrays(model: DataFrame) -> DataFrame:
 
 
 def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Plain counts and ``log_ppl`` (missing for empty texts), with the whole model in every task."""
+    """Plain counts, ``log_ppl`` and ``unseen_ppl`` (missing for empty texts), with all models in every task."""
     parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for r in sorted_arrays(model).toLocalIterator():
         parts.setdefault(r["lang"], []).append((np.frombuffer(r["grams"], dtype=np.int64), np.frombuffer(r["logs"])))
@@ -277,7 +339,8 @@ def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(chars // BLOCK_CHARS + 1)))
 
     def grams_of(block: pd.DataFrame) -> pd.DataFrame:
-        counted = pd.concat(list(_count(iter([block]))))
+        named = [block.assign(lang=name + block["lang"]) for name in (WHOLE, block["fold"])]
+        counted = pd.concat(list(_count(iter(named))))
         return pd.DataFrame({"block": int(block["block"].iloc[0]), "lang": list(counted["lang"]),
                              "gram": counted["gram"].to_numpy()}).drop_duplicates()
 
@@ -294,12 +357,12 @@ def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def bands(scored: DataFrame, below: float, above: float) -> DataFrame:
-    """``(lang, low, high)``: the quartiles of the log-perplexity, widened by multiples of their distance.
+    """``(lang, low, high)``: the quartiles of ``unseen_ppl`` over different texts, widened by multiples of their distance.
 
     The values are counted in steps of 1/1000, so what meets per language is a short histogram.
     """
-    steps_of = F.floor(F.col("log_ppl") * GRAIN)
-    bins = (scored.filter("log_ppl is not null and not isnan(log_ppl)").groupBy("lang", steps_of.alias("bin"))
+    texts = scored.groupBy("lang", "key").agg(F.min("unseen_ppl").alias("value"))
+    bins = (texts.filter("value is not null and not isnan(value)").groupBy("lang", F.floor(F.col("value") * GRAIN).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n")))
     up_to = Window.partitionBy("lang").orderBy("bin")
     whole = Window.partitionBy("lang")
@@ -317,19 +380,20 @@ def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     """``(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_ppl, base_failed, kept)``.
 
     One row per input row. A document fails the base rules with under 50 words, or with over half of its words in
-    repeated three-word windows; it is kept if it passes them and its log-perplexity per character lies within the band
-    of its language. Bands are the quartiles of the documents that pass, widened by ``below`` and ``above`` times their
-    distance (at least 0.02). A missing text counts as empty, a missing language is one of its own; repeated rows and
+    repeated three-word windows; it is kept if it passes them and its log-perplexity per character, by the model of the
+    texts of the other fold, lies within the band of its language. Bands are the quartiles of the different texts that pass,
+    widened by ``below`` and ``above`` times their distance (at least 0.02). ``log_ppl`` is by the model of all different
+    texts. A missing text counts as empty, a missing language is one of its own; repeated rows and
     missing ids are rows like others; other columns are not read.
     """
-    rows = with_language(df, id_col, text_col, lang_col)
-    counts = stored(count_ngrams(rows))
-    levels = {order: stored(level) for order, level in count_levels(counts).items()}
-    model = stored(probabilities(levels, levels[ORDER]).repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
+    rows = with_fold(with_language(df, id_col, text_col, lang_col))
+    counts = stored(count_texts(rows).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    levels = {order: stored(level) for order, level in count_levels(_for_models(counts, True)).items()}
+    model = stored(probabilities(levels, _for_models(counts, False)).repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
     score = score_with_held_model if model.count() <= HELD_GRAMS else score_in_blocks
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = stored(score(rows, model).withColumn("base_failed", failed))
     judged = scored.join(small_side(bands(scored.filter(~F.col("base_failed")), below, above)), "lang", "left")
-    kept = ~F.col("base_failed") & F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("unseen_ppl").between(F.col("low"), F.col("high")), F.lit(False))
     return with_id(judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl",
                                  "base_failed", kept.alias("kept")), df, id_col)
