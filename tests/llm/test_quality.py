@@ -138,3 +138,43 @@ def test_copies_of_a_text_do_not_move_the_band(spark, monkeypatch, held):
     for i, (ppl, kept) in alone.items():
         assert crowded[i] == (pytest.approx(ppl, rel=1e-9), kept)
     assert {crowded[i] for i, *_ in copies} == {crowded[3]}
+
+
+def test_word_score_equals_brute_force(texts):
+    rng = random.Random(28)
+    texts = [*texts, "", " \n ", " *** ", "a", " lead  and\x0btail ", "\U00010020 x\xa0y"]
+    logs = [[-rng.random() for _ in t] for t in texts]
+    found = quality.Words(texts)
+    codes = {}
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    for word, code in zip([w for t in split for w in t], found.codes.tolist(), strict=True):
+        assert codes.setdefault(word, code) == code
+    assert len(set(codes.values())) == len(codes) and found.docs.tolist() == [i for i, t in enumerate(split) for _ in t]
+    known = {w: rng.random() / 50 for w in list(codes)[::2]}
+    order = sorted(known, key=codes.get)
+    held = (quality.np.array([codes[w] for w in order]), quality.np.log([known[w] for w in order]))
+    got = quality._word_score(texts, quality.np.array([x for t in logs for x in t]), held, math.log(0.3))
+    for value, text, own in zip(got, texts, logs):
+        total, named = 0.0, 0
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            total -= math.log(known.get(m.group(), 0) + 0.3 * math.exp(sum(own[m.start():m.end() + 1])))
+            named += any(c.isalnum() for c in m.group())
+        assert value == pytest.approx(total / named, rel=1e-9) if named else math.isnan(value)
+
+
+@pytest.mark.parametrize("held", [4_000_000, 0])
+def test_noise_of_easy_characters_is_rejected(spark, monkeypatch, held):
+    monkeypatch.setattr(quality, "HELD_GRAMS", held)
+    rng = random.Random(38)
+    common = ["the", "of", "and", "to", "in", "that", "is", "was", "for", "on", "with", "as"]
+    rare = ["".join(rng.choices(["th", "er", "on", "an", "re", "he", "in", "ed", "nd"], k=rng.randrange(2, 5))) for _ in range(300)]
+
+    def words():
+        return [rng.choice(common) if rng.random() < 0.6 else rng.choice(rare) for _ in range(rng.randrange(80, 200))]
+
+    good = [" ".join(words()) for _ in range(150)]
+    noise = [" ".join(w + rng.choice(["***", "%%%", "$$$", "###"]) for w in words()) for _ in range(12)]
+    tables = [" | ".join("".join(rng.choices(["th", "er", "on", "an", "re"], k=6)) for _ in range(60)) for _ in range(6)]
+    rows = [(i, t, "en") for i, t in enumerate(good + noise + tables)]
+    kept = {r.doc_id: r.kept for r in quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(kept[i] for i in range(150, 168)) and sum(kept[i] for i in range(150)) >= 148

@@ -1,19 +1,21 @@
-"""Quality rules: plain counts per document, and perplexity bands of a character n-gram model per language.
+"""Quality rules: plain counts per document, and perplexity bands of a word model per language that backs off to characters.
 
-The model is modified Kneser-Ney of order four. Spark counts its n-grams over all documents: each task adds up its own in
+The character model is modified Kneser-Ney of order four. Spark counts its n-grams over all documents: each task adds up its own in
 sorted arrays, the counts meet by n-gram, and every order is a handful of grouped tables. Scoring looks the n-grams of a
 text up in sorted arrays of n-gram codes by binary search. A model of at most ``HELD_GRAMS`` n-grams is sent to the tasks as
 such arrays; with a larger one, documents are dealt to blocks, and each block gets the n-grams that it has.
 
 Copies of a text count once, in the model and in the quartiles. Texts are dealt into two folds by their hash; what a band
-judges is the score of a text by the model of the other fold, which has seen neither the text nor its copies.
+judges is the score of a text by the model of the other fold, which has seen neither the text nor its copies. That score
+is per word: frequent words have their share, and that of all others is spread by the characters of a word. Noise made of
+easy characters is made of unknown words.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,12 @@ GRAIN = 1000
 UNKNOWN = "und"
 #: Name of the model of all texts; those of the texts outside a fold are named by the fold. A name precedes the language.
 WHOLE, FOLDS = "*", ("0", "1")
+#: Least share of a language's words that a word of the vocabulary has; it has 10,000 words at most, whatever the input.
+VOCABULARY_SHARE = 1e-4
+#: Slots (a power of two) of the table that finds most n-grams without a search.
+TABLE = 1 << 20
+#: Precede a name: the words of the model, and what it leaves to the characters (under the code 0).
+WORDS, REST = "w", "r"
 #: Hash values of texts fall into so many slots (a power of two); a slot with copies is one bit of 1 MB in every task.
 COPY_SLOTS, BITMAP = 1 << 23, 1 << 15
 
@@ -112,14 +120,49 @@ def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return docs[:-ORDER + 1][same], codes[same].view(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter or digit."""
+    return np.array([chr(c).isalnum() for c in range(0x110000)])
+
+
+class Words:
+    """The words of some texts: text number, 64-bit code and place of each; the same white space as :func:`plain_counts`."""
+
+    def __init__(self, texts: list[str]):
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        docs = np.repeat(np.arange(len(texts)), sizes)
+        inside = (points != 0x20) & ((points < 0x09) | (points > 0x0D))
+        follows = np.zeros(len(points), dtype=bool)
+        follows[1:] = inside[:-1] & (docs[1:] == docs[:-1])
+        self.starts = np.flatnonzero(inside & ~follows)
+        self.docs = docs[self.starts]
+        #: The characters of a word and the one white space after it.
+        self.counted = inside | follows
+        number = np.cumsum(inside & ~follows) - 1
+        place = np.arange(len(points)) - (self.starts[np.maximum(number, 0)] if len(self.starts) else 0)
+        mixed = points.astype(np.uint64) | (place.astype(np.uint64) << np.uint64(21))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):  # the mixer of splitmix64
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor) + np.uint64(0x9E3779B97F4A7C15)
+        self.codes = self.sums(np.where(inside, mixed, np.uint64(0))).view(np.int64)
+        self.named = self.sums(inside & _letters()[points], np.int64) > 0
+
+    def sums(self, values: np.ndarray, dtype: type | None = None) -> np.ndarray:
+        """Sum over each word of a value per character."""
+        if not len(self.starts):
+            return np.empty(0, dtype=dtype or values.dtype)
+        return np.add.reduceat(values, self.starts, dtype=dtype)
+
+
 def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted n-grams of several counts, and their sums."""
     grams, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     return grams, np.bincount(where, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The n-grams of a task's rows per language; handed on whenever they are many."""
+def _count(batches: Iterator[pd.DataFrame], words: bool = False) -> Iterator[pd.DataFrame]:
+    """The n-grams, and the words if wanted, of a task's rows per language; handed on whenever they are many."""
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def flush() -> Iterator[pd.DataFrame]:
@@ -129,8 +172,10 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for rows in steps(batches):
         for lang, own in rows.groupby("lang"):
-            parts = [np.unique(ngram_codes(list(own["text"]))[1], return_counts=True), *([held[lang]] if lang in held else [])]
-            held[lang] = _add_up(parts)
+            texts = list(own["text"])
+            for name, codes in [(lang, ngram_codes(texts)[1])] + ([(WORDS + lang, Words(texts).codes)] if words else []):
+                parts = [np.unique(codes, return_counts=True), *([held[name]] if name in held else [])]
+                held[name] = _add_up(parts)
         if sum(len(g) for g, _ in held.values()) > HELD_GRAMS:
             yield from flush()
     yield from flush()
@@ -172,16 +217,17 @@ def _once(batches: Iterator[pd.DataFrame], bits: np.ndarray, copied: bool) -> It
 
 
 def count_texts(rows: DataFrame) -> DataFrame:
-    """The counts of :func:`count_ngrams` over one row of each text of :func:`with_fold`, with the fold before ``lang``.
+    """The counts of :func:`count_ngrams` over one row of each text of :func:`with_fold`, with the fold before ``lang``, and
+    those of words with ``WORDS`` before that.
 
     Only the texts in slots with copies move, one of each task.
     """
     bits = rows.sparkSession.sparkContext.broadcast(slots_with_copies(rows))
     named = rows.select("key", F.concat("fold", "lang").alias("lang"), "text")
     schema = "lang string, gram bigint, n bigint"
-    single = named.mapInPandas(lambda batches: _count(_once(batches, bits.value, False)), schema)
+    single = named.mapInPandas(lambda batches: _count(_once(batches, bits.value, False), True), schema)
     copies = named.mapInPandas(lambda batches: _once(batches, bits.value, True), named.schema).dropDuplicates(["key"])
-    return single.unionByName(count_ngrams(copies))
+    return single.unionByName(copies.select("lang", "text").mapInPandas(lambda batches: _count(batches, True), schema))
 
 
 def _for_models(counts: DataFrame, trained: bool) -> DataFrame:
@@ -269,7 +315,23 @@ def probabilities(levels: dict[int, DataFrame], wanted: DataFrame) -> DataFrame:
     return lower
 
 
-#: Sorted n-grams and the logarithms of their probabilities, by model name and language.
+def word_shares(counts: DataFrame) -> DataFrame:
+    """``(lang, gram, p)`` by model name of the words that make up ``VOCABULARY_SHARE`` of the other fold and are there twice,
+    and under ``REST`` and the word 0 the share of all others. Of words ``counts`` has ``(lang, gram, n)`` by fold."""
+    fold, rest = F.substring("lang", 1, 1), F.expr("substring(lang, 2)")
+    other = F.translate(fold, "".join(FOLDS), "".join(reversed(FOLDS)))
+    level = counts.select(F.concat(other, rest).alias("lang"), "gram", "n")
+    totals = small_side(level.groupBy("lang").agg(F.sum("n").alias("total")))
+    found = stored(level.join(totals, "lang").filter((F.col("n") >= 2) & (F.col("n") >= VOCABULARY_SHARE * F.col("total"))))
+    known = found.groupBy("lang").agg(F.sum("n").alias("known"))
+    left = F.col("total") - F.coalesce(F.col("known"), F.lit(0)) + 1  # never nothing, for words that no text of the fold has
+    return (found.select(F.concat(F.lit(WORDS), "lang").alias("lang"), "gram", (F.col("n") / (F.col("total") + 1)).alias("p"))
+            .unionByName(totals.join(known, "lang", "left").select(
+                F.concat(F.lit(REST), "lang").alias("lang"), F.lit(0).cast("bigint").alias("gram"),
+                (left / (F.col("total") + 1)).alias("p"))))
+
+
+#: Sorted n-grams or words and the logarithms of their probabilities, by model name and language.
 Arrays = dict[str, tuple[np.ndarray, np.ndarray]]
 _SCORED = ("id string, lang string, key bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
            "n_repeat_words bigint, log_ppl double, unseen_ppl double")
@@ -283,22 +345,62 @@ def _arrays(model: pd.DataFrame) -> Arrays:
     return out
 
 
-def _score(rows: pd.DataFrame, arrays: Arrays) -> pd.DataFrame:
-    """Plain counts and mean negative log-probability per character, by the model of all texts and by that of the other fold."""
-    out = []
+class Models:
+    """Models of a task, with a hash table of a language's n-grams in front of the binary search."""
+
+    def __init__(self, arrays: Arrays):
+        self.arrays, self.tables, self.aligned = arrays, {}, {}
+
+    def logs(self, lang: str, fold: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logarithms of n-grams by the model of all texts, which has each of them, and by that of the other fold."""
+        grams, logs = self.arrays[WHOLE + lang]
+        if lang not in self.tables:
+            self.tables[lang] = np.zeros(TABLE, dtype=np.int32)
+            self.tables[lang][_slot(grams)] = np.arange(len(grams), dtype=np.int32)
+        if (lang, fold) not in self.aligned:
+            some, of = self.arrays[fold + lang]
+            self.aligned[lang, fold] = np.full(len(grams), np.nan)
+            self.aligned[lang, fold][np.searchsorted(grams, some)] = of
+        where = self.tables[lang][_slot(codes)]
+        other = np.flatnonzero(grams[where] != codes)
+        where[other] = np.searchsorted(grams, codes[other])
+        return logs[where], self.aligned[lang, fold][where]
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE.bit_length() + 1)).view(np.int64)
+
+
+def _word_score(texts: list[str], logs: np.ndarray, words: tuple[np.ndarray, np.ndarray], rest: float) -> np.ndarray:
+    """Mean negative log-probability per word, from that of each character; missing if no word has a letter or digit.
+
+    Words without one add to the sum but not to the number of words.
+    """
+    found = Words(texts)
+    spelt = rest + found.sums(np.where(found.counted, logs, 0.0))
+    known, shares = words
+    own = np.full(len(found.codes), -np.inf)
+    if len(known):
+        where = np.minimum(np.searchsorted(known, found.codes), len(known) - 1)
+        own = np.where(known[where] == found.codes, shares[where], -np.inf)
+    total = -np.bincount(found.docs, np.logaddexp(own, spelt), len(texts))
+    named = np.bincount(found.docs[found.named], minlength=len(texts))
+    return np.where(named > 0, total / np.maximum(named, 1), np.nan)
+
+
+def _score(rows: pd.DataFrame, models: Models) -> pd.DataFrame:
+    """Plain counts, mean negative log-probability per character by the model of all texts, and per word by the other fold's."""
+    out, nothing = [], (np.empty(0, dtype=np.int64), np.zeros(1))
     for (lang, fold), own in rows.groupby(["lang", "fold"]):
         texts = list(own["text"])
         docs, codes = ngram_codes(texts)
         size = np.bincount(docs, minlength=len(texts))
-        means = []
-        for name in (WHOLE, fold):
-            total = np.zeros(len(texts))
-            if len(codes):
-                grams, logs = arrays[name + lang]
-                total = np.bincount(docs, logs[np.searchsorted(grams, codes)], len(texts))
-            means.append(np.where(size > 0, -total / np.maximum(size, 1), np.nan))
-        out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, key=own["key"].to_numpy(), log_ppl=means[0],
-                                              unseen_ppl=means[1]))
+        whole, other = models.logs(lang, fold, codes) if len(codes) else (np.empty(0), np.empty(0))
+        mean = np.where(size > 0, -np.bincount(docs, whole, len(texts)) / np.maximum(size, 1), np.nan)
+        unseen = _word_score(texts, other, models.arrays.get(WORDS + fold + lang, nothing),
+                             models.arrays.get(REST + fold + lang, nothing)[1][0])
+        out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, key=own["key"].to_numpy(), log_ppl=mean,
+                                              unseen_ppl=unseen))
     return pd.concat(out)[[c.split()[0] for c in _SCORED.split(", ")]]
 
 
@@ -326,8 +428,9 @@ def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = Models(shared.value)
         for part in steps(batches):
-            yield _score(part, shared.value)
+            yield _score(part, models)
 
     return rows.mapInPandas(run, _SCORED)
 
@@ -339,14 +442,15 @@ def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(chars // BLOCK_CHARS + 1)))
 
     def grams_of(block: pd.DataFrame) -> pd.DataFrame:
-        named = [block.assign(lang=name + block["lang"]) for name in (WHOLE, block["fold"])]
-        counted = pd.concat(list(_count(iter(named))))
+        whole, other = (block.assign(lang=name + block["lang"]) for name in (WHOLE, block["fold"]))
+        counted = pd.concat([*_count(iter([whole])), *_count(iter([other]), True)])
+        counted = pd.concat([counted, pd.DataFrame({"lang": (REST + other["lang"]).unique(), "gram": 0})])
         return pd.DataFrame({"block": int(block["block"].iloc[0]), "lang": list(counted["lang"]),
                              "gram": counted["gram"].to_numpy()}).drop_duplicates()
 
     def score_block(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        arrays = _arrays(found)
-        return pd.concat([_score(part, arrays) for part in steps([block])])
+        models = Models(_arrays(found))
+        return pd.concat([_score(part, models) for part in steps([block])])
 
     wanted = blocks.groupBy("block").applyInPandas(grams_of, "block bigint, lang string, gram bigint")
     answers = wanted.join(model, ["lang", "gram"])
@@ -375,21 +479,24 @@ def bands(scored: DataFrame, below: float, above: float) -> DataFrame:
                     ((F.col("q3") + above * gap + 1) / GRAIN).alias("high"))
 
 
-def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", below: float = 6.0,
+def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", below: float = 4.0,
            above: float = 4.0) -> DataFrame:
     """``(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_ppl, base_failed, kept)``.
 
     One row per input row. A document fails the base rules with under 50 words, or with over half of its words in
-    repeated three-word windows; it is kept if it passes them and its log-perplexity per character, by the model of the
-    texts of the other fold, lies within the band of its language. Bands are the quartiles of the different texts that pass,
-    widened by ``below`` and ``above`` times their distance (at least 0.02). ``log_ppl`` is by the model of all different
-    texts. A missing text counts as empty, a missing language is one of its own; repeated rows and
+    repeated three-word windows; it is kept if it passes them and its log-perplexity per word, by the model of the texts
+    of the other fold, lies within the band of its language. Bands are the quartiles of the different texts that pass,
+    widened by ``below`` and ``above`` times their distance (at least 0.02). ``log_ppl`` is per character, by the model of
+    all different texts. A missing text counts as empty, a missing language is one of its own; repeated rows and
     missing ids are rows like others; other columns are not read.
     """
     rows = with_fold(with_language(df, id_col, text_col, lang_col))
     counts = stored(count_texts(rows).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    levels = {order: stored(level) for order, level in count_levels(_for_models(counts, True)).items()}
-    model = stored(probabilities(levels, _for_models(counts, False)).repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
+    is_word = F.col("lang").startswith(WORDS)
+    ngrams, words = counts.filter(~is_word), counts.filter(is_word).withColumn("lang", F.expr("substring(lang, 2)"))
+    levels = {order: stored(level) for order, level in count_levels(_for_models(ngrams, True)).items()}
+    chances = probabilities(levels, _for_models(ngrams, False)).unionByName(word_shares(words))
+    model = stored(chances.repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
     score = score_with_held_model if model.count() <= HELD_GRAMS else score_in_blocks
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = stored(score(rows, model).withColumn("base_failed", failed))
