@@ -53,6 +53,16 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of one frame of :func:`stored` before the rest, in loops that need no more than their last round."""
+    spark = df.sparkSession
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    for path in [p for p in _scratch if any(f.endswith(p.rpartition("/")[2]) for f in folders)]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _scratch.remove(path)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back.
 
