@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
+from tidegrid.llm import bpe, centroids, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_extract": op2_extract,
@@ -97,7 +101,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    "op11_centroids": op11_centroids,
 }
+
+
+def _centroid_sql(rounds: int = 5) -> str:
+    """Every distance of every round by inner products, which are whole numbers below 2**53."""
+    parts = ["""
+        kept AS MATERIALIZED (
+            SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v, [floor(256 * x::DOUBLE) FOR x IN embedding] AS d
+            FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v, d FROM kept WHERE vec_id IS NOT NULL
+            ORDER BY sha256('2:' || vec_id), v LIMIT 40)"""]
+    for t in range(rounds + 1):
+        parts.append(f"""
+        a{t} AS MATERIALIZED (
+            SELECT vec_id, v, unnest(min({{dist: dist, c: c}})) FROM (
+                SELECT n, vec_id, k.v, c, (list_inner_product(k.d, k.d) - 2 * list_inner_product(k.d, c{t}.d)
+                       + list_inner_product(c{t}.d, c{t}.d))::BIGINT AS dist
+                FROM (SELECT *, row_number() OVER () AS n FROM kept) k CROSS JOIN c{t}) GROUP BY n, vec_id, v)""")
+        if t < rounds:
+            parts.append(f"""
+        c{t + 1} AS MATERIALIZED (
+            SELECT c, w AS v, w::DOUBLE[] AS d FROM (
+                SELECT c{t}.c, coalesce(m.w, c{t}.v) AS w FROM c{t} LEFT JOIN (
+                    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM (
+                        SELECT c, i, sum(v[i])::HUGEINT AS s, count(*) AS n FROM a{t}, range(1, 65) r(i) GROUP BY c, i)
+                    GROUP BY c) m ON m.c = c{t}.c))""")
+    return f"""
+        WITH {",".join(parts)}
+        SELECT vec_id, c::INTEGER AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+               (sum(dist) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
 ORACLES: dict[str, str] = {
     "op4_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
@@ -127,4 +165,5 @@ ORACLES: dict[str, str] = {
         roots AS (SELECT c, min(root) AS component_id FROM reach GROUP BY c)
         SELECT sorted.doc_id, len(sorted.s) AS n_shingles, coalesce(roots.component_id, sorted.doc_id) AS component_id
         FROM sorted LEFT JOIN classes USING (s) LEFT JOIN roots USING (c)""",
+    "op11_centroids": _centroid_sql(),
 }
