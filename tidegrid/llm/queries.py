@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, centroids, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
+from tidegrid.llm import bpe, centroids, dialogue, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,23 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(talks: DataFrame) -> DataFrame:
+    """Conversations with faults by a hash of conversation and turn; ``copies`` says how often a row is there."""
+    def text_of(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    text = text_of("text")
+    return talks.select(
+        "conv_id", "turn", F.when(kind == 4, F.lit("user")).otherwise(text_of("role")).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, F.lit(0)).when(kind == 3, F.lit(2)).otherwise(F.lit(1)).alias("copies"))
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(damaged(table(spark, sf_dir, "conversations")), copies=F.col("copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_extract": op2_extract,
@@ -102,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
     "op11_centroids": op11_centroids,
+    "op13_dialogue": op13_dialogue,
 }
 
 
@@ -166,4 +184,70 @@ ORACLES: dict[str, str] = {
         SELECT sorted.doc_id, len(sorted.s) AS n_shingles, coalesce(roots.component_id, sorted.doc_id) AS component_id
         FROM sorted LEFT JOIN classes USING (s) LEFT JOIN roots USING (c)""",
     "op11_centroids": _centroid_sql(),
+    "op13_dialogue": r"""
+        WITH RECURSIVE hashed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(
+                       coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+                   lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, i:
+                       xor(r >> 1, CASE WHEN (r & 1) = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS kind
+            FROM conversations),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM hashed, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM damaged),
+        judged AS (
+            SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen,
+                   NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS previous
+            FROM placed),
+        r AS MATERIALIZED (
+            SELECT conv_id, turn, pos, role, text, initial, blank, seen AND NOT blank AS duplicate,
+                   cut AND NOT blank AND NOT seen AS truncated,
+                   previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au') AS illegal FROM judged),
+        inserts(state, mid, letters) AS (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'),
+            (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')),
+        acts(mid, letter, initial, state) AS (VALUES (0, 'D', NULL, 0), (1, 'D', NULL, 1), (2, 'D', NULL, 2), (3, 'D', NULL, 3),
+            (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3),
+            (0, 'R', NULL, 2), (1, 'R', NULL, 2), (3, 'R', NULL, 2), (2, 'R', NULL, 3)),
+        ways(conv_id, pos, state, best) AS (
+            SELECT DISTINCT conv_id, 0::BIGINT, 0, {cost: 0::BIGINT, audit: ''} FROM conversations
+            UNION ALL
+            SELECT w.conv_id, r.pos, a.state, min({
+                cost: (w.best.cost + 3 * length(i.letters) + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                       + CASE WHEN truncated AND letter <> 'D' THEN 3 ELSE 0 END)::BIGINT,
+                audit: w.best.audit || i.letters || letter})
+            FROM ways w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1
+            JOIN inserts i ON i.state = w.state JOIN acts a ON a.mid = i.mid AND (letter = 'D' OR NOT blank AND NOT duplicate
+                AND (a.initial IS NULL OR a.initial = r.initial))
+            GROUP BY w.conv_id, r.pos, a.state),
+        sizes AS (SELECT conv_id, max(pos) AS n FROM ways GROUP BY conv_id),
+        ends AS (
+            SELECT w.conv_id, min({cost: (w.best.cost + 3 * length(i.letters))::BIGINT, audit: w.best.audit || i.letters}) AS best
+            FROM ways w JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.pos
+            JOIN inserts i ON i.state = w.state WHERE i.mid IN (0, 3) GROUP BY w.conv_id),
+        letters AS (
+            SELECT conv_id, i, best.audit[i] AS letter,
+                   length(replace(left(best.audit, i), 'I', '')) AS pos, length(replace(left(best.audit, i), 'D', '')) AS nth
+            FROM ends, range(1, length(best.audit) + 1) t(i)),
+        lines AS (
+            SELECT l.conv_id, i, letter, r.role, CASE WHEN letter = 'I' THEN '' ELSE r.text END AS text,
+                   nth - max(CASE WHEN letter = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS place
+            FROM letters l LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.pos = l.pos WHERE letter <> 'D'),
+        repaired AS (
+            SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END
+                || ':' || text, chr(10) ORDER BY i) AS body FROM lines GROUP BY conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                   count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                   count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+            FROM r GROUP BY conv_id)
+        SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+               sha256(coalesce(body, '')) AS repaired_sha256
+        FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+        LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM e.conv_id""",
 }
