@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, centroids, dialogue, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, warc
+from tidegrid.llm import bpe, centroids, dialogue, extract, fingerprints, jaccard, language, packing, quality, recount, secrets, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,18 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def toxicity_held_out() -> Column:
+    """The third of the id hashes whose labels are not learnt from; a row without id is none of it."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity_held_out())
+    return toxicity.score(docs, model).select("doc_id", toxicity_held_out().alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def damaged(talks: DataFrame) -> DataFrame:
     """Conversations with faults by a hash of conversation and turn; ``copies`` says how often a row is there."""
     def text_of(name: str) -> Column:
@@ -119,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
     "op11_centroids": op11_centroids,
+    "op12_toxicity": op12_toxicity,
     "op13_dialogue": op13_dialogue,
 }
 
