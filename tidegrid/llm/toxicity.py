@@ -39,8 +39,8 @@ CAUTION, STRENGTHS = 1.64, (0.7, 2.0, 3.5)
 NEAR = 4
 #: Settings of the trees; bins of scores that isotonic regression sees.
 TREES, DEPTH, STEP, BINS = 24, 4, 0.2, 1000
-#: Words whose features a task remembers.
-REMEMBERED = 200_000
+#: Words that a task remembers, and characters whose features it makes in one step.
+REMEMBERED, FEATURE_CHARS = 200_000, 2_000_000
 
 # Second persons, and letters that signs stand for in disguised words.
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner euch tu te toi ton ta tes vous votre vos ti usted "
@@ -168,33 +168,51 @@ _KNOWN = 12
 
 
 class Tokens:
-    """Remembers what the tokens of a task are."""
+    """Remembers what the tokens of a task are, as rows of ``table``."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.known = lexicon, {}
+        self.lexicon = lexicon
+        #: First letters of the entries: most words have others.
+        self.heads = {k[:4] for k in lexicon} | {k[:3] for k in lexicon if len(k) < 4 or k[3] == "*"}
+        self.rows: dict[str, int] = {}
+        self.table = np.empty((REMEMBERED, _KNOWN))
 
     def _strength(self, word: str) -> float:
-        return max((self.lexicon.get(k, 0.0) for k in keys_of(word)), default=0.0) if len(word) > 1 else 0.0
-
-    def of(self, token: str) -> tuple:
-        found = self.known.get(token)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = self.known[token] = self._judge(token)
-        return found
+        if len(word) < 2 or word[:4] not in self.heads and word[:3] not in self.heads:
+            return 0.0
+        return max(self.lexicon.get(k, 0.0) for k in keys_of(word))
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """What is known of different tokens."""
+        if len(tokens) > REMEMBERED:
+            return np.concatenate([self.of(tokens[i:i + REMEMBERED]) for i in range(0, len(tokens), REMEMBERED)])
+        rows = self.rows
+        if len(rows) + len(tokens) > REMEMBERED:
+            rows.clear()
+        new = [t for t in tokens if t not in rows]
+        if new:
+            start = len(rows)
+            self.table[start:start + len(new)] = [self._judge(t) for t in new]
+            rows.update(zip(new, range(start, start + len(new))))
+        return self.table[[rows[t] for t in tokens]]
 
     def _judge(self, token: str) -> tuple:
-        lower = token.lower()
+        lower, end, hidden = token.lower(), "", None
         if token.isalpha() and lower.isalpha():
-            word, letters, signs, hidden = lower, len(token), 0, None
+            word, letters = lower, len(token)
+        elif token[-1] in ".,;:!?" and token[:-1].isalpha() and lower[:-1].isalpha():
+            word, letters, end = lower[:-1], len(token) - 1, token[-1]
         else:
-            word, letters = plain(token), sum(map(str.isalpha, token))
-            signs, hidden = len(token) - sum(map(str.isalnum, token)), undisguised(token)
-        capitals = 0 if token == lower else sum(map(str.isupper, token))
-        return (self._strength(word), word in SECOND, letters, capitals, letters >= 3 and capitals == letters, token.count("!"),
-                token.count("?"), signs, signs > 1 and any(a == b and not a.isalnum() for a, b in zip(token, token[1:])),
-                hidden is not None, self._strength(hidden) if hidden else 0.0, _LONG.search(word) is not None)
+            word, letters, hidden = plain(token), sum(map(str.isalpha, token)), undisguised(token)
+        capitals = 0 if token == lower else int(token[0].isupper()) if token[1:] == lower[1:] else sum(map(str.isupper, token))
+        known = (self._strength(word), word in SECOND, letters, capitals, letters >= 3 and capitals == letters)
+        drawn_out = _LONG.search(word) is not None
+        if len(word) == len(token) - len(end) and word.isalpha():
+            return *known, end == "!", end == "?", end != "", False, False, 0.0, drawn_out
+        signs = len(token) - sum(map(str.isalnum, token))
+        doubled = signs > 1 and any(a == b and not a.isalnum() for a, b in zip(token, token[1:]))
+        return (*known, token.count("!"), token.count("?"), signs, doubled, hidden is not None,
+                self._strength(hidden) if hidden else 0.0, drawn_out)
 
 
 def features(texts: list[str], tokens: Tokens) -> np.ndarray:
@@ -202,7 +220,7 @@ def features(texts: list[str], tokens: Tokens) -> np.ndarray:
     split = [t.split() for t in texts]
     sizes = np.array([len(s) for s in split], dtype=np.int64)
     codes, different = pd.factorize(np.array([w for s in split for w in s], dtype=object))
-    table = np.array([tokens.of(w) for w in different], dtype=np.float64).reshape(len(different), _KNOWN)[codes]
+    table = tokens.of(different)[codes].reshape(len(codes), _KNOWN)
     docs, n = np.repeat(np.arange(len(texts)), sizes), len(texts)
 
     def total(values: np.ndarray) -> np.ndarray:
@@ -245,7 +263,7 @@ def with_features(rows: DataFrame, known: list[Lexicon], choice: str | None = No
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = [Tokens(lexicon) for lexicon in shared.value]
-        for part in steps(batches):
+        for part in steps(batches, FEATURE_CHARS):
             for number, own in part.groupby(choice) if choice else [(0, part)]:
                 yield own.drop(columns="text").assign(features=list(features(list(own["text"]), tokens[number])))
 
@@ -257,14 +275,21 @@ def with_features(rows: DataFrame, known: list[Lexicon], choice: str | None = No
 
 def training_texts(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """``(text, label, fold, part)``: the different texts of labelled rows where ``training`` holds, once each. A text is toxic
-    if at least half of its rows are; an id with several labels has the greatest."""
+    if at least half of its rows are; an id with several labels has the greatest.
+
+    Texts are known by 128 bits of hashes. Labels find them by narrow rows, and the texts move once, one of each task's copies.
+    """
     one = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
-    own = docs.filter(training & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    key = F.xxhash64("text")
-    found = own.join(one, "_id").groupBy("text").agg(F.avg("_label").alias("share"))
-    return found.select("text", (F.col("share") >= 0.5).cast("int").alias("label"), F.pmod(key, F.lit(2)).cast("int").alias("fold"),
-                        F.pmod(F.shiftright(key, 8), F.lit(4)).cast("int").alias("part"))
+    rows = docs.filter(training & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("key"),
+        F.xxhash64(F.lit(1), F.col(text_col)).alias("check"))
+    judged = rows.select("_id", "key", "check").join(one.hint("merge"), "_id").groupBy("key", "check").agg(
+        F.avg("_label").alias("share"))
+    texts = rows.groupBy("key", "check").agg(F.first("text").alias("text"))
+    return texts.join(judged.hint("merge"), ["key", "check"]).select(
+        "text", (F.col("share") >= 0.5).cast("int").alias("label"), F.pmod("key", F.lit(2)).cast("int").alias("fold"),
+        F.pmod(F.shiftright("key", 8), F.lit(4)).cast("int").alias("part"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
