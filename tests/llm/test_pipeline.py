@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from test_jaccard import plain_set
-from test_quality import BruteModel, brute_counts
+from test_quality import brute_kept
 
 import corpus_pipeline as pipeline
 from tidegrid.llm import language, packing, quality, secrets
@@ -108,26 +108,12 @@ def test_language_stage(stages):
     assert {100, 101, 102}.isdisjoint(r[0] for r in kept)
 
 
-def test_quality_stage(stages):
+def test_quality_stage(spark, stages):
     _, before, after = stages[1]
-    models = {lang: BruteModel([r[1] for r in before if r[2] == lang]) for lang in {r[2] for r in before}}
-    scored = []
-    for row in before:
-        n_words, _, _, _, repeated = brute_counts(row[1])
-        padded = quality.START + row[1]
-        ppl = -sum(np.log(models[row[2]].p(padded[j:j + 4])) for j in range(len(row[1]))) / max(1, len(row[1]))
-        scored.append((row, n_words < 50 or 100 * repeated > 50 * n_words, int(np.floor(ppl * quality.GRAIN)), ppl))
-    kept = []
-    for row, failed, _, ppl in scored:
-        bins = sorted(b for r, f, b, _ in scored if not f and r[2] == row[2])
-        if failed or not bins:
-            continue
-        q1, q3 = (next(b for k, b in enumerate(bins) if (k + 1) / len(bins) >= q) for q in (0.25, 0.75))
-        gap = max(q3 - q1, quality.GRAIN // 50)
-        if (q1 - 6 * gap) / quality.GRAIN <= ppl <= (q3 + 4 * gap + 1) / quality.GRAIN:
-            kept.append(row)
+    kept = [row for row, stays in zip(before, brute_kept(spark, [(r[1], r[2]) for r in before])) if stays]
     assert rows_of(after) == sorted(kept, key=key)
-    assert {103, 104, 105}.isdisjoint(r[0] for r in kept) and len(kept) > 85
+    ids = {r[0] for r in kept}
+    assert {103, 104, 105}.isdisjoint(ids) and {10, 90, 91, 92, 93, None} <= ids and len(kept) == len(before) - 3
 
 
 def test_near_copy_stage(stages):

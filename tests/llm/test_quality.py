@@ -75,18 +75,81 @@ def texts():
     return [("".join(rng.choices("abcde \né", weights=[9, 7, 5, 3, 2, 6, 1, 1], k=rng.randrange(5, 400)))) for _ in range(60)]
 
 
+def folds(spark, rows):
+    """The fold of each ``(text, language)``."""
+    df = spark.createDataFrame([(0, t, lang) for t, lang in rows], "doc_id bigint, text string, lang string")
+    found = quality.with_fold(quality.with_language(df, "doc_id", "text", "lang")).collect()
+    return {(r.text, r.lang): r.fold for r in found}
+
+
+def brute_scores(spark, rows):
+    """``(log_ppl, words, word_ppl)`` of each ``(text, language)``, by the texts of the other fold of its language."""
+    fold = folds(spark, rows)
+    pairs = sorted(fold)
+    models = {(lang, f): BruteModel([t for t, x in pairs if x == lang and fold[t, x] != f]) for _, lang in pairs for f in "01"}
+    out = {}
+    for text, lang in pairs:
+        padded = quality.START + text
+        costs = [-math.log(models[lang, fold[text, lang]].p(padded[j:j + 4])) for j in range(len(text))]
+        words, early = [], 0.0
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            cost = sum(costs[m.start():m.end() + 1])
+            if any(c.isalnum() for c in m.group()):
+                words.append(cost + early)
+                early = 0.0
+            elif words:
+                words[-1] += cost
+            else:
+                early += cost
+        kept = sorted(words)[:len(words) - len(words) // 10]
+        out[text, lang] = (sum(costs) / len(text) if text else None, len(words), sum(kept) / len(kept) if kept else None)
+    return out
+
+
+def brute_kept(spark, rows, below=3.0, above=5.0):
+    """Whether each ``(text, language)`` is kept, by loops over the whole definition."""
+    rows = [(t or "", quality.UNKNOWN if lang is None else lang) for t, lang in rows]
+    scores = brute_scores(spark, rows)
+    failed = {}
+    for text, lang in scores:
+        n_words, _, _, _, repeated = brute_counts(text)
+        failed[text, lang] = n_words < 50 or 100 * repeated > 50 * n_words
+
+    def quantile(values, share):
+        bins = sorted(math.floor(v * quality.GRAIN) for v in values)
+        return next(b for k, b in enumerate(bins) if (k + 1) / len(bins) >= share) / quality.GRAIN
+
+    kept = {}
+    for lang in {x for _, x in scores}:
+        good = [(t, n, w) for (t, x), (_, n, w) in scores.items() if x == lang and not failed[t, x] and n]
+        if not good:
+            continue
+        middle = quantile([w for *_, w in good], 0.5)
+        far = {t: (w - middle) * math.sqrt(n / (n + quality.SHORT_WORDS)) for t, n, w in good}
+        q1, q3 = (quantile(far.values(), q) for q in (0.25, 0.75))
+        gap = max(q3 - q1, quality.LEAST_GAP)
+        kept |= {(t, lang): q1 - below * gap <= d <= q3 + above * gap + 1 / quality.GRAIN for t, d in far.items()}
+    return [kept.get(row, False) for row in rows]
+
+
 @pytest.mark.parametrize("held", [4_000_000, 0])
-def test_probabilities_equal_brute_force(spark, texts, monkeypatch, held):
+def test_scores_and_verdicts_equal_brute_force(spark, texts, monkeypatch, held):
     monkeypatch.setattr(quality, "BLOCK_CHARS", 1500)
     monkeypatch.setattr(quality, "HELD_GRAMS", held)
-    rows = [(i, t, "x" if i % 3 else None) for i, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    got = {r.doc_id: r.log_ppl for r in quality.assess(df).collect()}
-    models = {kind: BruteModel([t for _, t, lang in rows if lang == kind]) for kind in ("x", None)}
-    for i, t, lang in rows:
-        padded = quality.START + t
-        want = -sum(math.log(models[lang].p(padded[j:j + 4])) for j in range(len(t))) / len(t)
-        assert got[i] == pytest.approx(want, rel=1e-9)
+    rng = random.Random(14)
+    long = [" ".join("".join(rng.choices("abcdeé", k=rng.randrange(1, 6))) for _ in range(rng.randrange(55, 120))) for _ in range(40)]
+    odd = [" ".join("".join(rng.choices("uvwxyz", k=rng.randrange(1, 6))) for _ in range(60)) for _ in range(2)]
+    rows = [(i, t, "x" if i % 3 else None) for i, t in enumerate([*texts, *long, *odd, "", "** ** a **", "**", None])]
+    rows += [(1000 + i, long[2], rows[62][2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    got = {r.doc_id: (r.log_ppl, r.word_ppl, r.kept) for r in quality.assess(df).collect()}
+    plain = [(t or "", lang or quality.UNKNOWN) for _, t, lang in rows]
+    want, kept = brute_scores(spark, plain), brute_kept(spark, plain)
+    for (i, _, _), row, stays in zip(rows, plain, kept):
+        for value, plainly in zip(got[i][:2], want[row][::2]):
+            assert plainly is None and (value is None or math.isnan(value)) or value == pytest.approx(plainly, rel=1e-9)
+        assert got[i][2] == stays
+    assert 20 < sum(kept) and not any(kept[100:102])
 
 
 def test_unseen_ngrams_back_off(spark, texts):
@@ -140,26 +203,60 @@ def test_copies_of_a_text_do_not_move_the_band(spark, monkeypatch, held):
     assert {crowded[i] for i, *_ in copies} == {crowded[3]}
 
 
-def test_word_score_equals_brute_force(texts):
+def test_word_costs_equal_brute_force(texts):
     rng = random.Random(28)
-    texts = [*texts, "", " \n ", " *** ", "a", " lead  and\x0btail ", "\U00010020 x\xa0y"]
+    texts = [*texts, "", " \n ", " *** ", "a", "** lead  and\x0btail ", "\U00010020 x\xa0y", "*", "b * c", "**"]
     logs = [[-rng.random() for _ in t] for t in texts]
-    found = quality.Words(texts)
-    codes = {}
-    split = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
-    for word, code in zip([w for t in split for w in t], found.codes.tolist(), strict=True):
-        assert codes.setdefault(word, code) == code
-    assert len(set(codes.values())) == len(codes) and found.docs.tolist() == [i for i, t in enumerate(split) for _ in t]
-    known = {w: rng.random() / 50 for w in list(codes)[::2]}
-    order = sorted(known, key=codes.get)
-    held = (quality.np.array([codes[w] for w in order]), quality.np.log([known[w] for w in order]))
-    got = quality._word_score(texts, quality.np.array([x for t in logs for x in t]), held, math.log(0.3))
-    for value, text, own in zip(got, texts, logs):
-        total, named = 0.0, 0
+    docs, costs = quality.word_costs(texts, quality.np.array([x for t in logs for x in t]))
+    sizes, means = quality.trimmed_means(docs, costs, len(texts))
+    for i, (text, own) in enumerate(zip(texts, logs)):
+        words, early = [], 0.0
         for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
-            total -= math.log(known.get(m.group(), 0) + 0.3 * math.exp(sum(own[m.start():m.end() + 1])))
-            named += any(c.isalnum() for c in m.group())
-        assert value == pytest.approx(total / named, rel=1e-9) if named else math.isnan(value)
+            cost = -sum(own[m.start():m.end() + 1])
+            if any(c.isalnum() for c in m.group()):
+                words.append(cost + early)
+                early = 0.0
+            elif words:
+                words[-1] += cost
+            else:
+                early += cost
+        assert costs[docs == i] == pytest.approx(words) and sizes[i] == len(words)
+        kept = sorted(words)[:len(words) - len(words) // quality.TRIMMED]
+        assert means[i] == pytest.approx(sum(kept) / len(kept)) if kept else math.isnan(means[i])
+
+
+def test_runs_count_like_one_sort():
+    rng = quality.np.random.default_rng(1)
+    runs, parts = quality.Runs(), [rng.integers(0, 50, size=rng.integers(0, 80)) for _ in range(60)]
+    for part in parts:
+        runs.add(part)
+        assert all(len(a[0]) >= 2 * len(b[0]) for a, b in zip(runs.runs, runs.runs[1:]))
+    codes, counts = runs.total()
+    want = quality.np.unique(quality.np.concatenate(parts), return_counts=True)
+    assert codes.tolist() == want[0].tolist() and counts.tolist() == want[1].tolist()
+    assert quality.Runs().total()[0].tolist() == []
+
+
+def test_text_of_the_commonest_words_is_rejected(spark):
+    """The lower limit: text that says nothing."""
+    rng = random.Random(48)
+    common = ["the", "of", "and", "to", "in", "that", "is", "was", "for", "on", "with", "as"]
+    rare = ["".join(rng.choices(["th", "er", "on", "an", "re", "he", "in", "ed", "nd"], k=rng.randrange(2, 5))) for _ in range(300)]
+    good = [" ".join(rng.choice(common) if rng.random() < 0.5 else rng.choice(rare) for _ in range(rng.randrange(80, 200))) for _ in range(120)]
+    empty = [" ".join(rng.choices(common, k=rng.randrange(80, 200))) for _ in range(5)]
+    rows = [(i, t, "en") for i, t in enumerate(good + empty)]
+    kept = {r.doc_id: (r.base_failed, r.kept) for r in quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(failed for failed, _ in kept.values())
+    assert not any(kept[i][1] for i in range(120, 125)) and sum(kept[i][1] for i in range(120)) >= 119
+
+
+def test_secret_does_not_decide(spark):
+    rng = random.Random(58)
+    words = ["the", "cat", "sat", "on", "many", "mats", "while", "dogs", "ran", "home", "again", "today"]
+    good = [" ".join(rng.choices(words, k=rng.randrange(55, 120))) for _ in range(90)]
+    rows = [(i, t + (" token = 9fK2xQ7bLm0ZpR4tVw8s deadbeef0123456789" if i % 9 == 0 else ""), "en") for i, t in enumerate(good)]
+    kept = [r.kept for r in quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()]
+    assert all(kept)
 
 
 @pytest.mark.parametrize("held", [4_000_000, 0])

@@ -1,14 +1,17 @@
-"""Quality rules: plain counts per document, and perplexity bands of a word model per language that backs off to characters.
+"""Quality rules: plain counts per document, and perplexity bands per language under a modified Kneser-Ney model.
 
-The character model is modified Kneser-Ney of order four. Spark counts its n-grams over all documents: each task adds up its own in
+The model is of order four over characters. Spark counts its n-grams over all documents: each task adds up its own in
 sorted arrays, the counts meet by n-gram, and every order is a handful of grouped tables. Scoring looks the n-grams of a
 text up in sorted arrays of n-gram codes by binary search. A model of at most ``HELD_GRAMS`` n-grams is sent to the tasks as
 such arrays; with a larger one, documents are dealt to blocks, and each block gets the n-grams that it has.
 
-Copies of a text count once, in the model and in the quartiles. Texts are dealt into two folds by their hash; what a band
-judges is the score of a text by the model of the other fold, which has seen neither the text nor its copies. That score
-is per word: frequent words have their share, and that of all others is spread by the characters of a word. Noise made of
-easy characters is made of unknown words.
+Copies of a text count once, in the model and in the quartiles. Texts are dealt into two folds by their hash; a text is
+judged by the model of the other fold, which has seen neither the text nor its copies.
+
+What a band judges is the log-perplexity per word: characters of noise are cheap one by one (a fifth asterisk follows
+four), but the words that they make are not. A word costs what its characters and the white space after it cost. The tenth
+of a text's words that cost most is left out, so that a secret, a name or a number does not decide, and the band is wider for
+short texts, whose means spread more.
 """
 
 from __future__ import annotations
@@ -23,28 +26,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.batches import id_and_text, small_side, steps, with_id
-from tidegrid.session import stored
+from tidegrid.session import discard, stored
 
 ORDER, BITS = 4, 16
 #: What stands before the first character of a document.
 START = "\x02" * (ORDER - 1)
 #: N-grams that a task may hold at once: 16 bytes each. A larger model is dealt to blocks of so many characters.
 HELD_GRAMS, BLOCK_CHARS = 4_000_000, 16_000_000
+#: N-grams that a task counts before it hands them on.
+COUNTED_GRAMS = 1_000_000
 #: Arrays that a language of such a model is collected in.
 SLOTS = 8
 #: Symbols a character can be: code points are folded to ``BITS`` bits.
 SYMBOLS = 1 << BITS
-#: Grain of the log-perplexities whose quartiles make the bands.
-GRAIN = 1000
+#: Steps of a log-perplexity whose quartiles make the bands, and least distance of the quartiles.
+GRAIN, LEAST_GAP = 1000, 0.02
 UNKNOWN = "und"
-#: Name of the model of all texts; those of the texts outside a fold are named by the fold. A name precedes the language.
-WHOLE, FOLDS = "*", ("0", "1")
-#: Least share of a language's words that a word of the vocabulary has; it has 10,000 words at most, whatever the input.
-VOCABULARY_SHARE = 1e-4
+#: A model is named by the fold that it judges, which is the one that it has not seen; the name precedes the language.
+FOLDS = ("0", "1")
+#: Words left out of a score: one in so many, those that cost most.
+TRIMMED = 10
+#: Words at which a band is as wide again, in variance, as that of an endless text.
+SHORT_WORDS = 100
 #: Slots (a power of two) of the table that finds most n-grams without a search.
 TABLE = 1 << 20
-#: Precede a name: the words of the model, and what it leaves to the characters (under the code 0).
-WORDS, REST = "w", "r"
 #: Hash values of texts fall into so many slots (a power of two); a slot with copies is one bit of 1 MB in every task.
 COPY_SLOTS, BITMAP = 1 << 23, 1 << 15
 
@@ -126,57 +131,87 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalnum() for c in range(0x110000)])
 
 
-class Words:
-    """The words of some texts: text number, 64-bit code and place of each; the same white space as :func:`plain_counts`."""
-
-    def __init__(self, texts: list[str]):
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        docs = np.repeat(np.arange(len(texts)), sizes)
-        inside = (points != 0x20) & ((points < 0x09) | (points > 0x0D))
-        follows = np.zeros(len(points), dtype=bool)
-        follows[1:] = inside[:-1] & (docs[1:] == docs[:-1])
-        self.starts = np.flatnonzero(inside & ~follows)
-        self.docs = docs[self.starts]
-        #: The characters of a word and the one white space after it.
-        self.counted = inside | follows
-        number = np.cumsum(inside & ~follows) - 1
-        place = np.arange(len(points)) - (self.starts[np.maximum(number, 0)] if len(self.starts) else 0)
-        mixed = points.astype(np.uint64) | (place.astype(np.uint64) << np.uint64(21))
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):  # the mixer of splitmix64
-            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor) + np.uint64(0x9E3779B97F4A7C15)
-        self.codes = self.sums(np.where(inside, mixed, np.uint64(0))).view(np.int64)
-        self.named = self.sums(inside & _letters()[points], np.int64) > 0
-
-    def sums(self, values: np.ndarray, dtype: type | None = None) -> np.ndarray:
-        """Sum over each word of a value per character."""
-        if not len(self.starts):
-            return np.empty(0, dtype=dtype or values.dtype)
-        return np.add.reduceat(values, self.starts, dtype=dtype)
-
-
-def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted n-grams of several counts, and their sums."""
-    grams, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return grams, np.bincount(where, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
-
-
-def _count(batches: Iterator[pd.DataFrame], words: bool = False) -> Iterator[pd.DataFrame]:
-    """The n-grams, and the words if wanted, of a task's rows per language; handed on whenever they are many."""
-    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+def word_costs(texts: list[str], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and cost of each word that has a letter or digit, from the logarithm of each character's probability.
+
+    White space is that of :func:`plain_counts`. The first white space after a word belongs to it, and so do words without
+    letters or digits that follow it (or, at the beginning of a text, precede it); further white space costs nothing.
+    """
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    docs = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    inside = (points != 0x20) & ((points < 0x09) | (points > 0x0D))
+    follows = np.zeros(len(points), dtype=bool)
+    follows[1:] = inside[:-1] & (docs[1:] == docs[:-1])
+    starts = np.flatnonzero(inside & ~follows)
+    if not len(starts):
+        return np.empty(0, dtype=np.int64), np.empty(0)
+    named = np.add.reduceat(inside & _letters()[points], starts, dtype=np.int64) > 0
+    costs = -np.add.reduceat(np.where(inside | follows, logs, 0.0), starts)
+    # Words without letters join the named one before, or the first one of their text.
+    owner, of = np.cumsum(named) - 1, docs[starts]
+    kept = np.flatnonzero(named)
+    if not len(kept):
+        return np.empty(0, dtype=np.int64), np.empty(0)
+    before = (owner < 0) | (of[kept[np.maximum(owner, 0)]] != of)
+    owner = np.minimum(np.where(before, owner + 1, owner), len(kept) - 1)
+    own = of[kept[owner]] == of  # a text without any such word has none to add to
+    return of[kept], np.bincount(owner[own], costs[own], len(kept))
+
+
+def trimmed_means(docs: np.ndarray, costs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words of each of ``n`` texts, and the mean of their costs without the most expensive tenth."""
+    sizes = np.bincount(docs, minlength=n)
+    order = np.lexsort((costs, docs))
+    rank = np.arange(len(docs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    kept = rank < np.repeat(sizes - sizes // TRIMMED, sizes)
+    some = order[kept]
+    total = np.bincount(docs[some], costs[some], n)
+    return sizes, np.where(sizes > 0, total / np.maximum(sizes - sizes // TRIMMED, 1), np.nan)
+
+
+class Runs:
+    """Counts of n-grams in sorted runs, each at least twice as long as the next: an n-gram is merged about log n times."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, codes: np.ndarray) -> None:
+        self.runs.append(np.unique(codes, return_counts=True))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
+            self._merge()
+
+    def _merge(self) -> None:
+        (a, n), (b, m) = self.runs.pop(), self.runs.pop()
+        codes, counts = np.concatenate([a, b]), np.concatenate([n, m])
+        order = np.argsort(codes, kind="stable")  # merges two sorted runs
+        codes, counts = codes[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, dtype=np.int64)
+        self.runs.append((codes[first], np.add.reduceat(counts, first) if len(first) else counts))
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.runs) > 1:
+            self._merge()
+        return self.runs[0] if self.runs else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+
+    def __len__(self) -> int:
+        return sum(len(codes) for codes, _ in self.runs)
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The n-grams of a task's rows per language; handed on whenever they are many."""
+    held: dict[str, Runs] = {}
 
     def flush() -> Iterator[pd.DataFrame]:
-        for lang, (grams, n) in held.items():
-            yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
-        held.clear()
+        while held:
+            lang, runs = held.popitem()
+            grams, n = runs.total()
+            for start in range(0, len(grams), 100_000):
+                yield pd.DataFrame({"lang": lang, "gram": grams[start:start + 100_000], "n": n[start:start + 100_000]})
 
     for rows in steps(batches):
         for lang, own in rows.groupby("lang"):
-            texts = list(own["text"])
-            for name, codes in [(lang, ngram_codes(texts)[1])] + ([(WORDS + lang, Words(texts).codes)] if words else []):
-                parts = [np.unique(codes, return_counts=True), *([held[name]] if name in held else [])]
-                held[name] = _add_up(parts)
-        if sum(len(g) for g, _ in held.values()) > HELD_GRAMS:
+            held.setdefault(lang, Runs()).add(ngram_codes(list(own["text"]))[1])
+        if sum(map(len, held.values())) > COUNTED_GRAMS:
             yield from flush()
     yield from flush()
 
@@ -217,25 +252,24 @@ def _once(batches: Iterator[pd.DataFrame], bits: np.ndarray, copied: bool) -> It
 
 
 def count_texts(rows: DataFrame) -> DataFrame:
-    """The counts of :func:`count_ngrams` over one row of each text of :func:`with_fold`, with the fold before ``lang``, and
-    those of words with ``WORDS`` before that.
+    """``(lang, gram, n)`` over one row of each text of :func:`with_fold`, with the fold before the language; written out.
 
     Only the texts in slots with copies move, one of each task.
     """
     bits = rows.sparkSession.sparkContext.broadcast(slots_with_copies(rows))
     named = rows.select("key", F.concat("fold", "lang").alias("lang"), "text")
-    schema = "lang string, gram bigint, n bigint"
-    single = named.mapInPandas(lambda batches: _count(_once(batches, bits.value, False), True), schema)
+    single = named.mapInPandas(lambda batches: _once(batches, bits.value, False), named.schema)
     copies = named.mapInPandas(lambda batches: _once(batches, bits.value, True), named.schema).dropDuplicates(["key"])
-    return single.unionByName(copies.select("lang", "text").mapInPandas(lambda batches: _count(batches, True), schema))
+    counts = count_ngrams(single).unionByName(count_ngrams(copies))
+    out = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    bits.destroy()
+    return out
 
 
-def _for_models(counts: DataFrame, trained: bool) -> DataFrame:
-    """Counts by fold and language, as those that the models are made of, or the n-grams that they are asked for."""
-    fold, lang = F.substring("lang", 1, 1), F.expr("substring(lang, 2)")
-    name = F.translate(fold, "".join(FOLDS), "".join(reversed(FOLDS))) if trained else fold
-    return counts.select(F.explode(F.array(F.lit(WHOLE), name)).alias("name"), lang.alias("rest"), "gram", "n").select(
-        F.concat("name", "rest").alias("lang"), "gram", "n")
+def _of_other_fold(counts: DataFrame) -> DataFrame:
+    """Counts under the name of the model that is made of them."""
+    fold = F.translate(F.substring("lang", 1, 1), "".join(FOLDS), "".join(reversed(FOLDS)))
+    return counts.withColumn("lang", F.concat(fold, F.expr("substring(lang, 2)")))
 
 
 def count_ngrams(rows: DataFrame) -> DataFrame:
@@ -273,7 +307,7 @@ def discounts(level: DataFrame) -> DataFrame:
     Where a count of counts is zero, the discount is half the count; none takes a whole count.
     """
     n = [F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)]
-    share = _ratio(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
+    share = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2")))
     cuts = [F.coalesce(k - (k + 1) * share * _ratio(F.col(f"n{k + 1}"), F.col(f"n{k}")), F.lit(k / 2)) for k in (1, 2, 3)]
     return (level.groupBy("lang").agg(*n)
             .select("lang", *[F.least(F.greatest(c, F.lit(0.05)), F.lit(k - 0.05)).alias(f"d{k}")
@@ -315,26 +349,10 @@ def probabilities(levels: dict[int, DataFrame], wanted: DataFrame) -> DataFrame:
     return lower
 
 
-def word_shares(counts: DataFrame) -> DataFrame:
-    """``(lang, gram, p)`` by model name of the words that make up ``VOCABULARY_SHARE`` of the other fold and are there twice,
-    and under ``REST`` and the word 0 the share of all others. Of words ``counts`` has ``(lang, gram, n)`` by fold."""
-    fold, rest = F.substring("lang", 1, 1), F.expr("substring(lang, 2)")
-    other = F.translate(fold, "".join(FOLDS), "".join(reversed(FOLDS)))
-    level = counts.select(F.concat(other, rest).alias("lang"), "gram", "n")
-    totals = small_side(level.groupBy("lang").agg(F.sum("n").alias("total")))
-    found = stored(level.join(totals, "lang").filter((F.col("n") >= 2) & (F.col("n") >= VOCABULARY_SHARE * F.col("total"))))
-    known = found.groupBy("lang").agg(F.sum("n").alias("known"))
-    left = F.col("total") - F.coalesce(F.col("known"), F.lit(0)) + 1  # never nothing, for words that no text of the fold has
-    return (found.select(F.concat(F.lit(WORDS), "lang").alias("lang"), "gram", (F.col("n") / (F.col("total") + 1)).alias("p"))
-            .unionByName(totals.join(known, "lang", "left").select(
-                F.concat(F.lit(REST), "lang").alias("lang"), F.lit(0).cast("bigint").alias("gram"),
-                (left / (F.col("total") + 1)).alias("p"))))
-
-
-#: Sorted n-grams or words and the logarithms of their probabilities, by model name and language.
+#: Sorted n-grams and the logarithms of their probabilities, by model name and language.
 Arrays = dict[str, tuple[np.ndarray, np.ndarray]]
 _SCORED = ("id string, lang string, key bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-           "n_repeat_words bigint, log_ppl double, unseen_ppl double")
+           "n_repeat_words bigint, log_ppl double, judged_words bigint, word_ppl double")
 
 
 def _arrays(model: pd.DataFrame) -> Arrays:
@@ -346,61 +364,39 @@ def _arrays(model: pd.DataFrame) -> Arrays:
 
 
 class Models:
-    """Models of a task, with a hash table of a language's n-grams in front of the binary search."""
+    """Models of a task, with a hash table of the n-grams of the one in use in front of the binary search."""
 
     def __init__(self, arrays: Arrays):
-        self.arrays, self.tables, self.aligned = arrays, {}, {}
-
-    def logs(self, lang: str, fold: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The logarithms of n-grams by the model of all texts, which has each of them, and by that of the other fold."""
-        grams, logs = self.arrays[WHOLE + lang]
-        if lang not in self.tables:
-            self.tables[lang] = np.zeros(TABLE, dtype=np.int32)
-            self.tables[lang][_slot(grams)] = np.arange(len(grams), dtype=np.int32)
-        if (lang, fold) not in self.aligned:
-            some, of = self.arrays[fold + lang]
-            self.aligned[lang, fold] = np.full(len(grams), np.nan)
-            self.aligned[lang, fold][np.searchsorted(grams, some)] = of
-        where = self.tables[lang][_slot(codes)]
+        self.arrays, self.tables = arrays, {}
+
+    def logs(self, name: str, codes: np.ndarray) -> np.ndarray:
+        """The logarithms of n-grams, each of which the model has."""
+        grams, logs = self.arrays[name]
+        if name not in self.tables:
+            self.tables[name] = np.zeros(TABLE, dtype=np.int32)
+            self.tables[name][_slot(grams)] = np.arange(len(grams), dtype=np.int32)
+        where = self.tables[name][_slot(codes)]
         other = np.flatnonzero(grams[where] != codes)
         where[other] = np.searchsorted(grams, codes[other])
-        return logs[where], self.aligned[lang, fold][where]
+        return logs[where]
 
 
 def _slot(codes: np.ndarray) -> np.ndarray:
     return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE.bit_length() + 1)).view(np.int64)
 
 
-def _word_score(texts: list[str], logs: np.ndarray, words: tuple[np.ndarray, np.ndarray], rest: float) -> np.ndarray:
-    """Mean negative log-probability per word, from that of each character; missing if no word has a letter or digit.
-
-    Words without one add to the sum but not to the number of words.
-    """
-    found = Words(texts)
-    spelt = rest + found.sums(np.where(found.counted, logs, 0.0))
-    known, shares = words
-    own = np.full(len(found.codes), -np.inf)
-    if len(known):
-        where = np.minimum(np.searchsorted(known, found.codes), len(known) - 1)
-        own = np.where(known[where] == found.codes, shares[where], -np.inf)
-    total = -np.bincount(found.docs, np.logaddexp(own, spelt), len(texts))
-    named = np.bincount(found.docs[found.named], minlength=len(texts))
-    return np.where(named > 0, total / np.maximum(named, 1), np.nan)
-
-
 def _score(rows: pd.DataFrame, models: Models) -> pd.DataFrame:
-    """Plain counts, mean negative log-probability per character by the model of all texts, and per word by the other fold's."""
-    out, nothing = [], (np.empty(0, dtype=np.int64), np.zeros(1))
+    """Plain counts and the log-perplexities per character and per word by the model of the other fold."""
+    out = []
     for (lang, fold), own in rows.groupby(["lang", "fold"]):
         texts = list(own["text"])
         docs, codes = ngram_codes(texts)
         size = np.bincount(docs, minlength=len(texts))
-        whole, other = models.logs(lang, fold, codes) if len(codes) else (np.empty(0), np.empty(0))
-        mean = np.where(size > 0, -np.bincount(docs, whole, len(texts)) / np.maximum(size, 1), np.nan)
-        unseen = _word_score(texts, other, models.arrays.get(WORDS + fold + lang, nothing),
-                             models.arrays.get(REST + fold + lang, nothing)[1][0])
+        logs = models.logs(fold + lang, codes) if len(codes) else np.empty(0)
+        mean = np.where(size > 0, -np.bincount(docs, logs, len(texts)) / np.maximum(size, 1), np.nan)
+        judged, word_ppl = trimmed_means(*word_costs(texts, logs), len(texts))
         out.append(plain_counts(texts).assign(id=list(own["id"]), lang=lang, key=own["key"].to_numpy(), log_ppl=mean,
-                                              unseen_ppl=unseen))
+                                              judged_words=judged, word_ppl=word_ppl))
     return pd.concat(out)[[c.split()[0] for c in _SCORED.split(", ")]]
 
 
@@ -416,12 +412,13 @@ def sorted_arrays(model: DataFrame) -> DataFrame:
 
 
 def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Plain counts, ``log_ppl`` and ``unseen_ppl`` (missing for empty texts), with all models in every task."""
+    """The columns of ``_SCORED`` (log-perplexities are missing for empty texts), with all models in every task; written out."""
     parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for r in sorted_arrays(model).toLocalIterator():
         parts.setdefault(r["lang"], []).append((np.frombuffer(r["grams"], dtype=np.int64), np.frombuffer(r["logs"])))
     held = {}
-    for lang, some in parts.items():
+    while parts:
+        lang, some = parts.popitem()
         grams = np.concatenate([g for g, _ in some])
         order = np.argsort(grams)
         held[lang] = grams[order], np.concatenate([p for _, p in some])[order]
@@ -432,21 +429,24 @@ def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
         for part in steps(batches):
             yield _score(part, models)
 
-    return rows.mapInPandas(run, _SCORED)
+    out = stored(rows.mapInPandas(run, _SCORED))
+    shared.destroy()
+    return out
 
 
 def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
     """The same, with rows dealt by their hash into as many blocks as their characters need, and to each block what it has
-    of the model."""
+    of the model. Rows that are equal but for their number in the task are told apart by it, so copies spread."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(chars // BLOCK_CHARS + 1)))
+    copy = F.monotonically_increasing_id() % 4096
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("id", "text", copy), F.lit(chars // BLOCK_CHARS + 1)))
+    blocks = stored(blocks)
 
     def grams_of(block: pd.DataFrame) -> pd.DataFrame:
-        whole, other = (block.assign(lang=name + block["lang"]) for name in (WHOLE, block["fold"]))
-        counted = pd.concat([*_count(iter([whole])), *_count(iter([other]), True)])
-        counted = pd.concat([counted, pd.DataFrame({"lang": (REST + other["lang"]).unique(), "gram": 0})])
+        counted = pd.concat([*_count(iter([block.assign(lang=block["fold"] + block["lang"])]))] or [
+            pd.DataFrame({"lang": [], "gram": [], "n": []})])
         return pd.DataFrame({"block": int(block["block"].iloc[0]), "lang": list(counted["lang"]),
-                             "gram": counted["gram"].to_numpy()}).drop_duplicates()
+                             "gram": counted["gram"].to_numpy(dtype=np.int64)})
 
     def score_block(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         models = Models(_arrays(found))
@@ -454,53 +454,64 @@ def score_in_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
 
     wanted = blocks.groupBy("block").applyInPandas(grams_of, "block bigint, lang string, gram bigint")
     answers = wanted.join(model, ["lang", "gram"])
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score_block, _SCORED)
+    return stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score_block, _SCORED))
 
 
 # ---- bands and verdicts -------------------------------------------------------------------------------------------
 
 
-def bands(scored: DataFrame, below: float, above: float) -> DataFrame:
-    """``(lang, low, high)``: the quartiles of ``unseen_ppl`` over different texts, widened by multiples of their distance.
+def _quantiles(values: DataFrame, **shares: float) -> DataFrame:
+    """``(lang, ...)``: for each share the least value, in steps of 1 / ``GRAIN``, that it of the values do not exceed.
 
-    The values are counted in steps of 1/1000, so what meets per language is a short histogram.
-    """
-    texts = scored.groupBy("lang", "key").agg(F.min("unseen_ppl").alias("value"))
-    bins = (texts.filter("value is not null and not isnan(value)").groupBy("lang", F.floor(F.col("value") * GRAIN).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n")))
-    up_to = Window.partitionBy("lang").orderBy("bin")
-    whole = Window.partitionBy("lang")
+    What meets per language is a histogram of the steps."""
+    bins = values.groupBy("lang", F.floor(F.col("value") * GRAIN).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    up_to, whole = Window.partitionBy("lang").orderBy("bin"), Window.partitionBy("lang")
     part = F.sum("n").over(up_to) / F.sum("n").over(whole)
-    q = (bins.withColumn("part", part).groupBy("lang")
-         .agg(F.min(F.when(F.col("part") >= 0.25, F.col("bin"))).alias("q1"),
-              F.min(F.when(F.col("part") >= 0.75, F.col("bin"))).alias("q3")))
-    gap = F.greatest(F.col("q3") - F.col("q1"), F.lit(GRAIN // 50))
-    return q.select("lang", ((F.col("q1") - below * gap) / GRAIN).alias("low"),
-                    ((F.col("q3") + above * gap + 1) / GRAIN).alias("high"))
+    return bins.withColumn("part", part).groupBy("lang").agg(*[
+        F.min(F.when(F.col("part") >= share, F.col("bin") / GRAIN)).alias(name) for name, share in shares.items()])
+
+
+def deviation() -> Column:
+    """How far ``word_ppl`` is from the ``middle`` of its language, in terms of an endless text: the variance of the mean over
+    n words is taken to be in proportion to 1 + ``SHORT_WORDS`` / n."""
+    n = F.col("judged_words")
+    return (F.col("word_ppl") - F.col("middle")) * F.sqrt(n / (n + SHORT_WORDS))
+
+
+def bands(scored: DataFrame, below: float, above: float) -> DataFrame:
+    """``(lang, middle, low, high)``: the median of ``word_ppl`` over different texts, and the quartiles of the deviations from
+    it, widened by multiples of their distance."""
+    texts = scored.filter("judged_words > 0").groupBy("lang", "key").agg(
+        F.min("word_ppl").alias("word_ppl"), F.min("judged_words").alias("judged_words"))
+    middle = small_side(_quantiles(texts.withColumn("value", F.col("word_ppl")), middle=0.5))
+    q = _quantiles(texts.join(middle, "lang").withColumn("value", deviation()), q1=0.25, q3=0.75)
+    gap = F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_GAP))
+    return q.join(middle, "lang").select("lang", "middle", (F.col("q1") - below * gap).alias("low"),
+                                         (F.col("q3") + above * gap + 1 / GRAIN).alias("high"))
 
 
-def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", below: float = 4.0,
-           above: float = 4.0) -> DataFrame:
-    """``(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_ppl, base_failed, kept)``.
+def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", below: float = 3.0,
+           above: float = 5.0) -> DataFrame:
+    """``(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_ppl, word_ppl, base_failed, kept)``.
 
     One row per input row. A document fails the base rules with under 50 words, or with over half of its words in
     repeated three-word windows; it is kept if it passes them and its log-perplexity per word, by the model of the texts
-    of the other fold, lies within the band of its language. Bands are the quartiles of the different texts that pass,
-    widened by ``below`` and ``above`` times their distance (at least 0.02). ``log_ppl`` is per character, by the model of
-    all different texts. A missing text counts as empty, a missing language is one of its own; repeated rows and
-    missing ids are rows like others; other columns are not read.
+    of the other fold, lies within the band of its language (see :func:`word_costs`, :func:`trimmed_means`, :func:`bands`). Bands
+    are the quartiles of the different texts that pass, widened by ``below`` and ``above`` times their distance (at least
+    ``LEAST_GAP``). ``log_ppl`` is per character, by the same model. A text without letters and digits is not kept. A missing
+    text counts as empty, a missing language is one of its own; repeated rows and missing ids are rows like others; other
+    columns are not read.
     """
     rows = with_fold(with_language(df, id_col, text_col, lang_col))
-    counts = stored(count_texts(rows).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    is_word = F.col("lang").startswith(WORDS)
-    ngrams, words = counts.filter(~is_word), counts.filter(is_word).withColumn("lang", F.expr("substring(lang, 2)"))
-    levels = {order: stored(level) for order, level in count_levels(_for_models(ngrams, True)).items()}
-    chances = probabilities(levels, _for_models(ngrams, False)).unionByName(word_shares(words))
-    model = stored(chances.repartition("lang", "gram").sortWithinPartitions("lang", "gram"))
+    counts = count_texts(rows)
+    levels = {order: stored(level) for order, level in count_levels(_of_other_fold(counts)).items()}
+    model = stored(probabilities(levels, counts))
     score = score_with_held_model if model.count() <= HELD_GRAMS else score_in_blocks
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = stored(score(rows, model).withColumn("base_failed", failed))
+    scored = score(rows, model).withColumn("base_failed", failed)
+    for frame in (counts, model, *levels.values()):
+        discard(frame)
     judged = scored.join(small_side(bands(scored.filter(~F.col("base_failed")), below, above)), "lang", "left")
-    kept = ~F.col("base_failed") & F.coalesce(F.col("unseen_ppl").between(F.col("low"), F.col("high")), F.lit(False))
+    inside = F.coalesce(deviation().between(F.col("low"), F.col("high")), F.lit(False))
     return with_id(judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl",
-                                 "base_failed", kept.alias("kept")), df, id_col)
+                                 "word_ppl", "base_failed", (~F.col("base_failed") & inside).alias("kept")), df, id_col)
