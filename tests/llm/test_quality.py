@@ -138,7 +138,7 @@ def test_scores_and_verdicts_equal_brute_force(spark, texts, monkeypatch, held):
     monkeypatch.setattr(quality, "HELD_GRAMS", held)
     rng = random.Random(14)
     long = [" ".join("".join(rng.choices("abcdeé", k=rng.randrange(1, 6))) for _ in range(rng.randrange(55, 120))) for _ in range(40)]
-    odd = [" ".join("".join(rng.choices("uvwxyz", k=rng.randrange(1, 6))) for _ in range(60)) for _ in range(2)]
+    odd = [" ".join("".join(rng.choices("uvwxyzUVWXYZ0123", k=30)) for _ in range(60)) for _ in range(2)]
     rows = [(i, t, "x" if i % 3 else None) for i, t in enumerate([*texts, *long, *odd, "", "** ** a **", "**", None])]
     rows += [(1000 + i, long[2], rows[62][2]) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)

@@ -33,8 +33,8 @@ ORDER, BITS = 4, 16
 START = "\x02" * (ORDER - 1)
 #: N-grams that a task may hold at once: 16 bytes each. A larger model is dealt to blocks of so many characters.
 HELD_GRAMS, BLOCK_CHARS = 4_000_000, 16_000_000
-#: N-grams that a task counts before it hands them on.
-COUNTED_GRAMS = 1_000_000
+#: N-grams that a task counts before it hands them on, and characters that it scores in one step.
+COUNTED_GRAMS, SCORED_CHARS = 1_000_000, 400_000
 #: Arrays that a language of such a model is collected in.
 SLOTS = 8
 #: Symbols a character can be: code points are folded to ``BITS`` bits.
@@ -258,9 +258,9 @@ def count_texts(rows: DataFrame) -> DataFrame:
     """
     bits = rows.sparkSession.sparkContext.broadcast(slots_with_copies(rows))
     named = rows.select("key", F.concat("fold", "lang").alias("lang"), "text")
-    single = named.mapInPandas(lambda batches: _once(batches, bits.value, False), named.schema)
+    single = named.mapInPandas(lambda batches: _count(_once(batches, bits.value, False)), "lang string, gram bigint, n bigint")
     copies = named.mapInPandas(lambda batches: _once(batches, bits.value, True), named.schema).dropDuplicates(["key"])
-    counts = count_ngrams(single).unionByName(count_ngrams(copies))
+    counts = single.unionByName(count_ngrams(copies))
     out = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     bits.destroy()
     return out
@@ -426,7 +426,7 @@ def score_with_held_model(rows: DataFrame, model: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = Models(shared.value)
-        for part in steps(batches):
+        for part in steps(batches, SCORED_CHARS):
             yield _score(part, models)
 
     out = stored(rows.mapInPandas(run, _SCORED))
