@@ -54,6 +54,28 @@ def test_forests_do_not_depend_on_the_layout(spark, frame, bundle):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_plan_of_votes_does_not_grow_with_the_trees(spark, frame, bundle):
+    more = forest.fit_forests(frame, FEATURES, ["up"], forest.ForestParams(trees=40, depth=4), keys=["i"])
+    plans = [len(forest.member_votes(frame, b, "up")._jdf.queryExecution().analyzed().toString().splitlines()) for b in (bundle, more)]
+    assert plans[0] == plans[1]
+    votes = forest.member_votes(frame, more, "up")
+    assert "from_json" not in votes._jdf.queryExecution().optimizedPlan().toString()
+    for r in votes.limit(30).collect():
+        row = forest.scaled(spark.createDataFrame([r.asDict()], frame.schema), more.scaler).first()
+        assert r["votes"] == [t.predict(row[forest.SCALED]) for t in more.models["up"].trees]
+
+
+def test_partitions_follow_the_rows():
+    params = forest.ForestParams(partition_rows=100, least_partitions=3)
+    assert [params.partitions(n) for n in (0, 10, 300, 301, 10_000)] == [3, 3, 3, 4, 100]
+
+
+def test_scoring_folds_moves_nothing_but_sums(frame, bundle):
+    scores = forest.fold_scores(forest.out_of_fold(frame, bundle.scaler, ["up"], "fold", 5, PARAMS, keys=["i"]), "fold")
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "InMemoryTableScan" not in plan
+
+
 def test_importances(frame, bundle):
     rows = forest.feature_importance(bundle, frame, "up").collect()
     assert [r["rank"] for r in rows] == [1, 2, 3] and rows[0]["feature"] == "x" and sum(r["importance"] for r in rows) == pytest.approx(1)

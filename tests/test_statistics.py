@@ -43,6 +43,25 @@ def test_quantiles_match_brute_force(spark, monkeypatch, accuracy):
             np.testing.assert_allclose(got[c], np.percentile(values, [p * 100 for p in PROBS]), rtol=1e-12, err_msg=c)
 
 
+def test_quantiles_narrow_until_a_task_can_sort(spark, monkeypatch):
+    """With few rows allowed to a sort, ranges close in over more scans, through ties and uneven densities."""
+    monkeypatch.setattr(quantiles, "SORTED_ROWS", 12)
+    monkeypatch.setattr(quantiles, "ACCURACY", 40)
+    rng = random.Random(17)
+    columns = {
+        "even": [rng.random() for _ in range(4000)],
+        "heavy": [10 ** rng.uniform(-300, 300) for _ in range(4000)],
+        "ties": [float(rng.randrange(3)) for _ in range(2500)] + [1 + rng.random() * 1e-9 for _ in range(1500)],
+        "edge": [0.0] * 1999 + [1.0 + i for i in range(2001)],
+    }
+    picked, plain = [], quantiles._sorted_ranks
+    monkeypatch.setattr(quantiles, "_sorted_ranks", lambda df, c, ranges: (picked.extend(ranges), plain(df, c, ranges))[1])
+    got = quantiles.column_quantiles(_columns(spark, columns), list(columns), PROBS)
+    assert picked and all(r.inside <= 12 for r in picked) and any(r.apart for r in picked)
+    for c, values in columns.items():
+        np.testing.assert_allclose(got[c], np.percentile(values, [p * 100 for p in PROBS]), rtol=1e-12, err_msg=c)
+
+
 def test_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
     """Brackets that miss their ranks are widened and counted again."""
     values = [float(i) for i in range(500)]

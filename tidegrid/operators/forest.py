@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -10,6 +12,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from tidegrid.operators.ensemble import ensemble_band
 from tidegrid.operators.grid import stack_long
 from tidegrid.operators.profile import r2_score
+from tidegrid.session import stored
 
 RAW, SCALED = "_raw_features", "_features"
 
@@ -27,19 +31,24 @@ class ForestParams:
     """Ensemble settings. MLlib has no minimum split size; a node splits when both children keep
     ``min_leaf`` rows.
 
-    MLlib draws the bootstrap partition by partition, so the number of ``partitions`` a fit sees is part of the model: with
-    it, the same seed gives the same forest on any cluster."""
+    MLlib draws the bootstrap partition by partition, so the number of partitions a fit sees is part of the model. It follows
+    from the rows alone, one for each ``partition_rows`` and ``least_partitions`` at least: the same seed and rows give the
+    same forest on any cluster, and a fit has as many tasks as its rows need."""
 
     trees: int = 100
     depth: int = 10
     min_leaf: int = 2
     max_bins: int = 64
     seed: int = 42
-    partitions: int = 8
+    partition_rows: int = 100_000
+    least_partitions: int = 1
+
+    def partitions(self, rows: int) -> int:
+        return max(self.least_partitions, -(-rows // self.partition_rows))
 
     def dealt(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """``df`` in the fixed partitions and order that fits read; ``keys`` tell its rows apart."""
-        return df.repartition(self.partitions, *keys).sortWithinPartitions(*keys)
+        return df.repartition(self.partitions(df.count()), *keys).sortWithinPartitions(*keys)
 
     def regressor(self, label: str) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -104,20 +113,21 @@ def _fit_all(tasks: Sequence[tuple[str, DataFrame]], params: ForestParams, paral
 
 def fit_forests(
     df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams = ForestParams(),
-    parallelism: int = 4, *, keys: Sequence[str],
+    parallelism: int = 8, *, keys: Sequence[str],
 ) -> ForestBundle:
     """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint) whose rows ``keys`` tell apart: it
-    is read once, dealt as the parameters say, and persisted for the scaler and the fits."""
+    is dealt once as the parameters say. The dealt rows are held until the scaled ones are, and those for the fits."""
     dealt = params.dealt(df.select(*keys, *[c for c in (*features, *targets) if c not in keys]), keys).persist()
     try:
         scaler = fit_scaler(dealt, features)
         frame = scaled(dealt, scaler).select(SCALED, *targets).persist()
-        try:
-            models = _fit_all([(t, frame) for t in targets], params, parallelism)
-        finally:
-            frame.unpersist()
+        frame.count()
     finally:
         dealt.unpersist()
+    try:
+        models = _fit_all([(t, frame) for t in targets], params, parallelism)
+    finally:
+        frame.unpersist()
     return ForestBundle(tuple(features), scaler, dict(zip(targets, models)), params)
 
 
@@ -125,14 +135,23 @@ def predict(df: DataFrame, bundle: ForestBundle, target: str, out: str = "predic
     return bundle.models[target].setPredictionCol(out).transform(scaled(df, bundle.scaler)).drop(SCALED)
 
 
+def leaf_values(model: RandomForestRegressionModel) -> list[list[float]]:
+    """Predictions of the leaves of each tree, in the order that the model numbers them (left to right)."""
+    trees = re.split(r"^  Tree \d+ .*$", model.toDebugString, flags=re.MULTILINE)[1:]
+    return [[float(v) for v in re.findall(r"Predict: (\S+)", tree)] for tree in trees]
+
+
 def member_votes(df: DataFrame, bundle: ForestBundle, target: str, out: str = "votes") -> DataFrame:
-    """Predictions of the single trees as an array."""
-    frame = scaled(df, bundle.scaler)
-    names = []
-    for i, tree in enumerate(bundle.models[target].trees):
-        names.append(f"_vote{i}")
-        frame = tree.setFeaturesCol(SCALED).setPredictionCol(names[-1]).transform(frame)
-    return frame.withColumn(out, F.array(*names)).drop(SCALED, *names)
+    """Predictions of the single trees as an array.
+
+    One transform gives the leaf that a row reaches in each tree; a table of leaf values, a constant of the plan, turns them
+    into votes. The plan is the same for any number of trees.
+    """
+    model = bundle.models[target]
+    values = F.from_json(F.lit(json.dumps(leaf_values(model))), "array<array<double>>")
+    placed = model.transform(scaled(df, bundle.scaler), {model.leafCol: "_leaf", model.predictionCol: "_mean"})
+    votes = F.zip_with(values, vector_to_array("_leaf"), lambda tree, leaf: F.get(tree, leaf.cast("int")))
+    return placed.withColumn(out, votes).drop(SCALED, "_leaf", "_mean")
 
 
 def forest_band(df: DataFrame, bundle: ForestBundle, target: str) -> DataFrame:
@@ -142,17 +161,18 @@ def forest_band(df: DataFrame, bundle: ForestBundle, target: str) -> DataFrame:
 
 def out_of_fold(
     df: DataFrame, scaler: PipelineModel, targets: Sequence[str], fold: str, k: int = 5,
-    params: ForestParams = ForestParams(), parallelism: int = 4, *, keys: Sequence[str], expanding: bool = False,
+    params: ForestParams = ForestParams(), parallelism: int = 8, *, keys: Sequence[str], expanding: bool = False,
 ) -> DataFrame:
     """Predict each fold with forests fitted on the other folds, or with ``expanding`` on the earlier ones only.
 
     Gives ``(target, fold, label, prediction)`` rows for every target; ``expanding`` has none for fold 0, which nothing
-    precedes.
+    precedes. Rows are dealt and scaled once: held for the fits, and written by fold for the predictions, so that each
+    model reads its own fold and nothing is dealt again.
     """
-    whole = scaled(params.dealt(df, keys), scaler).select(SCALED, fold, *targets)
-    frame = whole.persist()
+    frame = scaled(params.dealt(df, keys), scaler).select(SCALED, fold, *targets).persist()
     pairs = [(t, i) for t in targets for i in range(int(expanding), k)]
     try:
+        whole = stored(frame, by=[fold])
         others = [F.col(fold) < i if expanding else F.col(fold) != i for _, i in pairs]
         models = _fit_all([(t, frame.where(rows)) for (t, _), rows in zip(pairs, others)], params, parallelism)
     finally:
@@ -188,7 +208,7 @@ def _metric_rows(scores: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
 
 
 def model_metrics(
-    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 4, *, keys: Sequence[str],
+    df: DataFrame, bundle: ForestBundle, fold: str, k: int = 5, parallelism: int = 8, *, keys: Sequence[str],
     expanding: bool = False,
 ) -> DataFrame:
     """``(target, metric, value)`` rows: in-sample R2 and the mean and deviation of the fold scores."""

@@ -561,7 +561,10 @@ def _within_labels(predicted, labelled):
 @_query
 def forest_fit_predict(spark, sf):
     frame, bundle = _fitted(spark, sf)
-    return _within_labels(forest.predict(frame, bundle, TARGET), frame).select(*KEYS, "within_labels")
+    predicted = forest.predict(frame, bundle, TARGET)
+    # A forest that always answered the mean label would have an R2 of 0 over the rows that it was fitted on.
+    r2 = profile.r2_score(predicted, TARGET, "prediction").first()["r2"]
+    return _within_labels(predicted, frame).select(*KEYS, "within_labels", F.lit(r2 > 0.25).alias("better_than_mean"))
 
 
 @_query
@@ -599,7 +602,7 @@ def model_metrics(spark, sf):
     frame, bundle = _fitted(spark, sf)
     metrics = forest.model_metrics(frame, bundle, "fold", 5, keys=KEYS)
     holds = F.when(F.col("metric") == "cv_std", F.col("value") >= 0).when(
-        F.col("metric") == "r2", F.col("value").between(0, 1)).otherwise(F.col("value") <= 1)
+        F.col("metric") == "r2", (F.col("value") > 0.25) & (F.col("value") <= 1)).otherwise(F.col("value") <= 1)
     return metrics.select("target", "metric", holds.alias("holds"))
 
 

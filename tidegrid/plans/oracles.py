@@ -385,7 +385,7 @@ ORACLES: dict[str, str] = {
       SELECT * FROM known UNION ALL
       SELECT o.* FROM o JOIN fresh ON o.o_orderkey = fresh.o_orderkey AND o.k IS NOT DISTINCT FROM fresh.k
       WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.k IS NOT DISTINCT FROM fresh.k)""",
-    "forest_fit_predict": _PRIO_KEYS.format(flags="true AS within_labels"),
+    "forest_fit_predict": _PRIO_KEYS.format(flags="true AS within_labels, true AS better_than_mean"),
     "forest_band": _PRIO_KEYS.format(flags="true AS mean_is_prediction, true AS band_in_order, true AS spread_known"),
     "feature_importance": " UNION ALL ".join(
         f"SELECT '{c}' AS feature, true AS is_share, true AS total_is_one, true AS ranks_complete" for c in _PANEL_FEATURES),

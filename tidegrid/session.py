@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,14 +64,15 @@ def discard(df: DataFrame) -> None:
         _scratch.remove(path)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back.
 
     Cuts the lineage before loops of passes and fits: losing an executor then re-reads files instead
     of recomputing the feature pipeline, and every pass sees the same rows. Unlike an RDD
-    checkpoint, the columnar files let each pass read only its columns.
+    checkpoint, the columnar files let each pass read only its columns. With ``by``, equal values of those columns have a
+    folder, and a pass that wants few values opens no others.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stored")
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
