@@ -60,9 +60,8 @@ def test_frame(spark, path):
     texts = [None, "", "short", "x " * 30_000] + ["word " * rng.randrange(900) + "<|endoftext|>" for _ in range(300)]
     rows = [(i if i % 7 else None, t, 0) for i, t in enumerate(texts)] + [(9, texts[9], 1)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, length int").repartition(3)
-    out = packing.pack(df, path).toPandas()
+    out = packing.pack(df, path, added=PATH).toPandas()
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts + [texts[9]])
     docs, open_docs = [], defaultdict(list)
     for r in out.sort_values(["doc_id", "doc_tokens", "start"]).itertuples():
@@ -87,7 +86,8 @@ def test_rank_file_gives_the_ids_of_the_tokenizer_file(spark):
     rng = random.Random(9)
     parts = ["'s", "'re", "'", " ", "  ", "\n", "\t\x0b", "abc", "É", "é\u0301", "日本", "🙂", "12", "½", "!?", "<|endoftext|>",
              "\xa0", "\u2003", "\x85", "\x1c", "the quick", "\u200d"]
-    by_file, by_ranks = encoder(PATH), encoder(RANKS)
+    by_file, by_ranks = encoder(PATH), encoder(RANKS, PATH)
+    assert by_ranks("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
     texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(3000)]
     if Path(SMALL).exists():
         texts += [r.text for r in spark.read.parquet(SMALL).select("text").collect()]

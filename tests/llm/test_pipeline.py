@@ -142,7 +142,7 @@ def test_secret_and_packing_stages(stages):
         assert new[1] == old[1] or "[SECRET]" in new[1]
     assert sum("[SECRET]" in r[1] for r in masked) == 1
     pieces = stages[4][2].toPandas()
-    encode = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encode = encoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert sorted(pieces.groupby(pieces["doc_id"].fillna(-1))["length"].sum()) == sorted(
         len(encode(r[1])) + 1 for r in masked)
     assert pieces.groupby("sequence_id")["length"].sum().max() <= 2048 and hasattr(packing, "pack")

@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.batches import steps
 
-#: Hash slots of the trigrams, pseudo-count of a slot, rounds of estimation, largest language set.
-SLOTS, SMOOTH, ROUNDS, LARGEST_SET = 1 << 15, 0.5, 8, 4
+#: Hash slots of the trigrams, pseudo-count of a slot, rounds of estimation.
+SLOTS, SMOOTH, ROUNDS = 1 << 15, 0.5, 8
+#: Larger language sets are tried until so many in a row have not been better.
+PATIENCE = 2
+#: Languages that a model may have; more labels than that are an error, since ``SLOTS`` numbers of each are collected.
+MOST_LANGUAGES = 500
 #: Languages a task counts before it hands the counts on.
 HELD_LANGUAGES = 32
 UNKNOWN = "und"
@@ -66,7 +70,7 @@ def fit(df: DataFrame, training: Column, text_col: str = "text", label_col: str
     """Count the trigrams of all rows where ``training`` holds and the label is there.
 
     Tasks add up their own rows; what meets is a count per language and slot, at most ``SLOTS`` per language, and no
-    more is collected. Rows without text or label are not learnt from; no rows at all give a model without languages.
+    more is collected (of at most ``MOST_LANGUAGES`` labels; more are an error). Rows without text or label are not learnt from; no rows at all give a model without languages.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,6 +92,8 @@ def fit(df: DataFrame, training: Column, text_col: str = "text", label_col: str
 
     rows = (df.filter(training & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")))
+    if rows.select("label").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels")
     counts = (rows.mapInPandas(count, "label string, slot bigint, n bigint")
               .groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(counts["label"].unique())
@@ -133,13 +139,21 @@ def mixtures(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     if n_langs > 1:
         full, _ = _estimate(p, weight, first, row, np.ones((len(present), n_langs)), total)
         ranked = np.argsort(-full, axis=1, kind="stable")
-        for size in range(2, min(LARGEST_SET, n_langs) + 1):
-            allowed = np.zeros_like(chosen)
-            np.put_along_axis(allowed, ranked[:, :size], 1.0, axis=1)
-            share, likelihood = _estimate(p, weight, first, row, allowed, total)
-            penalised = likelihood + base - 0.5 * (size - 1) * np.log(total)
-            better = penalised > score
-            chosen[better], score = share[better], np.maximum(score, penalised)
+        open_docs, stalled = np.arange(len(present)), np.zeros(len(present), dtype=np.int64)
+        for size in range(2, n_langs + 1):
+            if not len(open_docs):
+                break
+            mine = np.isin(row, open_docs)
+            own = np.searchsorted(open_docs, row[mine])
+            allowed = np.zeros((len(open_docs), n_langs))
+            np.put_along_axis(allowed, ranked[open_docs, :size], 1.0, axis=1)
+            start = np.searchsorted(own, np.arange(len(open_docs)))
+            share, likelihood = _estimate(p[mine], weight[mine], start, own, allowed, total[open_docs])
+            penalised = likelihood + base[open_docs] - 0.5 * (size - 1) * np.log(total[open_docs])
+            better = penalised > score[open_docs]
+            chosen[open_docs[better]], score[open_docs] = share[better], np.maximum(score[open_docs], penalised)
+            stalled[open_docs] = np.where(better, 0, stalled[open_docs] + 1)
+            open_docs = open_docs[stalled[open_docs] < PATIENCE]
     shares[present], sizes[present] = chosen, total
     return shares, sizes
 

@@ -104,17 +104,18 @@ def pack_batch(pieces: list[tuple], window: int, slack: int = SLACK) -> list[lis
 
 
 def pack(df: DataFrame, vocabulary: str, end_id: int = 1, window: int = 2048, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", added: str | None = None) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids, doc_tokens, sequence_id, offset``.
 
-    A document's ids are those of its whole text by the file ``vocabulary``, then ``end_id``; a missing text
+    A document's ids are those of its whole text by the file ``vocabulary`` (and the tokens that the file ``added`` adds to it,
+    see :func:`tidegrid.llm.tokens.encoder`), then ``end_id``; a missing text
     counts as empty and has that id alone. ``ids`` holds the piece's ids, four bytes each, lowest first. Every id lies in
     exactly one piece and no sequence exceeds ``window``. Sequence numbers are unique, not consecutive: task number, then
     number in the task. Missing and repeated document ids pack like any other row; other columns are not read.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, added)
         sequence = TaskContext.get().partitionId() << 33
         waiting: list[tuple] = []
         held: dict[int, tuple] = {}

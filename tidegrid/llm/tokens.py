@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,16 +45,30 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str):
-    """Function from a text to its ids, without special tokens; their strings in a text are ordinary text.
+def added_tokens(path: str) -> dict[str, int]:
+    """Texts and ids of the tokens that a tokenizer's ``.json`` file adds to its vocabulary; they are matched before the split."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that are matched in another way than letter by letter")
+    return {t["content"]: t["id"] for t in added}
 
-    ``path`` is a file of base64 tokens and ranks, or the ``.json`` file of a byte-level tokenizer.
+
+@lru_cache(maxsize=4)
+def encoder(path: str, added: str | None = None):
+    """Function from a text to its ids, without special tokens at its ends.
+
+    ``path`` is a file of base64 tokens and ranks, or the ``.json`` file of a byte-level tokenizer. The tokens that the ``.json``
+    file (``added``, for a rank file) adds to the vocabulary are matched in the text, as its library does by default; without
+    such a file their strings are ordinary text.
     """
     if path.endswith(".json"):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-    encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+    special = added_tokens(added) if added else {}
+    encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens=special)
+    if special:
+        return lambda text: np.array(encoding.encode(text, allowed_special="all"), dtype="<u4")
     return lambda text: np.array(encoding.encode_ordinary(text), dtype="<u4")
 
 
