@@ -5,7 +5,9 @@ from __future__ import annotations
 import html
 import random
 import re
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 from tidegrid.llm import extract, markup
@@ -28,10 +30,18 @@ def test_parser_blocks():
 def test_chrome_is_marked():
     page = ('<body class="has-sidebar"><div class="site-header"><h1>H</h1></div><div class="ad">A</div><div id="main-content">'
             '<p>T</p><div class="commentList">C</div><p class="no-ads">U</p><p hidden>X</p><i class="user-comments-box">V</i></div><nav>N</nav><aside>S</aside>')
-    found = {b.text: (b.chrome, b.header, b.main) for b in markup.parse(page)[0]}
+    found = {b.text: (b.chrome or bool(b.named), b.header, b.main) for b in markup.parse(page)[0]}
     assert found == {"H": (False, True, False), "A": (True, False, False), "T": (False, False, True),
                      "C": (True, False, True), "U": (False, False, True), "X": (True, False, True), "V": (True, False, True),
                      "N": (True, False, False), "S": (True, False, False)}
+    named = {b.text: b.named for b in markup.parse(page)[0]}
+    assert named["A"] == "/body.has-sidebar/div.ad" and named["X"] == "" and named["V"].endswith("/i.user-comments-box")
+
+
+@pytest.mark.parametrize("name", ["share-price", "notice-of-death", "ad-hoc", "article-comment-policy", "menu-of-the-day"])
+def test_names_that_say_something_else(name):
+    block, = markup.parse(f"<article><p class='{name}'>x</p></article>")[0]
+    assert not block.named
 
 
 def words(rng, n):
@@ -90,3 +100,95 @@ def test_edges(spark):
     assert got == [(0, "http://a/", "x", 1), (1, "", "", 0), (2, "", "", 0), (3, "::bad::", "y", 1), (3, "::bad::", "y", 1),
                    (4, "http://a/", "long ", 499_999), (5, "http://b/", "", 0), (6, "http://c/", "z", 1), (7, "http://c/", "", 0)]
     assert extract.extract(df.limit(0)).collect() == []
+
+
+def said(rng, n):
+    return re.sub("[&<]", "x", words(rng, n))
+
+
+def site(rng, n, make):
+    """``n`` pages of a host with a menu, a box and a line at the end; ``make`` gives the middle and the text to expect."""
+    rows, want = [], {}
+    for i in range(n):
+        middle, want[i] = make(i)
+        rows.append((i, f"http://site/{i}", f"<body><nav><a>m {i % 3}</a></nav><div class='promo-box'>{said(rng, 9)}</div>{middle}"
+                     "<div>Imprint</div></body>"))
+    return rows, want
+
+
+def extracted(spark, rows):
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in extract.extract(df).collect()}
+
+
+def test_story_beside_a_teaser(spark):
+    rng = random.Random(71)
+
+    def make(i):
+        story = [said(rng, 60) for _ in range(3)]
+        box = "main" if i % 2 else "div"
+        return f"<{box}>" + "".join(f"<p>{s}</p>" for s in story) + f"</{box}><article><p>teaser {i}</p></article>", "\n".join(story)
+
+    rows, want = site(rng, 16, make)
+    assert extracted(spark, rows) == want
+
+
+def test_line_that_a_host_repeats_in_its_articles(spark):
+    """It is template; the text of copies of one article, exact or near, is not."""
+    rng = random.Random(72)
+    shared = [said(rng, 30) for _ in range(6)]
+
+    def make(i):
+        story = [said(rng, 20) for _ in range(3)] if i < 14 else shared[:]
+        if i >= 20:
+            story[i % 6] += " edited"
+        line = "All rights reserved." if i < 14 else ""
+        return "<article>" + "".join(f"<p>{s}</p>" for s in story) + f"<p>{line}</p></article>", "\n".join(story)
+
+    rows, want = site(rng, 26, make)
+    rows += [(100 + i, "http://site/c", rows[15][2]) for i in range(60)]
+    got = extracted(spark, rows)
+    assert got == want | {100 + i: want[15] for i in range(60)}
+
+
+def test_class_words_need_the_template(spark):
+    rng = random.Random(73)
+
+    def make(i):
+        one = "<div class='comments'>a note to one page</div>" if i == 3 else ""
+        story = said(rng, 40)
+        return (f"<article><p>{story}</p>{one}<p class='share-price'>up {i}</p><div class='share-box'>share {i}</div></article>",
+                f"{story}\n" + ("a note to one page\n" if one else "") + f"up {i}")
+
+    rows, want = site(rng, 12, make)
+    assert extracted(spark, rows) == want
+
+
+def test_template_decides(spark):
+    """Of the pages at hand: without the template, what surrounds the article comes with it."""
+    small = "/root/testdata/sf0.01/pages.parquet"
+    if not Path(small).exists():
+        pytest.skip("benchmark tables are not here")
+    pages = [r.html for r in spark.read.parquet(small).collect()]
+    whole = [extract.main_text(p, frozenset()) for p in pages]
+    every = [extract.main_text(p, frozenset(extract.page_tokens(p))) for p in pages]
+    article = [re.search(r"<article>(.*?)</article>", p, re.DOTALL)[1] for p in pages]
+    assert all(len(w) > len(markup.parse(a)[0]) for w, a in zip(whole, article)) and not any(every)
+    got = [r.text for r in extract.extract(spark.read.parquet(small)).collect()]
+    assert sum(a != b for a, b in zip(sorted(whole), sorted(got))) > 200
+
+
+def test_two_layouts_and_crossing_classes(spark):
+    rng = random.Random(74)
+    pages = [f"<body><div class=a>Top</div><p>{said(rng, 9)}</p><div class=b>End</div></body>" if i % 5 < 3 else
+             f"<body><section class=c>Other top</section><p>{said(rng, 9)}</p></body>" for i in range(30)]
+    found = extract.templates(spark.createDataFrame([("h", p) for p in pages], "host string, text string")).collect()
+    tokens = {r.token for r in found}
+    assert all(extract._hash(p) in tokens for p in ("/body/div.a", "/body/div.b", "/body/section.c"))
+    crossing = extract.pd.DataFrame({"host": ["h", "h"], "classes": [np.array([1, 2, 1, 2]), np.array([3, 1, 3, 4])]})
+    pairs = extract.pd.concat(extract._crossings(iter([crossing])))
+    assert pairs.to_numpy().tolist() == [["h", 1, 2]]
+    gone = extract.pd.concat(extract._outdone(iter([extract.pd.DataFrame({
+        "host": ["h"], "sizes": [[{"class_id": 1, "class_size": 5}, {"class_id": 2, "class_size": 9}, {"class_id": 3, "class_size": 4}]],
+        "pairs": [[{"a": 1, "b": 2}, {"a": 1, "b": 3}]]})])))
+    assert gone.to_numpy().tolist() == [["h", 1]]

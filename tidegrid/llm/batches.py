@@ -36,14 +36,19 @@ def with_id(out: DataFrame, like: DataFrame, id_col: str) -> DataFrame:
     return out.select(F.col("id").cast(like.schema[id_col].dataType).alias(id_col), *rest)
 
 
-#: Rows up to which a table with one row per language or the like is sent to every task.
-SMALL_ROWS = 10_000
+#: Rows, and bytes as written, up to which a table with one row per language or the like is sent to every task.
+SMALL_ROWS, SMALL_BYTES = 10_000, 4_000_000
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """``df`` written out, and marked for a broadcast join if it has at most ``SMALL_ROWS`` rows."""
+    """``df`` written out, and marked for a broadcast join if it has at most ``SMALL_ROWS`` rows in ``SMALL_BYTES`` bytes."""
     kept = stored(df)
-    return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
+    spark, files = df.sparkSession, kept.inputFiles()
+    if not files:
+        return F.broadcast(kept)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return F.broadcast(kept) if size <= SMALL_BYTES and kept.count() <= SMALL_ROWS else kept
 
 
 def runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -19,7 +19,7 @@ CHROME = frozenset(
     "dialog menu audio video map head title label fieldset legend applet noembed noframes xmp".split())
 CHROME_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
-#: Words of class names and ids that name what surrounds an article.
+#: Words of class names and ids that name what surrounds an article, if nothing but ``PLAIN_WORDS`` stands beside them.
 CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored promo promos promotion "
     "banner banners nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar "
@@ -27,10 +27,10 @@ CHROME_WORDS = frozenset(
     "subscribe subscription signup login signin search share sharing sharebar social related recommended recommendations "
     "widget widgets comment comments commentlist discussion disqus respond replies reply skip skiplink pagination pager paging "
     "copyright legal disclaimer hidden paywall outbrain taboola".split())
-#: Those that say so at any place in a name, not only at its ends.
-STRONG_WORDS = frozenset(
-    "ad ads advert advertisement breadcrumb breadcrumbs comment comments cookie cookies disqus navbar newsletter notice sidebar "
-    "sponsored subscribe".split())
+PLAIN_WORDS = frozenset(
+    "area bar block body box btn button buttons container content el form group holder icon icons inner item items label left link "
+    "links list main module outer page panel placeholder post posts right row section site slot text title top bottom unit user "
+    "view wrap wrapper zone".split())
 HEADER_WORDS = frozenset(("header", "topheader", "pageheader", "siteheader"))
 MAIN_WORDS = frozenset(
     ("main", "content", "article", "articlebody", "main-content", "maincontent", "post-content", "entry-content", "article-body",
@@ -51,7 +51,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Block(NamedTuple):
-    """A run of text between block boundaries; ``path`` names the open elements, ``order`` its place among all tokens."""
+    """A run of text between block boundaries; ``path`` names the open elements, ``order`` its place among all tokens.
+
+    ``chrome``: its elements or their roles say that it is no article; ``named``: path of the outermost element whose class or id
+    says so."""
 
     text: str
     path: str
@@ -62,6 +65,7 @@ class Block(NamedTuple):
     main: bool
     linked: int
     order: int
+    named: str
 
 
 class _Open(NamedTuple):
@@ -73,39 +77,42 @@ class _Open(NamedTuple):
     article: bool
     main: bool
     link: bool
+    named: str
+
+
+_ROOT = _Open("", "", False, False, False, False, False, False, "")
 
 
-_ROOT = _Open("", "", False, False, False, False, False, False)
+def _words(value: str) -> list[list[str]]:
+    """The words of each name in a class or id attribute, without names that deny something."""
+    names = [[w.lower() for w in _WORDS.findall(name)] for name in value.split() if not _NEGATED.search(name)]
+    return [w for w in names if w]
 
 
-def _named(value: str) -> set[str]:
-    """Words at either end of the names in a class or id attribute, those that deny something left out."""
-    out = set()
-    for name in value.split():
-        if not _NEGATED.search(name):
-            words = [w.lower() for w in _WORDS.findall(name)]
-            if words:
-                out |= {words[0], words[-1], "".join(words), *STRONG_WORDS.intersection(words)}
-    return out
+def _is_chrome(words: list[str]) -> bool:
+    """Whether a name says that its element is no article, and says nothing else."""
+    known = [w for w in words if w in CHROME_WORDS]
+    return "".join(words) in CHROME_WORDS or bool(known) and all(w in CHROME_WORDS or w in PLAIN_WORDS or w.isdigit() for w in words)
 
 
 def _opened(tag: str, rest: str, parent: _Open) -> _Open:
     attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)} if rest else {}
     classes = attributes.get("class", "")
     step = tag + "".join(f".{c}" for c in sorted(classes.split())) if classes else tag
-    names = _named(classes) | _named(attributes.get("id", "")) if attributes else set()
+    names = _words(classes) + _words(attributes.get("id", "")) if attributes else []
     role = attributes.get("role", "").lower()
     whole = tag in ("html", "body", "main")
     main = (tag == "main" or role == "main" or "articlebody" in attributes.get("itemprop", "").lower()
             or bool(MAIN_WORDS & {x.lower() for x in (classes + " " + attributes.get("id", "")).split()}))
-    header = not whole and (tag == "header" or bool(names & HEADER_WORDS))
+    header = not whole and (tag == "header" or any(w[-1] in HEADER_WORDS or "".join(w) in HEADER_WORDS for w in names))
     chrome = (tag in CHROME or role in CHROME_ROLES and not header or "hidden" in attributes
               or attributes.get("aria-hidden", "").lower() == "true"
-              or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-              or not whole and not (main and tag == "article") and bool(names & CHROME_WORDS))
-    return _Open(tag, f"{parent.path}/{step}", parent.chrome or chrome and not whole, parent.header or header,
+              or "display:none" in attributes.get("style", "").replace(" ", "").lower())
+    path = f"{parent.path}/{step}"
+    named = parent.named or (path if not whole and not main and any(map(_is_chrome, names)) else "")
+    return _Open(tag, path, parent.chrome or chrome and not whole, parent.header or header,
                  parent.heading or tag in HEADINGS, parent.article or tag == "article" or role == "article",
-                 parent.main or main and tag not in ("html", "body"), parent.link or tag == "a")
+                 parent.main or main and tag not in ("html", "body"), parent.link or tag == "a", named)
 
 
 def parse(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
@@ -128,7 +135,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
             if text:
                 top = stack[-1]
                 near = next((o for o in reversed(stack) if o.tag in BLOCK or not o.tag), _ROOT)
-                blocks.append(Block(text, near.path, top.chrome, top.header, top.heading, top.article, top.main, linked, order))
+                blocks.append(Block(text, near.path, top.chrome, top.header, top.heading, top.article, top.main, linked, order, top.named))
                 order += 1
         linked = 0
 
@@ -140,7 +147,8 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
                 linked += len(piece.strip())
 
     def close(index: int) -> None:
-        if any(o.tag in BLOCK for o in stack[index:]) or any(o.chrome != stack[index - 1].chrome for o in stack[index:]):
+        if any(o.tag in BLOCK for o in stack[index:]) or any(
+                (o.chrome, o.named) != (stack[index - 1].chrome, stack[index - 1].named) for o in stack[index:]):
             flush()
         del stack[index:]
 
@@ -184,9 +192,10 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
             if lowest:
                 close(lowest)
         opened = _opened(tag, match[3] or match[6] or "", stack[-1])
-        if opened.chrome and not stack[-1].chrome and tag not in VOID:
+        begins = (opened.chrome, opened.named) != (stack[-1].chrome, stack[-1].named)
+        if begins and tag not in VOID:
             flush()
-        if tag in BLOCK or tag in CHROME:
+        if tag in BLOCK or tag in CHROME or begins:
             tags.append((opened.path, order))
             order += 1
         if tag in VOID:
