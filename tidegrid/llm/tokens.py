@@ -66,10 +66,22 @@ def encoder(path: str, added: str | None = None):
         tokenizer = Tokenizer.from_file(path)
         return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
     special = added_tokens(added) if added else {}
-    encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens=special)
-    if special:
-        return lambda text: np.array(encoding.encode(text, allowed_special="all"), dtype="<u4")
-    return lambda text: np.array(encoding.encode_ordinary(text), dtype="<u4")
+    encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+
+    def encode(text: str) -> np.ndarray:
+        return encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+
+    if not special:
+        return encode
+    parts = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
+
+    def encode_all(text: str) -> np.ndarray:
+        if not any(token in text for token in special):
+            return encode(text)
+        return np.concatenate([np.array([special[part]], dtype="<u4") if part in special else encode(part)
+                               for part in parts.split(text)])
+
+    return encode_all
 
 
 @lru_cache(maxsize=4)
