@@ -24,6 +24,8 @@ from tidegrid.llm.tokens import encoder
 PIECE_SHARE = 8
 #: Windows of a batch, room left in each of them for its imbalance, and the grain of the part that needs no padding.
 BATCH_WINDOWS, SLACK, GRAIN = 128, 8, 64
+#: Pieces that a task hands on at once.
+OUT_ROWS = 1000
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
@@ -121,17 +123,25 @@ def pack(df: DataFrame, vocabulary: str, end_id: int = 1, window: int = 2048, id
         held: dict[int, tuple] = {}
         serial = waiting_tokens = 0
 
-        def emit(sequences: list[list[tuple]]) -> pd.DataFrame:
+        out: dict[str, list] = {c: [] for c in ("id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
+
+        def emit(sequences: list[list[tuple]]) -> None:
             nonlocal sequence
-            rows = []
             for pieces in sequences:
                 offset = 0
                 for row, start, length in pieces:
                     doc, ids = held[row]
-                    rows.append((doc, start, length, ids[start:start + length].tobytes(), len(ids), sequence, offset))
+                    for values, value in zip(out.values(), (doc, start, length, ids[start:start + length].tobytes(), len(ids),
+                                                            sequence, offset)):
+                        values.append(value)
                     offset += length
                 sequence += 1
-            return pd.DataFrame(rows, columns=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+
+        def emitted(least: int) -> Iterator[pd.DataFrame]:
+            if len(out["id"]) >= least:
+                yield pd.DataFrame(out)
+                for values in out.values():
+                    values.clear()
 
         for rows in batches:
             for doc, text in zip(rows["id"], rows["text"]):
@@ -139,17 +149,19 @@ def pack(df: DataFrame, vocabulary: str, end_id: int = 1, window: int = 2048, id
                 held[serial] = (doc, ids)
                 whole = len(ids) // window * window
                 if whole:
-                    yield emit([[(serial, s, window)] for s in range(0, whole, window)])
+                    emit([[(serial, s, window)] for s in range(0, whole, window)])
                 step = max(1, window // PIECE_SHARE)
                 waiting += [(serial, s, min(step, len(ids) - s)) for s in range(whole, len(ids), step)]
                 waiting_tokens += len(ids) - whole
                 serial += 1
                 if waiting_tokens >= BATCH_WINDOWS * window:
-                    yield emit(pack_batch(waiting, window))
+                    emit(pack_batch(waiting, window))
                     waiting, waiting_tokens = [], 0
                     held.clear()
+                yield from emitted(OUT_ROWS)
         if waiting:
-            yield emit(pack_batch(waiting, window))
+            emit(pack_batch(waiting, window))
+        yield from emitted(1)
 
     rows = id_and_text(df, id_col, text_col)
     out = rows.mapInPandas(run, "id string, start bigint, length bigint, ids binary, doc_tokens bigint, "
