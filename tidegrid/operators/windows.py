@@ -3,7 +3,7 @@
 ``by`` holds the series key(s). Every ordered operator runs on frames that were already reduced to
 at most one row per series and period, so a window partition is never longer than the calendar,
 whatever the number of raw observations of its series. An empty ``by`` is for frames with one row
-per period in total.
+per period in total. Longer orders belong to :mod:`tidegrid.operators.segments`.
 """
 
 from __future__ import annotations

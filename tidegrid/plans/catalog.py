@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.numeric import fraction_to_percent, ieee_div, rint_to
 from tidegrid.functions.numeric import inf_to_null as finite_or_null
 from tidegrid.functions.periods import lookback_bounds, period_label
-from tidegrid.operators import change, encode, fill, folds, forest, grid, profile, rank, select
+from tidegrid.operators import change, encode, fill, folds, forest, grid, profile, rank, segments, select
 from tidegrid.operators.ensemble import ensemble_band as band_of_votes
 from tidegrid.operators.quantiles import column_medians as column_medians_of
 from tidegrid.operators.quantiles import column_quantiles
@@ -434,6 +434,46 @@ def calendar_kfold_ids(spark, sf):
     return folds.calendar_folds(_wide_grid(spark, sf).select("o_custkey", "month"), 5)
 
 
+# Orders longer than a task: events, whole and by type
+
+
+def _ticks(spark, sf):
+    return table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+
+
+@_query
+def carry_ticks(spark, sf):
+    """The value of the last purchase before or at each event."""
+    ticks = _ticks(spark, sf).withColumn("filled", F.when(F.col("event_type") == "purchase", F.col("value")))
+    return segments.carry(ticks, ["filled"], order=["ts", "event_id"])
+
+
+@_query
+def carry_series_ticks(spark, sf):
+    """Few long series with values at every third event, carried both ways."""
+    ticks = _ticks(spark, sf).withColumn("filled", F.when(F.col("event_id") % 3 == 0, F.col("value")))
+    return segments.carry(ticks, ["filled"], by=["event_type"], order=["ts", "event_id"], back=True)
+
+
+@_query
+def asof_ticks(spark, sf):
+    """Errors with the last purchase at or before them."""
+    ticks = _ticks(spark, sf)
+    errors = ticks.where("event_type = 'error'").select("event_id", "ts")
+    return segments.asof(errors, ticks.where("event_type = 'purchase'"), time="ts", value="value", tie_break="event_id")
+
+
+@_query
+def number_ticks(spark, sf):
+    numbered = segments.row_index(_ticks(spark, sf), order=["ts", "event_id"])
+    return segments.row_index(numbered, by=["event_type"], order=["ts", "event_id"], out="type_idx")
+
+
+@_query
+def fold_ticks(spark, sf):
+    return folds.calendar_folds(_ticks(spark, sf).select("event_id", "ts"), 5, time="ts")
+
+
 @_query
 def ensemble_band(spark, sf):
     bands = band_of_votes(table(spark, sf, "embeddings"), "embedding")

@@ -367,6 +367,23 @@ ORACLES: dict[str, str] = {
     "calendar_kfold_ids": f"""WITH {WM}, m AS (SELECT month, (ntile(5) OVER (ORDER BY month) - 1)::INT AS fold
         FROM (SELECT DISTINCT month FROM wm))
       SELECT o_custkey, month, fold FROM wm JOIN m USING (month)""",
+    "carry_ticks": """SELECT event_id, ts, event_type, value,
+        last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (ORDER BY ts, event_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM events""",
+    "carry_series_ticks": """WITH e AS (SELECT event_id, ts, event_type, value, CASE WHEN event_id % 3 = 0 THEN value END AS known FROM events)
+      SELECT event_id, ts, event_type, value, coalesce(
+        last_value(known IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        first_value(known IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS filled FROM e""",
+    "asof_ticks": """WITH p AS (SELECT ts, arg_max(value, event_id) AS value FROM events
+        WHERE event_type = 'purchase' AND value IS NOT NULL GROUP BY ts)
+      SELECT e.event_id, e.ts, p.value AS carried, p.ts AS carried_from
+      FROM (SELECT * FROM events WHERE event_type = 'error') e ASOF LEFT JOIN p ON e.ts >= p.ts""",
+    "number_ticks": """SELECT event_id, ts, event_type, value, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_idx,
+        row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS type_idx FROM events""",
+    "fold_ticks": """WITH f AS (SELECT ts, (ntile(5) OVER (ORDER BY ts) - 1)::INT AS fold FROM (SELECT DISTINCT ts FROM events))
+      SELECT event_id, ts, fold FROM events JOIN f USING (ts)""",
     "ensemble_band": f"""WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS vote FROM embeddings),
       a AS (SELECT vec_id, avg(vote) AS m, stddev_pop(vote) AS s, quantile_cont(vote, 0.25) AS lo,
             quantile_cont(vote, 0.75) AS hi FROM v GROUP BY 1)
