@@ -43,7 +43,7 @@ def rows():
 def test_round_trip_and_order(spark, tmp_path, monkeypatch, rows, run_rows, range_rows):
     monkeypatch.setattr(warc, "RUN_ROWS", run_rows)
     monkeypatch.setattr(warc, "RANGE_ROWS", range_rows)
-    monkeypatch.setattr(warc, "FILE_RECORDS", 50)
+    monkeypatch.setattr(warc, "FILE_BYTES", 5000)
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id bigint, url string, html string, offset int").repartition(3)
     got = warc.archive(df, str(tmp_path / "a")).collect()
     assert sorted((r.page_id is None, r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or 0)
@@ -58,19 +58,54 @@ def test_files_are_plain_archives(spark, tmp_path, rows):
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     warc.write_archives(warc.plan_records(df), str(tmp_path / "a"))
     payloads = []
-    for file in Path(tmp_path / "a").glob("*.gz"):
-        data = gzip.decompress(file.read_bytes())
+    for file in Path(tmp_path / "a").glob("*/part-*"):
+        data = file.read_bytes()
+        whole = gzip.decompress(data)
+        at = 0
         for offset, fields, block in warc.parse_records(data):
-            assert data[offset:].startswith(b"WARC/1.1\r\n")
+            assert gzip.decompress(data[offset:]) == whole[at:] and whole[at:].startswith(b"WARC/1.1\r\n")
+            at = whole.index(b"\r\n\r\n", at) + 4 + len(block) + 4
             head, _, payload = block.partition(b"\r\n\r\n")
             assert f"Content-Length: {fields['warc-payload-length']}".encode() in head
             if fields["warc-type"] == "response":
                 payloads.append(payload.decode())
             else:
                 assert not payload and fields["warc-refers-to"].startswith("<urn:x-page:")
+        assert at == len(whole)
     assert set(payloads) == {h or "" for _, _, h in rows}
 
 
+def test_a_record_is_read_by_its_offset_alone(spark, tmp_path, rows):
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
+    for r in warc.archive(df, str(tmp_path / "a")).collect():
+        with open(tmp_path / "a" / r.file, "rb") as source:
+            source.seek(r.offset)
+            fields, block = warc.parse_record(warc.read_record(source.read)[0])
+        assert fields["warc-record-id"] == f"<urn:x-page:{'' if r.page_id is None else r.page_id}>"
+        if r.record_type == "response":
+            assert hashlib.sha1(block.partition(b"\r\n\r\n")[2]).hexdigest() == r.payload_digest
+
+
+def test_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    """Pages of 5 MB that do not compress, and one whose record needs more than three bytes for its length."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 4_000_000)
+    rng = random.Random(8)
+    rows = [(i, "http://a/", rng.randbytes(2_500_000).hex()) for i in range(6)] + [(9, "http://b/", "word " * 4_000_000)]
+    df = spark.createDataFrame([*rows, (10, "http://c/", "")], "page_id bigint, url string, html string").coalesce(1)
+    got = warc.archive(df, str(tmp_path / "a")).collect()
+    assert sorted((r.page_id is None, r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or 0)
+                  for r in got) == brute([*rows, (10, "http://c/", "")])
+    sizes = [f.stat().st_size for f in Path(tmp_path / "a").glob("*/part-*")]
+    assert len(sizes) >= 6 and max(sizes) < 4_000_000
+
+
+@pytest.mark.parametrize("size", [0, 1, 255, (1 << 24) - 1, 1 << 24, (1 << 24) + 5])
+def test_members_end_in_a_zero(size):
+    record = b"x" * size
+    member = warc.packed_record(record) + b"\0"
+    assert gzip.decompress(member * 2) == record * 2
+
+
 def test_loser_tree():
     rng = random.Random(1)
     for k in range(9):

@@ -1,7 +1,8 @@
 """WARC archives of pages: writing with revisit records, reading back, and the merged capture index.
 
-Archives are written by Spark's text sink, whose line separator is the end of a record, so every file is a plain (gzipped)
-WARC file. They are read back file by file by their length fields.
+Every record is a gzip member of its own, so that a record can be read from its offset alone, and a file is a plain gzipped
+WARC file. Spark's text sink writes the members: each ends in a zero byte, which is the sink's line separator. Files are
+bounded in bytes and read back one by one, record by record.
 
 The index is an external merge. Every task sorts the captures it reads into runs and cuts each run at common splitters;
 every range of keys then merges its pieces of all runs with a loser tree. Ranges in order, and positions in a range, give
@@ -14,7 +15,7 @@ import bisect
 import hashlib
 import io
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -27,8 +28,13 @@ from tidegrid.session import scratch_path, stored
 
 #: Payloads shorter than this are always stored in full.
 REVISIT_BYTES = 1000
-#: Records of an archive file, captures of a sorted run and of a merged range, and sampled keys the splitters come from.
-FILE_RECORDS, RUN_ROWS, RANGE_ROWS, SAMPLE_KEYS = 2000, 50_000, 20_000, 10_000
+#: Compressed bytes after which a task begins another archive file (a larger record has a file of its own), and bytes that are
+#: handed to the decompressor at once.
+FILE_BYTES, STEP_BYTES = 32_000_000, 16_384
+#: Captures of a sorted run and of a merged range, and sampled keys for each range the splitters come from.
+RUN_ROWS, RANGE_ROWS, RANGE_KEYS = 50_000, 50_000, 10
+#: Places that pages too short to be revisits spread over when pages meet by digest.
+SPREAD = 65_536
 
 # Fixed values of the format.
 _END = "\r\n"
@@ -49,16 +55,50 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                         F.coalesce(F.col(html_col), F.lit("")).alias("payload"))
     rows = (rows.withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
             .withColumn("payload_digest", F.sha1(F.encode("payload", "UTF-8"))))
-    again = (rows.filter(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest")
-             .agg(F.max("id").alias("largest"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    other = (F.col("payload_bytes") >= REVISIT_BYTES) & ~F.col("id").eqNullSafe(F.col("largest"))
-    return (rows.join(again, "payload_digest", "left")
-            .withColumn("refers_to", F.when(other, F.col("largest"))).drop("largest"))
+    long = F.col("payload_bytes") >= REVISIT_BYTES
+    again = (rows.filter(long).groupBy(F.col("payload_digest").alias("meet")).agg(F.max("id").alias("largest"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").drop("n"))
+    # Short payloads meet nothing, and would all meet in few places by their digests.
+    apart = F.concat(F.lit("short "), F.pmod(F.xxhash64("id", "url", "payload_digest"), F.lit(SPREAD)).cast("string"))
+    return (rows.withColumn("meet", F.when(long, F.col("payload_digest")).otherwise(apart)).join(again, "meet", "left")
+            .withColumn("refers_to", F.when(long & ~F.col("id").eqNullSafe(F.col("largest")), F.col("largest")))
+            .drop("largest", "meet"))
+
+
+def packed_record(record: bytes) -> bytes:
+    """A record as gzip member without its last byte, which is zero."""
+    member = zlib.compress(record, 6, 31)
+    if member[-1]:  # 16 MB or more: the length ends in another byte; an empty member after it ends in zeros
+        member += zlib.compress(b"", 6, 31)
+    return member[:-1]
+
+
+def _pack(file_bytes: int):
+    """Members of a task's records, with the number of the file each is for."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        volume = size = 0
+        for rows in batches:
+            volumes, members, waiting = [], [], 0
+            for record in rows["record"]:
+                member = packed_record(record)
+                if size and size + len(member) > file_bytes:
+                    volume, size = volume + 1, 0
+                size, waiting = size + len(member) + 1, waiting + len(member)
+                volumes.append(volume)
+                members.append(member)
+                if waiting > file_bytes:
+                    yield pd.DataFrame({"volume": volumes, "member": members})
+                    volumes, members, waiting = [], [], 0
+            yield pd.DataFrame({"volume": volumes, "member": members})
+
+    return run
 
 
 def write_archives(records: DataFrame, path: str, first_date: str = "2024-01-01 00:00:00") -> None:
-    """Write the rows of :func:`plan_records` as gzipped WARC files.
+    """Write the rows of :func:`plan_records` as gzipped WARC files of about ``FILE_BYTES`` at most.
 
+    Files are called ``volume=<n>/part-*.txt``; the ending is the text sink's. A record has to fit a task's memory.
     Pages carry no capture time; the page with id n counts as captured n seconds after ``first_date`` (one without id, or
     with an id that is no number, at that time).
     """
@@ -84,8 +124,11 @@ def write_archives(records: DataFrame, path: str, first_date: str = "2024-01-01
         F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}")),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
-    (records.select(F.concat(F.concat_ws(_END, *fields), F.lit(_END * 2), block).alias("value"))
-     .write.option("lineSep", _END * 2).option("maxRecordsPerFile", FILE_RECORDS).text(path, compression="gzip"))
+    record = F.encode(F.concat(F.concat_ws(_END, *fields), F.lit(_END * 2), block, F.lit(_END * 2)), "UTF-8")
+    members = records.select(record.alias("record")).mapInPandas(_pack(FILE_BYTES), "volume int, member binary")
+    # The sink writes the bytes of a text as they are, valid or not.
+    (members.select("volume", F.col("member").cast("string").alias("value"))
+     .write.partitionBy("volume").option("lineSep", "\0").text(path, compression="none"))
 
 
 # ---- reading ------------------------------------------------------------------------------------------------------
@@ -107,17 +150,35 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + port + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
+def read_record(read: Callable[[int], bytes]) -> tuple[bytes, int]:
+    """The record of the member that ``read`` (so many next bytes of a file) is about to give, and the member's length."""
+    inflate, parts, taken = zlib.decompressobj(31), [], 0
+    while not inflate.eof:
+        piece = read(STEP_BYTES)
+        if not piece:
+            raise ValueError("the archive ends within a record")
+        parts.append(inflate.decompress(piece))
+        taken += len(piece)
+    return b"".join(parts), taken - len(inflate.unused_data)
+
+
+def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
+    """Fields with lower-case names, and block."""
+    stop = record.index(b"\r\n\r\n")
+    lines = record[:stop].decode().split(_END)
+    fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    return fields, record[stop + 4:stop + 4 + int(fields["content-length"])]
+
+
 def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """``(offset, fields with lower-case names, block)`` of every record of an uncompressed archive."""
-    at = 0
+    """``(offset, fields with lower-case names, block)`` of every record of an archive file."""
+    source, at = io.BytesIO(data), 0
     while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode().split(_END)
-        fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        begin = stop + 4
-        end = begin + int(fields["content-length"])
-        yield at, fields, data[begin:end]
-        at = end + 4
+        source.seek(at)
+        record, length = read_record(source.read)
+        if record:  # else the empty member behind a large one
+            yield at, *parse_record(record)
+        at += length
 
 
 _ENTRY = ("url_key string, captured string, id string, record_type string, payload_bytes bigint, payload_digest string, "
@@ -129,27 +190,26 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives below ``path``: its place, and length and digest of its full payload.
 
     A response's are computed from what the file holds and compared with its fields; a mismatch is an error. A revisit's
-    are its fields. Ids are text.
+    are its fields. Ids are text. A task holds a file as written and one of its records unpacked.
     """
 
+    def entry(name: str, offset: int, fields: dict[str, str], block: bytes) -> tuple:
+        size, digest = int(fields["warc-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
+        if fields["warc-type"] == "response":
+            payload = block[block.index(b"\r\n\r\n") + 4:]
+            if (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
+                raise ValueError(f"{name}: the record at {offset} does not hold its payload")
+        refers_to = fields.get("warc-refers-to")
+        return (url_key(fields.get("warc-target-uri")), fields["warc-date"], _page(fields["warc-record-id"]),
+                fields["warc-type"], size, digest, _page(refers_to) if refers_to else None,
+                "/".join(name.split("/")[-2:]), offset)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for name, content in zip(files["path"], files["content"]):
-                rows = []
-                for offset, fields, block in parse_records(zlib.decompress(content, 31)):
-                    size, digest = int(fields["warc-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
-                    if fields["warc-type"] == "response":
-                        payload = block[block.index(b"\r\n\r\n") + 4:]
-                        if (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
-                            raise ValueError(f"{name}: the record at {offset} does not hold its payload")
-                    refers_to = fields.get("warc-refers-to")
-                    rows.append((
-                        url_key(fields.get("warc-target-uri")), fields["warc-date"], _page(fields["warc-record-id"]),
-                        fields["warc-type"], size, digest, _page(refers_to) if refers_to else None,
-                        name.rsplit("/", 1)[-1], offset))
-                yield pd.DataFrame(rows, columns=_COLUMNS)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+                yield pd.DataFrame([entry(name, *found) for found in parse_records(content)], columns=_COLUMNS)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInPandas(run, _ENTRY)
 
 
@@ -215,7 +275,7 @@ def _unpacked(data: bytes) -> Iterator[tuple[tuple, tuple]]:
             yield _key(row), row
 
 
-def _sorted_runs(splitters: list[tuple]):
+def _sorted_runs(splitters: list[tuple], run_rows: int):
     """Sorts the captures of a task in runs; a row for each run and range that has some of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,7 +291,7 @@ def _sorted_runs(splitters: list[tuple]):
 
         for rows in batches:
             waiting += rows.astype(object).where(rows.notna(), None).itertuples(index=False, name=None)
-            if len(waiting) >= RUN_ROWS:
+            if len(waiting) >= run_rows:
                 yield flush()
         if waiting:
             yield flush()
@@ -250,18 +310,19 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
 def merge_index(captures: DataFrame) -> DataFrame:
     """The captures with ``part`` and ``position``: ordered by both, they are in order of URL key, then time, then id.
 
-    Splitters come from a random sample of about ``SAMPLE_KEYS`` keys; it only decides how even the ranges are. Keys are unique
-    by their place in the archive, so captures of one URL, however many, spread over as many ranges as they fill.
+    Splitters come from a random sample of about ``RANGE_KEYS`` keys for each range (one capture of 5000), so ranges hold about
+    ``RANGE_ROWS`` captures however many there are; it only decides how even they are. Keys are unique by their place in the
+    archive, so captures of one URL, however many, spread over as many ranges as they fill.
     """
     captures = captures.select(*_COLUMNS)
     rows = captures.count()
     parts = rows // RANGE_ROWS + 1
     splitters: list[tuple] = []
     if parts > 1:
-        drawn = captures.sample(min(1.0, SAMPLE_KEYS / rows), seed=7).select(*_COLUMNS[:3], *_COLUMNS[-2:])
+        drawn = captures.sample(min(1.0, RANGE_KEYS * parts / rows), seed=7).select(*_COLUMNS[:3], *_COLUMNS[-2:])
         sample = sorted(_key(tuple(r)) for r in drawn.collect())
         splitters = [sample[len(sample) * k // parts] for k in range(1, parts)] if sample else []
-    runs = captures.mapInPandas(_sorted_runs(splitters), "part bigint, run binary")
+    runs = captures.mapInPandas(_sorted_runs(splitters, RUN_ROWS), "part bigint, run binary")
     return runs.groupBy("part").applyInPandas(_merge, f"part bigint, position bigint, {_ENTRY}")
 
 
