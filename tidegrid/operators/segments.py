@@ -91,11 +91,12 @@ def carry(
     """
     frame, segments = cut(df, [*by, *order], segment_rows)
     out = frame
-    here = Window.partitionBy(*by, "_segment").orderBy("_at")
-    local = {c: F.last(c, ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)) for c in columns}
+    series = Window.partitionBy(*by, "_segment")
+    ahead, behind = (series.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("_at").asc(), F.col("_at").desc()))
+    local = {c: F.last(c, ignorenulls=True).over(ahead) for c in columns}
     if back:
-        local |= {f"_in_next{i}": F.first(c, ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing))
-                  for i, c in enumerate(columns)}
+        # A frame that reaches to the end of a segment would be walked anew for each row; the reverse order is walked once.
+        local |= {f"_in_next{i}": F.last(c, ignorenulls=True).over(behind) for i, c in enumerate(columns)}
     out = out.withColumns(local)
     for backward in (False, True) if back else (False,):
         nearest = F.min_by if backward else F.max_by
