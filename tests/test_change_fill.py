@@ -1,10 +1,15 @@
 from __future__ import annotations
 
 import math
+import random
+import time
 from datetime import date
 from statistics import median
 
+import numpy as np
 from conftest import as_dict, months
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tidegrid.operators import change, fill, grid
 from tidegrid.plans.supervised import supervised_panel
@@ -87,6 +92,35 @@ def test_chain_zeroes_missing_changes_before_infinities_become_medians(spark):
     assert [r["ret"] for r in out] == [first, 2.0, 4.0, median([first, 2.0, 4.0, 6.0]), 6.0]
 
 
+def test_expanding_median_equals_a_running_percentile(spark):
+    rng = random.Random(6)
+    choices = [None, None, 0.0, -0.0, 1.5, -2.25, 1e300, math.inf, -math.inf, 7.0, math.nan]
+    rows = [(s, m, rng.choice(choices) if rng.random() < 0.6 else rng.uniform(-9, 9), None if rng.random() < 0.5 else m, (1 << 62) + 1)
+            for s in ("a", "b", None) for m in range(60)] + [("gap", 0, None, None, None)]
+    df = spark.createDataFrame(rows, "series_id string, month int, value double, whole int, wide bigint").repartition(3)
+    so_far = Window.partitionBy("series_id").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.percentile(c, F.lit(0.5)).over(so_far)) for c in ("value", "whole")})
+    got = fill.fill_expanding_median(df, ["value", "whole"], by=BY)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_expanding_median_of_a_long_series_takes_n_log_n():
+    def seconds(n):
+        values = np.random.default_rng(1).normal(size=n)
+        start = time.process_time()
+        got = fill.running_medians(values, np.arange(n) % 3 > 0)
+        assert got[-1] == np.median(values[np.arange(n) % 3 > 0])
+        return time.process_time() - start
+
+    assert seconds(100_000) < 40 * max(seconds(10_000), 0.01)  # the square would be 100 times
+
+
+def test_expanding_median_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "series_id string, month int, value double")
+    assert fill.fill_expanding_median(df, ["value"], by=BY).collect() == []
+
+
 def test_chain_without_looking_ahead(spark):
     df = spark.createDataFrame([("a", 0, None), ("a", 1, 1.0), ("a", 2, 9.0)], "series_id string, month int, lvl double")
     out = fill.impute_chain(df, levels=["lvl"], by=BY, bfill=False).orderBy("month").collect()

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from heapq import heappush, heappushpop
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.functions.numeric import inf_to_null
 from tidegrid.operators.quantiles import edge_aggregates, quantiles_from_edges, read_edges
@@ -48,13 +53,53 @@ def fill_median(df: DataFrame, columns: Sequence[str], *, by: Sequence[str]) ->
     return counted.withColumns({c: F.coalesce(F.col(c), m) for c, m in medians.items()}).drop(*gaps.values())
 
 
+def _order_keys(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of doubles, NaN last; the same step leads back."""
+    bits = values.view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
+
+
+def running_medians(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Median of the known values up to each place, NaN before the first.
+
+    The lower half is kept in a heap with its largest on top, the upper half in one with its least on top, so a value costs
+    the logarithm of their number.
+    """
+    below: list[int] = []  # negated
+    above: list[int] = []
+    middle = np.zeros((len(values), 2), dtype=np.int64)
+    for i, (key, seen) in enumerate(zip(_order_keys(values).tolist(), known.tolist())):
+        if seen and len(below) == len(above):
+            heappush(below, -heappushpop(above, key))
+        elif seen:
+            heappush(above, -heappushpop(below, -key))
+        if below:
+            middle[i] = -below[0], -below[0] if len(below) > len(above) else above[0]
+    lo, hi = _order_keys(middle.reshape(-1)).view(np.float64).reshape(-1, 2).T
+    with np.errstate(invalid="ignore"):
+        return np.where(np.cumsum(known) == 0, np.nan, np.where(lo == hi, lo, 0.5 * lo + 0.5 * hi))
+
+
 def fill_expanding_median(df: DataFrame, columns: Sequence[str], *, by: Sequence[str], time: str = "month") -> DataFrame:
     """Fill with the median of the values known up to each row of the series: nothing later is looked at.
 
-    What precedes the first known value stays missing. The running median costs the square of a series' length, which is the
-    calendar's.
+    What precedes the first known value stays missing. A running ``percentile`` sorts all values so far for every row; here a
+    task goes through a series once, with two heaps for each column. Filled columns become doubles.
     """
-    return df.withColumns({c: F.coalesce(F.col(c), F.percentile(c, F.lit(0.5)).over(up_to_here(by, time))) for c in columns})
+    schema = T.StructType([T.StructField(f.name, T.DoubleType() if f.name in columns else f.dataType) for f in df.schema])
+
+    def fill(series: pa.Table) -> pa.Table:
+        series = series.take(pc.sort_indices(series, sort_keys=[(time, "ascending")], null_placement="at_start"))
+        for c in columns:
+            cells = series[c].combine_chunks()
+            known = cells.is_valid().to_numpy(zero_copy_only=False)
+            medians = running_medians(cells.fill_null(0.0).to_numpy(zero_copy_only=False), known)
+            filled = pc.if_else(pa.array(known), cells, pa.array(medians, mask=np.cumsum(known) == 0))
+            series = series.set_column(series.schema.get_field_index(c), c, filled)
+        return series
+
+    rows = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    return rows.groupBy(*by).applyInArrow(fill, schema)
 
 
 def fill_values(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
