@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import struct
 from collections import Counter
+from pathlib import Path
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidegrid.llm import fingerprints
+from tidegrid.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def jaccard(a, b):
@@ -27,6 +34,51 @@ def edit(text, following):
     return text[:len(text) - cut] + following[:cut]
 
 
+def plain_signature(text, samples):
+    """Per sample the least of c / (y e^r) over the weighted words, in logarithms; seeds are Spark's hashes."""
+
+    def draws(word, k):
+        for part in (3 * k, 3 * k + 1, 3 * k + 2):
+            bits = xxhash.xxh64_intdigest(struct.pack("<i", part), xxhash.xxh64_intdigest(word, 42))
+            yield from ((half + 0.5) / 2**32 for half in (bits >> 32, bits & 0xFFFFFFFF))
+
+    def value(word, weight, k):
+        u1, u2, u3, u4, b, _ = draws(word, k)
+        r, c = -math.log(u1 * u2), -math.log(u3 * u4)
+        t = math.floor(math.log(weight) / r + b)
+        return math.log(c) - r * (t - b) - r
+
+    weights = Counter(xxhash.xxh64_digest(w.encode(), 42)[::-1] for w in words(text))
+    return [min((value(w, n, k) for w, n in weights.items()), default=None) for k in range(samples)]
+
+
+def test_signatures_equal_a_plain_sampler(spark):
+    texts = ["", None, "a", "b a b\x0bc\tb", "é\xa0é é\xa0é " * 50, "x " * 3000 + "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    for r in fingerprints.signatures(df, ["k"]).collect():
+        want = plain_signature(texts[r.k] or "", fingerprints.SAMPLES)
+        assert want == [None] * fingerprints.SAMPLES and r.signature == want or r.signature == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="benchmark tables are not here")
+def test_registered_query_equals_a_plain_sampler(spark):
+    """Every likeness of the query over its whole table, by samplers in plain Python."""
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
+    found = {r.doc_id: r for r in QUERIES["op10_fingerprints"](spark, SMALL).collect()}
+    n = fingerprints.SAMPLES
+    plain = [plain_signature(text, n) for _, text in docs]
+
+    def alike(a, b):
+        return sum(x == y for x, y in zip(a, b)) / n
+
+    assert len(docs) == len(found)
+    for i, (doc_id, text) in enumerate(docs):
+        j = (i + 1) % len(docs)
+        edited = plain_signature(edit(text, docs[j][1]), n)
+        got = found[doc_id]
+        assert (got.near_edited, got.near_next) == (alike(plain[i], edited), alike(plain[i], plain[j]))
+
+
 def test_terms(spark):
     texts = ["", " \n", "a", "b a b\x0bc\tb", "é\xa0é é\xa0é"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
