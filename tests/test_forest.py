@@ -70,6 +70,18 @@ def test_partitions_follow_the_rows():
     assert [params.partitions(n) for n in (0, 10, 300, 301, 10_000)] == [3, 3, 3, 4, 100]
 
 
+def test_large_frames_ship_the_sums_of_few_partitions():
+    params = forest.ForestParams()
+    assert [params.partitions(n) for n in (0, 400, 75_000, 75_001, 950_000, 3_000_001, 5_700_000)] == [1, 1, 1, 2, 12, 13, 23]
+
+
+def test_rows_are_dealt_in_the_order_of_the_features(frame):
+    read = forest.ForestParams(least_partitions=3).dealt(frame, ["i"], FEATURES)
+    parts = read.rdd.glom().map(lambda rows: [(r["x"], r["noise"], r["flat"], r["i"]) for r in rows]).collect()
+    assert len(parts) == 3 and all(p == sorted(p) for p in parts)
+    assert sorted(r[-1] for p in parts for r in p) == list(range(120))
+
+
 def test_scoring_folds_moves_nothing_but_sums(frame, bundle):
     scores = forest.fold_scores(forest.out_of_fold(frame, bundle.scaler, ["up"], "fold", 5, PARAMS, keys=["i"]), "fold")
     plan = scores._jdf.queryExecution().executedPlan().toString()

@@ -33,22 +33,27 @@ class ForestParams:
 
     MLlib draws the bootstrap partition by partition, so the number of partitions a fit sees is part of the model. It follows
     from the rows alone, one for each ``partition_rows`` and ``least_partitions`` at least: the same seed and rows give the
-    same forest on any cluster, and a fit has as many tasks as its rows need."""
+    same forest on any cluster, and a fit has as many tasks as its rows need. Every partition ships the sums of all nodes, so
+    large frames have few for their rows; up to ``spread`` of them, one for each ``spread_rows``, keep smaller fits parallel."""
 
     trees: int = 100
     depth: int = 10
     min_leaf: int = 2
     max_bins: int = 64
     seed: int = 42
-    partition_rows: int = 100_000
+    partition_rows: int = 250_000
     least_partitions: int = 1
+    spread: int = 12
+    spread_rows: int = 75_000
 
     def partitions(self, rows: int) -> int:
-        return max(self.least_partitions, -(-rows // self.partition_rows))
+        return max(self.least_partitions, -(-rows // self.partition_rows), min(self.spread, -(-rows // self.spread_rows)))
 
-    def dealt(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """``df`` in the fixed partitions and order that fits read; ``keys`` tell its rows apart."""
-        return df.repartition(self.partitions(df.count()), *keys).sortWithinPartitions(*keys)
+    def dealt(self, df: DataFrame, keys: Sequence[str], features: Sequence[str] = ()) -> DataFrame:
+        """``df`` in the fixed partitions and order that fits read; ``keys`` tell its rows apart. In the order of ``features``,
+        neighbours reach the same nodes and bins, whose sums are then at hand."""
+        order = [*features, *(k for k in keys if k not in features)]
+        return df.repartition(self.partitions(df.count()), *keys).sortWithinPartitions(*order)
 
     def regressor(self, label: str) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -117,7 +122,8 @@ def fit_forests(
 ) -> ForestBundle:
     """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint) whose rows ``keys`` tell apart: it
     is dealt once as the parameters say. The dealt rows are held until the scaled ones are, and those for the fits."""
-    dealt = params.dealt(df.select(*keys, *[c for c in (*features, *targets) if c not in keys]), keys).persist()
+    dealt = params.dealt(df.select(*keys, *[c for c in (*features, *targets) if c not in keys]), keys,
+                         features).persist()
     try:
         scaler = fit_scaler(dealt, features)
         frame = scaled(dealt, scaler).select(SCALED, *targets).persist()
@@ -169,7 +175,7 @@ def out_of_fold(
     precedes. Rows are dealt and scaled once: held for the fits, and written by fold for the predictions, so that each
     model reads its own fold and nothing is dealt again.
     """
-    frame = scaled(params.dealt(df, keys), scaler).select(SCALED, fold, *targets).persist()
+    frame = scaled(params.dealt(df, keys, scaler.stages[0].getInputCols()), scaler).select(SCALED, fold, *targets).persist()
     pairs = [(t, i) for t in targets for i in range(int(expanding), k)]
     try:
         whole = stored(frame, by=[fold])
