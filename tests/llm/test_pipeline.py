@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_jaccard import plain_set
 from test_quality import brute_kept
 
@@ -153,3 +154,25 @@ def test_empty_table(spark):
     for _, stage in pipeline.STAGES:
         docs = pipeline.stored(stage(spark, docs, ""))
         assert docs.count() == 0
+
+
+def test_stages_send_small_batches_to_the_workers(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for rows in batches:
+            yield rows[["doc_id"]].head(1).assign(chars=rows["text"].str.len().sum())
+
+    try:
+        spark.conf.unset(setting)
+        packed = pipeline.packing_stage(spark, docs, "")
+        seen = [r["chars"] for r in docs.mapInPandas(sizes, "doc_id long, chars long").collect()]
+        assert sum(seen) == 15_000_000 and max(seen) < 2 * pipeline.BATCH_BYTES
+        whole = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("of"))
+        assert whole.count() == 3000 and whole.where("n != of").isEmpty()
+        for _, stage in pipeline.STAGES:
+            assert hasattr(stage, "__wrapped__")
+    finally:
+        spark.conf.set(setting, before)
