@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
@@ -18,12 +21,18 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.operators import cells
 from tidegrid.operators.ensemble import ensemble_band
 from tidegrid.operators.grid import stack_long
 from tidegrid.operators.profile import r2_score
-from tidegrid.session import stored
+from tidegrid.session import discard, scratch_path, stored
 
 RAW, SCALED = "_raw_features", "_features"
+#: A key that shared features hang on has this many values at most; bins of other features are cut from a sample of about
+#: ``SAMPLE`` rows, LEAST_SAMPLE at least (MLlib takes 10,000).
+KEYS_AT_MOST, SAMPLE, LEAST_SAMPLE = 4096, 100_000, 10_000
+#: Rows that a task predicts at a time.
+PREDICTED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -45,6 +54,12 @@ class ForestParams:
     least_partitions: int = 1
     spread: int = 12
     spread_rows: int = 75_000
+    entry_rows: int = 2_000_000
+
+    def entry_partitions(self, entries: int) -> int:
+        """Partitions of the entries of cells: large, as each ships the sums of all nodes, and a task goes through 2 million
+        entries in well under a second for a tree."""
+        return max(1, -(-entries // self.entry_rows), min(self.spread, -(-entries // self.spread_rows)))
 
     def partitions(self, rows: int) -> int:
         return max(self.least_partitions, -(-rows // self.partition_rows), min(self.spread, -(-rows // self.spread_rows)))
@@ -68,8 +83,11 @@ def fit_scaler(df: DataFrame, features: Sequence[str]) -> PipelineModel:
 
     MLlib scales with the sample deviation, so the vectors are stretched by sqrt(n / (n - 1)).
     """
+    return _scaler(df, features, df.count())
+
+
+def _scaler(df: DataFrame, features: Sequence[str], n: int) -> PipelineModel:
     assembled = VectorAssembler(inputCols=list(features), outputCol=RAW, handleInvalid="error")
-    n = df.count()
     stretch = math.sqrt(n / (n - 1)) if n > 1 else 0.0
     return Pipeline(stages=[
         assembled,
@@ -85,12 +103,14 @@ def scaled(df: DataFrame, scaler: PipelineModel) -> DataFrame:
 
 @dataclass(frozen=True)
 class ForestBundle:
-    """One scaler and one forest per target, fitted on the same features."""
+    """One scaler and one forest per target, fitted on the same features. ``shared`` names a key and the features that it
+    decides, as in :func:`fit_forests`."""
 
     features: tuple[str, ...]
     scaler: PipelineModel
     models: Mapping[str, RandomForestRegressionModel]
     params: ForestParams = field(default_factory=ForestParams)
+    shared: tuple[str, tuple[str, ...]] | None = None
 
     def save(self, path: str) -> None:
         self.scaler.write().overwrite().save(f"{path}/scaler")
@@ -118,10 +138,16 @@ def _fit_all(tasks: Sequence[tuple[str, DataFrame]], params: ForestParams, paral
 
 def fit_forests(
     df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams = ForestParams(),
-    parallelism: int = 8, *, keys: Sequence[str],
+    parallelism: int = 8, *, keys: Sequence[str], shared: tuple[str, Sequence[str]] | None = None,
 ) -> ForestBundle:
     """Fit one forest per target. ``df`` must be a stable frame (a table or a checkpoint) whose rows ``keys`` tell apart: it
-    is dealt once as the parameters say. The dealt rows are held until the scaled ones are, and those for the fits."""
+    is dealt once as the parameters say. The dealt rows are held until the scaled ones are, and those for the fits.
+
+    ``shared`` is for frames of very many rows: a key column and the features that are functions of it, such as those of the
+    calendar. The forests are then fitted on cells (see :mod:`tidegrid.operators.cells`), and rows that agree in the bins of all features
+    are predicted once in a task. A key of more than ``KEYS_AT_MOST`` values is not used."""
+    if shared and (table := _by_key(df, shared, [f for f in features if f not in shared[1]])) is not None:
+        return _fit_cells(df, features, targets, params, keys, (shared[0], tuple(shared[1])), table)
     dealt = params.dealt(df.select(*keys, *[c for c in (*features, *targets) if c not in keys]), keys,
                          features).persist()
     try:
@@ -137,7 +163,213 @@ def fit_forests(
     return ForestBundle(tuple(features), scaler, dict(zip(targets, models)), params)
 
 
+def _by_key(df: DataFrame, shared: tuple[str, Sequence[str]], own: Sequence[str] = ()) -> pd.DataFrame | None:
+    """Of every value of the key, by its hash (``_key``, ascending): rows, the shared features, and count, mean and variance of
+    the ``own`` ones; nothing if there are too many."""
+    key, columns = shared
+    same = F.xxhash64(*[F.col(c).cast("double") for c in columns])
+    found = df.groupBy(F.xxhash64(key).alias("_key")).agg(
+        F.count("*").alias("_rows"), F.min(same).alias("_least"), F.max(same).alias("_most"),
+        *[F.first(F.col(c).cast("double")).alias(f"_s{i}") for i, c in enumerate(columns)],
+        *[f(F.col(c).cast("double")).alias(f"_{name}{i}") for i, c in enumerate(own)
+          for name, f in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))]).limit(KEYS_AT_MOST + 1).collect()
+    if not 0 < len(found) <= KEYS_AT_MOST:
+        return None
+    if any(r["_least"] != r["_most"] for r in found):
+        raise ValueError(f"{', '.join(columns)}: not functions of {key}")
+    table = pd.DataFrame([r.asDict() for r in found]).sort_values("_key", ignore_index=True)
+    if (bad := [c for i, c in enumerate(columns) if not np.isfinite(table[f"_s{i}"].astype(float)).all()]) or (
+            bad := [c for i, c in enumerate(own) if (table[f"_n{i}"] < table["_rows"]).any() or not np.isfinite(table[f"_mean{i}"]).all()]):
+        raise ValueError(f"missing or infinite values in {', '.join(bad)}")
+    return table
+
+
+def _scaler_of(spark, table: pd.DataFrame, features: Sequence[str], shared: Sequence[str]) -> PipelineModel:
+    """What :func:`fit_scaler` gives, from the moments by key: fitted on two rows of the same mean and deviation."""
+    rows, n = table["_rows"].to_numpy(dtype=float), int(table["_rows"].sum())
+    ends, own = [], [f for f in features if f not in shared]
+    for f in features:
+        of, inside = (f"_s{shared.index(f)}", 0.0) if f in shared else (f"_mean{own.index(f)}", table[f"_var{own.index(f)}"])
+        means = table[of].to_numpy(dtype=float)
+        mean = means[0] if np.ptp(means) == 0 else float(rows @ means / n)
+        squares = float(np.sum(rows * (inside + (means - mean) ** 2)))
+        off = math.sqrt(squares / max(n - 1, 1) / 2)
+        ends.append((mean - off, mean + off))
+    two = spark.createDataFrame([tuple(map(float, r)) for r in zip(*ends)], ", ".join(f"`{f}` double" for f in features))
+    return _scaler(two, features, n)
+
+
+def _rescaled(scaler: PipelineModel):
+    """What :func:`scaled` makes of values of one feature, by its place."""
+    mean, std = scaler.stages[1].mean.toArray(), scaler.stages[1].std.toArray()
+    stretch = scaler.stages[2].getScalingVec().toArray()
+    scale = np.divide(1.0, std, out=np.zeros_like(std), where=std != 0)
+    return lambda f, x: (x - mean[f]) * scale[f] * stretch[f]
+
+
+def _shared_values(table: pd.DataFrame, features: Sequence[str], shared: Sequence[str], rescale) -> np.ndarray:
+    return np.stack([rescale(features.index(c), table[f"_s{i}"].to_numpy(dtype=float)) for i, c in enumerate(shared)], axis=1)
+
+
+def _sample(df: DataFrame, own: Sequence[str], by: Sequence[str], rows: int) -> pd.DataFrame:
+    """Values of the ``own`` features and how often they occur, in rows chosen by a hash of ``by``: the same on any layout."""
+    share = max(1, rows // SAMPLE)
+    while True:
+        chosen = df.where(F.pmod(F.xxhash64(*by), F.lit(share)) == 0) if share > 1 else df
+        found = chosen.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(own)]).groupBy(
+            *[f"_x{i}" for i in range(len(own))]).agg(F.count("*").alias("_rows")).collect()
+        if share == 1 or sum(r["_rows"] for r in found) >= LEAST_SAMPLE:
+            return pd.DataFrame([tuple(r) for r in found], columns=[*own, "_rows"])
+        share = max(1, share // 10)
+
+
+def _cuts(values: np.ndarray, rows: np.ndarray, bins: int) -> np.ndarray:
+    distinct, at = np.unique(values, return_inverse=True)
+    return cells.cut_points(distinct, np.bincount(at, rows), bins)
+
+
+def _fit_cells(df: DataFrame, features: Sequence[str], targets: Sequence[str], params: ForestParams, keys: Sequence[str],
+               shared: tuple[str, tuple[str, ...]], table: pd.DataFrame) -> ForestBundle:
+    spark, features = df.sparkSession, list(features)
+    key, columns = shared
+    own = [f for f in features if f not in columns]
+    of_labels = df.agg(*[f(F.col(t).cast("double")) for f in (F.count, F.avg) for t in targets]).first()
+    known, means = of_labels[:len(targets)], of_labels[len(targets):]
+    rows = int(table["_rows"].sum())
+    if bad := [t for t, n, mean in zip(targets, known, means) if n < rows or math.isnan(mean)]:
+        raise ValueError(f"missing labels in {', '.join(bad)}")
+    # Labels are counted from near their mean, so that sums of squares lose little in rounding; three digits are the same on any layout.
+    shifts = [float(f"{mean:.3g}") if math.isfinite(mean) else 0.0 for mean in means]
+    scaler = _scaler_of(spark, table, features, columns)
+    rescale = _rescaled(scaler)
+    values = _shared_values(table, features, columns, rescale)
+    sample = _sample(df, own, list(dict.fromkeys([*keys, *own, *targets])), rows) if own else None
+    cuts = [_cuts(values[:, columns.index(f)], table["_rows"], params.max_bins) if f in columns else
+            _cuts(rescale(i, sample[f].to_numpy()), sample["_rows"], params.max_bins) for i, f in enumerate(features)]
+    plan = cells.layout(len(features), [features.index(c) for c in columns], values, cuts)
+    names = [f"_y{i}" for i in range(len(targets))]
+    labelled = df.select(key, *own, *[F.col(t).alias(n) for t, n in zip(targets, names)])
+    entries = stored(cells.entry_rows(labelled, F.xxhash64(key), table["_key"].to_numpy(), own, names, plan, rescale))
+    count = entries.count()
+    held = cells.dealt(entries, [f"_cell{i}" for i in range(len(plan.words))], names, params.entry_partitions(count), count).persist()
+    try:
+        growth = cells.Growth(params.trees, params.depth, params.min_leaf, params.seed)
+        grown = {t: growth.grow(held, plan, n, shift) for t, n, shift in zip(targets, names, shifts)}
+    finally:
+        held.unpersist()
+    discard(entries)
+    models = {t: _as_model(spark, params, t, len(features), cuts, trees) for t, trees in grown.items()}
+    return ForestBundle(tuple(features), scaler, models, params, shared)
+
+
+def _as_model(spark, params: ForestParams, target: str, features: int, cuts: Sequence[np.ndarray],
+              trees: Sequence[tuple[cells.Tree, np.ndarray]]) -> RandomForestRegressionModel:
+    """The trees as a forest of MLlib: a forest of roots, saved, gets their nodes and is loaded."""
+    roots = spark.createDataFrame([(Vectors.dense([0.0] * features), 0.0)] * 2, [SCALED, target])
+    path = scratch_path(spark, "forest")
+    params.regressor(target).fit(roots).write().save(path)
+    columns: dict[str, list] = {c: [] for c in ("tree", "id", "value", "impurity", "stats", "rows", "gain", "left", "right", "feature", "at")}
+    for i, (tree, sums) in enumerate(trees):
+        weight, total, square = sums
+        mean = np.divide(total, weight, out=np.zeros_like(total), where=weight > 0)
+        spread = np.maximum(np.divide(square, weight, out=np.zeros_like(total), where=weight > 0) - mean * mean, 0.0)
+        nodes = len(tree.feature)
+        for name, found in (("tree", [i] * nodes), ("id", range(nodes)), ("value", mean.tolist()), ("impurity", spread.tolist()),
+                            ("stats", sums.T.tolist()), ("rows", weight.astype(np.int64).tolist()), ("gain", tree.gain),
+                            ("left", tree.left), ("right", tree.right), ("feature", tree.feature),
+                            ("at", [[float(cuts[f][c])] if f >= 0 else [] for f, c in zip(tree.feature, tree.cut)])):
+            columns[name] += found
+    kinds = {"value": "double", "impurity": "double", "gain": "double", "stats": "array<double>", "at": "array<double>", "rows": "long"}
+    nodes = spark.createDataFrame(pa.table({k: pa.array(v, {"double": pa.float64(), "array<double>": pa.list_(pa.float64()),
+                                                            "long": pa.int64()}.get(kinds.get(k), pa.int32())) for k, v in columns.items()}))
+    split = F.struct(F.col("feature").alias("featureIndex"), F.col("at").alias("leftCategoriesOrThreshold"), F.lit(-1).alias("numCategories"))
+    nodes.select(F.col("tree").alias("treeID"), F.struct(
+        "id", F.col("value").alias("prediction"), "impurity", F.col("stats").alias("impurityStats"), F.col("rows").alias("rawCount"),
+        "gain", F.col("left").alias("leftChild"), F.col("right").alias("rightChild"), split.alias("split")).alias("nodeData"),
+    ).write.mode("overwrite").parquet(f"{path}/data")
+    return RandomForestRegressionModel.load(path)
+
+
+def _trees_of(model: RandomForestRegressionModel, features: int) -> tuple[list[np.ndarray], list[tuple[cells.Tree, np.ndarray, int]]]:
+    """The thresholds of each feature, and each tree with the predictions of its nodes and its depth."""
+    step = re.compile(r"If \(feature (\d+) <= (\S+)\)|(Else)|Predict: (\S+)")
+    read = []
+    for text in re.split(r"^  Tree \d+ .*$", model.toDebugString, flags=re.MULTILINE)[1:]:
+        tree, at, value, depth = cells.Tree(), [0.0], [0.0], 0
+        path: list[int] = []  # splits whose right side is to come
+        node = 0
+        for feature, threshold, other, predicted in step.findall(text):
+            if feature:
+                path.append(node)
+                node, _ = tree.split(node, int(feature), 0, 0.0)
+                at[path[-1]] = float(threshold)
+                at += [0.0, 0.0]
+                value += [0.0, 0.0]
+            elif other:
+                node = tree.right[path.pop()]
+            else:
+                value[node] = float(predicted)
+        read.append((tree, np.asarray(at), np.asarray(value)))
+    cuts = [np.unique(np.concatenate([at[np.asarray(t.feature) == f] for t, at, _ in read])) for f in range(features)]
+    out = []
+    for tree, at, value in read:
+        depth = [0] * len(value)
+        for node, f in enumerate(tree.feature):
+            if f >= 0:
+                tree.cut[node] = int(np.searchsorted(cuts[f], at[node]))
+                depth[tree.left[node]] = depth[tree.right[node]] = depth[node] + 1
+        out.append((tree, value, max(depth)))
+    return cuts, out
+
+
+def _predict_cells(df: DataFrame, bundle: ForestBundle, target: str, out: str, table: pd.DataFrame) -> DataFrame:
+    """What the model predicts: in a task, rows in the same bins of its thresholds are led through the trees once."""
+    key, columns = bundle.shared
+    features = list(bundle.features)
+    own = [f for f in features if f not in columns]
+    rescale, (cuts, trees) = _rescaled(bundle.scaler), _trees_of(bundle.models[target], len(features))
+    plan = cells.layout(len(features), [features.index(c) for c in columns], _shared_values(table, features, columns, rescale), cuts)
+    known = table["_key"].to_numpy()
+
+    def answer(parts: list[tuple[pd.Series, ...]]) -> pd.Series:
+        hashes, *found = (np.concatenate([s.to_numpy() for s in of]) for of in zip(*parts))
+        if any(np.isnan(x).any() for x in found):
+            raise ValueError(f"missing values in {', '.join(own)}")
+        codes = [np.searchsorted(known, hashes)]
+        codes += [np.searchsorted(cuts[features.index(f)], rescale(features.index(f), x)) for f, x in zip(own, found)]
+        cell = None
+        for word in plan.packed(codes):
+            here = pd.factorize(word)[0]
+            cell = here if cell is None else pd.factorize(cell * (here.max() + 1) + here)[0]
+        first = np.zeros(cell.max() + 1, dtype=np.int64)
+        first[cell[::-1]] = np.arange(len(cell))[::-1]
+        planes, of_feature = np.concatenate([c[first] for c in codes]), plan.bins()
+        total = np.zeros(len(first))
+        for tree, value, depth in trees:
+            router = cells.Router(tree, *of_feature, len(first))
+            for lo in range(0, len(first), cells.CHUNK):
+                hi = min(lo + cells.CHUNK, len(first))
+                total[lo:hi] += value.take(router.place(planes, lo, hi, depth))
+        return pd.Series((total / len(trees))[cell])
+
+    @F.pandas_udf("double")
+    def predicted(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch[0])
+            if rows >= PREDICTED:
+                yield answer(held)
+                held, rows = [], 0
+        if rows:
+            yield answer(held)
+
+    return df.withColumn(out, predicted(F.xxhash64(key), *[F.col(f).cast("double") for f in own]))
+
+
 def predict(df: DataFrame, bundle: ForestBundle, target: str, out: str = "prediction") -> DataFrame:
+    if bundle.shared and (table := _by_key(df, bundle.shared)) is not None:
+        return _predict_cells(df, bundle, target, out, table)
     return bundle.models[target].setPredictionCol(out).transform(scaled(df, bundle.scaler)).drop(SCALED)
 
 

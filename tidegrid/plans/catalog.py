@@ -333,12 +333,13 @@ def training_frame(spark, sf):
 
 def _own_features(spark, sf):
     """Complete features of the customer panel: a customer without any return takes the median of
-    all customers. The customers' own columns are cut from their lineage, as the medians read them again: three of them."""
+    all customers. The customers' own columns are cut from their lineage, as the medians read them again: three of them. So is
+    the calendar, which is known to be small then and joins the rows where they are."""
     prices = wide_panel(spark, sf).toDF("o_custkey", "period", "value")
     own = stored(features.panel_lags(supervised.own_panel(prices, series="o_custkey"), by=CUSTOMER))
     # The calendar needs the extent of the prices only, which the raw dates have without the panel.
     months = table(spark, sf, "orders").select(F.trunc("o_orderdate", "MM").alias("period"))
-    calendar = supervised.shared_calendar(months, long_indicators(spark, sf), indicators=INDICATORS)
+    calendar = stored(supervised.shared_calendar(months, long_indicators(spark, sf), indicators=INDICATORS))
     matrix = features.panel_join(own, calendar, indicators=INDICATOR_NAMES, by=CUSTOMER, keep=[target_column("Own")])
     overall = column_medians_of(own, lag_columns("Own"))
     return fill.fill_values(matrix, overall)
@@ -649,10 +650,11 @@ def model_metrics(spark, sf):
 @_query
 def forest_panel(spark, sf):
     """One forest over all customers: the fit grows with the panel."""
-    frame = stored(_own_features(spark, sf))
+    frame = _own_features(spark, sf)
     labelled = frame.dropna(subset=[TARGET])
-    bundle = forest.fit_forests(labelled, features.feature_columns(["Own"], INDICATOR_NAMES), [TARGET],
-                                keys=[*CUSTOMER, "period"])
+    cols = features.feature_columns(["Own"], INDICATOR_NAMES)
+    by_month = [c for c in cols if c not in lag_columns("Own")]
+    bundle = forest.fit_forests(labelled, cols, [TARGET], keys=[*CUSTOMER, "period"], shared=("period", by_month))
     return _within_labels(forest.predict(frame, bundle, TARGET), labelled).select("o_custkey", "period", "within_labels")
 
 
