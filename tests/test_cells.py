@@ -140,15 +140,23 @@ def test_trees_are_those_of_a_search_over_all_splits(spark, monkeypatch):
             places += [(tree.left[node], here & ~right, level + 1), (tree.right[node], here & right, level + 1)]
 
 
-def test_bootstrap_draws_are_poisson():
-    bits = np.arange(65536)
-    rng = np.random.default_rng(0)
-    times = cells.DRAWS.take(np.repeat(bits, 16))
-    unsure = np.flatnonzero(times < 0)
-    assert 0 < len(unsure) < 16 * 20
-    times[unsure] = np.searchsorted(cells.POISSON, (np.repeat(bits, 16)[unsure] + rng.random(len(unsure))) / 65536, side="right")
-    share = np.bincount(times.astype(int), minlength=8)[:8] / len(times)
-    np.testing.assert_allclose(share[:6], np.exp(-1) / np.array([1, 1, 2, 6, 24, 120]), atol=2e-5)
+@pytest.mark.parametrize("rows", [1, 2, 16, 17, 400])
+def test_bootstrap_draws_are_poisson(rows):
+    n, made = 400_000, np.random.Generator(np.random.SFC64(rows))
+    times = cells.Bootstrap(np.full(n, rows)).drawn(made)
+    top = rows + int(3 * np.sqrt(rows)) + 1
+    shares = np.exp(np.cumsum(np.log(rows / np.arange(1.0, top))) - rows)
+    np.testing.assert_allclose(np.bincount(times.astype(int), minlength=top)[1:top] / n, shares, atol=5 * np.sqrt(shares.max() / n))
+    assert times.mean() == pytest.approx(rows, abs=5 * np.sqrt(rows / n)) and times.var() == pytest.approx(rows, rel=0.02)
+
+
+def test_bits_that_do_not_decide_a_draw_are_refined():
+    for mean, (shares, draws) in enumerate(zip(cells.SHARES, cells.DRAWS), 1):
+        undecided = draws == cells.OPEN
+        assert 0 < undecided.sum() < 128 and shares[-1] == pytest.approx(1)
+        sure = np.bincount(draws[~undecided], minlength=128)[:128] / 65536
+        exact = np.diff(shares, prepend=0.0)
+        assert (sure <= exact + 1e-12).all() and (exact - sure).sum() == pytest.approx(undecided.sum() / 65536)
 
 
 def test_bins_set_frequent_values_apart():

@@ -134,3 +134,16 @@ def test_panel_indicators_are_carried_from_before_a_series_starts(spark):
                                       "series_id string, period date, value double")
     panel = supervised_panel(prices, quarterly, indicators={"g": "GDP"}).orderBy("period")
     assert [r["GDP"] for r in panel.collect()] == [101.0, 101.0, 104.0, 104.0]
+
+
+def test_known_values_before_are_carried_offsets_in_one_window(spark):
+    rng = random.Random(8)
+    rows = [(s, i, None if i == 0 or rng.random() < 0.5 else rng.random()) for s in range(9) for i in range(rng.randrange(1, 12))]
+    df = spark.createDataFrame(rows, "s int, month int, v double")
+    offsets = {"lag1": 1, "lag2": 2, "lag3": 3, "next1": -1, "same": 0}
+    moved = change.add_lead(change.add_lags(df, "v", ["lag1", "lag2", "lag3"], by=["s"]), "v", "next1", by=["s"])
+    want = fill.ffill(moved.withColumn("same", F.col("v")), list(offsets), by=["s"])
+    got = df.withColumns({c: change.known_before("v", k, ["s"], "month") for c, k in offsets.items()})
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    plan = change.period_return(df, "v", by=["s"], time="month")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1

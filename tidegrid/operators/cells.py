@@ -24,10 +24,40 @@ from pyspark.sql import functions as F
 
 #: Cells that are placed in a tree at a time, and nodes whose sums are one record.
 CHUNK, BLOCK = 1 << 17, 64
-#: The share of Poisson(1) draws up to 0, 1, 2, ..., and the draw for 16 random bits: -1 where these leave it open.
-POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
-_FIRST, _LAST = (np.searchsorted(POISSON, (np.arange(65536) + i) / 65536, side="right") for i in (0, 1))
-DRAWS = np.where(_FIRST == _LAST, _FIRST, -1).astype(np.float64)
+#: Sums of up to so many Poisson(1) draws come from a table by 16 random bits, which is open where these do not decide.
+SMALL, OPEN = 16, 255
+
+
+def _poisson_tables() -> tuple[np.ndarray, np.ndarray]:
+    """For each mean from 1 to ``SMALL``, the shares of draws up to 0, 1, 2, ..., and the draws by 16 bits."""
+    mean, k = np.arange(1.0, SMALL + 1)[:, None], np.arange(1.0, 128)
+    shares = np.cumsum(np.concatenate([np.exp(-mean), np.exp(-mean) * np.cumprod(mean / k, axis=1)], axis=1), axis=1)
+    ends = np.arange(65537) / 65536
+    at = np.stack([np.searchsorted(row, ends, side="right") for row in shares])
+    return shares, np.where(at[:, :-1] == at[:, 1:], at[:, :-1], OPEN).astype(np.uint8)
+
+
+SHARES, DRAWS = _poisson_tables()
+
+
+class Bootstrap:
+    """How often entries of ``counts`` rows are drawn: the sum of a Poisson(1) draw for each row."""
+
+    def __init__(self, counts: np.ndarray):
+        self.large, self.small = np.flatnonzero(counts > SMALL), np.minimum(counts, SMALL) - 1
+        self.start, self.counts = self.small << 16, counts[self.large]
+
+    def drawn(self, made: np.random.Generator) -> np.ndarray:
+        bits = made.bit_generator.random_raw(len(self.start) // 4 + 1).view(np.uint16)[:len(self.start)]
+        times = DRAWS.reshape(-1).take(self.start + bits)
+        unsure = np.flatnonzero(times == OPEN)
+        exact = (bits[unsure] + made.random(len(unsure))) / 65536
+        for mean in np.unique(self.small[unsure]):
+            here = self.small[unsure] == mean
+            times[unsure[here]] = np.searchsorted(SHARES[mean], exact[here], side="right")
+        out = times.astype(np.float64)
+        out[self.large] = made.poisson(self.counts)
+        return out
 
 
 @dataclass(frozen=True)
@@ -175,19 +205,10 @@ class Entries:
         self.cells = len(self.starts)
         self.codes = np.concatenate([c.astype(np.int64) for c in plan.codes([w[self.starts] for w in words])])
         self.label = read[label].to_numpy() - shift
-        count = read["_rows"].to_numpy()
-        self.many = np.flatnonzero(count > 1)
-        self.count = count[self.many]
+        self.bootstrap = Bootstrap(read["_rows"].to_numpy())
 
     def drawn(self, seed: int, tree: int) -> np.ndarray:
-        """How often each entry is in the bootstrap of a tree: the sum of a Poisson draw for each of its rows."""
-        made = np.random.Generator(np.random.SFC64([seed % (1 << 64), tree, self.part]))
-        bits = made.bit_generator.random_raw(self.rows // 4 + 1).view(np.uint16)[:self.rows]
-        times = DRAWS.take(bits)
-        unsure = np.flatnonzero(times < 0)
-        times[unsure] = np.searchsorted(POISSON, (bits[unsure] + made.random(len(unsure))) / 65536, side="right")
-        times[self.many] = made.poisson(self.count)
-        return times
+        return self.bootstrap.drawn(np.random.Generator(np.random.SFC64([seed % (1 << 64), tree, self.part])))
 
     def by_cell(self, each: np.ndarray) -> np.ndarray:
         return np.add.reduceat(each, self.starts)
@@ -196,13 +217,18 @@ class Entries:
         return ((lo, min(lo + CHUNK, self.cells)) for lo in range(0, self.cells, CHUNK))
 
 
-SUMS = "tree int, block int, part int, sums binary"
+SUMS = "tree int, block int, part int, size int, at binary, sums binary"
 
 
 def _record(tree: int, block: int, part: int, sums: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"tree": pa.array([tree], pa.int32()), "block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()),
-         "sums": pa.array([sums.tobytes()], pa.binary())})
+    """Sums of a tree and block as one row; of mostly zeros (little data for the nodes), the others and their places."""
+    flat, at = sums.reshape(len(sums), -1), np.empty(0, dtype=np.int32)
+    some = np.flatnonzero(flat[0])
+    if 2 * len(some) < flat.shape[1]:
+        flat, at = flat[:, some], some.astype(np.int32)
+    return pa.RecordBatch.from_pydict({
+        **{k: pa.array([v], pa.int32()) for k, v in (("tree", tree), ("block", block), ("part", part), ("size", sums.size))},
+        "at": pa.array([at.tobytes()], pa.binary()), "sums": pa.array([flat.tobytes()], pa.binary())})
 
 
 def _level_sums(trees: Sequence[Tree], level: int, plan: Layout, label: str, shift: float, seed: int):
@@ -235,14 +261,19 @@ def _level_sums(trees: Sequence[Tree], level: int, plan: Layout, label: str, shi
     return sums
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Sums of each tree and block over the partitions, in their order, from records that are sorted by all three."""
-    records = chain.from_iterable(zip(b["tree"].to_pylist(), b["block"].to_pylist(), b["sums"]) for b in batches)
-    for (tree, block), found in groupby(records, key=lambda r: r[:2]):
-        total = None
-        for _, _, sums in found:
-            here = np.frombuffer(sums.as_buffer(), dtype=np.float64)
-            total = here.copy() if total is None else np.add(total, here, out=total)
+def _summed(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Sums of each tree and block over the partitions, in their order, from records that are sorted by all three; a row for
+    each of ``kinds`` sums."""
+    columns = ("tree", "block", "size")
+    records = chain.from_iterable(zip(*[b[c].to_pylist() for c in columns], b["at"], b["sums"]) for b in batches)
+    for (tree, block, size), found in groupby(records, key=lambda r: r[:3]):
+        total = np.zeros((kinds, size // kinds))
+        for *_, at, sums in found:
+            at, here = np.frombuffer(at.as_buffer(), dtype=np.int32), np.frombuffer(sums.as_buffer()).reshape(kinds, -1)
+            if here.shape == total.shape:
+                total += here
+            else:
+                total[:, at] += here
         yield tree, block, total
 
 
@@ -284,7 +315,7 @@ SPLITS = "tree int, block int, feature array<int>, cut array<int>, gain array<do
 
 def _splits(plan: Layout, min_leaf: float):
     def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tree, block, sums in _summed(batches):
+        for tree, block, sums in _summed(batches, 2):
             weight, total = sums.reshape(2, -1, plan.width)
             found = best_splits(weight, total, plan, min_leaf)
             kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
@@ -314,8 +345,8 @@ def _leaf_sums(trees: Sequence[Tree], depth: int, plan: Layout, label: str, shif
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for tree, block, sums in _summed(batches):
-        yield _record(tree, block, 0, sums)
+    for tree, _, sums in _summed(batches, 3):
+        yield pa.RecordBatch.from_pydict({"tree": pa.array([tree], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())})
 
 
 @dataclass(frozen=True)
@@ -348,7 +379,7 @@ class Growth:
                         children += [c for c, w in zip(pair, weights) if w >= 2 * self.min_leaf]
                 tree.open = children
         sums = self._dealt(entries.mapInArrow(_leaf_sums(trees, self.depth, plan, label, shift, self.seed), SUMS))
-        leaves = {r.tree: np.frombuffer(r.sums).reshape(3, -1).copy() for r in sums.mapInArrow(_whole, SUMS).collect()}
+        leaves = {r.tree: np.frombuffer(r.sums).reshape(3, -1).copy() for r in sums.mapInArrow(_whole, "tree int, sums binary").collect()}
         for t, tree in enumerate(trees):
             for node in range(len(tree.feature) - 1, -1, -1):
                 if tree.feature[node] >= 0:

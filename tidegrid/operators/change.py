@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.numeric import ieee_div, pct_change
-from tidegrid.operators.windows import ordered, up_to_here
+from tidegrid.operators.windows import ordered
 
 
 def percent_change(
@@ -39,10 +39,18 @@ def period_return(
     ``pad`` carries the last known value through gaps first, so a gap shows a zero return.
     """
     level, base = "_level", "_base"
-    padded = F.last(value, ignorenulls=True).over(up_to_here(by, time)) if pad else F.col(value)
-    levels = df.withColumn(level, padded)
-    based = levels.withColumn(base, F.lag(level).over(ordered(by, time)))
-    return based.withColumn(out, ieee_div(F.col(level), F.col(base)) - F.lit(1.0)).drop(level, base)
+    levels = {level: known_before(value, 0, by, time), base: known_before(value, 1, by, time)} if pad else {
+        level: F.col(value), base: F.lag(value).over(ordered(by, time))}
+    return df.withColumns(levels).withColumn(out, ieee_div(F.col(level), F.col(base)) - F.lit(1.0)).drop(level, base)
+
+
+def known_before(value: str, rows: int, by: Sequence[str], time: str) -> Column:
+    """The last known value of all rows up to ``rows`` earlier (later, if negative).
+
+    That is the value so many rows earlier once it is carried forward, in one window instead of two. (Later rows: if the
+    series has no value in as many first ones, which an offset would not reach.)
+    """
+    return F.last(value, ignorenulls=True).over(ordered(by, time).rowsBetween(Window.unboundedPreceding, -rows))
 
 
 def add_lags(

@@ -165,19 +165,16 @@ def fit_forests(
 
 def _by_key(df: DataFrame, shared: tuple[str, Sequence[str]], own: Sequence[str] = ()) -> pd.DataFrame | None:
     """Of every value of the key, by its hash (``_key``, ascending): rows, the shared features, and count, mean and variance of
-    the ``own`` ones; nothing if there are too many."""
+    the ``own`` ones; nothing if there are too many. (Of two values with one hash, the features must agree too.)"""
     key, columns = shared
-    same = F.xxhash64(*[F.col(c).cast("double") for c in columns])
-    found = df.groupBy(F.xxhash64(key).alias("_key")).agg(
-        F.count("*").alias("_rows"), F.min(same).alias("_least"), F.max(same).alias("_most"),
-        *[F.first(F.col(c).cast("double")).alias(f"_s{i}") for i, c in enumerate(columns)],
-        *[f(F.col(c).cast("double")).alias(f"_{name}{i}") for i, c in enumerate(own)
-          for name, f in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))]).limit(KEYS_AT_MOST + 1).collect()
+    found = df.groupBy(F.xxhash64(key).alias("_key"), *[F.col(c).cast("double").alias(f"_s{i}") for i, c in enumerate(columns)]).agg(
+        F.count("*").alias("_rows"), *[f(F.col(c).cast("double")).alias(f"_{name}{i}") for i, c in enumerate(own)
+                                       for name, f in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))]).limit(KEYS_AT_MOST + 1).collect()
     if not 0 < len(found) <= KEYS_AT_MOST:
         return None
-    if any(r["_least"] != r["_most"] for r in found):
-        raise ValueError(f"{', '.join(columns)}: not functions of {key}")
     table = pd.DataFrame([r.asDict() for r in found]).sort_values("_key", ignore_index=True)
+    if table["_key"].duplicated().any():
+        raise ValueError(f"{', '.join(columns)}: not functions of {key}")
     if (bad := [c for i, c in enumerate(columns) if not np.isfinite(table[f"_s{i}"].astype(float)).all()]) or (
             bad := [c for i, c in enumerate(own) if (table[f"_n{i}"] < table["_rows"]).any() or not np.isfinite(table[f"_mean{i}"]).all()]):
         raise ValueError(f"missing or infinite values in {', '.join(bad)}")
@@ -243,7 +240,7 @@ def _fit_cells(df: DataFrame, features: Sequence[str], targets: Sequence[str], p
     scaler = _scaler_of(spark, table, features, columns)
     rescale = _rescaled(scaler)
     values = _shared_values(table, features, columns, rescale)
-    sample = _sample(df, own, list(dict.fromkeys([*keys, *own, *targets])), rows) if own else None
+    sample = _sample(df, own, list(dict.fromkeys([*keys, *targets])), rows) if own else None
     cuts = [_cuts(values[:, columns.index(f)], table["_rows"], params.max_bins) if f in columns else
             _cuts(rescale(i, sample[f].to_numpy()), sample["_rows"], params.max_bins) for i, f in enumerate(features)]
     plan = cells.layout(len(features), [features.index(c) for c in columns], values, cuts)
@@ -265,7 +262,7 @@ def _fit_cells(df: DataFrame, features: Sequence[str], targets: Sequence[str], p
 def _as_model(spark, params: ForestParams, target: str, features: int, cuts: Sequence[np.ndarray],
               trees: Sequence[tuple[cells.Tree, np.ndarray]]) -> RandomForestRegressionModel:
     """The trees as a forest of MLlib: a forest of roots, saved, gets their nodes and is loaded."""
-    roots = spark.createDataFrame([(Vectors.dense([0.0] * features), 0.0)] * 2, [SCALED, target])
+    roots = spark.createDataFrame([(Vectors.dense([0.0] * features), 0.0)] * 2, [SCALED, target]).coalesce(1)
     path = scratch_path(spark, "forest")
     params.regressor(target).fit(roots).write().save(path)
     columns: dict[str, list] = {c: [] for c in ("tree", "id", "value", "impurity", "stats", "rows", "gain", "left", "right", "feature", "at")}

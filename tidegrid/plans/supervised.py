@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.numeric import fraction_to_percent
 from tidegrid.functions.periods import period_label
-from tidegrid.operators.change import add_lags, add_lead, mom_change, period_return, yoy_change
+from tidegrid.operators.change import add_lags, add_lead, known_before, mom_change, period_return, yoy_change
 from tidegrid.operators.encode import calendar_parts
 from tidegrid.operators.fill import ffill
 from tidegrid.operators.grid import align_wide, densify, stack_long
@@ -134,9 +134,14 @@ def shared_calendar(
 
 
 def own_panel(prices: DataFrame, *, series: str = "series_id", time: str = "period", drop_last: bool = True) -> DataFrame:
-    """Calendar parts, lagged returns and target of every price series, one row per series and month."""
-    frame = price_features(prices, by=[series], time=time).drop("value", "ret")
-    frame = ffill(frame, [*LAG_NAMES, "next1"], by=[series], time=time)
+    """Calendar parts, lagged returns and target of every price series, one row per series and month.
+
+    The columns are those of :func:`price_features`, carried forward. As the first row of a series has no return, each is
+    the last known return up to its offset, and all of them take one window.
+    """
+    returns = period_return(densify(prices, by=[series], time=time), "value", by=[series], time=time)
+    offsets = {**{name: k for k, name in enumerate(LAG_NAMES, 1)}, "next1": -1}
+    frame = returns.withColumns({name: known_before("ret", k, [series], time) for name, k in offsets.items()}).drop("value", "ret")
     frame = frame.withColumns({c: fraction_to_percent(F.col(c)) for c in (*LAG_NAMES, "next1")})
     if drop_last:
         frame = drop_last_period(frame, by=[series], time=time)
