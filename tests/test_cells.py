@@ -190,3 +190,8 @@ def test_wide_cells_take_several_words():
     codes = [rng.integers(0, g.size, 50) for g in plan.groups]
     assert len(plan.words) == 2
     assert all((a == b).all() for a, b in zip(plan.codes(plan.packed(codes)), codes))
+
+
+def test_entries_are_dealt_to_few_partitions():
+    params = forest.ForestParams()
+    assert [params.entry_partitions(n) for n in (0, 75_000, 75_001, 5_600_000, 18_000_001)] == [1, 1, 2, 12, 13]

@@ -44,17 +44,16 @@ class Bootstrap:
     """How often entries of ``counts`` rows are drawn: the sum of a Poisson(1) draw for each row."""
 
     def __init__(self, counts: np.ndarray):
-        self.large, self.small = np.flatnonzero(counts > SMALL), np.minimum(counts, SMALL) - 1
-        self.start, self.counts = self.small << 16, counts[self.large]
+        self.large, self.start = np.flatnonzero(counts > SMALL), (np.minimum(counts, SMALL) - 1) << 16
+        self.counts = counts[self.large]
 
     def drawn(self, made: np.random.Generator) -> np.ndarray:
         bits = made.bit_generator.random_raw(len(self.start) // 4 + 1).view(np.uint16)[:len(self.start)]
         times = DRAWS.reshape(-1).take(self.start + bits)
         unsure = np.flatnonzero(times == OPEN)
-        exact = (bits[unsure] + made.random(len(unsure))) / 65536
-        for mean in np.unique(self.small[unsure]):
-            here = self.small[unsure] == mean
-            times[unsure[here]] = np.searchsorted(SHARES[mean], exact[here], side="right")
+        exact, table = (bits[unsure] + made.random(len(unsure))) / 65536, self.start[unsure] >> 16
+        for mean in np.unique(table):
+            times[unsure[table == mean]] = np.searchsorted(SHARES[mean], exact[table == mean], side="right")
         out = times.astype(np.float64)
         out[self.large] = made.poisson(self.counts)
         return out
@@ -91,12 +90,13 @@ class Layout:
             out.append(cell)
         return out
 
-    def codes(self, cells: Sequence[np.ndarray]) -> list[np.ndarray]:
-        """The code of each group, from the numbers of :meth:`packed`."""
-        found: list[np.ndarray] = [np.empty(0)] * len(self.groups)
+    def codes(self, cells: Sequence[np.ndarray]) -> np.ndarray:
+        """The code of each group, a row for each, from the numbers of :meth:`packed`."""
+        found = np.empty((len(self.groups), len(cells[0])), dtype=np.int64)
         for word, cell in zip(self.words, cells):
+            rest = cell.copy()
             for g in reversed(word):
-                cell, found[g] = np.divmod(cell, self.groups[g].size)
+                np.divmod(rest, self.groups[g].size, out=(rest, found[g]))
         return found
 
     def bins(self) -> tuple[np.ndarray, np.ndarray]:
@@ -203,9 +203,11 @@ class Entries:
         starts = np.concatenate([[True], np.logical_or.reduce([w[1:] != w[:-1] for w in words])])
         self.starts = np.flatnonzero(starts)
         self.cells = len(self.starts)
-        self.codes = np.concatenate([c.astype(np.int64) for c in plan.codes([w[self.starts] for w in words])])
+        words = [w[self.starts] for w in words]
         self.label = read[label].to_numpy() - shift
         self.bootstrap = Bootstrap(read["_rows"].to_numpy())
+        del found, read, starts  # the Arrow buffers, before as much is made
+        self.codes = plan.codes(words).reshape(-1)
 
     def drawn(self, seed: int, tree: int) -> np.ndarray:
         return self.bootstrap.drawn(np.random.Generator(np.random.SFC64([seed % (1 << 64), tree, self.part])))

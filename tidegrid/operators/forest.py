@@ -54,11 +54,11 @@ class ForestParams:
     least_partitions: int = 1
     spread: int = 12
     spread_rows: int = 75_000
-    entry_rows: int = 2_000_000
+    entry_rows: int = 1_500_000
 
     def entry_partitions(self, entries: int) -> int:
-        """Partitions of the entries of cells: large, as each ships the sums of all nodes, and a task goes through 2 million
-        entries in well under a second for a tree."""
+        """Partitions of the entries of cells: large, as each ships the sums of all nodes; a task holds one, about 200 bytes an
+        entry."""
         return max(1, -(-entries // self.entry_rows), min(self.spread, -(-entries // self.spread_rows)))
 
     def partitions(self, rows: int) -> int:
